@@ -17,7 +17,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 IP4_MAX = 4294967295  # 2**32 - 1
-_OCTET_PATTERN = r"^[+-]?[0-9]+$"
+# An octet: optional '+', any leading zeros, then 0..255; or '-' and zeros.
+_OCTET = r"(?:\+?0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])|-0+)"
+_ADDRESS_PATTERN = rf"^{_OCTET}\.{_OCTET}\.{_OCTET}\.{_OCTET}$"
 _EDGE_BLANKS = r"^[\x00-\x20]+|[\x00-\x20]+$"
 
 
@@ -31,19 +33,39 @@ def strip_blanks(c) -> Column:
 
 
 def parse_ip4(c) -> Column:
-    """Dotted quad -> BIGINT; NULL if the text is not an address."""
+    """Dotted quad -> BIGINT; NULL if the text is not an address.
+
+    A single expression: fine for a few values; on large inputs prefer
+    ``with_ip4`` which computes the intermediate columns once each.
+    """
     text = F.regexp_replace(strip_blanks(c), r"\.+$", "")
-    octets = F.split(text, r"\.", -1)
-    valid = (F.size(octets) == 4) & F.forall(
-        octets,
-        lambda o: o.rlike(_OCTET_PATTERN)
-        & o.try_cast("bigint").isNotNull()
-        & o.try_cast("bigint").between(0, 255),
-    )
-    value = F.aggregate(
-        octets, F.lit(0).cast("bigint"), lambda acc, o: acc * 256 + o.try_cast("bigint")
+    return _ip4_value(text, F.split(text, r"\.", -1))
+
+
+def _ip4_value(text: Column, parts: Column) -> Column:
+    # The pattern validates all four octets (0..255 with the accepted sign and
+    # leading-zero forms), so the casts below never see a bad number.
+    value = None
+    for i, weight in ((1, 16777216), (2, 65536), (3, 256), (4, 1)):
+        o = F.try_element_at(parts, F.lit(i)).cast("bigint") * weight
+        value = o if value is None else value + o
+    return F.when(text.rlike(_ADDRESS_PATTERN), value)
+
+
+def with_ip4(df, columns: dict[str, str]):
+    """Add parsed addresses: ``columns`` maps output name -> text column.
+
+    Staged as separate projections (stripped text, then its parts, then the
+    value) so no intermediate is repeated inside one generated method; the
+    whole parse stays in whole-stage codegen without higher-order functions.
+    """
+    keep = df.columns
+    staged = df.select("*", *[F.regexp_replace(strip_blanks(src), r"\.+$", "").alias(f"_t_{out}") for out, src in columns.items()])
+    staged = staged.select("*", *[F.split(F.col(f"_t_{out}"), r"\.", -1).alias(f"_p_{out}") for out in columns])
+    return staged.select(
+        *[F.col(c) for c in keep],
+        *[_ip4_value(F.col(f"_t_{out}"), F.col(f"_p_{out}")).alias(out) for out in columns],
     )
-    return F.when(valid, value)
 
 
 def ip4_text(c) -> Column:

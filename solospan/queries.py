@@ -34,8 +34,7 @@ def _lines(spark, sf):
 
 def _lines_kept(spark, sf):
     """Parsed lines with the reversed ones kept (malformed left out)."""
-    p = _lines(spark, sf)
-    return p.where(F.col("begin").isNotNull()).select("event_id", "set_id", "begin", "end")
+    return text.parsed_ranges(_lines(spark, sf), keep=("event_id", "set_id"))
 
 
 def _grid_exclusive(spark, sf, **kw):

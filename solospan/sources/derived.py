@@ -62,14 +62,16 @@ def range_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events")
     eid = F.col("event_id")
     b = (eid * 2654435761) % 3758096384
-    e = b + (eid * 7919) % 1000003
-    good = F.when(eid % 2 == 0, F.concat(ip4_text(b), F.lit(", "), ip4_text(e))).otherwise(
-        F.concat(ip4_text(b), F.lit(","), ip4_text(e))
+    coords = ev.select(eid, (F.col("user_id") % 10).alias("set_id"), b.alias("_b")).select(
+        "event_id", "set_id", "_b", (F.col("_b") + (eid * 7919) % 1000003).alias("_e")
     )
+    texts = coords.select("event_id", "set_id", ip4_text("_b").alias("_sb"), ip4_text("_e").alias("_se"))
+    sb, se = F.col("_sb"), F.col("_se")
     line = (
-        F.when(eid % 97 == 0, F.concat(ip4_text(b), F.lit(", 300.1.2.3")))
+        F.when(eid % 97 == 0, F.concat(sb, F.lit(", 300.1.2.3")))
         .when(eid % 101 == 0, F.lit("garbage"))
-        .when(eid % 103 == 0, F.concat(ip4_text(e), F.lit(","), ip4_text(b)))
-        .otherwise(good)
+        .when(eid % 103 == 0, F.concat(se, F.lit(","), sb))
+        .when(eid % 2 == 0, F.concat(sb, F.lit(", "), se))
+        .otherwise(F.concat(sb, F.lit(","), se))
     )
-    return ev.select(eid.alias("event_id"), (F.col("user_id") % 10).alias("set_id"), line.alias("line"))
+    return texts.select("event_id", "set_id", line.alias("line"))

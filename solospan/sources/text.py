@@ -12,7 +12,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from solospan.functions.ipv4 import parse_ip4
+from solospan.functions.ipv4 import with_ip4
 from solospan.schema import PAIRS_SCHEMA, RANGES_SCHEMA, REJECT_MALFORMED, REJECT_REVERSED
 
 
@@ -20,11 +20,12 @@ def parse_range_lines(df: DataFrame, line: str = "line") -> DataFrame:
     """Add ``begin``, ``end`` (NULL when malformed) and ``reason`` (NULL when
     the range is good) to a DataFrame of text lines."""
     fields = F.split(F.regexp_replace(F.col(line), ",+$", ""), ",", -1)
-    parsed = df.select(
-        "*",
-        F.when(F.size(fields) == 2, parse_ip4(F.element_at(fields, 1))).alias("_b"),
-        F.when(F.size(fields) == 2, parse_ip4(F.element_at(fields, 2))).alias("_e"),
+    two = df.select("*", fields.alias("_fields")).select(
+        *df.columns,
+        F.when(F.size("_fields") == 2, F.try_element_at("_fields", F.lit(1))).alias("_bt"),
+        F.when(F.size("_fields") == 2, F.try_element_at("_fields", F.lit(2))).alias("_et"),
     )
+    parsed = with_ip4(two, {"_b": "_bt", "_e": "_et"})
     bad = F.col("_b").isNull() | F.col("_e").isNull()
     reason = F.when(bad, F.lit(REJECT_MALFORMED)).when(F.col("_b") > F.col("_e"), F.lit(REJECT_REVERSED))
     return parsed.select(
@@ -35,14 +36,27 @@ def parse_range_lines(df: DataFrame, line: str = "line") -> DataFrame:
     )
 
 
+def _split_rows(parsed: DataFrame, ok, cols: list[str]) -> DataFrame:
+    # A generator instead of a filter: a Filter would be pushed through the
+    # parse projections with every parsed column inlined into its condition
+    # (many copies of the address expression, too big for codegen).  The
+    # array is NULL for rows that are not wanted, and inline emits nothing.
+    return parsed.select(F.inline(F.when(ok, F.array(F.struct(*[F.col(c) for c in cols])))))
+
+
 def good_ranges(parsed: DataFrame, keep: Iterable[str] = ()) -> DataFrame:
     """Well-formed, ordered ranges of a parsed DataFrame."""
-    return parsed.where(F.col("reason").isNull()).select(*keep, "begin", "end")
+    return _split_rows(parsed, F.col("reason").isNull(), [*keep, "begin", "end"])
+
+
+def parsed_ranges(parsed: DataFrame, keep: Iterable[str] = ()) -> DataFrame:
+    """All ranges that parse, reversed ones included (for order audits)."""
+    return _split_rows(parsed, F.col("begin").isNotNull(), [*keep, "begin", "end"])
 
 
 def rejected_lines(parsed: DataFrame, keep: Iterable[str] = (), line: str = "line") -> DataFrame:
     """``keep..., line, reason`` for malformed and reversed lines."""
-    return parsed.where(F.col("reason").isNotNull()).select(*keep, line, "reason")
+    return _split_rows(parsed, F.col("reason").isNotNull(), [*keep, line, "reason"])
 
 
 def read_range_text(spark: SparkSession, path: str, set_id: int | None = None) -> tuple[DataFrame, DataFrame]:
@@ -71,8 +85,7 @@ def ranges_from_pairs(
 def ranges_from_pair_columns(
     df: DataFrame, begin_text: str = "begin_text", end_text: str = "end_text", on_error: str = "raise"
 ) -> DataFrame:
-    b, e = parse_ip4(F.col(begin_text)), parse_ip4(F.col(end_text))
-    parsed = df.select(b.alias("begin"), e.alias("end"), begin_text, end_text)
+    parsed = with_ip4(df.select(begin_text, end_text), {"begin": begin_text, "end": end_text})
     bad = F.col("begin").isNull() | F.col("end").isNull()
     if on_error == "raise":
         msg = F.concat(F.lit("Wrong input range: ("), F.col(begin_text), F.lit(","), F.col(end_text), F.lit(")"))
