@@ -72,8 +72,11 @@ def balance_audit(
     ``balanced`` (level never below 0 and back to 0 at the end).  A reversed
     range drives the level below 0."""
     keys = as_keys(keys)
-    plan = scan_plan(half_open_events(df, keys, begin, end), keys, "x", strategy, target_rows=target_rows)
-    sc = ordered_scan(point_deltas(df, keys, begin, end), keys, ["x"], sums={"level": "delta"}, plan=plan)
+    raw = half_open_events(df, keys, begin, end)
+    plan = scan_plan(raw, keys, "x", strategy, target_rows=target_rows)
+    sc = ordered_scan(
+        point_deltas(df, keys, begin, end), keys, ["x"], sums={"level": "delta"}, plan=plan, summary_source=raw
+    )
     agg = sc.groupBy(*keys).agg(
         F.sum("starts").alias("n_ranges"),
         (-F.sum("ends")).alias("n_ends"),

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from solospan.functions.buckets import IP4_BUCKET_WIDTH, bucket_of
 from solospan.plans.scan import ordered_scan, scan_plan
 from solospan.schema import as_keys
+from solospan.session import ensure_checkpoint_dir
 
 
 def cut_at_buckets(
@@ -74,7 +75,14 @@ def _islands(
     d: DataFrame, keys: list[str], begin: str, end: str, joins_next, strategy: str, target_rows: int | None
 ) -> DataFrame:
     """Gaps and islands over disjoint ranges ordered by begin: a row continues
-    into the next row when ``joins_next(next_begin_col, next_flag_col)``."""
+    into the next row when ``joins_next(next_begin_col, next_flag_col)``.
+
+    The bucketed plan reads its input several times (count, sample, two
+    scans), so the input is first checkpointed to the shared checkpoint
+    folder instead of recomputing its lineage each time."""
+    if strategy != "window":
+        ensure_checkpoint_dir(d.sparkSession)
+        d = d.checkpoint(eager=True)
     plan = scan_plan(d.select(*keys, begin), keys, begin, strategy, target_rows=target_rows)
     leads = {"_nb": begin}
     if "_glue" in d.columns:

@@ -51,7 +51,7 @@ def half_open_events(df: DataFrame, keys=("set_id",), begin: str = "begin", end:
         F.struct(F.col(begin).alias("x"), _one(1).alias("starts"), _one(0).alias("ends")),
         F.struct((F.col(end) + 1).alias("x"), _one(0).alias("starts"), _one(-1).alias("ends")),
     )
-    return df.select(*keys, F.inline(ev))
+    return df.select(*keys, F.inline(ev)).withColumn("delta", F.col("starts") + F.col("ends"))
 
 
 def point_deltas(df: DataFrame, keys=("set_id",), begin: str = "begin", end: str = "end") -> DataFrame:
@@ -80,14 +80,19 @@ def levels(
     coordinate of a group (where the level is 0)."""
     keys = as_keys(keys)
     plan = None
+    raw = half_open_events(df, keys, begin, end)
     if strategy != "window":
         if n_rows is None:
             n_rows = 2 * df.count()
-        plan = scan_plan(
-            half_open_events(df, keys, begin, end), keys, "x", strategy, n_rows=n_rows, target_rows=target_rows
-        )
+        plan = scan_plan(raw, keys, "x", strategy, n_rows=n_rows, target_rows=target_rows)
     return ordered_scan(
-        point_deltas(df, keys, begin, end), keys, ["x"], sums={"level": "delta"}, leads={"next_x": "x"}, plan=plan
+        point_deltas(df, keys, begin, end),
+        keys,
+        ["x"],
+        sums={"level": "delta"},
+        leads={"next_x": "x"},
+        plan=plan,
+        summary_source=raw,
     )
 
 

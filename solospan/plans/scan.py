@@ -209,11 +209,17 @@ def ordered_scan(
     sums: dict[str, str] | None = None,
     leads: dict[str, str] | None = None,
     plan: BucketPlan | None = None,
+    summary_source: DataFrame | None = None,
 ) -> DataFrame:
     """Per group of ``keys`` ordered by ``order`` (ties only among equal
     ``order[0]`` values): ``sums`` maps output name -> column (inclusive
     running sum), ``leads`` maps output name -> column (value of next row).
-    Returns ``df`` with those columns appended."""
+    Returns ``df`` with those columns appended.
+
+    ``summary_source`` (bucketed plan only): rows whose per-bucket sums and
+    smallest coordinate equal those of ``df`` - typically the rows ``df`` was
+    aggregated from.  The bucket summary is then a partial aggregate over
+    them, so ``df`` itself (and the shuffle behind it) is computed once."""
     sums = sums or {}
     leads = leads or {}
     keys = list(keys)
@@ -233,18 +239,35 @@ def ordered_scan(
     d = assign_buckets(df, plan, coord)
     part = keys + [B1, B2]
     lead_src = list(dict.fromkeys(leads.values()))
-    first = F.min(F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)], *[F.col(c) for c in lead_src if c not in order]))
-    summary = (
-        d.where(F.col("_ss_big"))
-        .groupBy(*part)
-        .agg(*[F.sum(F.col(src)).alias(f"_tot_{out}") for out, src in sums.items()], first.alias("_first"))
-    )
+    src_rows = d
+    if summary_source is not None:
+        if len(order) != 1 or any(src != coord for src in lead_src):
+            raise ValueError("summary_source needs one ordering column and leads of it only")
+        src_rows = assign_buckets(summary_source, plan, coord)
+    # First row of every bucket (for the leads of its last row's predecessor
+    # bucket).  With one ordering column min/min_by keep this a hash
+    # aggregate; several ordering columns need a struct minimum.
+    if len(order) == 1:
+        firsts = {src: (F.min(coord) if src == coord else F.min_by(F.col(src), F.col(coord))) for src in lead_src}
+    else:
+        first = F.min(F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)], *[F.col(c) for c in lead_src]))
+        firsts = {src: None for src in lead_src}
+    aggs = [F.sum(F.col(src)).alias(f"_tot_{out}") for out, src in sums.items()]
+    if len(order) == 1:
+        aggs += [agg.alias(f"_first_{i}") for i, agg in enumerate(firsts.values())]
+    elif lead_src:
+        aggs.append(first.alias("_first"))
+    summary = src_rows.where(F.col("_ss_big")).groupBy(*part).agg(*aggs)
     wb = Window.partitionBy(*keys).orderBy(B1, B2)
     before = wb.rowsBetween(Window.unboundedPreceding, -1)
+    if len(order) == 1:
+        nexts = [F.lead(f"_first_{i}").over(wb).alias(f"_next_{i}") for i in range(len(lead_src))]
+    else:
+        nexts = [F.lead("_first").over(wb).getField(src).alias(f"_next_{i}") for i, src in enumerate(lead_src)]
     summary = summary.select(
         *part,
         *[F.sum(f"_tot_{out}").over(before).alias(f"_off_{out}") for out in sums],
-        F.lead("_first").over(wb).alias("_next"),
+        *nexts,
     )
     if plan.bucket_bound <= BROADCAST_BUCKETS:
         # at most plan.bucket_bound rows (computed from the collected plan)
@@ -253,18 +276,16 @@ def ordered_scan(
 
     w = Window.partitionBy(*part).orderBy(*ordering)
     running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-
-    def next_field(src: str) -> Column:
-        name = f"_o{order.index(src)}" if src in order else src
-        return F.col("_next").getField(name)
-
     return d.select(
         *[F.col(c) for c in df.columns],
         *[
             (F.coalesce(F.col(f"_off_{out}"), F.lit(0)) + F.sum(F.col(src)).over(running)).alias(out)
             for out, src in sums.items()
         ],
-        *[F.coalesce(F.lead(F.col(src)).over(w), next_field(src)).alias(out) for out, src in leads.items()],
+        *[
+            F.coalesce(F.lead(F.col(src)).over(w), F.col(f"_next_{lead_src.index(src)}")).alias(out)
+            for out, src in leads.items()
+        ],
     )
 
 
