@@ -48,6 +48,7 @@ BROADCAST_BUCKETS = 1_000_000  # largest summary table that is broadcast (~40 MB
 
 B1 = "_ss_b1"
 B2 = "_ss_b2"
+ALL = "_ss_all"  # constant group key used when no key columns are given
 
 
 @dataclass
@@ -95,6 +96,9 @@ def plan_buckets(
     distribution is used.  ``n_rows`` is its row count if already known.
     """
     spark = points.sparkSession
+    keys = list(keys)
+    if not keys:
+        points, keys = points.withColumn(ALL, F.lit(0)), [ALL]
     target = target_rows or _conf_int(spark, CONF_TARGET_ROWS, DEFAULT_TARGET_ROWS)
     limit = max_buckets or _conf_int(spark, CONF_MAX_BUCKETS, DEFAULT_MAX_BUCKETS)
     if n_rows is None:
@@ -224,6 +228,11 @@ def ordered_scan(
     leads = leads or {}
     keys = list(keys)
     order = list(order)
+    if not keys and plan is not None and not plan.empty:
+        # one global group: a constant key keeps the bucket joins equi-joins
+        extra = summary_source.withColumn(ALL, F.lit(0)) if summary_source is not None else None
+        out = ordered_scan(df.withColumn(ALL, F.lit(0)), [ALL], order, sums, leads, plan, extra)
+        return out.drop(ALL)
     ordering = [F.col(c) for c in order]
 
     if plan is None or plan.empty:

@@ -120,3 +120,11 @@ def test_keys_are_generic(spark):
     df = spark.createDataFrame([("a", 1, 0, 5), ("a", 1, 3, 9), ("b", 2, 0, 5)], "k1 string, k2 int, lo bigint, hi bigint")
     got = rows(exclusive.exclusive_ranges(df, keys=["k1", "k2"], begin="lo", end="hi"))
     assert got == [("a", 1, 0, 2), ("a", 1, 6, 9), ("b", 2, 0, 5)]
+
+
+def test_no_keys_is_one_global_set(spark):
+    data = [(0, b, e) for (_s, b, e) in big_sets(2) if _s == 1000]
+    df = spark.createDataFrame(data, SCHEMA).drop("set_id")
+    for strategy in ("window", "bucketed"):
+        got = sorted((0, r.begin, r.end) for r in exclusive.exclusive_ranges(df, keys=[], strategy=strategy, target_rows=8).collect())
+        assert got == exclusive_brute(data)
