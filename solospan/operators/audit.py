@@ -10,8 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from solospan.operators.events import point_deltas, half_open_events
-from solospan.plans.scan import ordered_scan, scan_plan
+from solospan.operators.events import half_open_events
+from solospan.plans.scan import ordered_scan, point_scan, scan_plan
 from solospan.schema import as_keys
 
 
@@ -74,9 +74,7 @@ def balance_audit(
     keys = as_keys(keys)
     raw = half_open_events(df, keys, begin, end)
     plan = scan_plan(raw, keys, "x", strategy, target_rows=target_rows)
-    sc = ordered_scan(
-        point_deltas(df, keys, begin, end), keys, ["x"], sums={"level": "delta"}, plan=plan, summary_source=raw
-    )
+    sc = point_scan(raw, keys, "x", ["starts", "ends", "delta"], "delta", plan)
     agg = sc.groupBy(*keys).agg(
         F.sum("starts").alias("n_ranges"),
         (-F.sum("ends")).alias("n_ends"),

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from solospan.plans.scan import ordered_scan, scan_plan
+from solospan.plans.scan import point_scan, scan_plan
 from solospan.schema import as_keys
 
 
@@ -85,15 +85,7 @@ def levels(
         if n_rows is None:
             n_rows = 2 * df.count()
         plan = scan_plan(raw, keys, "x", strategy, n_rows=n_rows, target_rows=target_rows)
-    return ordered_scan(
-        point_deltas(df, keys, begin, end),
-        keys,
-        ["x"],
-        sums={"level": "delta"},
-        leads={"next_x": "x"},
-        plan=plan,
-        summary_source=raw,
-    )
+    return point_scan(raw, keys, "x", ["starts", "ends", "delta"], "delta", plan)
 
 
 def coverage_depth(df: DataFrame, keys=("set_id",), begin: str = "begin", end: str = "end", **kw) -> DataFrame:

@@ -43,12 +43,14 @@ CONF_MAX_BUCKETS = "solospan.scan.maxBuckets"  # bound on summary-table rows (br
 DEFAULT_TARGET_ROWS = 2_000_000
 DEFAULT_MAX_BUCKETS = 100_000
 SAMPLE_HITS = 64  # expected sample rows for a group of exactly target_rows
+HOT_HITS = 16  # sampled rows at one coordinate that mark it hot (~target_rows / 4)
 OVERSAMPLE = 2  # buckets per target_rows of estimated rows
 BROADCAST_BUCKETS = 1_000_000  # largest summary table that is broadcast (~40 MB)
 
 B1 = "_ss_b1"
 B2 = "_ss_b2"
 ALL = "_ss_all"  # constant group key used when no key columns are given
+PART = "_ss_part"  # hash of (group, bucket) the rows are shuffled on
 
 
 @dataclass
@@ -61,8 +63,10 @@ class BucketPlan:
     target_rows: int
     big: DataFrame | None = None  # keys, _lo, _w1, _nb1
     dense: DataFrame | None = None  # keys, _ss_b1, _w2, _nb2
+    hot: DataFrame | None = None  # keys, coord: coordinates holding many rows
     n_big: int = 0
     n_dense: int = 0
+    n_hot: int = 0
     bucket_bound: int = 0  # max number of (keys, b1, b2) buckets of big groups
     notes: dict = field(default_factory=dict)
 
@@ -168,7 +172,24 @@ def plan_buckets(
             )
             plan.dense = _local(spark, [tuple(r) for r in dense_rows], dense_schema)
         plan.bucket_bound = sum(r["_nb1"] for r in big_rows) + sum(r["_nb2"] - 1 for r in dense_rows)
-        plan.notes.update(sample_fraction=p, big_groups=plan.n_big, dense_cells=plan.n_dense)
+
+        # Hot coordinates: many rows at one point cannot be split by any
+        # bucket; their rows are combined map-side before the shuffle.
+        hot = (
+            smp.groupBy(*keys, coord)
+            .agg(F.count(F.lit(1)).alias("_n"))
+            .where(F.col("_n") >= HOT_HITS)
+            .select(*keys, coord)
+        )
+        hot_bound = 4 * limit + 1  # sample rows / HOT_HITS <= 4 * n_rows / target
+        hot_rows = hot.limit(hot_bound + 1).collect()
+        if len(hot_rows) > hot_bound:
+            raise RuntimeError(f"bucket planning: {len(hot_rows)} hot coordinates exceed {hot_bound}")
+        plan.n_hot = len(hot_rows)
+        if hot_rows:
+            hot_schema = T.StructType([points.schema[k] for k in keys] + [points.schema[coord]])
+            plan.hot = _local(spark, [tuple(r) for r in hot_rows], hot_schema)
+        plan.notes.update(sample_fraction=p, big_groups=plan.n_big, dense_cells=plan.n_dense, hot_points=plan.n_hot)
         return plan
     finally:
         smp.unpersist()
@@ -298,6 +319,86 @@ def ordered_scan(
     )
 
 
+def point_scan(
+    raw: DataFrame,
+    keys: list[str],
+    coord: str,
+    sum_cols: list[str],
+    level_of: str,
+    plan: BucketPlan | None = None,
+    level: str = "level",
+    next_name: str = "next_x",
+) -> DataFrame:
+    """Aggregate ``raw`` rows per coordinate and scan them in order.
+
+    Returns ``keys, coord, sum_cols`` (summed per coordinate), ``level`` (the
+    inclusive running sum of ``level_of``) and ``next_name`` (the next
+    coordinate of the group; NULL after the last).
+
+    The rows are shuffled once: by group for the window plan, by (group,
+    bucket) for the bucketed plan; aggregation and window then run in the
+    same stage.  Coordinates the planner found hot are first combined by a
+    separate map-side partial aggregate, so no task receives the raw rows of
+    a hot point.
+    """
+    keys = list(keys)
+    if not keys:
+        out = point_scan(raw.withColumn(ALL, F.lit(0)), [ALL], coord, sum_cols, level_of, plan, level, next_name)
+        return out.drop(ALL)
+    sums = [F.sum(c).alias(c) for c in sum_cols]
+    if plan is None or plan.empty:
+        agg = raw.repartition(*keys).groupBy(*keys, coord).agg(*sums)
+        w = Window.partitionBy(*keys).orderBy(coord)
+        return agg.select(
+            *keys,
+            coord,
+            *sum_cols,
+            F.sum(level_of).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias(level),
+            F.lead(coord).over(w).alias(next_name),
+        )
+
+    part = keys + [B1, B2]
+    rawb = assign_buckets(raw.select(*keys, coord, *sum_cols), plan, coord)
+    pre = rawb.select(*part, coord, *sum_cols)
+    if plan.hot is not None:
+        flagged = rawb.join(F.broadcast(plan.hot.withColumn("_ss_hot", F.lit(True))), keys + [coord], "left")
+        hot_part = flagged.where(F.col("_ss_hot")).groupBy(*part, coord).agg(*sums)
+        cold_part = flagged.where(F.col("_ss_hot").isNull()).select(*part, coord, *sum_cols)
+        pre = hot_part.unionByName(cold_part)
+    # One shuffle on a single hash of (group, bucket).  The hash is part of
+    # the grouping and window keys, so the aggregate and the window accept
+    # this partitioning (a subset of their keys) and add no exchange; being
+    # one derived column it is not folded away when the group key is a
+    # constant.
+    pre = pre.withColumn(PART, F.xxhash64(*part))
+    agg = pre.repartition(PART).groupBy(PART, *part, coord).agg(*sums)
+
+    # per-bucket summary from the raw rows (partial aggregate, tiny output)
+    summary = (
+        rawb.where(F.col("_ss_big"))
+        .groupBy(*part)
+        .agg(F.sum(level_of).alias("_tot"), F.min(coord).alias("_first"))
+    )
+    wb = Window.partitionBy(*keys).orderBy(B1, B2)
+    summary = summary.select(
+        *part,
+        F.sum("_tot").over(wb.rowsBetween(Window.unboundedPreceding, -1)).alias("_off"),
+        F.lead("_first").over(wb).alias("_next"),
+    )
+    if plan.bucket_bound <= BROADCAST_BUCKETS:
+        summary = F.broadcast(summary)  # at most plan.bucket_bound rows
+    d = agg.join(summary, part, "left")
+    w = Window.partitionBy(PART, *part).orderBy(coord)
+    running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return d.select(
+        *keys,
+        coord,
+        *sum_cols,
+        (F.coalesce(F.col("_off"), F.lit(0)) + F.sum(level_of).over(running)).alias(level),
+        F.coalesce(F.lead(coord).over(w), F.col("_next")).alias(next_name),
+    )
+
+
 def scan_plan(
     points: DataFrame,
     keys: list[str],

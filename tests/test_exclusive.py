@@ -128,3 +128,17 @@ def test_no_keys_is_one_global_set(spark):
     for strategy in ("window", "bucketed"):
         got = sorted((0, r.begin, r.end) for r in exclusive.exclusive_ranges(df, keys=[], strategy=strategy, target_rows=8).collect())
         assert got == exclusive_brute(data)
+
+
+def test_hot_point_is_combined_before_the_shuffle(spark):
+    from solospan.plans.scan import plan_buckets
+
+    data = [(7, 5, 5 + k % 9) for k in range(300)] + [(7, b, b + 3) for b in range(0, 2000, 7)] + tiny_sets(4, n_sets=20)
+    df = spark.createDataFrame(data, SCHEMA)
+    plan = plan_buckets(events.half_open_events(df), ["set_id"], "x", target_rows=40)
+    assert plan.n_hot >= 1
+    for strategy in ("bucketed", "window"):
+        got = rows(exclusive.exclusive_ranges(df, strategy=strategy, target_rows=40))
+        assert got == exclusive_brute(data)
+    cov = {(r.set_id, r.point): r.depth for r in events.coverage_depth(df, strategy="bucketed", target_rows=40).collect()}
+    assert cov[(7, 5)] == 300

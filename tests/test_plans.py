@@ -25,17 +25,19 @@ def test_bucketed_plan_shape(spark):
     # partitioned by set and bucket; only the bounded bucket summary may sit
     # in a single partition (its set key is a constant here)
     shuffles = [l for l in p.splitlines() if "Arguments: hashpartitioning(" in l]
-    assert sum("x#" in l for l in shuffles) == 1, shuffles
-    assert any("_ss_b1" in l for l in shuffles), shuffles
+    # the events are shuffled once, by bucket; no exchange on the coordinate
+    assert sum("REPARTITION_BY_COL" in l and "_ss_part" in l for l in shuffles) == 1, shuffles
+    assert not any("x#" in l for l in shuffles), shuffles
     assert "BroadcastHashJoin" in p
     # the scan reads only the columns it needs
     assert "ReadSchema: struct<l_orderkey:bigint,l_linenumber:int,l_extendedprice:double>" in p
 
 
-def test_window_plan_has_no_python(spark):
+def test_window_plan_has_no_python_and_one_shuffle(spark):
     p = plan_text(exclusive_ranges(ip_ranges(spark, SF001, sets=16), strategy="window"))
     assert "Python" not in p
     assert "Window" in p
+    assert sum("Arguments: hashpartitioning(" in l for l in p.splitlines()) == 1
 
 
 def test_no_registered_query_uses_python(spark):
