@@ -118,31 +118,41 @@ def plan_buckets(
     hits_big = max(1, SAMPLE_HITS // 2)  # estimated size >= target / 2
     smp = points.select(*keys, coord).sample(False, p, seed).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        # Level 1: one row per big group with its coordinate span.
-        st = (
-            smp.groupBy(*keys)
-            .agg(F.count(F.lit(1)).alias("_n"), F.min(coord).alias("_lo"), F.max(coord).alias("_hi"))
-            .where(F.col("_n") >= hits_big)
+        # One pass over the sample finds both the big groups (their span) and
+        # the hot coordinates (many rows at one point).
+        counts = smp.groupingSets([[*keys, coord], list(keys)], *keys, coord).agg(
+            F.count(F.lit(1)).alias("_n"),
+            F.min(coord).alias("_lo"),
+            F.max(coord).alias("_hi"),
+            F.grouping_id().alias("_g"),
         )
-        nb1 = F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(p) * OVERSAMPLE / F.lit(target))).cast("bigint")
-        st = st.select(
-            *keys,
-            F.col("_lo"),
-            F.greatest(F.lit(1), F.ceil((F.col("_hi") - F.col("_lo") + 1) / nb1)).cast("bigint").alias("_w1"),
-            nb1.alias("_nb1"),
+        wanted = counts.where(
+            ((F.col("_g") == 0) & (F.col("_n") >= HOT_HITS)) | ((F.col("_g") != 0) & (F.col("_n") >= hits_big))
         )
-        bound = 2 * limit + 1
-        big_rows = st.limit(bound + 1).collect()
-        if len(big_rows) > bound:  # cannot happen with the bound above; keep plans safe
-            raise RuntimeError(f"bucket planning: {len(big_rows)} big groups exceed {bound}")
+        # groups >= hits_big sampled rows: <= 2 n_rows / target <= 2 limit;
+        # hot coordinates >= HOT_HITS sampled rows: <= 4 limit.
+        bound = 6 * limit + 2
+        found = wanted.limit(bound + 1).collect()
+        if len(found) > bound:  # cannot happen with the bounds above; keep plans safe
+            raise RuntimeError(f"bucket planning: {len(found)} rows exceed {bound}")
+        big_rows, hot_rows = [], []
+        for r in found:
+            k = tuple(r[c] for c in keys)
+            if r["_g"] == 0:
+                hot_rows.append(k + (r[coord],))
+            else:
+                nb1 = max(1, math.ceil(r["_n"] / p * OVERSAMPLE / target))
+                w1 = max(1, math.ceil((r["_hi"] - r["_lo"] + 1) / nb1))
+                big_rows.append(k + (r["_lo"], w1, nb1))
         plan.n_big = len(big_rows)
         if not big_rows:
             return plan
-        big_schema = T.StructType(
-            [points.schema[k] for k in keys]
-            + [T.StructField(n, T.LongType(), False) for n in ("_lo", "_w1", "_nb1")]
-        )
-        plan.big = _local(spark, [tuple(r) for r in big_rows], big_schema)
+        key_fields = [points.schema[k] for k in keys]
+        big_schema = T.StructType(key_fields + [T.StructField(n, T.LongType(), False) for n in ("_lo", "_w1", "_nb1")])
+        plan.big = _local(spark, big_rows, big_schema)
+        plan.n_hot = len(hot_rows)
+        if hot_rows:
+            plan.hot = _local(spark, hot_rows, T.StructType(key_fields + [points.schema[coord]]))
 
         # Level 2: dense cells inside big groups are split again.
         cells = _with_b1(smp.join(F.broadcast(plan.big), keys, "inner"), coord)
@@ -151,44 +161,19 @@ def plan_buckets(
             .agg(F.count(F.lit(1)).alias("_n"))
             .where((F.col("_n") >= SAMPLE_HITS) & (F.col("_w1") > 1))
         )
-        nb2 = F.least(
-            F.col("_w1"),
-            F.greatest(F.lit(2), F.ceil(F.col("_n") / F.lit(p) * OVERSAMPLE / F.lit(target))),
-        ).cast("bigint")
-        dense = dense.select(
-            *keys,
-            F.col(B1),
-            F.ceil(F.col("_w1") / nb2).cast("bigint").alias("_w2"),
-            nb2.alias("_nb2"),
-        )
-        dense_rows = dense.limit(bound + 1).collect()
-        if len(dense_rows) > bound:
-            raise RuntimeError(f"bucket planning: {len(dense_rows)} dense cells exceed {bound}")
+        dense_bound = limit + 1  # cells >= SAMPLE_HITS sampled rows: <= n_rows / target
+        dense_found = dense.limit(dense_bound + 1).collect()
+        if len(dense_found) > dense_bound:
+            raise RuntimeError(f"bucket planning: {len(dense_found)} dense cells exceed {dense_bound}")
+        dense_rows = []
+        for r in dense_found:
+            nb2 = min(r["_w1"], max(2, math.ceil(r["_n"] / p * OVERSAMPLE / target)))
+            dense_rows.append(tuple(r[c] for c in keys) + (r[B1], math.ceil(r["_w1"] / nb2), nb2))
         plan.n_dense = len(dense_rows)
         if dense_rows:
-            dense_schema = T.StructType(
-                [points.schema[k] for k in keys]
-                + [T.StructField(n, T.LongType(), False) for n in (B1, "_w2", "_nb2")]
-            )
-            plan.dense = _local(spark, [tuple(r) for r in dense_rows], dense_schema)
-        plan.bucket_bound = sum(r["_nb1"] for r in big_rows) + sum(r["_nb2"] - 1 for r in dense_rows)
-
-        # Hot coordinates: many rows at one point cannot be split by any
-        # bucket; their rows are combined map-side before the shuffle.
-        hot = (
-            smp.groupBy(*keys, coord)
-            .agg(F.count(F.lit(1)).alias("_n"))
-            .where(F.col("_n") >= HOT_HITS)
-            .select(*keys, coord)
-        )
-        hot_bound = 4 * limit + 1  # sample rows / HOT_HITS <= 4 * n_rows / target
-        hot_rows = hot.limit(hot_bound + 1).collect()
-        if len(hot_rows) > hot_bound:
-            raise RuntimeError(f"bucket planning: {len(hot_rows)} hot coordinates exceed {hot_bound}")
-        plan.n_hot = len(hot_rows)
-        if hot_rows:
-            hot_schema = T.StructType([points.schema[k] for k in keys] + [points.schema[coord]])
-            plan.hot = _local(spark, [tuple(r) for r in hot_rows], hot_schema)
+            dense_schema = T.StructType(key_fields + [T.StructField(n, T.LongType(), False) for n in (B1, "_w2", "_nb2")])
+            plan.dense = _local(spark, dense_rows, dense_schema)
+        plan.bucket_bound = sum(r[-1] for r in big_rows) + sum(r[-1] - 1 for r in dense_rows)
         plan.notes.update(sample_fraction=p, big_groups=plan.n_big, dense_cells=plan.n_dense, hot_points=plan.n_hot)
         return plan
     finally:
