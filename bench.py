@@ -27,6 +27,7 @@ HEADLINE = [
     "exclusive_ranges",  # grid input, auto plan
     "exclusive_ranges_events",  # one set per user
     "exclusive_ranges_bucketed",  # one huge set, forced small buckets
+    "exclusive_ranges_skewed",  # a set with a third of all rows and a hot point
     "coverage_depth",
     "merge_touching",
     "glue_ranges",

@@ -102,6 +102,9 @@ QUERIES: dict[str, Query] = {
     "exclusive_ranges_bucketed": lambda s, sf: exclusive.exclusive_ranges_bucketed(
         derived.ip_ranges(s, sf, sets=None), target_rows=SMALL_TARGET
     ),
+    "exclusive_ranges_skewed": lambda s, sf: exclusive.exclusive_ranges(
+        derived.skewed_ranges(s, sf), target_rows=SMALL_TARGET * 4
+    ),
     "exclusive_ranges_presorted": lambda s, sf: exclusive.exclusive_ranges_presorted(
         derived.event_spans(s, sf), seq="event_id"
     ),
@@ -134,6 +137,13 @@ IP16 = """select l_suppkey % 16 as set_id,
 
 IP1 = IP16.replace("l_suppkey % 16", "cast(0 as bigint)", 1)
 
+SKEWED = """select case when l_orderkey % 3 = 0 then 0 else l_suppkey % 16 + 1 end as set_id,
+       case when l_orderkey % 3 = 0 and l_linenumber = 1 then 167772160
+            else (l_orderkey * 2654435761 + l_linenumber * 40503) % 3758096384 end as begin,
+       case when l_orderkey % 3 = 0 and l_linenumber = 1 then 167772160
+            else (l_orderkey * 2654435761 + l_linenumber * 40503) % 3758096384 end
+         + cast(floor(l_extendedprice) as bigint) % 131072 as "end" from lineitem"""
+
 EVENTS = """select event_id, user_id as set_id, epoch_us(ts) // 1000000 as begin,
        epoch_us(ts) // 1000000 + cast(floor(value * 600) as bigint) as "end" from events"""
 
@@ -256,6 +266,7 @@ from bp""",
     "exclusive_ranges_events": _exclusive_sql(EVENTS),
     "exclusive_ranges_bucketed": _exclusive_sql(IP1),
     "exclusive_ranges_presorted": _exclusive_sql(EVENTS),
+    "exclusive_ranges_skewed": _exclusive_sql(SKEWED),
     "glue_ranges": _exclusive_sql(GRID),
     "merge_touching": f"""with r as ({GRID}), {_segments()},
 ex as (select set_id, x as begin, nx - 1 as "end" from cov where nx is not null and depth = 1),

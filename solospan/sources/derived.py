@@ -40,6 +40,20 @@ def ip_ranges(spark: SparkSession, sf_dir: str, sets: int | None = 16) -> DataFr
     )
 
 
+def skewed_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """IPv4 ranges where set 0 holds a third of all rows and, inside it, every
+    first line item of an order begins at the same address (a hot point)."""
+    li = table(spark, sf_dir, "lineitem")
+    b = (F.col("l_orderkey") * 2654435761 + F.col("l_linenumber") * 40503) % 3758096384
+    hot_set = F.col("l_orderkey") % 3 == 0
+    begin = F.when(hot_set & (F.col("l_linenumber") == 1), F.lit(167772160).cast("bigint")).otherwise(b)
+    return li.select(
+        F.when(hot_set, F.lit(0).cast("bigint")).otherwise(F.col("l_suppkey") % 16 + 1).alias("set_id"),
+        begin.alias("begin"),
+        (begin + F.floor("l_extendedprice").cast("bigint") % 131072).alias("end"),
+    )
+
+
 def _epoch_seconds(ts_col: str):
     return F.call_function("div", F.unix_micros(F.col(ts_col).cast("timestamp")), F.lit(1000000))
 
