@@ -43,13 +43,21 @@ def endpoint_totals(df: DataFrame, keys=("set_id",), begin: str = "begin", end:
     )
 
 
-def half_open_events(df: DataFrame, keys=("set_id",), begin: str = "begin", end: str = "end") -> DataFrame:
-    """Raw (not aggregated) half-open events ``keys, x, starts, ends`` where
-    ``ends`` is -1 at ``end + 1``."""
+def half_open_events(
+    df: DataFrame, keys=("set_id",), begin: str = "begin", end: str = "end", valid_only: bool = False
+) -> DataFrame:
+    """Raw (not aggregated) half-open events ``keys, x, starts, ends, delta``
+    where ``ends`` is -1 at ``end + 1`` (coordinates as BIGINT).
+
+    ``valid_only`` drops ranges that cover no point (NULL bound or
+    ``begin > end``); the audits keep them on purpose."""
     keys = as_keys(keys)
+    b, e = F.col(begin).cast("bigint"), F.col(end).cast("bigint")
+    if valid_only:
+        df = df.where(b.isNotNull() & e.isNotNull() & (b <= e))
     ev = F.array(
-        F.struct(F.col(begin).alias("x"), _one(1).alias("starts"), _one(0).alias("ends")),
-        F.struct((F.col(end) + 1).alias("x"), _one(0).alias("starts"), _one(-1).alias("ends")),
+        F.struct(b.alias("x"), _one(1).alias("starts"), _one(0).alias("ends")),
+        F.struct((e + 1).alias("x"), _one(0).alias("starts"), _one(-1).alias("ends")),
     )
     return df.select(*keys, F.inline(ev)).withColumn("delta", F.col("starts") + F.col("ends"))
 
@@ -77,10 +85,11 @@ def levels(
 ) -> DataFrame:
     """``keys, x, starts, ends, delta, level, next_x``: ``level`` ranges cover
     every point of ``[x, next_x - 1]``; ``next_x`` is NULL after the last
-    coordinate of a group (where the level is 0)."""
+    coordinate of a group (where the level is 0).  Ranges with a NULL bound
+    or ``begin > end`` cover no point and are ignored."""
     keys = as_keys(keys)
     plan = None
-    raw = half_open_events(df, keys, begin, end)
+    raw = half_open_events(df, keys, begin, end, valid_only=True)
     if strategy != "window":
         if n_rows is None:
             n_rows = 2 * df.count()

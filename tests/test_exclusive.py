@@ -142,3 +142,12 @@ def test_hot_point_is_combined_before_the_shuffle(spark):
         assert got == exclusive_brute(data)
     cov = {(r.set_id, r.point): r.depth for r in events.coverage_depth(df, strategy="bucketed", target_rows=40).collect()}
     assert cov[(7, 5)] == 300
+
+
+def test_null_and_reversed_ranges_cover_nothing(spark):
+    df = spark.createDataFrame(
+        [(0, 0, 10), (0, 5, 3), (0, None, 4), (1, 2147483647, 2147483647)], "set_id bigint, begin int, end int"
+    )
+    for strategy in ("window", "bucketed"):
+        got = rows(exclusive.exclusive_ranges(df, strategy=strategy, target_rows=1))
+        assert got == [(0, 0, 10), (1, 2147483647, 2147483647)]
