@@ -71,28 +71,32 @@ def bucket_layout(
     return d.repartitionByRange(n, *keys, "bucket", begin).sortWithinPartitions(*keys, "bucket", begin)
 
 
-def _islands(
-    d: DataFrame, keys: list[str], begin: str, end: str, joins_next, strategy: str, target_rows: int | None
-) -> DataFrame:
-    """Gaps and islands over disjoint ranges ordered by begin: a row continues
-    into the next row when ``joins_next(next_begin_col, next_flag_col)``.
+def _islands(d: DataFrame, keys: list[str], begin: str, end: str, strategy: str, target_rows: int | None) -> DataFrame:
+    """Unite runs of disjoint ranges (sorted by begin) where each range touches
+    the previous one and may join it (column ``_join``).
+
+    One running sum, no lead: with ``S`` the total length of the earlier rows
+    of the group and ``B`` the number of rows so far that may not join their
+    predecessor, ``key = begin - S + B`` never decreases and stays equal
+    exactly across touching rows that may join; an island is a ``key``.
 
-    The bucketed plan reads its input several times (count, sample, two
-    scans), so the input is first checkpointed to the shared checkpoint
+    The bucketed plan reads its input several times (count, sample, scan,
+    summary), so the input is first checkpointed to the shared checkpoint
     folder instead of recomputing its lineage each time."""
     if strategy != "window":
         ensure_checkpoint_dir(d.sparkSession)
         d = d.checkpoint(eager=True)
     plan = scan_plan(d.select(*keys, begin), keys, begin, strategy, target_rows=target_rows)
-    leads = {"_nb": begin}
-    if "_glue" in d.columns:
-        leads["_ng"] = "_glue"
-    sc = ordered_scan(d, keys, [begin], leads=leads, plan=plan)
-    breaks = F.when(joins_next(sc), 0).otherwise(1).cast("bigint")
-    sc = sc.withColumn("_brk", breaks)
-    sc = ordered_scan(sc, keys, [begin], sums={"_isl": "_brk"}, plan=plan)
-    island = F.col("_isl") - F.col("_brk")  # breaks strictly before this row
-    return sc.groupBy(*keys, island.alias("_island")).agg(F.min(begin).alias(begin), F.max(end).alias(end)).drop(
+    d = d.select(
+        *keys,
+        begin,
+        end,
+        (F.col(end) - F.col(begin) + 1).alias("_len"),
+        F.when(F.col("_join"), 0).otherwise(1).cast("bigint").alias("_nj"),
+    )
+    sc = ordered_scan(d, keys, [begin], sums={"_s": "_len", "_b": "_nj"}, plan=plan)
+    key = F.col(begin) - (F.col("_s") - F.col("_len")) + F.col("_b")
+    return sc.groupBy(*keys, key.alias("_island")).agg(F.min(begin).alias(begin), F.max(end).alias(end)).drop(
         "_island"
     )
 
@@ -116,24 +120,15 @@ def glue_ranges(
     r = results.select(*keys, begin, end)
     # Only results starting on an edge are looked up (at most one per edge and
     # set, so the join key is unique on both sides).
-    glue = points.select(*keys, "bucket").distinct().withColumn("_glue", F.lit(True))
+    glue = points.select(*keys, "bucket").distinct().withColumn("_join", F.lit(True))
     at_edge = (
         r.where(starts_on_edge)
         .withColumn("bucket", bucket_of(F.col(begin), width))
         .join(glue, keys + ["bucket"], "left")
-        .select(*keys, begin, end, F.coalesce(F.col("_glue"), F.lit(False)).alias("_glue"))
-    )
-    rest = r.where(~starts_on_edge).withColumn("_glue", F.lit(False))
-    d = at_edge.unionByName(rest)
-    return _islands(
-        d,
-        keys,
-        begin,
-        end,
-        lambda s: F.coalesce((F.col("_nb") == F.col(end) + 1) & F.col("_ng"), F.lit(False)),
-        strategy,
-        target_rows,
+        .select(*keys, begin, end, F.coalesce(F.col("_join"), F.lit(False)).alias("_join"))
     )
+    rest = r.where(~starts_on_edge).withColumn("_join", F.lit(False))
+    return _islands(at_edge.unionByName(rest), keys, begin, end, strategy, target_rows)
 
 
 def merge_touching(
@@ -147,13 +142,5 @@ def merge_touching(
     """Unite disjoint ranges that touch (``next.begin = end + 1``); the set of
     covered points is unchanged."""
     keys = as_keys(keys)
-    d = results.select(*keys, begin, end)
-    return _islands(
-        d,
-        keys,
-        begin,
-        end,
-        lambda s: F.coalesce(F.col("_nb") == F.col(end) + 1, F.lit(False)),
-        strategy,
-        target_rows,
-    )
+    d = results.select(*keys, begin, end, F.lit(True).alias("_join"))
+    return _islands(d, keys, begin, end, strategy, target_rows)

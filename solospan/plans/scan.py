@@ -220,6 +220,7 @@ def ordered_scan(
     leads: dict[str, str] | None = None,
     plan: BucketPlan | None = None,
     summary_source: DataFrame | None = None,
+    keep_buckets: bool = False,
 ) -> DataFrame:
     """Per group of ``keys`` ordered by ``order`` (ties only among equal
     ``order[0]`` values): ``sums`` maps output name -> column (inclusive
@@ -229,7 +230,11 @@ def ordered_scan(
     ``summary_source`` (bucketed plan only): rows whose per-bucket sums and
     smallest coordinate equal those of ``df`` - typically the rows ``df`` was
     aggregated from.  The bucket summary is then a partial aggregate over
-    them, so ``df`` itself (and the shuffle behind it) is computed once."""
+    them, so ``df`` itself (and the shuffle behind it) is computed once.
+
+    ``keep_buckets`` keeps the bucket columns in the output; a following
+    scan with the same plan reuses them, and with them the partitioning, so
+    its window adds no exchange."""
     sums = sums or {}
     leads = leads or {}
     keys = list(keys)
@@ -251,7 +256,11 @@ def ordered_scan(
         )
 
     coord = order[0]
-    d = assign_buckets(df, plan, coord)
+    have = B1 in df.columns and B2 in df.columns and "_ss_big" in df.columns
+    d = df if have else assign_buckets(df, plan, coord)
+    out_cols = [c for c in df.columns if c not in (B1, B2, "_ss_big")]
+    if keep_buckets:
+        out_cols += [B1, B2, "_ss_big"]
     part = keys + [B1, B2]
     lead_src = list(dict.fromkeys(leads.values()))
     src_rows = d
@@ -292,7 +301,7 @@ def ordered_scan(
     w = Window.partitionBy(*part).orderBy(*ordering)
     running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return d.select(
-        *[F.col(c) for c in df.columns],
+        *[F.col(c) for c in out_cols],
         *[
             (F.coalesce(F.col(f"_off_{out}"), F.lit(0)) + F.sum(F.col(src)).over(running)).alias(out)
             for out, src in sums.items()
