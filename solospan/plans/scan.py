@@ -288,7 +288,12 @@ def ordered_scan(
     if len(order) == 1:
         firsts = {src: (F.min(coord) if src == coord else F.min_by(F.col(src), F.col(coord))) for src in lead_src}
     else:
-        first = F.min(F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)], *[F.col(c) for c in lead_src]))
+        first = F.min(
+            F.struct(
+                *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)],
+                *[F.col(c).alias(f"_l{j}") for j, c in enumerate(lead_src)],
+            )
+        )
         firsts = {src: None for src in lead_src}
     aggs = [F.sum(F.col(src)).alias(f"_tot_{out}") for out, src in sums.items()]
     if len(order) == 1:
@@ -301,7 +306,7 @@ def ordered_scan(
     if len(order) == 1:
         nexts = [F.lead(f"_first_{i}").over(wb).alias(f"_next_{i}") for i in range(len(lead_src))]
     else:
-        nexts = [F.lead("_first").over(wb).getField(src).alias(f"_next_{i}") for i, src in enumerate(lead_src)]
+        nexts = [F.lead("_first").over(wb).getField(f"_l{i}").alias(f"_next_{i}") for i in range(len(lead_src))]
     summary = summary.select(
         *part,
         *[F.sum(f"_tot_{out}").over(before).alias(f"_off_{out}") for out in sums],

@@ -61,3 +61,16 @@ def test_synthetic_ranges_shape(spark):
         g = generate.synthetic_ranges(ids, "id", mode=mode)
         s = g.agg(F.min("begin"), F.max("end"), F.min(F.col("end") - F.col("begin")), F.max(F.col("end") - F.col("begin"))).first()
         assert s[0] >= 16777216 and s[1] <= 4294967295 and s[2] >= 0 and s[3] <= 10**8
+
+
+def test_ordered_scan_with_two_ordering_columns(spark):
+    from solospan.plans.scan import ordered_scan, plan_buckets
+
+    rows = [(0, b, e) for b in range(0, 300, 3) for e in (b, b + 1)]
+    df = spark.createDataFrame(rows, "set_id bigint, begin bigint, end bigint")
+    plan = plan_buckets(df, ["set_id"], "begin", target_rows=20)
+    assert not plan.empty
+    got = ordered_scan(df, ["set_id"], ["begin", "end"], leads={"nb": "begin", "ne": "end"}, plan=plan).collect()
+    expect = sorted(rows, key=lambda r: (r[1], r[2]))
+    nxt = {(r[1], r[2]): (expect[i + 1][1], expect[i + 1][2]) if i + 1 < len(expect) else (None, None) for i, r in enumerate(expect)}
+    assert {(r.begin, r.end): (r.nb, r.ne) for r in got} == nxt
