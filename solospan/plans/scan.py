@@ -233,7 +233,6 @@ def ordered_scan(
     sums: dict[str, str] | None = None,
     leads: dict[str, str] | None = None,
     plan: BucketPlan | None = None,
-    summary_source: DataFrame | None = None,
     keep_buckets: bool = False,
 ) -> DataFrame:
     """Per group of ``keys`` ordered by ``order`` (ties only among equal
@@ -241,10 +240,9 @@ def ordered_scan(
     running sum), ``leads`` maps output name -> column (value of next row).
     Returns ``df`` with those columns appended.
 
-    ``summary_source`` (bucketed plan only): rows whose per-bucket sums and
-    smallest coordinate equal those of ``df`` - typically the rows ``df`` was
-    aggregated from.  The bucket summary is then a partial aggregate over
-    them, so ``df`` itself (and the shuffle behind it) is computed once.
+    The bucket summary is a partial aggregate over ``df`` itself; when ``df``
+    is the result of a shuffle, prefer ``point_scan``, which aggregates and
+    scans with one shuffle.
 
     ``keep_buckets`` keeps the bucket columns in the output; a following
     scan with the same plan reuses them, and with them the partitioning, so
@@ -255,8 +253,7 @@ def ordered_scan(
     order = list(order)
     if not keys and plan is not None and not plan.empty:
         # one global group: a constant key keeps the bucket joins equi-joins
-        extra = summary_source.withColumn(ALL, F.lit(0)) if summary_source is not None else None
-        out = ordered_scan(df.withColumn(ALL, F.lit(0)), [ALL], order, sums, leads, plan, extra)
+        out = ordered_scan(df.withColumn(ALL, F.lit(0)), [ALL], order, sums, leads, plan, keep_buckets)
         return out.drop(ALL)
     ordering = [F.col(c) for c in order]
 
@@ -277,11 +274,6 @@ def ordered_scan(
         out_cols += [B1, B2, "_ss_big"]
     part = keys + [B1, B2]
     lead_src = list(dict.fromkeys(leads.values()))
-    src_rows = d
-    if summary_source is not None:
-        if len(order) != 1 or any(src != coord for src in lead_src):
-            raise ValueError("summary_source needs one ordering column and leads of it only")
-        src_rows = assign_buckets(summary_source, plan, coord)
     # First row of every bucket (for the leads of its last row's predecessor
     # bucket).  With one ordering column min/min_by keep this a hash
     # aggregate; several ordering columns need a struct minimum.
@@ -300,7 +292,7 @@ def ordered_scan(
         aggs += [agg.alias(f"_first_{i}") for i, agg in enumerate(firsts.values())]
     elif lead_src:
         aggs.append(first.alias("_first"))
-    summary = src_rows.where(F.col("_ss_big")).groupBy(*part).agg(*aggs)
+    summary = d.where(F.col("_ss_big")).groupBy(*part).agg(*aggs)
     wb = Window.partitionBy(*keys).orderBy(B1, B2)
     before = wb.rowsBetween(Window.unboundedPreceding, -1)
     if len(order) == 1:

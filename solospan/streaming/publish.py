@@ -86,6 +86,16 @@ def publish(
     return result
 
 
+def range_line_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """A streaming DataFrame of parsed range lines from text files arriving
+    in ``path``: ``line, begin, end, reason`` (the parse is a stateless
+    projection, so it runs inside every micro-batch)."""
+    reader = spark.readStream.format("text")
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    return parse_range_lines(reader.load(path).withColumnRenamed("value", "line"))
+
+
 def foreach_batch_publisher(
     first_set_id: int,
     input_sink: Sink = None,

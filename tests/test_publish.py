@@ -49,3 +49,31 @@ def test_foreach_batch_stream_of_text_files(spark, tmp_path):
     q.awaitTermination(120)
     got = spark.read.parquet(out)
     assert got.where("set_id = 100").count() == 4
+
+
+def test_each_micro_batch_is_one_set(spark, tmp_path):
+    from solospan.streaming.publish import range_line_stream
+
+    src = tmp_path / "in"
+    src.mkdir()
+    (src / "1.txt").write_text("1.0.0.0, 1.0.0.9\n1.0.0.5, 1.0.0.20\n")
+    (src / "2.txt").write_text("2.0.0.0, 2.0.0.3\nbad\n")
+    out, rej = str(tmp_path / "out"), str(tmp_path / "rejects")
+
+    def body(batch, epoch):
+        batch.persist()
+        batch.where("reason is not null").select("line", "reason").write.mode("append").json(rej)
+        publish(batch.where("reason is null").select("begin", "end"), 10 + epoch, output_sink=out, verify=False)
+        batch.unpersist()
+
+    q = (
+        range_line_stream(spark, str(src), max_files_per_trigger=1)
+        .writeStream.foreachBatch(body)
+        .option("checkpointLocation", str(tmp_path / "ck"))
+        .trigger(availableNow=True)
+        .start()
+    )
+    q.awaitTermination(120)
+    got = sorted((r.set_id, r.begin, r.end) for r in spark.read.parquet(out).collect())
+    assert [g[0] for g in got] == [10, 10, 11]
+    assert [(r.line, r.reason) for r in spark.read.json(rej).collect()] == [("bad", "malformed")]
