@@ -15,10 +15,12 @@ every group is small; a group is one task.
 ordered buckets by coordinate.  Each bucket is scanned by its own window; what
 a bucket needs from the buckets before it (sum of earlier rows, first row of
 the next non-empty bucket) comes from a small per-bucket summary table that is
-broadcast.  Buckets are chosen from a seeded Bernoulli sample in two levels
-(per group, then per dense cell), so a group holding a third of all rows, or a
-narrow dense region inside it, is still spread over many tasks.  The summary
-tables are collected only after their row count has been bounded by
+broadcast.  Buckets are chosen from a seeded Bernoulli sample: first per
+group, then every cell the sample still shows dense is split again (up to
+``MAX_LEVELS`` levels), so a group holding a third of all rows, or a narrow
+dense region inside it, is still spread over many tasks.  Coordinates
+holding many rows by themselves (hot points) are combined map-side.  The
+planning tables are collected only after their row count has been bounded by
 construction (``max_buckets``) and checked.
 
 The bucketing never changes results, only the plan: rows of one coordinate
@@ -47,33 +49,44 @@ HOT_HITS = 16  # sampled rows at one coordinate that mark it hot (~target_rows /
 OVERSAMPLE = 2  # buckets per target_rows of estimated rows
 BROADCAST_BUCKETS = 1_000_000  # largest summary table that is broadcast (~40 MB)
 
-B1 = "_ss_b1"
-B2 = "_ss_b2"
+MAX_LEVELS = 4  # bucket levels: per group, then up to three dense-cell splits
+BUCKETS = [f"_ss_b{i}" for i in range(1, MAX_LEVELS + 1)]
+B1 = BUCKETS[0]
 ALL = "_ss_all"  # constant group key used when no key columns are given
 PART = "_ss_part"  # hash of (group, bucket) the rows are shuffled on
+BIG = "_ss_big"  # row belongs to a group that is split into buckets
 
 
 @dataclass
 class BucketPlan:
-    """Bucket layout for an ordered scan; ``big``/``dense`` are local
-    (driver-collected, size-checked) relations."""
+    """Bucket layout for an ordered scan.  All tables are local
+    (driver-collected, size-checked) relations.
+
+    ``big``: ``keys, _lo, _w1, _nb1`` - level-1 buckets of the big groups.
+    ``levels[j]``: ``keys, _ss_b1.._ss_b{j+1}, _w, _nb`` - cells of level
+    ``j+1`` split into ``_nb`` buckets of width ``_w`` at level ``j+2``.
+    ``hot``: ``keys, coord`` - coordinates holding many rows."""
 
     keys: list[str]
     coord: str
     target_rows: int
-    big: DataFrame | None = None  # keys, _lo, _w1, _nb1
-    dense: DataFrame | None = None  # keys, _ss_b1, _w2, _nb2
-    hot: DataFrame | None = None  # keys, coord: coordinates holding many rows
+    big: DataFrame | None = None
+    levels: list = field(default_factory=list)
+    hot: DataFrame | None = None
     n_big: int = 0
     n_dense: int = 0
     n_hot: int = 0
-    bucket_bound: int = 0  # max number of (keys, b1, b2) buckets of big groups
+    bucket_bound: int = 0  # max number of buckets of big groups
     notes: dict = field(default_factory=dict)
 
     @property
     def empty(self) -> bool:
         return self.n_big == 0
 
+    @property
+    def bucket_cols(self) -> list[str]:
+        return BUCKETS[: 1 + len(self.levels)]
+
 
 def _conf_int(spark, key: str, default: int) -> int:
     value = spark.conf.get(key, None)
@@ -168,27 +181,43 @@ def plan_buckets(
         if hot_rows:
             plan.hot = _local(spark, hot_rows, T.StructType(key_fields + [points.schema[coord]]))
 
-        # Level 2: dense cells inside big groups are split again.
-        cells = _with_b1(smp.join(F.broadcast(plan.big), keys, "inner"), coord)
-        dense = (
-            cells.groupBy(*keys, B1, "_w1")
-            .agg(F.count(F.lit(1)).alias("_n"))
-            .where((F.col("_n") >= SAMPLE_HITS) & (F.col("_w1") > 1))
-        )
+        # Further levels: every cell that still holds about a task's worth
+        # of sampled rows is split again, until none does.
+        cells = _assign_level1(smp.join(F.broadcast(plan.big), keys, "inner"), coord)
+        bucket_bound = sum(r[-1] for r in big_rows)
         dense_bound = limit + 1  # cells >= SAMPLE_HITS sampled rows: <= n_rows / target
-        dense_found = dense.limit(dense_bound + 1).collect()
-        if len(dense_found) > dense_bound:
-            raise RuntimeError(f"bucket planning: {len(dense_found)} dense cells exceed {dense_bound}")
-        dense_rows = []
-        for r in dense_found:
-            nb2 = min(r["_w1"], max(2, math.ceil(r["_n"] / p * OVERSAMPLE / target)))
-            dense_rows.append(tuple(r[c] for c in keys) + (r[B1], math.ceil(r["_w1"] / nb2), nb2))
-        plan.n_dense = len(dense_rows)
-        if dense_rows:
-            dense_schema = T.StructType(key_fields + [T.StructField(n, T.LongType(), False) for n in (B1, "_w2", "_nb2")])
-            plan.dense = _local(spark, dense_rows, dense_schema)
-        plan.bucket_bound = sum(r[-1] for r in big_rows) + sum(r[-1] - 1 for r in dense_rows)
-        plan.notes.update(sample_fraction=p, big_groups=plan.n_big, dense_cells=plan.n_dense, hot_points=plan.n_hot)
+        for level in range(2, MAX_LEVELS + 1):
+            parent = BUCKETS[: level - 1]
+            dense = (
+                cells.groupBy(*keys, *parent, "_cw")
+                .agg(F.count(F.lit(1)).alias("_n"))
+                .where((F.col("_n") >= SAMPLE_HITS) & (F.col("_cw") > 1))
+            )
+            found_cells = dense.limit(dense_bound + 1).collect()
+            if len(found_cells) > dense_bound:
+                raise RuntimeError(f"bucket planning: {len(found_cells)} dense cells exceed {dense_bound}")
+            if not found_cells:
+                break
+            rows = []
+            for r in found_cells:
+                nb = min(r["_cw"], max(2, math.ceil(r["_n"] / p * OVERSAMPLE / target)))
+                rows.append(tuple(r[c] for c in keys) + tuple(r[c] for c in parent) + (math.ceil(r["_cw"] / nb), nb))
+            schema = T.StructType(
+                key_fields + [T.StructField(n, T.LongType(), False) for n in (*parent, "_w", "_nb")]
+            )
+            table = _local(spark, rows, schema)
+            plan.levels.append(table)
+            plan.n_dense += len(rows)
+            bucket_bound += sum(r[-1] - 1 for r in rows)
+            cells = _assign_level(cells, table, keys, level, coord)
+        plan.bucket_bound = bucket_bound
+        plan.notes.update(
+            sample_fraction=p,
+            big_groups=plan.n_big,
+            dense_cells=plan.n_dense,
+            levels=1 + len(plan.levels),
+            hot_points=plan.n_hot,
+        )
         return plan
     finally:
         smp.unpersist()
@@ -198,31 +227,47 @@ def _clamp(c: Column, hi: Column) -> Column:
     return F.least(F.greatest(c, F.lit(0).cast("bigint")), hi)
 
 
-def _with_b1(df: DataFrame, coord: str) -> DataFrame:
+def _assign_level1(df: DataFrame, coord: str) -> DataFrame:
+    """Level-1 bucket of rows joined with ``big``; ``_cs``/``_cw`` are the
+    start and width of the row's current cell."""
     b1 = _clamp(floor_div(F.col(coord) - F.col("_lo"), F.col("_w1")), F.col("_nb1") - 1)
-    return df.withColumn(B1, b1)
+    return (
+        df.withColumn(B1, b1)
+        .withColumn("_cs", F.col("_lo") + F.col(B1) * F.col("_w1"))
+        .withColumn("_cw", F.col("_w1"))
+        .drop("_lo", "_w1", "_nb1")
+    )
+
+
+def _assign_level(df: DataFrame, table: DataFrame, keys: list[str], level: int, coord: str) -> DataFrame:
+    """Bucket of ``level`` inside the cells listed in ``table`` (0 elsewhere);
+    the current cell narrows to the chosen sub-bucket."""
+    parent = BUCKETS[: level - 1]
+    b = BUCKETS[level - 1]
+    d = df.join(F.broadcast(table), keys + parent, "left")
+    split = F.col("_w").isNotNull()
+    sub = _clamp(floor_div(F.col(coord) - F.col("_cs"), F.col("_w")), F.col("_nb") - 1)
+    d = d.withColumn(b, F.when(split, sub).otherwise(F.lit(0).cast("bigint")))
+    return (
+        d.withColumn("_cs", F.when(split, F.col("_cs") + F.col(b) * F.col("_w")).otherwise(F.col("_cs")))
+        .withColumn("_cw", F.when(split, F.col("_w")).otherwise(F.col("_cw")))
+        .drop("_w", "_nb")
+    )
 
 
 def assign_buckets(df: DataFrame, plan: BucketPlan, coord: str) -> DataFrame:
-    """Add ``_ss_b1``/``_ss_b2`` (0/0 for groups that are not big) and ``_ss_big``."""
+    """Add the bucket columns (all 0 for groups that are not big) and
+    ``_ss_big``."""
     keys = plan.keys
     cols = df.columns
-    d = df.join(F.broadcast(plan.big), keys, "left")
-    d = _with_b1(d, coord).withColumn("_ss_big", F.col("_lo").isNotNull())
-    if plan.dense is not None:
-        d = d.join(F.broadcast(plan.dense), keys + [B1], "left")
-        start = F.col("_lo") + F.col(B1) * F.col("_w1")
-        b2 = F.when(
-            F.col("_w2").isNotNull(),
-            _clamp(floor_div(F.col(coord) - start, F.col("_w2")), F.col("_nb2") - 1),
-        ).otherwise(F.lit(0).cast("bigint"))
-    else:
-        b2 = F.lit(0).cast("bigint")
+    d = df.join(F.broadcast(plan.big), keys, "left").withColumn(BIG, F.col("_lo").isNotNull())
+    d = _assign_level1(d, coord)
+    for i, table in enumerate(plan.levels):
+        d = _assign_level(d, table, keys, i + 2, coord)
     return d.select(
         *[F.col(c) for c in cols],
-        F.coalesce(F.col(B1), F.lit(0).cast("bigint")).alias(B1),
-        b2.alias(B2),
-        F.col("_ss_big"),
+        *[F.coalesce(F.col(b), F.lit(0).cast("bigint")).alias(b) for b in plan.bucket_cols],
+        F.col(BIG),
     )
 
 
@@ -267,12 +312,13 @@ def ordered_scan(
         )
 
     coord = order[0]
-    have = B1 in df.columns and B2 in df.columns and "_ss_big" in df.columns
+    bcols = plan.bucket_cols
+    have = all(c in df.columns for c in bcols) and BIG in df.columns
     d = df if have else assign_buckets(df, plan, coord)
-    out_cols = [c for c in df.columns if c not in (B1, B2, "_ss_big")]
+    out_cols = [c for c in df.columns if c not in (*bcols, BIG)]
     if keep_buckets:
-        out_cols += [B1, B2, "_ss_big"]
-    part = keys + [B1, B2]
+        out_cols += [*bcols, BIG]
+    part = keys + bcols
     lead_src = list(dict.fromkeys(leads.values()))
     # First row of every bucket (for the leads of its last row's predecessor
     # bucket).  With one ordering column min/min_by keep this a hash
@@ -292,8 +338,8 @@ def ordered_scan(
         aggs += [agg.alias(f"_first_{i}") for i, agg in enumerate(firsts.values())]
     elif lead_src:
         aggs.append(first.alias("_first"))
-    summary = d.where(F.col("_ss_big")).groupBy(*part).agg(*aggs)
-    wb = Window.partitionBy(*keys).orderBy(B1, B2)
+    summary = d.where(F.col(BIG)).groupBy(*part).agg(*aggs)
+    wb = Window.partitionBy(*keys).orderBy(*bcols)
     before = wb.rowsBetween(Window.unboundedPreceding, -1)
     if len(order) == 1:
         nexts = [F.lead(f"_first_{i}").over(wb).alias(f"_next_{i}") for i in range(len(lead_src))]
@@ -362,7 +408,7 @@ def point_scan(
             F.lead(coord).over(w).alias(next_name),
         )
 
-    part = keys + [B1, B2]
+    part = keys + plan.bucket_cols
     rawb = assign_buckets(raw.select(*keys, coord, *sum_cols), plan, coord)
     pre = rawb.select(*part, coord, *sum_cols)
     if plan.hot is not None:
@@ -380,11 +426,11 @@ def point_scan(
 
     # per-bucket summary from the raw rows (partial aggregate, tiny output)
     summary = (
-        rawb.where(F.col("_ss_big"))
+        rawb.where(F.col(BIG))
         .groupBy(*part)
         .agg(F.sum(level_of).alias("_tot"), F.min(coord).alias("_first"))
     )
-    wb = Window.partitionBy(*keys).orderBy(B1, B2)
+    wb = Window.partitionBy(*keys).orderBy(*plan.bucket_cols)
     summary = summary.select(
         *part,
         F.sum("_tot").over(wb.rowsBetween(Window.unboundedPreceding, -1)).alias("_off"),

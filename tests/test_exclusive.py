@@ -66,6 +66,25 @@ def test_bucket_plan_splits_hot_and_dense_groups(spark):
     assert plan.bucket_bound > 20
 
 
+def test_clustering_at_several_scales_uses_more_levels(spark):
+    import random
+
+    from solospan.plans.scan import plan_buckets
+
+    rnd = random.Random(3)
+    data = [(9, 10**9 + k, 10**9 + k + 1) for k in range(0, 40, 4)]  # far away: huge span
+    data += [(9, b, b + rnd.randint(0, 5)) for b in (rnd.randint(0, 3000) for _ in range(500))]
+    data += [(9, b, b + rnd.randint(0, 2)) for b in (rnd.randint(0, 60) for _ in range(900))]
+    df = spark.createDataFrame(data, SCHEMA)
+    plan = plan_buckets(events.half_open_events(df), ["set_id"], "x", target_rows=40)
+    assert plan.notes["levels"] >= 3, plan.notes
+    got = rows(exclusive.exclusive_ranges(df, strategy="bucketed", target_rows=40))
+    assert got == exclusive_brute(data)
+    cov = events.coverage_depth(df, strategy="bucketed", target_rows=40)
+    ref = events.coverage_depth(df, strategy="window")
+    assert sorted(map(tuple, cov.collect())) == sorted(map(tuple, ref.collect()))
+
+
 def test_coverage_depth_against_brute_force(spark):
     data = big_sets(3)
     df = spark.createDataFrame(data, SCHEMA)
