@@ -50,6 +50,7 @@ OVERSAMPLE = 2  # buckets per target_rows of estimated rows
 BROADCAST_BUCKETS = 1_000_000  # largest summary table that is broadcast (~40 MB)
 
 MAX_LEVELS = 4  # bucket levels: per group, then up to three dense-cell splits
+CUTS = 31  # a dense cell is split at this many sampled quantiles (32 buckets)
 BUCKETS = [f"_ss_b{i}" for i in range(1, MAX_LEVELS + 1)]
 B1 = BUCKETS[0]
 ALL = "_ss_all"  # constant group key used when no key columns are given
@@ -63,8 +64,9 @@ class BucketPlan:
     (driver-collected, size-checked) relations.
 
     ``big``: ``keys, _lo, _w1, _nb1`` - level-1 buckets of the big groups.
-    ``levels[j]``: ``keys, _ss_b1.._ss_b{j+1}, _w, _nb`` - cells of level
-    ``j+1`` split into ``_nb`` buckets of width ``_w`` at level ``j+2``.
+    ``levels[j]``: ``keys, _ss_b1.._ss_b{j+1}, _q1.._q31`` - dense cells of
+    level ``j+1`` and the sampled quantiles that cut them into the buckets of
+    level ``j+2``.
     ``hot``: ``keys, coord`` - coordinates holding many rows."""
 
     keys: list[str]
@@ -182,33 +184,45 @@ def plan_buckets(
             plan.hot = _local(spark, hot_rows, T.StructType(key_fields + [points.schema[coord]]))
 
         # Further levels: every cell that still holds about a task's worth
-        # of sampled rows is split again, until none does.
-        cells = _assign_level1(smp.join(F.broadcast(plan.big), keys, "inner"), coord)
+        # of sampled rows is split again, until none does.  Rows at hot
+        # coordinates do not count: they are combined before the shuffle.
+        cold = smp
+        if plan.hot is not None:
+            cold = smp.join(F.broadcast(plan.hot), keys + [coord], "left_anti")
+        cells = _assign_level1(cold.join(F.broadcast(plan.big), keys, "inner"), coord)
         bucket_bound = sum(r[-1] for r in big_rows)
         dense_bound = limit + 1  # cells >= SAMPLE_HITS sampled rows: <= n_rows / target
         for level in range(2, MAX_LEVELS + 1):
             parent = BUCKETS[: level - 1]
+            fractions = [i / (CUTS + 1) for i in range(1, CUTS + 1)]
             dense = (
-                cells.groupBy(*keys, *parent, "_cw")
-                .agg(F.count(F.lit(1)).alias("_n"))
-                .where((F.col("_n") >= SAMPLE_HITS) & (F.col("_cw") > 1))
+                cells.groupBy(*keys, *parent)
+                .agg(
+                    F.count(F.lit(1)).alias("_n"),
+                    F.min(coord).alias("_clo"),
+                    F.max(coord).alias("_chi"),
+                    F.percentile_approx(coord, fractions, 10000).alias("_cuts"),
+                )
+                .where((F.col("_n") >= SAMPLE_HITS) & (F.col("_chi") > F.col("_clo")))
+                .select(*keys, *parent, "_cuts")
             )
             found_cells = dense.limit(dense_bound + 1).collect()
             if len(found_cells) > dense_bound:
                 raise RuntimeError(f"bucket planning: {len(found_cells)} dense cells exceed {dense_bound}")
             if not found_cells:
                 break
-            rows = []
-            for r in found_cells:
-                nb = min(r["_cw"], max(2, math.ceil(r["_n"] / p * OVERSAMPLE / target)))
-                rows.append(tuple(r[c] for c in keys) + tuple(r[c] for c in parent) + (math.ceil(r["_cw"] / nb), nb))
+            # equal-depth split of the cell at its sampled quantiles
+            rows = [tuple(r[c] for c in keys) + tuple(r[c] for c in parent) + tuple(r["_cuts"]) for r in found_cells]
+            cut_cols = [f"_q{i}" for i in range(1, CUTS + 1)]
             schema = T.StructType(
-                key_fields + [T.StructField(n, T.LongType(), False) for n in (*parent, "_w", "_nb")]
+                key_fields
+                + [T.StructField(n, T.LongType(), False) for n in parent]
+                + [T.StructField(n, points.schema[coord].dataType, False) for n in cut_cols]
             )
             table = _local(spark, rows, schema)
             plan.levels.append(table)
             plan.n_dense += len(rows)
-            bucket_bound += sum(r[-1] - 1 for r in rows)
+            bucket_bound += CUTS * len(rows)
             cells = _assign_level(cells, table, keys, level, coord)
         plan.bucket_bound = bucket_bound
         plan.notes.update(
@@ -228,31 +242,24 @@ def _clamp(c: Column, hi: Column) -> Column:
 
 
 def _assign_level1(df: DataFrame, coord: str) -> DataFrame:
-    """Level-1 bucket of rows joined with ``big``; ``_cs``/``_cw`` are the
-    start and width of the row's current cell."""
+    """Level-1 bucket of rows joined with ``big``."""
     b1 = _clamp(floor_div(F.col(coord) - F.col("_lo"), F.col("_w1")), F.col("_nb1") - 1)
-    return (
-        df.withColumn(B1, b1)
-        .withColumn("_cs", F.col("_lo") + F.col(B1) * F.col("_w1"))
-        .withColumn("_cw", F.col("_w1"))
-        .drop("_lo", "_w1", "_nb1")
-    )
+    return df.withColumn(B1, b1).drop("_lo", "_w1", "_nb1")
 
 
 def _assign_level(df: DataFrame, table: DataFrame, keys: list[str], level: int, coord: str) -> DataFrame:
-    """Bucket of ``level`` inside the cells listed in ``table`` (0 elsewhere);
-    the current cell narrows to the chosen sub-bucket."""
+    """Bucket of ``level`` inside the cells listed in ``table`` (0 elsewhere):
+    the number of the cell's cut points at or below the coordinate (plain
+    comparisons, so it stays in generated code)."""
     parent = BUCKETS[: level - 1]
-    b = BUCKETS[level - 1]
     d = df.join(F.broadcast(table), keys + parent, "left")
-    split = F.col("_w").isNotNull()
-    sub = _clamp(floor_div(F.col(coord) - F.col("_cs"), F.col("_w")), F.col("_nb") - 1)
-    d = d.withColumn(b, F.when(split, sub).otherwise(F.lit(0).cast("bigint")))
-    return (
-        d.withColumn("_cs", F.when(split, F.col("_cs") + F.col(b) * F.col("_w")).otherwise(F.col("_cs")))
-        .withColumn("_cw", F.when(split, F.col("_w")).otherwise(F.col("_cw")))
-        .drop("_w", "_nb")
-    )
+    x = F.col(coord)
+    sub = None
+    for i in range(1, CUTS + 1):
+        term = F.when(x >= F.col(f"_q{i}"), 1).otherwise(0)
+        sub = term if sub is None else sub + term
+    b = F.coalesce(sub.cast("bigint"), F.lit(0).cast("bigint"))
+    return d.withColumn(BUCKETS[level - 1], b).drop(*[f"_q{i}" for i in range(1, CUTS + 1)])
 
 
 def assign_buckets(df: DataFrame, plan: BucketPlan, coord: str) -> DataFrame:
@@ -271,6 +278,46 @@ def assign_buckets(df: DataFrame, plan: BucketPlan, coord: str) -> DataFrame:
     )
 
 
+def _bucket_summary(per_bucket: DataFrame, keys: list[str], plan: BucketPlan, sums: list[str], n_leads: int) -> DataFrame:
+    """Carry table from per-bucket totals ``_tot_<s>`` and first values
+    ``_first_<i>`` (one row per non-empty bucket, computed from the shuffled
+    rows so the scan and its summary share one exchange): per bucket the sum
+    of the earlier buckets of its group (``_off_<s>``) and the first values of
+    the next non-empty bucket (``_next_<i>``).
+
+    Only groups with more than one non-empty bucket need a carry; they are
+    selected by a window count, which the optimizer cannot push below the
+    shared exchange (a plain filter on the bucket columns would be pushed
+    down and split the plan in two).  At most ``plan.bucket_bound`` rows
+    remain, so the table is broadcast below ``BROADCAST_BUCKETS``."""
+    bcols = plan.bucket_cols
+    part = keys + bcols
+    wb = Window.partitionBy(*keys).orderBy(*bcols)
+    carried = per_bucket.select(
+        *part,
+        *[F.sum(f"_tot_{s}").over(wb.rowsBetween(Window.unboundedPreceding, -1)).alias(f"_off_{s}") for s in sums],
+        *[F.lead(f"_first_{i}").over(wb).alias(f"_next_{i}") for i in range(n_leads)],
+        F.count(F.lit(1)).over(Window.partitionBy(*keys)).alias("_nbk"),
+    )
+    carried = carried.where(F.col("_nbk") > 1).drop("_nbk")
+    carried = carried.select(*[F.col(c).alias(f"_sk{i}") for i, c in enumerate(part)], *carried.columns[len(part):])
+    if plan.bucket_bound <= BROADCAST_BUCKETS:
+        carried = F.broadcast(carried)  # at most plan.bucket_bound rows
+    return carried
+
+
+def _join_carry(d: DataFrame, carried: DataFrame, part: list[str]) -> DataFrame:
+    """Left join of the rows with their bucket's carry.  Null-safe equality:
+    an inner-side ``IS NOT NULL`` would otherwise be inferred and pushed into
+    the summary's copy of the shared subtree, and the two copies of the
+    exchange could no longer be reused as one."""
+    cond = None
+    for i, c in enumerate(part):
+        term = d[c].eqNullSafe(carried[f"_sk{i}"])
+        cond = term if cond is None else cond & term
+    return d.join(carried, cond, "left").drop(*[f"_sk{i}" for i in range(len(part))])
+
+
 def ordered_scan(
     df: DataFrame,
     keys: list[str],
@@ -278,27 +325,22 @@ def ordered_scan(
     sums: dict[str, str] | None = None,
     leads: dict[str, str] | None = None,
     plan: BucketPlan | None = None,
-    keep_buckets: bool = False,
 ) -> DataFrame:
     """Per group of ``keys`` ordered by ``order`` (ties only among equal
     ``order[0]`` values): ``sums`` maps output name -> column (inclusive
     running sum), ``leads`` maps output name -> column (value of next row).
     Returns ``df`` with those columns appended.
 
-    The bucket summary is a partial aggregate over ``df`` itself; when ``df``
-    is the result of a shuffle, prefer ``point_scan``, which aggregates and
-    scans with one shuffle.
-
-    ``keep_buckets`` keeps the bucket columns in the output; a following
-    scan with the same plan reuses them, and with them the partitioning, so
-    its window adds no exchange."""
+    Bucketed plan: the rows are shuffled once on a hash of (group, bucket);
+    the per-bucket summary is computed from the same shuffled rows (a shared
+    exchange) and broadcast back."""
     sums = sums or {}
     leads = leads or {}
     keys = list(keys)
     order = list(order)
     if not keys and plan is not None and not plan.empty:
         # one global group: a constant key keeps the bucket joins equi-joins
-        out = ordered_scan(df.withColumn(ALL, F.lit(0)), [ALL], order, sums, leads, plan, keep_buckets)
+        out = ordered_scan(df.withColumn(ALL, F.lit(0)), [ALL], order, sums, leads, plan)
         return out.drop(ALL)
     ordering = [F.col(c) for c in order]
 
@@ -313,49 +355,39 @@ def ordered_scan(
 
     coord = order[0]
     bcols = plan.bucket_cols
-    have = all(c in df.columns for c in bcols) and BIG in df.columns
-    d = df if have else assign_buckets(df, plan, coord)
-    out_cols = [c for c in df.columns if c not in (*bcols, BIG)]
-    if keep_buckets:
-        out_cols += [*bcols, BIG]
+    d = assign_buckets(df, plan, coord)
+    out_cols = list(df.columns)
     part = keys + bcols
     lead_src = list(dict.fromkeys(leads.values()))
-    # First row of every bucket (for the leads of its last row's predecessor
-    # bucket).  With one ordering column min/min_by keep this a hash
+    # One shuffle on a hash of (group, bucket); the summary below is computed
+    # from the same shuffled rows, so both share the exchange.
+    d = d.withColumn(PART, F.xxhash64(*part)).repartition(PART)
+    # First row of every bucket (for the leads of the last row of the bucket
+    # before it).  With one ordering column min/min_by keep this a hash
     # aggregate; several ordering columns need a struct minimum.
+    aggs = [F.sum(F.col(src)).alias(f"_tot_{out}") for out, src in sums.items()]
     if len(order) == 1:
-        firsts = {src: (F.min(coord) if src == coord else F.min_by(F.col(src), F.col(coord))) for src in lead_src}
+        aggs += [
+            (F.min(coord) if src == coord else F.min_by(F.col(src), F.col(coord))).alias(f"_first_{i}")
+            for i, src in enumerate(lead_src)
+        ]
+        per_bucket = d.groupBy(PART, *part).agg(*aggs)
     else:
-        first = F.min(
-            F.struct(
+        if lead_src:
+            first = F.struct(
                 *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)],
                 *[F.col(c).alias(f"_l{j}") for j, c in enumerate(lead_src)],
             )
-        )
-        firsts = {src: None for src in lead_src}
-    aggs = [F.sum(F.col(src)).alias(f"_tot_{out}") for out, src in sums.items()]
-    if len(order) == 1:
-        aggs += [agg.alias(f"_first_{i}") for i, agg in enumerate(firsts.values())]
-    elif lead_src:
-        aggs.append(first.alias("_first"))
-    summary = d.where(F.col(BIG)).groupBy(*part).agg(*aggs)
-    wb = Window.partitionBy(*keys).orderBy(*bcols)
-    before = wb.rowsBetween(Window.unboundedPreceding, -1)
-    if len(order) == 1:
-        nexts = [F.lead(f"_first_{i}").over(wb).alias(f"_next_{i}") for i in range(len(lead_src))]
-    else:
-        nexts = [F.lead("_first").over(wb).getField(f"_l{i}").alias(f"_next_{i}") for i in range(len(lead_src))]
-    summary = summary.select(
-        *part,
-        *[F.sum(f"_tot_{out}").over(before).alias(f"_off_{out}") for out in sums],
-        *nexts,
-    )
-    if plan.bucket_bound <= BROADCAST_BUCKETS:
-        # at most plan.bucket_bound rows (computed from the collected plan)
-        summary = F.broadcast(summary)
-    d = d.join(summary, part, "left")
-
-    w = Window.partitionBy(*part).orderBy(*ordering)
+            aggs.append(F.min(first).alias("_first"))
+        per_bucket = d.groupBy(PART, *part).agg(*aggs)
+        if lead_src:
+            per_bucket = per_bucket.select(
+                "*", *[F.col("_first").getField(f"_l{j}").alias(f"_first_{j}") for j in range(len(lead_src))]
+            ).drop("_first")
+    carried = _bucket_summary(per_bucket, keys, plan, list(sums), len(lead_src))
+    d = _join_carry(d, carried, part)
+
+    w = Window.partitionBy(PART, *part).orderBy(*ordering)
     running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return d.select(
         *[F.col(c) for c in out_cols],
@@ -424,29 +456,22 @@ def point_scan(
     pre = pre.withColumn(PART, F.xxhash64(*part))
     agg = pre.repartition(PART).groupBy(PART, *part, coord).agg(*sums)
 
-    # per-bucket summary from the raw rows (partial aggregate, tiny output)
-    summary = (
-        rawb.where(F.col(BIG))
-        .groupBy(*part)
-        .agg(F.sum(level_of).alias("_tot"), F.min(coord).alias("_first"))
+    summary = _bucket_summary(
+        agg.groupBy(PART, *part).agg(F.sum(level_of).alias("_tot_level"), F.min(coord).alias("_first_0")),
+        keys,
+        plan,
+        ["level"],
+        1,
     )
-    wb = Window.partitionBy(*keys).orderBy(*plan.bucket_cols)
-    summary = summary.select(
-        *part,
-        F.sum("_tot").over(wb.rowsBetween(Window.unboundedPreceding, -1)).alias("_off"),
-        F.lead("_first").over(wb).alias("_next"),
-    )
-    if plan.bucket_bound <= BROADCAST_BUCKETS:
-        summary = F.broadcast(summary)  # at most plan.bucket_bound rows
-    d = agg.join(summary, part, "left")
+    d = _join_carry(agg, summary, part)
     w = Window.partitionBy(PART, *part).orderBy(coord)
     running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return d.select(
         *keys,
         coord,
         *sum_cols,
-        (F.coalesce(F.col("_off"), F.lit(0)) + F.sum(level_of).over(running)).alias(level),
-        F.coalesce(F.lead(coord).over(w), F.col("_next")).alias(next_name),
+        (F.coalesce(F.col("_off_level"), F.lit(0)) + F.sum(level_of).over(running)).alias(level),
+        F.coalesce(F.lead(coord).over(w), F.col("_next_0")).alias(next_name),
     )
 
 

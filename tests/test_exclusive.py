@@ -66,10 +66,10 @@ def test_bucket_plan_splits_hot_and_dense_groups(spark):
     assert plan.bucket_bound > 20
 
 
-def test_clustering_at_several_scales_uses_more_levels(spark):
+def test_clustering_at_several_scales_gives_bounded_buckets(spark):
     import random
 
-    from solospan.plans.scan import plan_buckets
+    from solospan.plans.scan import SAMPLE_HITS, assign_buckets, plan_buckets
 
     rnd = random.Random(3)
     data = [(9, 10**9 + k, 10**9 + k + 1) for k in range(0, 40, 4)]  # far away: huge span
@@ -77,7 +77,9 @@ def test_clustering_at_several_scales_uses_more_levels(spark):
     data += [(9, b, b + rnd.randint(0, 2)) for b in (rnd.randint(0, 60) for _ in range(900))]
     df = spark.createDataFrame(data, SCHEMA)
     plan = plan_buckets(events.half_open_events(df), ["set_id"], "x", target_rows=40)
-    assert plan.notes["levels"] >= 3, plan.notes
+    assert plan.notes["levels"] >= 2, plan.notes
+    per_bucket = assign_buckets(events.point_deltas(df), plan, "x").groupBy("set_id", *plan.bucket_cols).count()
+    assert per_bucket.agg({"count": "max"}).first()[0] < 2 * SAMPLE_HITS
     got = rows(exclusive.exclusive_ranges(df, strategy="bucketed", target_rows=40))
     assert got == exclusive_brute(data)
     cov = events.coverage_depth(df, strategy="bucketed", target_rows=40)

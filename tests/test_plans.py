@@ -18,19 +18,20 @@ def plan_text(df, mode="formatted"):
 
 
 def test_bucketed_plan_shape(spark):
-    df = exclusive_ranges(ip_ranges(spark, SF001, sets=None), strategy="bucketed", target_rows=200)
+    df = exclusive_ranges(ip_ranges(spark, SF001, sets=16), strategy="bucketed", target_rows=200)
     p = plan_text(df)
     assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p
-    # the one shuffle of all events is on (set, coordinate); the window is
-    # partitioned by set and bucket; only the bounded bucket summary may sit
-    # in a single partition (its set key is a constant here)
-    shuffles = [l for l in p.splitlines() if "Arguments: hashpartitioning(" in l]
-    # the events are shuffled once, by bucket; no exchange on the coordinate
-    assert sum("REPARTITION_BY_COL" in l and "_ss_part" in l for l in shuffles) == 1, shuffles
-    assert not any("x#" in l for l in shuffles), shuffles
-    assert "BroadcastHashJoin" in p
     # the scan reads only the columns it needs
-    assert "ReadSchema: struct<l_orderkey:bigint,l_linenumber:int,l_extendedprice:double>" in p
+    assert "ReadSchema: struct<l_orderkey:bigint,l_suppkey:bigint,l_linenumber:int,l_extendedprice:double>" in p
+    df.collect()
+    final = plan_text(df, "simple").split("== Initial Plan ==")[0]
+    # the events are shuffled once, on the hash of (set, bucket); the bucket
+    # summary reuses that exchange; no exchange on the coordinate
+    shuffles = [l for l in final.splitlines() if "Exchange hashpartitioning(_ss_part" in l]
+    assert sum("ReusedExchange" not in l for l in shuffles) == 1, shuffles
+    assert "ReusedExchange" in final
+    assert "BroadcastHashJoin" in final
+    assert "hashpartitioning(x" not in final
 
 
 def test_window_plan_has_no_python_and_one_shuffle(spark):
