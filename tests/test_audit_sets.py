@@ -74,3 +74,22 @@ def test_ordered_scan_with_two_ordering_columns(spark):
     expect = sorted(rows, key=lambda r: (r[1], r[2]))
     nxt = {(r[1], r[2]): (expect[i + 1][1], expect[i + 1][2]) if i + 1 < len(expect) else (None, None) for i, r in enumerate(expect)}
     assert {(r.begin, r.end): (r.nb, r.ne) for r in got} == nxt
+
+
+def test_bucket_layout_is_range_partitioned_and_sorted(spark):
+    from solospan.operators.cutting import bucket_layout
+
+    rows = [(s, b, b + 5) for s in range(3) for b in range(0, 4000, 7)]
+    df = spark.createDataFrame(rows, "set_id bigint, begin bigint, end bigint")
+    lay = bucket_layout(df, width=256, num_partitions=6)
+    got = lay.select(F.spark_partition_id().alias("p"), "set_id", "bucket", "begin").collect()
+    assert len(got) == len(rows)
+    by_part = {}
+    for r in got:
+        by_part.setdefault(r.p, []).append((r.set_id, r.bucket, r.begin))
+    keys_in_order = []
+    for p in sorted(by_part):
+        part = by_part[p]
+        assert part == sorted(part)  # sorted inside the partition
+        keys_in_order += part
+    assert keys_in_order == sorted(keys_in_order)  # partitions are ordered ranges
