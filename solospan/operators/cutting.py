@@ -17,10 +17,12 @@ def cut_at_buckets(
 ) -> DataFrame:
     """Cut every range at the bucket edges it crosses: ``keys, bucket, begin,
     end`` with one piece per bucket touched (a range inside one bucket stays
-    whole).  A range crossing k edges becomes k+1 pieces."""
+    whole).  A range crossing k edges becomes k+1 pieces; a reversed range
+    covers no point and gives none."""
     keys = as_keys(keys)
     bb, be = bucket_of(F.col(begin), width), bucket_of(F.col(end), width)
-    pieces = df.select(*keys, begin, end, F.explode(F.sequence(bb, be)).alias("bucket"))
+    buckets = F.when(F.col(begin) <= F.col(end), F.sequence(bb, be))
+    pieces = df.select(*keys, begin, end, F.explode(buckets).alias("bucket"))
     lo = F.col("bucket") * width
     return pieces.select(
         *keys,
