@@ -204,7 +204,7 @@ def plan_buckets(
                     F.percentile_approx(coord, fractions, 10000).alias("_cuts"),
                 )
                 .where((F.col("_n") >= SAMPLE_HITS) & (F.col("_chi") > F.col("_clo")))
-                .select(*keys, *parent, "_cuts")
+                .select(*keys, *parent, "_n", "_cuts")
             )
             found_cells = dense.limit(dense_bound + 1).collect()
             if len(found_cells) > dense_bound:
@@ -224,6 +224,12 @@ def plan_buckets(
             plan.n_dense += len(rows)
             bucket_bound += CUTS * len(rows)
             cells = _assign_level(cells, table, keys, level, coord)
+            # A cell cut at its quantiles leaves about n / (CUTS + 1) sampled
+            # rows per part, plus ties at one cut value (under HOT_HITS, as
+            # hot coordinates are left out): no part can be dense when that
+            # stays below SAMPLE_HITS, so the next level needs no job.
+            if max(r["_n"] for r in found_cells) / (CUTS + 1) + HOT_HITS < SAMPLE_HITS:
+                break
         plan.bucket_bound = bucket_bound
         plan.notes.update(
             sample_fraction=p,
