@@ -496,9 +496,12 @@ def scan_plan(
     target_rows: int | None = None,
 ) -> BucketPlan | None:
     """``window`` -> None (plain per-group window); ``auto``/``bucketed`` ->
-    a sampled bucket plan (empty when no group is big)."""
+    a sampled bucket plan (empty when no group is big).  Buckets need an
+    integral coordinate; any other ordering column keeps the window plan."""
     if strategy == "window":
         return None
     if strategy not in ("auto", "bucketed"):
         raise ValueError(f"unknown strategy {strategy!r}")
+    if not isinstance(points.schema[coord].dataType, _INTEGRAL):
+        return None
     return plan_buckets(points, keys, coord, n_rows=n_rows, target_rows=target_rows)

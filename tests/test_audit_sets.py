@@ -93,3 +93,14 @@ def test_bucket_layout_is_range_partitioned_and_sorted(spark):
         assert part == sorted(part)  # sorted inside the partition
         keys_in_order += part
     assert keys_in_order == sorted(keys_in_order)  # partitions are ordered ranges
+
+
+def test_order_check_on_a_timestamp_sequence(spark):
+    from pyspark.sql import functions as F
+
+    df = spark.createDataFrame(
+        [(0, "2024-01-01 00:00:00", 5), (0, "2024-01-01 00:00:01", 3), (0, "2024-01-01 00:00:02", 9)],
+        "set_id bigint, ts string, begin bigint",
+    ).withColumn("ts", F.col("ts").cast("timestamp"))
+    got = audit.order_violations(df, "ts", "begin", target_rows=1).collect()
+    assert [(r.begin, r.next_begin) for r in got] == [(5, 3)]
