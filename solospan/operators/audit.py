@@ -9,12 +9,24 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from solospan.operators.events import half_open_events
 from solospan.plans.scan import ordered_scan, point_scan, scan_plan
 from solospan.schema import as_keys
 
 
+def _integral_order(df: DataFrame, seq: str) -> tuple[DataFrame, str]:
+    """An integral column ordered like ``seq`` (for the bucketed plan):
+    timestamps as epoch microseconds, dates as epoch days."""
+    t = df.schema[seq].dataType
+    if isinstance(t, T.TimestampType):
+        return df.withColumn("_seq_i", F.unix_micros(F.col(seq))), "_seq_i"
+    if isinstance(t, T.DateType):
+        return df.withColumn("_seq_i", F.unix_date(F.col(seq))), "_seq_i"
+    return df, seq
+
+
 def order_violations(
     df: DataFrame,
     seq: str,
@@ -27,11 +39,12 @@ def order_violations(
     (``seq`` unique within a group): ``keys, seq, key, next_seq, next_key``."""
     keys = as_keys(keys)
     base = df.select(*keys, seq, key) if key != seq else df.select(*keys, seq)
-    plan = scan_plan(base, keys, seq, strategy, target_rows=target_rows)
+    base, order = _integral_order(base, seq)
+    plan = scan_plan(base, keys, order, strategy, target_rows=target_rows)
     leads = {f"next_{seq}": seq}
     if key != seq:
         leads[f"next_{key}"] = key
-    sc = ordered_scan(base, keys, [seq], leads=leads, plan=plan)
+    sc = ordered_scan(base, keys, [order], leads=leads, plan=plan)
     out = sc.where(F.col(key) > F.col(f"next_{key}"))
     cols = [*keys, seq] + ([key] if key != seq else []) + list(leads)
     return out.select(*cols)
@@ -50,9 +63,9 @@ def interval_order_violations(
     by ``seq`` (overlap is allowed).  Columns ``keys, seq, begin, end, kind``."""
     keys = as_keys(keys)
     rev = df.where(F.col(begin) > F.col(end)).select(*keys, seq, begin, end, F.lit("reversed").alias("kind"))
-    base = df.select(*keys, seq, begin, end)
-    plan = scan_plan(base, keys, seq, strategy, target_rows=target_rows)
-    sc = ordered_scan(base, keys, [seq], leads={"_next_begin": begin}, plan=plan)
+    base, order = _integral_order(df.select(*keys, seq, begin, end), seq)
+    plan = scan_plan(base, keys, order, strategy, target_rows=target_rows)
+    sc = ordered_scan(base, keys, [order], leads={"_next_begin": begin}, plan=plan)
     unord = sc.where(F.col(begin) > F.col("_next_begin")).select(
         *keys, seq, begin, end, F.lit("unordered").alias("kind")
     )

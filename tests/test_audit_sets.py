@@ -102,5 +102,6 @@ def test_order_check_on_a_timestamp_sequence(spark):
         [(0, "2024-01-01 00:00:00", 5), (0, "2024-01-01 00:00:01", 3), (0, "2024-01-01 00:00:02", 9)],
         "set_id bigint, ts string, begin bigint",
     ).withColumn("ts", F.col("ts").cast("timestamp"))
-    got = audit.order_violations(df, "ts", "begin", target_rows=1).collect()
-    assert [(r.begin, r.next_begin) for r in got] == [(5, 3)]
+    for strategy in ("window", "bucketed"):
+        got = audit.order_violations(df, "ts", "begin", strategy=strategy, target_rows=1).collect()
+        assert [(r.begin, r.next_begin) for r in got] == [(5, 3)]
