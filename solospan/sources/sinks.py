@@ -59,6 +59,31 @@ def numbered_listing(
     return sc.select(*keys, "n", line.alias("line"))
 
 
+def write_ranges(
+    df: DataFrame, path: str | None = None, table: str | None = None, mode: str = "append", set_col: str = "set_id"
+) -> None:
+    """Store ranges with the shared table schema (``set_id INT, begin BIGINT,
+    end BIGINT``): as parquet under ``path`` partitioned by set, or as the
+    catalog table ``table`` (``saveAsTable``).  Rows with a NULL bound are
+    refused (the table columns are NOT NULL)."""
+    out = df.select(
+        F.col(set_col).cast("int").alias("set_id"), F.col("begin").cast("bigint"), F.col("end").cast("bigint")
+    )
+    bad = F.col("set_id").isNull() | F.col("begin").isNull() | F.col("end").isNull()
+    out = out.select(
+        "set_id",
+        F.when(bad, F.raise_error(F.lit("NULL in a NOT NULL range column"))).otherwise(F.col("begin")).alias("begin"),
+        "end",
+    )
+    writer = out.write.mode(mode).partitionBy("set_id")
+    if table:
+        writer.format("parquet").saveAsTable(table)
+    elif path:
+        writer.parquet(path)
+    else:
+        raise ValueError("give a path or a table name")
+
+
 def write_listing(listing: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Write the ``line`` column as text files, sorted per set."""
     listing.sortWithinPartitions(*[c for c in listing.columns if c not in ("line",)]).select("line").write.mode(

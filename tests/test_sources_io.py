@@ -17,3 +17,16 @@ def test_listing_and_documents_writers(spark, tmp_path):
     assert sinks.write_documents(df, "  ") is False
     view = sinks.register_readable_view(df, "soutput")
     assert spark.sql("select count(*) c from soutput where sbegin = '1.2.3.4'").first().c == 1
+
+
+def test_write_ranges_keeps_the_table_schema(spark, tmp_path):
+    import pytest
+
+    df = spark.createDataFrame([(3, 1, 2), (4, 5, 9)], "set_id bigint, begin int, end int")
+    out = str(tmp_path / "t")
+    sinks.write_ranges(df, path=out)
+    back = spark.read.parquet(out)
+    assert dict(back.dtypes) == {"set_id": "int", "begin": "bigint", "end": "bigint"}
+    assert back.count() == 2
+    with pytest.raises(Exception, match="NOT NULL"):
+        sinks.write_ranges(spark.createDataFrame([(1, None, 2)], "set_id int, begin bigint, end bigint"), path=out)
