@@ -172,3 +172,10 @@ def test_null_and_reversed_ranges_cover_nothing(spark):
     for strategy in ("window", "bucketed"):
         got = rows(exclusive.exclusive_ranges(df, strategy=strategy, target_rows=1))
         assert got == [(0, 0, 10), (1, 2147483647, 2147483647)]
+
+
+def test_string_keys_with_bucketed_plan(spark):
+    data = big_sets(6)
+    df = spark.createDataFrame([(f"s{s}", b, e) for s, b, e in data], "name string, begin bigint, end bigint")
+    got = sorted((r.name, r.begin, r.end) for r in exclusive.exclusive_ranges(df, keys=["name"], strategy="bucketed", target_rows=30).collect())
+    assert got == sorted((f"s{s}", b, e) for s, b, e in exclusive_brute(data))
