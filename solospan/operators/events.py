@@ -82,8 +82,9 @@ def levels(
     strategy: str = "auto",
     target_rows: int | None = None,
     n_rows: int | None = None,
+    values: tuple[str, ...] = ("starts", "ends", "delta"),
 ) -> DataFrame:
-    """``keys, x, starts, ends, delta, level, next_x``: ``level`` ranges cover
+    """``keys, x, <values>, level, next_x``: ``level`` ranges cover
     every point of ``[x, next_x - 1]``; ``next_x`` is NULL after the last
     coordinate of a group (where the level is 0).  Ranges with a NULL bound
     or ``begin > end`` cover no point and are ignored."""
@@ -94,14 +95,15 @@ def levels(
         if n_rows is None:
             n_rows = 2 * df.count()
         plan = scan_plan(raw, keys, "x", strategy, n_rows=n_rows, target_rows=target_rows)
-    return point_scan(raw, keys, "x", ["starts", "ends", "delta"], "delta", plan)
+    values = list(dict.fromkeys([*values, "delta"]))  # only what the caller reads is shuffled
+    return point_scan(raw.select(*keys, "x", *values), keys, "x", values, "delta", plan)
 
 
 def coverage_depth(df: DataFrame, keys=("set_id",), begin: str = "begin", end: str = "end", **kw) -> DataFrame:
     """Piecewise-constant coverage: ``keys, point, depth, next_point``; the row
     holds for ``[point, next_point - 1]`` (gaps have depth 0)."""
     keys = as_keys(keys)
-    lv = levels(df, keys, begin, end, **kw)
+    lv = levels(df, keys, begin, end, values=("delta",), **kw)
     return lv.select(
         *keys, F.col("x").alias("point"), F.col("level").alias("depth"), F.col("next_x").alias("next_point")
     )
@@ -111,7 +113,7 @@ def open_ranges(df: DataFrame, keys=("set_id",), begin: str = "begin", end: str
     """At every point where some range begins: ``n_starting`` ranges begin
     there and ``n_open`` ranges (including those) contain the point."""
     keys = as_keys(keys)
-    lv = levels(df, keys, begin, end, **kw)
+    lv = levels(df, keys, begin, end, values=("starts",), **kw)
     return lv.where(F.col("starts") > 0).select(
         *keys, F.col("x").alias("point"), F.col("starts").alias("n_starting"), F.col("level").alias("n_open")
     )

@@ -461,12 +461,16 @@ def point_scan(
     # constant.  The summed values travel as one array: the bucket summary
     # reads the same exchange, and an array is never pruned column by column,
     # so both readers see identical subtrees and the exchange is reused.
-    pre = pre.select(F.xxhash64(*part).alias(PART), *part, coord, F.array(*sum_cols).alias("_v"))
-    agg = (
-        pre.repartition(PART)
-        .groupBy(PART, *part, coord)
-        .agg(*[F.sum(F.col("_v")[i]).alias(c) for i, c in enumerate(sum_cols)])
-    )
+    if len(sum_cols) == 1:  # one value: both readers need exactly it
+        pre = pre.select(F.xxhash64(*part).alias(PART), *part, coord, *sum_cols)
+        agg = pre.repartition(PART).groupBy(PART, *part, coord).agg(*sums)
+    else:
+        pre = pre.select(F.xxhash64(*part).alias(PART), *part, coord, F.array(*sum_cols).alias("_v"))
+        agg = (
+            pre.repartition(PART)
+            .groupBy(PART, *part, coord)
+            .agg(*[F.sum(F.col("_v")[i]).alias(c) for i, c in enumerate(sum_cols)])
+        )
 
     summary = _bucket_summary(
         agg.groupBy(PART, *part).agg(F.sum(level_of).alias("_tot_level"), F.min(coord).alias("_first_0")),
