@@ -56,7 +56,7 @@ def run(df) -> None:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "5"))
     spark = local_session(cpus, shuffle_partitions=max(8, 2 * int(cpus)), app="solospan-bench")
     qs = {**{k: QUERIES[k] for k in HEADLINE}, **extra_queries()}
     times = {}
