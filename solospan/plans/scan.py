@@ -366,8 +366,23 @@ def ordered_scan(
     part = keys + bcols
     lead_src = list(dict.fromkeys(leads.values()))
     # One shuffle on a hash of (group, bucket); the summary below is computed
-    # from the same shuffled rows, so both share the exchange.
-    d = d.withColumn(PART, F.xxhash64(*part)).repartition(PART)
+    # from the same shuffled rows, so both share the exchange.  The other
+    # columns travel packed in one column, so that column pruning cannot
+    # trim the summary's copy of the exchange differently from the scan's.
+    # Integral columns go as one array (never pruned per element); other
+    # types as a struct, which nested-field pruning may still split (then
+    # the summary reads its own copy of the input).
+    payload = [c for c in d.columns if c not in part and c != BIG]
+    types = {f.name: f.dataType for f in d.schema.fields}
+    part_hash = F.xxhash64(*part).alias(PART)
+    if all(isinstance(types[c], _INTEGRAL) for c in payload):
+        packed = F.array(*[F.col(c).cast("bigint") for c in payload]).alias("_row")
+        shuffled = d.select(part_hash, *part, packed).repartition(PART)
+        unpacked = [F.col("_row")[i].cast(types[c]).alias(c) for i, c in enumerate(payload)]
+    else:
+        shuffled = d.select(part_hash, *part, F.struct(*payload).alias("_row")).repartition(PART)
+        unpacked = [F.col("_row").getField(c).alias(c) for c in payload]
+    d = shuffled.select(PART, *part, *unpacked)
     # First row of every bucket (for the leads of the last row of the bucket
     # before it).  With one ordering column min/min_by keep this a hash
     # aggregate; several ordering columns need a struct minimum.

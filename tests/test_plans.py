@@ -51,3 +51,12 @@ def test_parse_plan_keeps_codegen(spark):
     p = plan_text(QUERIES["parse_ranges"](spark, SF001), "codegen")
     assert "WholeStageCodegen" in p
     assert len(p.splitlines()) < 6000
+
+
+def test_ordered_scan_summary_reuses_the_exchange(spark):
+    df = QUERIES["numbered_listing_bucketed"](spark, SF001)
+    df.collect()
+    final = plan_text(df, "simple").split("== Initial Plan ==")[0]
+    scans = [l for l in final.splitlines() if "FileScan parquet" in l]
+    assert len(scans) == 1, scans
+    assert "ReusedExchange" in final
