@@ -16,7 +16,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from solospan.operators import cutting, exclusive  # noqa: E402
+from solospan.operators import exclusive  # noqa: E402
 from solospan.queries import QUERIES  # noqa: E402
 from solospan.session import local_session  # noqa: E402
 from solospan.sources import derived  # noqa: E402

@@ -11,7 +11,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from solospan.functions.buckets import IP4_BUCKET_WIDTH, bucket_of
 from solospan.functions.ipv4 import ip4_text_sql
