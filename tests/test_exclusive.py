@@ -179,3 +179,18 @@ def test_string_keys_with_bucketed_plan(spark):
     df = spark.createDataFrame([(f"s{s}", b, e) for s, b, e in data], "name string, begin bigint, end bigint")
     got = sorted((r.name, r.begin, r.end) for r in exclusive.exclusive_ranges(df, keys=["name"], strategy="bucketed", target_rows=30).collect())
     assert got == sorted((f"s{s}", b, e) for s, b, e in exclusive_brute(data))
+
+
+def test_plan_bounds_follow_max_buckets(spark):
+    from solospan.plans.scan import plan_buckets
+
+    data = big_sets(8)
+    df = spark.createDataFrame(data, SCHEMA)
+    pts = events.half_open_events(df)
+    n = pts.count()
+    plan = plan_buckets(pts, ["set_id"], "x", n_rows=n, target_rows=4, max_buckets=10)
+    assert plan.target_rows == -(-n // 10)  # the target grows so that few groups can exceed it
+    assert plan.n_big <= 2 * 10 + 1
+    assert plan.bucket_bound <= 4 * 10 + 31 * 11
+    got = rows(exclusive.exclusive_ranges(df, strategy="bucketed", target_rows=4))
+    assert got == exclusive_brute(data)
