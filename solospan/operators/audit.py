@@ -22,6 +22,9 @@ def _integral_order(df: DataFrame, seq: str) -> tuple[DataFrame, str]:
     t = df.schema[seq].dataType
     if isinstance(t, T.TimestampType):
         return df.withColumn("_seq_i", F.unix_micros(F.col(seq))), "_seq_i"
+    if isinstance(t, T.TimestampNTZType):
+        micros = F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{seq}`)")
+        return df.withColumn("_seq_i", micros), "_seq_i"
     if isinstance(t, T.DateType):
         return df.withColumn("_seq_i", F.unix_date(F.col(seq))), "_seq_i"
     return df, seq

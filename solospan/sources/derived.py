@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from solospan.functions.ipv4 import ip4_text
 
@@ -54,14 +55,21 @@ def skewed_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _epoch_seconds(ts_col: str):
-    return F.call_function("div", F.unix_micros(F.col(ts_col).cast("timestamp")), F.lit(1000000))
+def _epoch_seconds(df: DataFrame, ts_col: str):
+    """Whole seconds since 1970-01-01 00:00:00.  A timestamp without time
+    zone is measured from the same wall-clock epoch (independent of the
+    session time zone); a timestamp with time zone is an instant."""
+    if isinstance(df.schema[ts_col].dataType, T.TimestampNTZType):
+        micros = F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{ts_col}`)")
+    else:
+        micros = F.unix_micros(F.col(ts_col).cast("timestamp"))
+    return F.call_function("div", micros, F.lit(1000000))
 
 
 def event_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One set per user, seconds since the epoch (session time zone UTC)."""
+    """One set per user, seconds since the epoch."""
     ev = table(spark, sf_dir, "events")
-    start = _epoch_seconds("ts")
+    start = _epoch_seconds(ev, "ts")
     return ev.select(
         F.col("event_id"),
         F.col("user_id").alias("set_id"),
