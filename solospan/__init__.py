@@ -4,7 +4,7 @@ Every public operator takes and returns a DataFrame; the only actions are
 in writers, ``publish`` and the small planning jobs of the bucketed scan.
 """
 
-from solospan.functions.ipv4 import ip4_text, parse_ip4
+from solospan.functions.ipv4 import ip4_text, parse_ip4, with_ip4
 from solospan.functions.buckets import bucket_of, junctions
 from solospan.operators.events import (
     begin_counts,
@@ -38,14 +38,28 @@ from solospan.operators.sets import (
     cross_check_summary,
     next_set_id,
     replicate_rows,
+    with_set_id,
 )
 from solospan.sources.text import (
     empty_ranges,
+    good_ranges,
     parse_range_lines,
+    parsed_ranges,
     ranges_from_pairs,
     read_range_text,
+    rejected_lines,
 )
 from solospan.sources.generate import synthetic_ranges
-from solospan.sources.sinks import numbered_listing, range_documents, readable_ranges
+from solospan.sources.jdbc import append_ranges_jdbc, jdbc_options, read_ranges_jdbc
+from solospan.sources.sinks import (
+    numbered_listing,
+    range_documents,
+    readable_ranges,
+    register_readable_view,
+    write_documents,
+    write_listing,
+    write_ranges,
+)
+from solospan.streaming.publish import foreach_batch_publisher, publish, range_line_stream
 
 __all__ = [name for name in dir() if not name.startswith("_")]
