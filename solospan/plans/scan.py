@@ -96,14 +96,15 @@ def _conf_int(spark, key: str, default: int) -> int:
 
 
 _INTEGRAL = (T.LongType, T.IntegerType, T.ShortType, T.ByteType)
-VALUES_ROWS = 5000  # planning tables up to this size become inline VALUES
+VALUES_CELLS = 10_000  # planning tables up to this many values become inline VALUES
 
 
 def _local(spark, rows: list, schema: T.StructType) -> DataFrame:
     """A small driver-side table.  Inline ``VALUES`` (a local relation, which
     Spark broadcasts from the driver without running a job) when it is small
     and integral; otherwise ``createDataFrame``."""
-    if rows and len(rows) <= VALUES_ROWS and all(isinstance(f.dataType, _INTEGRAL) for f in schema):
+    small = len(rows) * len(schema) <= VALUES_CELLS
+    if rows and small and all(isinstance(f.dataType, _INTEGRAL) for f in schema):
         names = [f"c{i}" for i in range(len(schema))]
         body = ", ".join("(" + ", ".join("NULL" if v is None else str(int(v)) for v in r) + ")" for r in rows)
         casts = ", ".join(
