@@ -47,6 +47,13 @@ def _glue(spark, sf):
     return cutting.glue_ranges(res, cutting.glue_points(grid, GRID_WIDTH), GRID_WIDTH)
 
 
+def _synthetic20(spark, sf):
+    """Generated IPv4 ranges (long, heavily overlapping) in 20 numbered sets,
+    one range per order."""
+    o = derived.table(spark, sf, "orders")
+    return generate.synthetic_ranges(o.withColumn("_set", o["o_custkey"] % 20 + 1), "o_orderkey", "_set")
+
+
 def _ip16(spark, sf):
     return derived.ip_ranges(spark, sf, sets=16)
 
@@ -104,6 +111,7 @@ QUERIES: dict[str, Query] = {
     "exclusive_ranges_skewed": lambda s, sf: exclusive.exclusive_ranges(
         derived.skewed_ranges(s, sf), target_rows=SMALL_TARGET * 4
     ),
+    "exclusive_ranges_synthetic": lambda s, sf: exclusive.exclusive_ranges(_synthetic20(s, sf)),
     "exclusive_ranges_presorted": lambda s, sf: exclusive.exclusive_ranges_presorted(
         derived.event_spans(s, sf), seq="event_id"
     ),
@@ -143,6 +151,13 @@ SKEWED = """select case when l_orderkey % 3 = 0 then 0 else l_suppkey % 16 + 1 e
             else (l_orderkey * 2654435761 + l_linenumber * 40503) % 3758096384 end
          + cast(floor(l_extendedprice) as bigint) % 131072 as "end" from lineitem"""
 
+SYNTH20 = """select o_custkey % 20 + 1 as set_id,
+        (1 + (o_orderkey * 7 + 12345) % 223) * 16777216 + ((o_orderkey * 13 + 12345) % 255) * 65536
+          + ((o_orderkey * 17 + 12345) % 255) * 256 + ((o_orderkey * 19 + 12345) % 255) as begin,
+        cast(floor(sqrt(cast((o_orderkey * 2654435761 + 12345) % 10000000000000000 as double))) as bigint) as len
+      from orders"""
+SYNTH20 = f"""select set_id, begin, least(begin + len, 4294967295) as "end" from ({SYNTH20})"""
+
 EVENTS = """select event_id, user_id as set_id, epoch_us(ts) // 1000000 as begin,
        epoch_us(ts) // 1000000 + cast(floor(value * 600) as bigint) as "end" from events"""
 
@@ -265,6 +280,7 @@ from bp""",
     "exclusive_ranges_events": _exclusive_sql(EVENTS),
     "exclusive_ranges_bucketed": _exclusive_sql(IP1),
     "exclusive_ranges_presorted": _exclusive_sql(EVENTS),
+    "exclusive_ranges_synthetic": _exclusive_sql(SYNTH20),
     "exclusive_ranges_skewed": _exclusive_sql(SKEWED),
     "glue_ranges": _exclusive_sql(GRID),
     "merge_touching": f"""with r as ({GRID}), {_segments()},
