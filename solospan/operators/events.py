@@ -84,7 +84,8 @@ def levels(
     n_rows: int | None = None,
     values: tuple[str, ...] = ("starts", "ends", "delta"),
 ) -> DataFrame:
-    """``keys, x, <values>, level, next_x``: ``level`` ranges cover
+    """``keys, x, <values>, level, next_x`` (``values`` summed per coordinate;
+    none for just the levels, the cheapest form): ``level`` ranges cover
     every point of ``[x, next_x - 1]``; ``next_x`` is NULL after the last
     coordinate of a group (where the level is 0).  Ranges with a NULL bound
     or ``begin > end`` cover no point and are ignored."""
@@ -95,15 +96,17 @@ def levels(
         if n_rows is None:
             n_rows = 2 * df.count()
         plan = scan_plan(raw, keys, "x", strategy, n_rows=n_rows, target_rows=target_rows)
-    values = list(dict.fromkeys([*values, "delta"]))  # only what the caller reads is shuffled
-    return point_scan(raw.select(*keys, "x", *values), keys, "x", values, "delta", plan)
+    # only what the caller reads is shuffled; with no values the rows are not
+    # aggregated per coordinate at all (see point_scan)
+    values = list(dict.fromkeys([*values, "delta"])) if values else []
+    return point_scan(raw.select(*keys, "x", "delta", *[v for v in values if v != "delta"]), keys, "x", values, "delta", plan)
 
 
 def coverage_depth(df: DataFrame, keys=("set_id",), begin: str = "begin", end: str = "end", **kw) -> DataFrame:
     """Piecewise-constant coverage: ``keys, point, depth, next_point``; the row
     holds for ``[point, next_point - 1]`` (gaps have depth 0)."""
     keys = as_keys(keys)
-    lv = levels(df, keys, begin, end, values=("delta",), **kw)
+    lv = levels(df, keys, begin, end, values=(), **kw)
     return lv.select(
         *keys, F.col("x").alias("point"), F.col("level").alias("depth"), F.col("next_x").alias("next_point")
     )

@@ -33,7 +33,7 @@ def exclusive_ranges(
 ) -> DataFrame:
     """``keys, begin, end`` of the parts covered by exactly one input range."""
     keys = as_keys(keys)
-    lv = levels(df, keys, begin, end, strategy=strategy, target_rows=target_rows, values=("delta",))
+    lv = levels(df, keys, begin, end, strategy=strategy, target_rows=target_rows, values=())
     return lv.where(F.col("level") == 1).select(
         *keys, F.col("x").alias(begin), (F.col("next_x") - 1).alias(end)
     )

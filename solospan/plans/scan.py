@@ -434,77 +434,99 @@ def point_scan(
     level: str = "level",
     next_name: str = "next_x",
 ) -> DataFrame:
-    """Aggregate ``raw`` rows per coordinate and scan them in order.
+    """Scan ``raw`` rows per group in coordinate order, one output row per
+    coordinate.
 
     Returns ``keys, coord, sum_cols`` (summed per coordinate), ``level`` (the
-    inclusive running sum of ``level_of``) and ``next_name`` (the next
-    coordinate of the group; NULL after the last).
+    inclusive running sum of ``level_of`` up to and including the
+    coordinate) and ``next_name`` (the next coordinate of the group; NULL
+    after the last).  With no ``sum_cols`` the rows are not aggregated at
+    all: a RANGE frame sums every row of a coordinate and the last row of
+    each coordinate is kept, which saves the hash aggregate.
 
     The rows are shuffled once: by group for the window plan, by (group,
-    bucket) for the bucketed plan; aggregation and window then run in the
-    same stage.  Coordinates the planner found hot are first combined by a
-    separate map-side partial aggregate, so no task receives the raw rows of
-    a hot point.
+    bucket) for the bucketed plan; everything else runs in that stage.
+    Coordinates the planner found hot are first combined by a separate
+    map-side partial aggregate, so no task receives the raw rows of a hot
+    point.
     """
     keys = list(keys)
     if not keys:
         out = point_scan(raw.withColumn(ALL, F.lit(0)), [ALL], coord, sum_cols, level_of, plan, level, next_name)
         return out.drop(ALL)
-    sums = [F.sum(c).alias(c) for c in sum_cols]
+    per_point = bool(sum_cols)
+    value_cols = list(sum_cols) if per_point else [level_of]
+    sums = [F.sum(c).alias(c) for c in value_cols]
+
+    def last_of_coordinate(df: DataFrame) -> DataFrame:
+        return df if per_point else df.where(F.col(next_name).isNull() | (F.col(next_name) != F.col(coord)))
+
     if plan is None or plan.empty:
-        agg = raw.repartition(*keys).groupBy(*keys, coord).agg(*sums)
+        rows = raw.select(*keys, coord, *value_cols).repartition(*keys)
         w = Window.partitionBy(*keys).orderBy(coord)
-        return agg.select(
+        if per_point:
+            rows = rows.groupBy(*keys, coord).agg(*sums)
+            frame = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        else:
+            frame = w.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+        out = rows.select(
             *keys,
             coord,
             *sum_cols,
-            F.sum(level_of).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias(level),
+            F.sum(level_of).over(frame).alias(level),
             F.lead(coord).over(w).alias(next_name),
         )
+        return last_of_coordinate(out)
 
     part = keys + plan.bucket_cols
-    rawb = assign_buckets(raw.select(*keys, coord, *sum_cols), plan, coord)
-    pre = rawb.select(*part, coord, *sum_cols)
+    rawb = assign_buckets(raw.select(*keys, coord, *value_cols), plan, coord)
+    pre = rawb.select(*part, coord, *value_cols)
     if plan.hot is not None:
         flagged = rawb.join(F.broadcast(plan.hot.withColumn("_ss_hot", F.lit(True))), keys + [coord], "left")
         hot_part = flagged.where(F.col("_ss_hot")).groupBy(*part, coord).agg(*sums)
-        cold_part = flagged.where(F.col("_ss_hot").isNull()).select(*part, coord, *sum_cols)
+        cold_part = flagged.where(F.col("_ss_hot").isNull()).select(*part, coord, *value_cols)
         pre = hot_part.unionByName(cold_part)
     # One shuffle on a single hash of (group, bucket).  The hash is part of
     # the grouping and window keys, so the aggregate and the window accept
     # this partitioning (a subset of their keys) and add no exchange; being
     # one derived column it is not folded away when the group key is a
-    # constant.  The summed values travel as one array: the bucket summary
-    # reads the same exchange, and an array is never pruned column by column,
-    # so both readers see identical subtrees and the exchange is reused.
-    if len(sum_cols) == 1:  # one value: both readers need exactly it
-        pre = pre.select(F.xxhash64(*part).alias(PART), *part, coord, *sum_cols)
-        agg = pre.repartition(PART).groupBy(PART, *part, coord).agg(*sums)
+    # constant.  Several summed values travel as one array: the bucket
+    # summary reads the same exchange, and an array is never pruned element
+    # by element, so both readers see identical subtrees and the exchange is
+    # reused.
+    if len(value_cols) == 1:  # one value: both readers need exactly it
+        rows = pre.select(F.xxhash64(*part).alias(PART), *part, coord, *value_cols).repartition(PART)
+        if per_point:
+            rows = rows.groupBy(PART, *part, coord).agg(*sums)
     else:
-        pre = pre.select(F.xxhash64(*part).alias(PART), *part, coord, F.array(*sum_cols).alias("_v"))
-        agg = (
-            pre.repartition(PART)
+        packed = pre.select(F.xxhash64(*part).alias(PART), *part, coord, F.array(*value_cols).alias("_v"))
+        rows = (
+            packed.repartition(PART)
             .groupBy(PART, *part, coord)
-            .agg(*[F.sum(F.col("_v")[i]).alias(c) for i, c in enumerate(sum_cols)])
+            .agg(*[F.sum(F.col("_v")[i]).alias(c) for i, c in enumerate(value_cols)])
         )
 
     summary = _bucket_summary(
-        agg.groupBy(PART, *part).agg(F.sum(level_of).alias("_tot_level"), F.min(coord).alias("_first_0")),
+        rows.groupBy(PART, *part).agg(F.sum(level_of).alias("_tot_level"), F.min(coord).alias("_first_0")),
         keys,
         plan,
         ["level"],
         1,
     )
-    d = _join_carry(agg, summary, part)
+    d = _join_carry(rows, summary, part)
     w = Window.partitionBy(PART, *part).orderBy(coord)
-    running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return d.select(
+    if per_point:
+        frame = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    else:
+        frame = w.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    out = d.select(
         *keys,
         coord,
         *sum_cols,
-        (F.coalesce(F.col("_off_level"), F.lit(0)) + F.sum(level_of).over(running)).alias(level),
+        (F.coalesce(F.col("_off_level"), F.lit(0)) + F.sum(level_of).over(frame)).alias(level),
         F.coalesce(F.lead(coord).over(w), F.col("_next_0")).alias(next_name),
     )
+    return last_of_coordinate(out)
 
 
 def scan_plan(
