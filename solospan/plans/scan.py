@@ -8,20 +8,24 @@ Every range operator reduces to the same primitive: inside each group
 
 Two physical plans are offered.
 
-``plan=None`` - one window ``partitionBy(keys).orderBy(order)``.  Right when
-every group is small; a group is one task.
+``plan=None`` - one window ``partitionBy(keys).orderBy(order)`` after one
+shuffle by group.  Right when every group is small; a group is one task.
 
 ``BucketPlan`` - the groups that are too big for one task are split into
-ordered buckets by coordinate.  Each bucket is scanned by its own window; what
-a bucket needs from the buckets before it (sum of earlier rows, first row of
-the next non-empty bucket) comes from a small per-bucket summary table that is
-broadcast.  Buckets are chosen from a seeded Bernoulli sample: first per
-group, then every cell the sample still shows dense is split again (up to
-``MAX_LEVELS`` levels), so a group holding a third of all rows, or a narrow
-dense region inside it, is still spread over many tasks.  Coordinates
-holding many rows by themselves (hot points) are combined map-side.  The
-planning tables are collected only after their row count has been bounded by
-construction (``max_buckets``) and checked.
+ordered buckets by coordinate.  The rows are shuffled once, on a hash of
+(group, bucket); each bucket is scanned by its own window.  What a bucket
+needs from the buckets before it (sum of earlier rows, first row of the next
+non-empty bucket) comes from a per-bucket summary computed from the same
+shuffled rows (one shared exchange, so the input is read once) and broadcast
+back (its row count is known).
+
+Buckets are chosen from a seeded Bernoulli sample: first per group, then
+every cell the sample still shows dense is split again at sampled quantiles
+(up to ``MAX_LEVELS`` levels), so a group holding a third of all rows, or a
+narrow dense region inside it, is spread over many tasks.  Coordinates
+holding many rows by themselves (hot points) are combined map-side before
+the shuffle.  The planning tables are collected only after their row count
+has been bounded by construction (``max_buckets``) and checked.
 
 The bucketing never changes results, only the plan: rows of one coordinate
 always share a bucket and buckets are ordered like coordinates.
