@@ -176,7 +176,7 @@ def plan_buckets(
                 hot_rows.append(k + (r[coord],))
             else:
                 nb1 = max(1, math.ceil(r["_n"] / p * OVERSAMPLE / target))
-                w1 = max(1, math.ceil((r["_hi"] - r["_lo"] + 1) / nb1))
+                w1 = max(1, -(-(r["_hi"] - r["_lo"] + 1) // nb1))  # exact ceiling division
                 big_rows.append(k + (r["_lo"], w1, nb1))
         plan.n_big = len(big_rows)
         if not big_rows:
