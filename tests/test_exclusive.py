@@ -194,3 +194,16 @@ def test_plan_bounds_follow_max_buckets(spark):
     assert plan.bucket_bound <= 4 * 10 + 31 * 11
     got = rows(exclusive.exclusive_ranges(df, strategy="bucketed", target_rows=4))
     assert got == exclusive_brute(data)
+
+
+def test_negative_coordinates(spark):
+    import random
+
+    rnd = random.Random(5)
+    data = [(0, b, b + rnd.randint(0, 6)) for b in (rnd.randint(-300, 300) for _ in range(300))]
+    df = spark.createDataFrame(data, SCHEMA)
+    for strategy in ("window", "bucketed"):
+        assert rows(exclusive.exclusive_ranges(df, strategy=strategy, target_rows=20)) == exclusive_brute(data)
+    pieces = cutting.cut_at_buckets(df, 16).drop("bucket")
+    glued = cutting.glue_ranges(exclusive.exclusive_ranges(pieces), cutting.glue_points(df, 16), 16)
+    assert rows(glued) == exclusive_brute(data)
