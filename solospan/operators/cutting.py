@@ -122,12 +122,15 @@ def glue_ranges(
     r = results.select(*keys, begin, end)
     # Only results starting on an edge are looked up (at most one per edge and
     # set, so the join key is unique on both sides).
-    glue = points.select(*keys, "bucket").distinct().withColumn("_join", F.lit(True))
-    at_edge = (
-        r.where(starts_on_edge)
-        .withColumn("bucket", bucket_of(F.col(begin), width))
-        .join(glue, keys + ["bucket"], "left")
-        .select(*keys, begin, end, F.coalesce(F.col("_join"), F.lit(False)).alias("_join"))
+    jk = keys + ["bucket"]
+    glue = points.select(*[F.col(c).alias(f"_g_{c}") for c in jk]).distinct().withColumn("_join", F.lit(True))
+    edge = r.where(starts_on_edge).withColumn("bucket", bucket_of(F.col(begin), width))
+    cond = None
+    for c in jk:  # null-safe: a NULL set key is a group like any other
+        term = edge[c].eqNullSafe(glue[f"_g_{c}"])
+        cond = term if cond is None else cond & term
+    at_edge = edge.join(glue, cond, "left").select(
+        *keys, begin, end, F.coalesce(F.col("_join"), F.lit(False)).alias("_join")
     )
     rest = r.where(~starts_on_edge).withColumn("_join", F.lit(False))
     return _islands(at_edge.unionByName(rest), keys, begin, end, strategy, target_rows)

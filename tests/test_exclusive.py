@@ -207,3 +207,16 @@ def test_negative_coordinates(spark):
     pieces = cutting.cut_at_buckets(df, 16).drop("bucket")
     glued = cutting.glue_ranges(exclusive.exclusive_ranges(pieces), cutting.glue_points(df, 16), 16)
     assert rows(glued) == exclusive_brute(data)
+
+
+def test_null_set_key_is_a_group(spark):
+    data = [(None, 0, 9), (None, 3, 4), (1, 0, 9)]
+    df = spark.createDataFrame(data, SCHEMA)
+    want = [(None, 0, 2), (None, 5, 9), (1, 0, 9)]
+    key = lambda t: (t[0] is not None, t[0] or 0, t[1])
+    for strategy in ("window", "bucketed"):
+        got = sorted(map(tuple, exclusive.exclusive_ranges(df, strategy=strategy, target_rows=1).collect()), key=key)
+        assert got == sorted(want, key=key)
+    pieces = cutting.cut_at_buckets(df, 4).drop("bucket")
+    glued = cutting.glue_ranges(exclusive.exclusive_ranges(pieces), cutting.glue_points(df, 4), 4)
+    assert sorted(map(tuple, glued.collect()), key=key) == sorted(want, key=key)
