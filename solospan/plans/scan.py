@@ -53,7 +53,12 @@ HOT_HITS = 16  # sampled rows at one coordinate that mark it hot (~target_rows /
 OVERSAMPLE = 2  # buckets per target_rows of estimated rows
 BROADCAST_BUCKETS = 1_000_000  # largest summary table that is broadcast (~40 MB)
 
-MAX_LEVELS = 4  # bucket levels: per group, then up to three dense-cell splits
+# Bucket levels: per group, then dense-cell splits.  A cell holds at most
+# SAMPLE_HITS * max_buckets sampled rows and every split divides it by
+# CUTS + 1 (ties at one cut stay below HOT_HITS), so with the default bound
+# four splits always end below SAMPLE_HITS; a larger max_buckets may stop
+# at this cap with some buckets above the target (still correct).
+MAX_LEVELS = 5
 CUTS = 31  # a dense cell is split at this many sampled quantiles (32 buckets)
 BUCKETS = [f"_ss_b{i}" for i in range(1, MAX_LEVELS + 1)]
 B1 = BUCKETS[0]
