@@ -10,12 +10,23 @@ from solospan.schema import as_keys
 
 def cross_check(left: DataFrame, right: DataFrame) -> DataFrame:
     """Bag difference both ways, tagged by ``side`` (``left_only`` /
-    ``right_only``); empty when the two results agree row for row."""
+    ``right_only``); empty when the two results agree row for row.
+
+    One aggregate over the tagged union counts every distinct row on each
+    side (each input is computed once, one shuffle with map-side combine);
+    a row found more often on one side is repeated by the difference."""
     cols = left.columns
-    r = right.select(*cols)
-    return left.exceptAll(r).withColumn("side", F.lit("left_only")).unionByName(
-        r.exceptAll(left).withColumn("side", F.lit("right_only"))
+    tagged = left.select(*cols, F.lit(1).alias("_l"), F.lit(0).alias("_r")).unionByName(
+        right.select(*cols, F.lit(0).alias("_l"), F.lit(1).alias("_r"))
     )
+    counts = tagged.groupBy(*cols).agg(F.sum("_l").alias("_nl"), F.sum("_r").alias("_nr"))
+    diff = counts.where(F.col("_nl") != F.col("_nr"))
+    surplus = F.abs(F.col("_nl") - F.col("_nr"))
+    return diff.select(
+        *cols,
+        F.when(F.col("_nl") > F.col("_nr"), F.lit("left_only")).otherwise(F.lit("right_only")).alias("side"),
+        F.explode(F.sequence(F.lit(1).cast("bigint"), surplus.cast("bigint"))).alias("_copy"),
+    ).drop("_copy")
 
 
 def cross_check_summary(left: DataFrame, right: DataFrame, keys=("set_id",)) -> DataFrame:
