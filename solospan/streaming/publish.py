@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -74,15 +75,22 @@ def publish(
     _write(numbered, input_sink)
     stable = _stable_input(spark, numbered, input_sink, set_id)
 
-    result = exclusive_ranges(stable, strategy="auto", target_rows=target_rows)
-    if verify:
-        target = target_rows or int(spark.conf.get(CONF_TARGET_ROWS, None) or DEFAULT_TARGET_ROWS)
-        other = exclusive_ranges(stable, strategy="bucketed", target_rows=max(1, target // 4))
-        n_diff = cross_check(result, other).count()
-        if n_diff:
-            raise CrossCheckFailed(f"set {set_id}: the two plans differ in {n_diff} rows")
-    _write(result, output_sink)
-    write_documents(result, documents, fmt=documents_format)
+    # used by the check and by both writers: computed once (a lost block is
+    # recomputed from the stable input, not from the original lineage)
+    result = exclusive_ranges(stable, strategy="auto", target_rows=target_rows).persist(
+        StorageLevel.MEMORY_AND_DISK
+    )
+    try:
+        if verify:
+            target = target_rows or int(spark.conf.get(CONF_TARGET_ROWS, None) or DEFAULT_TARGET_ROWS)
+            other = exclusive_ranges(stable, strategy="bucketed", target_rows=max(1, target // 4))
+            n_diff = cross_check(result, other).count()
+            if n_diff:
+                raise CrossCheckFailed(f"set {set_id}: the two plans differ in {n_diff} rows")
+        _write(result, output_sink)
+        write_documents(result, documents, fmt=documents_format)
+    finally:
+        result.unpersist()
     return result
 
 
