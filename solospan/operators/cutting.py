@@ -119,21 +119,28 @@ def glue_ranges(
     several edges are glued in one pass."""
     keys = as_keys(keys)
     starts_on_edge = F.pmod(F.col(begin), F.lit(width)) == 0
-    r = results.select(*keys, begin, end)
-    # Only results starting on an edge are looked up (at most one per edge and
-    # set, so the join key is unique on both sides).
-    jk = keys + ["bucket"]
-    glue = points.select(*[F.col(c).alias(f"_g_{c}") for c in jk]).distinct().withColumn("_join", F.lit(True))
-    edge = r.where(starts_on_edge).withColumn("bucket", bucket_of(F.col(begin), width))
+    # One pass: a result starting on an edge looks up (set, edge); any other
+    # result gets the key (set, false, begin), unique (results are disjoint)
+    # and never a glue point, so the join neither skews nor matches it.
+    r = results.select(
+        *keys,
+        begin,
+        end,
+        starts_on_edge.alias("_e"),
+        F.when(starts_on_edge, bucket_of(F.col(begin), width)).otherwise(F.col(begin)).alias("_k"),
+    )
+    glue = (
+        points.select(*[F.col(c).alias(f"_g_{c}") for c in keys], F.col("bucket").alias("_g__k"))
+        .distinct()
+        .withColumn("_g__e", F.lit(True))
+        .withColumn("_join", F.lit(True))
+    )
     cond = None
-    for c in jk:  # null-safe: a NULL set key is a group like any other
-        term = edge[c].eqNullSafe(glue[f"_g_{c}"])
+    for c in keys + ["_e", "_k"]:  # null-safe: a NULL set key is a group like any other
+        term = r[c].eqNullSafe(glue[f"_g_{c}"])
         cond = term if cond is None else cond & term
-    at_edge = edge.join(glue, cond, "left").select(
-        *keys, begin, end, F.coalesce(F.col("_join"), F.lit(False)).alias("_join")
-    )
-    rest = r.where(~starts_on_edge).withColumn("_join", F.lit(False))
-    return _islands(at_edge.unionByName(rest), keys, begin, end, strategy, target_rows)
+    d = r.join(glue, cond, "left").select(*keys, begin, end, F.coalesce(F.col("_join"), F.lit(False)).alias("_join"))
+    return _islands(d, keys, begin, end, strategy, target_rows)
 
 
 def merge_touching(
