@@ -65,14 +65,16 @@ def interval_order_violations(
     """``reversed``: begin > end; ``unordered``: begin > begin of the next row
     by ``seq`` (overlap is allowed).  Columns ``keys, seq, begin, end, kind``."""
     keys = as_keys(keys)
-    rev = df.where(F.col(begin) > F.col(end)).select(*keys, seq, begin, end, F.lit("reversed").alias("kind"))
     base, order = _integral_order(df.select(*keys, seq, begin, end), seq)
     plan = scan_plan(base, keys, order, strategy, target_rows=target_rows)
     sc = ordered_scan(base, keys, [order], leads={"_next_begin": begin}, plan=plan)
-    unord = sc.where(F.col(begin) > F.col("_next_begin")).select(
-        *keys, seq, begin, end, F.lit("unordered").alias("kind")
+    # one pass flags both kinds; a row can carry both
+    kinds = F.array(
+        F.when(F.col(begin) > F.col(end), F.lit("reversed")),
+        F.when(F.col(begin) > F.col("_next_begin"), F.lit("unordered")),
     )
-    return rev.unionByName(unord)
+    flagged = sc.select(*keys, seq, begin, end, F.explode(kinds).alias("kind"))
+    return flagged.where(F.col("kind").isNotNull())
 
 
 def balance_audit(
