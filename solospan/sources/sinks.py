@@ -48,11 +48,19 @@ def numbered_listing(
     end: str = "end",
     strategy: str = "auto",
     target_rows: int | None = None,
+    on_reversed: str = "keep",
 ) -> DataFrame:
     """``keys, n, line`` where ``n`` numbers the ranges of a set from 1 in
-    (begin, end) order and ``line`` is ``n<TAB>begin, end`` in dotted form."""
+    (begin, end) order and ``line`` is ``n<TAB>begin, end`` in dotted form.
+    ``on_reversed="raise"`` fails the job on a range with begin > end."""
     keys = as_keys(keys)
-    base = df.select(*keys, begin, end, F.lit(1).cast("bigint").alias("_one"))
+    b = F.col(begin)
+    if on_reversed == "raise":
+        msg = F.concat(F.lit("Reversed range: "), F.col(begin).cast("string"), F.lit(" > "), F.col(end).cast("string"))
+        b = F.when(F.col(begin) > F.col(end), F.raise_error(msg).cast("bigint")).otherwise(F.col(begin))
+    elif on_reversed != "keep":
+        raise ValueError(f"unknown on_reversed {on_reversed!r}")
+    base = df.select(*keys, b.alias(begin), end, F.lit(1).cast("bigint").alias("_one"))
     plan = scan_plan(base, keys, begin, strategy, target_rows=target_rows)
     sc = ordered_scan(base, keys, [begin, end], sums={"n": "_one"}, plan=plan)
     line = F.format_string("%d\t%s, %s", F.col("n"), ip4_text(F.col(begin)), ip4_text(F.col(end)))

@@ -105,3 +105,12 @@ def test_order_check_on_a_timestamp_sequence(spark):
     for strategy in ("window", "bucketed"):
         got = audit.order_violations(df, "ts", "begin", strategy=strategy, target_rows=1).collect()
         assert [(r.begin, r.next_begin) for r in got] == [(5, 3)]
+
+
+def test_numbered_listing_can_refuse_reversed_ranges(spark):
+    import pytest
+
+    df = spark.createDataFrame([(0, 5, 3)], "set_id bigint, begin bigint, end bigint")
+    assert sinks.numbered_listing(df, strategy="window").count() == 1
+    with pytest.raises(Exception, match="Reversed range"):
+        sinks.numbered_listing(df, strategy="window", on_reversed="raise").collect()
