@@ -59,11 +59,22 @@ def rejected_lines(parsed: DataFrame, keep: Iterable[str] = (), line: str = "lin
     return _split_rows(parsed, F.col("reason").isNotNull(), [*keep, line, "reason"])
 
 
-def read_range_text(spark: SparkSession, path: str, set_id: int | None = None) -> tuple[DataFrame, DataFrame]:
+def read_range_text(
+    spark: SparkSession, path: str, set_id: int | None = None, strict: bool = False
+) -> tuple[DataFrame, DataFrame]:
     """Text file(s) of ranges -> ``(ranges, rejects)``; ``set_id`` attaches a
-    set number to the good ranges."""
+    set number to the good ranges.  ``strict=True`` fails the job that reads
+    the ranges on the first reversed line (malformed lines are still only
+    rejected)."""
     parsed = parse_range_lines(spark.read.text(path).withColumnRenamed("value", "line"))
-    ranges = good_ranges(parsed)
+    if strict:
+        msg = F.concat(F.lit("Reversed range: "), F.col("line"))
+        parsed = parsed.withColumn(
+            "begin", F.when(F.col("reason") == REJECT_REVERSED, F.raise_error(msg).cast("bigint")).otherwise(F.col("begin"))
+        )
+        ranges = _split_rows(parsed, F.col("reason").isNull() | (F.col("reason") == REJECT_REVERSED), ["begin", "end"])
+    else:
+        ranges = good_ranges(parsed)
     if set_id is not None:
         ranges = ranges.select(F.lit(set_id).alias("set_id"), "begin", "end")
     return ranges, rejected_lines(parsed)

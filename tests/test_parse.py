@@ -90,3 +90,16 @@ def test_empty_source(spark):
     assert e.count() == 0
     assert exclusive_ranges(e, strategy="window").count() == 0
     assert exclusive_ranges(e).count() == 0
+
+
+def test_strict_text_source_fails_on_reversed(spark, tmp_path):
+    p = tmp_path / "r.txt"
+    p.write_text("1.2.3.4, 1.2.3.9\n9.0.0.0, 1.0.0.0\nnot a range\n")
+    ranges, rejects = text.read_range_text(spark, str(p))
+    assert ranges.count() == 1 and rejects.count() == 2
+    strict, _ = text.read_range_text(spark, str(p), strict=True)
+    with pytest.raises(Exception, match="Reversed range"):
+        strict.collect()
+    ok = tmp_path / "ok.txt"
+    ok.write_text("1.2.3.4, 1.2.3.9\ngarbage\n")
+    assert text.read_range_text(spark, str(ok), strict=True)[0].count() == 1
