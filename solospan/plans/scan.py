@@ -205,22 +205,29 @@ def plan_buckets(
         for level in range(2, MAX_LEVELS + 1):
             parent = BUCKETS[: level - 1]
             fractions = [i / (CUTS + 1) for i in range(1, CUTS + 1)]
-            dense = (
+            # cheap count per cell first; quantile sketches only for the
+            # dense ones (usually none)
+            dense_keys = (
                 cells.groupBy(*keys, *parent)
-                .agg(
-                    F.count(F.lit(1)).alias("_n"),
-                    F.min(coord).alias("_clo"),
-                    F.max(coord).alias("_chi"),
-                    F.percentile_approx(coord, fractions, 10000).alias("_cuts"),
-                )
+                .agg(F.count(F.lit(1)).alias("_n"), F.min(coord).alias("_clo"), F.max(coord).alias("_chi"))
                 .where((F.col("_n") >= SAMPLE_HITS) & (F.col("_chi") > F.col("_clo")))
-                .select(*keys, *parent, "_n", "_cuts")
+                .select(*keys, *parent, "_n")
             )
-            found_cells = dense.limit(dense_bound + 1).collect()
-            if len(found_cells) > dense_bound:
-                raise RuntimeError(f"bucket planning: {len(found_cells)} dense cells exceed {dense_bound}")
-            if not found_cells:
+            dense_counts = dense_keys.limit(dense_bound + 1).collect()
+            if len(dense_counts) > dense_bound:
+                raise RuntimeError(f"bucket planning: {len(dense_counts)} dense cells exceed {dense_bound}")
+            if not dense_counts:
                 break
+            dense_schema = T.StructType(
+                key_fields + [T.StructField(n, T.LongType(), False) for n in (*parent, "_n")]
+            )
+            dense_local = _local(spark, [tuple(r) for r in dense_counts], dense_schema)
+            dense = (
+                cells.join(F.broadcast(dense_local), keys + parent, "inner")
+                .groupBy(*keys, *parent)
+                .agg(F.max("_n").alias("_n"), F.percentile_approx(coord, fractions, 10000).alias("_cuts"))
+            )
+            found_cells = dense.collect()
             # equal-depth split of the cell at its sampled quantiles
             rows = [tuple(r[c] for c in keys) + tuple(r[c] for c in parent) + tuple(r["_cuts"]) for r in found_cells]
             cut_cols = [f"_q{i}" for i in range(1, CUTS + 1)]
