@@ -45,7 +45,7 @@ from solospan.functions.buckets import floor_div
 
 # Tunables (session conf keys and defaults).
 CONF_TARGET_ROWS = "solospan.scan.targetRows"  # rows one window task should hold at most
-CONF_MAX_BUCKETS = "solospan.scan.maxBuckets"  # bound on summary-table rows (broadcast)
+CONF_MAX_BUCKETS = "solospan.scan.maxBuckets"  # bounds the planning tables: target >= rows / this
 DEFAULT_TARGET_ROWS = 2_000_000
 DEFAULT_MAX_BUCKETS = 100_000
 SAMPLE_HITS = 64  # expected sample rows for a group of exactly target_rows
