@@ -31,3 +31,27 @@ def test_exclusive_and_coverage_match_brute_force(spark, data):
                 assert depth.get((r.set_id, r.next_point - 1), 0) == r.depth
     merged = cutting.merge_touching(spark.createDataFrame(want, SCHEMA), strategy="window")
     assert sorted(tuple(r) for r in merged.collect()) == merge_brute(want)
+
+
+seqs = st.lists(st.tuples(st.integers(0, 2), st.integers(-20, 20)), min_size=0, max_size=60)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(data=seqs)
+def test_order_violations_match_brute_force(spark, data):
+    from solospan.operators import audit
+
+    rows = [(s, i, k) for i, (s, k) in enumerate(data)]  # seq unique
+    by_set = {}
+    for s, i, k in rows:
+        by_set.setdefault(s, []).append((i, k))
+    want = sorted(
+        (s, a[0], a[1], b[0], b[1])
+        for s, items in by_set.items()
+        for a, b in zip(items, items[1:])
+        if a[1] > b[1]
+    )
+    df = spark.createDataFrame(rows, "set_id bigint, seq bigint, key bigint")
+    for strategy in ("window", "bucketed"):
+        got = sorted(tuple(r) for r in audit.order_violations(df, "seq", "key", strategy=strategy, target_rows=2).collect())
+        assert got == want
