@@ -68,12 +68,23 @@ def numbered_listing(
 
 
 def write_ranges(
-    df: DataFrame, path: str | None = None, table: str | None = None, mode: str = "append", set_col: str = "set_id"
+    df: DataFrame,
+    path: str | None = None,
+    table: str | None = None,
+    mode: str = "append",
+    set_col: str = "set_id",
+    layout: str = "by_set",
+    hash_partitions: int = 64,
 ) -> None:
     """Store ranges with the shared table schema (``set_id INT, begin BIGINT,
-    end BIGINT``): as parquet under ``path`` partitioned by set, or as the
-    catalog table ``table`` (``saveAsTable``).  Rows with a NULL bound are
-    refused (the table columns are NOT NULL)."""
+    end BIGINT``): as parquet under ``path``, or as the catalog table
+    ``table`` (``saveAsTable``).  Rows with a NULL bound are refused (the
+    table columns are NOT NULL).
+
+    ``layout="by_set"`` makes one directory per set (few, large sets: a
+    later read of one set prunes to its directory); ``layout="hashed"``
+    spreads sets over ``hash_partitions`` directories by a hash of the set
+    (many small sets, where a directory per set would not scale)."""
     out = df.select(
         F.col(set_col).cast("int").alias("set_id"), F.col("begin").cast("bigint"), F.col("end").cast("bigint")
     )
@@ -83,7 +94,13 @@ def write_ranges(
         F.when(bad, F.raise_error(F.lit("NULL in a NOT NULL range column"))).otherwise(F.col("begin")).alias("begin"),
         "end",
     )
-    writer = out.write.mode(mode).partitionBy("set_id")
+    if layout == "by_set":
+        writer = out.write.mode(mode).partitionBy("set_id")
+    elif layout == "hashed":
+        out = out.withColumn("set_hash", F.pmod(F.xxhash64("set_id"), F.lit(hash_partitions)))
+        writer = out.repartition("set_hash").write.mode(mode).partitionBy("set_hash")
+    else:
+        raise ValueError(f"unknown layout {layout!r}")
     if table:
         writer.format("parquet").saveAsTable(table)
     elif path:

@@ -30,3 +30,12 @@ def test_write_ranges_keeps_the_table_schema(spark, tmp_path):
     assert back.count() == 2
     with pytest.raises(Exception, match="NOT NULL"):
         sinks.write_ranges(spark.createDataFrame([(1, None, 2)], "set_id int, begin bigint, end bigint"), path=out)
+
+
+def test_write_ranges_hashed_layout(spark, tmp_path):
+    df = spark.createDataFrame([(s, s, s + 1) for s in range(100)], "set_id bigint, begin bigint, end bigint")
+    out = str(tmp_path / "h")
+    sinks.write_ranges(df, path=out, layout="hashed", hash_partitions=4)
+    back = spark.read.parquet(out)
+    assert back.count() == 100
+    assert back.select("set_hash").distinct().count() <= 4
