@@ -60,6 +60,7 @@ BROADCAST_BUCKETS = 1_000_000  # largest summary table that is broadcast (~40 MB
 # at this cap with some buckets above the target (still correct).
 MAX_LEVELS = 5
 CUTS = 31  # a dense cell is split at this many sampled quantiles (32 buckets)
+FEW_CELLS = 5000  # up to this many cells, quantile sketches are computed for all at once
 BUCKETS = [f"_ss_b{i}" for i in range(1, MAX_LEVELS + 1)]
 B1 = BUCKETS[0]
 ALL = "_ss_all"  # constant group key used when no key columns are given
@@ -205,29 +206,39 @@ def plan_buckets(
         for level in range(2, MAX_LEVELS + 1):
             parent = BUCKETS[: level - 1]
             fractions = [i / (CUTS + 1) for i in range(1, CUTS + 1)]
-            # cheap count per cell first; quantile sketches only for the
-            # dense ones (usually none)
-            dense_keys = (
-                cells.groupBy(*keys, *parent)
-                .agg(F.count(F.lit(1)).alias("_n"), F.min(coord).alias("_clo"), F.max(coord).alias("_chi"))
-                .where((F.col("_n") >= SAMPLE_HITS) & (F.col("_chi") > F.col("_clo")))
-                .select(*keys, *parent, "_n")
-            )
-            dense_counts = dense_keys.limit(dense_bound + 1).collect()
-            if len(dense_counts) > dense_bound:
-                raise RuntimeError(f"bucket planning: {len(dense_counts)} dense cells exceed {dense_bound}")
-            if not dense_counts:
+            stats = [F.count(F.lit(1)).alias("_n"), F.min(coord).alias("_clo"), F.max(coord).alias("_chi")]
+            is_dense = (F.col("_n") >= SAMPLE_HITS) & (F.col("_chi") > F.col("_clo"))
+            if bucket_bound <= FEW_CELLS:
+                # few cells: one job, a quantile sketch for each
+                dense = (
+                    cells.groupBy(*keys, *parent)
+                    .agg(*stats, F.percentile_approx(coord, fractions, 10000).alias("_cuts"))
+                    .where(is_dense)
+                )
+                found_cells = dense.limit(dense_bound + 1).collect()
+                if len(found_cells) > dense_bound:
+                    raise RuntimeError(f"bucket planning: {len(found_cells)} dense cells exceed {dense_bound}")
+            else:
+                # many cells: cheap count per cell first, sketches only for
+                # the dense ones (usually none)
+                dense_keys = cells.groupBy(*keys, *parent).agg(*stats).where(is_dense).select(*keys, *parent, "_n")
+                dense_counts = dense_keys.limit(dense_bound + 1).collect()
+                if len(dense_counts) > dense_bound:
+                    raise RuntimeError(f"bucket planning: {len(dense_counts)} dense cells exceed {dense_bound}")
+                found_cells = []
+                if dense_counts:
+                    dense_schema = T.StructType(
+                        key_fields + [T.StructField(n, T.LongType(), False) for n in (*parent, "_n")]
+                    )
+                    dense_local = _local(spark, [tuple(r) for r in dense_counts], dense_schema)
+                    found_cells = (
+                        cells.join(F.broadcast(dense_local), keys + parent, "inner")
+                        .groupBy(*keys, *parent)
+                        .agg(F.max("_n").alias("_n"), F.percentile_approx(coord, fractions, 10000).alias("_cuts"))
+                        .collect()
+                    )
+            if not found_cells:
                 break
-            dense_schema = T.StructType(
-                key_fields + [T.StructField(n, T.LongType(), False) for n in (*parent, "_n")]
-            )
-            dense_local = _local(spark, [tuple(r) for r in dense_counts], dense_schema)
-            dense = (
-                cells.join(F.broadcast(dense_local), keys + parent, "inner")
-                .groupBy(*keys, *parent)
-                .agg(F.max("_n").alias("_n"), F.percentile_approx(coord, fractions, 10000).alias("_cuts"))
-            )
-            found_cells = dense.collect()
             # equal-depth split of the cell at its sampled quantiles
             rows = [tuple(r[c] for c in keys) + tuple(r[c] for c in parent) + tuple(r["_cuts"]) for r in found_cells]
             cut_cols = [f"_q{i}" for i in range(1, CUTS + 1)]

@@ -220,3 +220,18 @@ def test_null_set_key_is_a_group(spark):
     pieces = cutting.cut_at_buckets(df, 4).drop("bucket")
     glued = cutting.glue_ranges(exclusive.exclusive_ranges(pieces), cutting.glue_points(df, 4), 4)
     assert sorted(map(tuple, glued.collect()), key=key) == sorted(want, key=key)
+
+
+def test_many_cells_refinement_path(spark, monkeypatch):
+    import random
+
+    from solospan.plans import scan
+
+    monkeypatch.setattr(scan, "FEW_CELLS", 0)  # take the count-first path
+    rnd = random.Random(3)
+    data = [(9, 10**9 + k, 10**9 + k + 1) for k in range(0, 40, 4)]
+    data += [(9, b, b + rnd.randint(0, 2)) for b in (rnd.randint(0, 60) for _ in range(900))]
+    df = spark.createDataFrame(data, SCHEMA)
+    plan = scan.plan_buckets(events.half_open_events(df), ["set_id"], "x", target_rows=40)
+    assert plan.n_dense >= 1
+    assert rows(exclusive.exclusive_ranges(df, strategy="bucketed", target_rows=40)) == exclusive_brute(data)
