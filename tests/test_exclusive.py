@@ -230,8 +230,8 @@ def test_many_cells_refinement_path(spark, monkeypatch):
     monkeypatch.setattr(scan, "FEW_CELLS", 0)  # take the count-first path
     rnd = random.Random(3)
     data = [(9, 10**9 + k, 10**9 + k + 1) for k in range(0, 40, 4)]
-    data += [(9, b, b + rnd.randint(0, 2)) for b in (rnd.randint(0, 60) for _ in range(900))]
+    data += [(9, b, b + rnd.randint(0, 2)) for b in (rnd.randint(0, 20000) for _ in range(2000))]
     df = spark.createDataFrame(data, SCHEMA)
     plan = scan.plan_buckets(events.half_open_events(df), ["set_id"], "x", target_rows=40)
-    assert plan.n_dense >= 1
+    assert plan.n_dense >= 1, plan.notes
     assert rows(exclusive.exclusive_ranges(df, strategy="bucketed", target_rows=40)) == exclusive_brute(data)
