@@ -55,3 +55,13 @@ def test_order_violations_match_brute_force(spark, data):
     for strategy in ("window", "bucketed"):
         got = sorted(tuple(r) for r in audit.order_violations(df, "seq", "key", strategy=strategy, target_rows=2).collect())
         assert got == want
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(data=ranges, width=st.integers(1, 9))
+def test_cut_exclusive_glue_round_trip(spark, data, width):
+    df = spark.createDataFrame(data, SCHEMA)
+    pieces = cutting.cut_at_buckets(df, width).drop("bucket")
+    res = exclusive.exclusive_ranges(pieces, strategy="window")
+    glued = cutting.glue_ranges(res, cutting.glue_points(df, width), width, strategy="bucketed", target_rows=3)
+    assert sorted(tuple(r) for r in glued.collect()) == exclusive_brute(data)
