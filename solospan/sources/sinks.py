@@ -51,7 +51,8 @@ def numbered_listing(
     on_reversed: str = "keep",
 ) -> DataFrame:
     """``keys, n, line`` where ``n`` numbers the ranges of a set from 1 in
-    (begin, end) order and ``line`` is ``n<TAB>begin, end`` in dotted form.
+    (begin, end) order and ``line`` is ``n<TAB>begin, end`` in dotted form
+    (plain numbers outside the IPv4 range).
     ``on_reversed="raise"`` fails the job on a range with begin > end."""
     keys = as_keys(keys)
     b = F.col(begin)
@@ -63,7 +64,10 @@ def numbered_listing(
     base = df.select(*keys, b.alias(begin), end, F.lit(1).cast("bigint").alias("_one"))
     plan = scan_plan(base, keys, begin, strategy, target_rows=target_rows)
     sc = ordered_scan(base, keys, [begin, end], sums={"n": "_one"}, plan=plan)
-    line = F.format_string("%d\t%s, %s", F.col("n"), ip4_text(F.col(begin)), ip4_text(F.col(end)))
+    def shown(c: str):  # dotted quad, or the plain number outside the IPv4 range
+        return F.coalesce(ip4_text(F.col(c)), F.col(c).cast("string"))
+
+    line = F.concat(F.col("n").cast("string"), F.lit("\t"), shown(begin), F.lit(", "), shown(end))
     return sc.select(*keys, "n", line.alias("line"))
 
 
