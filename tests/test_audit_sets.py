@@ -114,3 +114,11 @@ def test_numbered_listing_can_refuse_reversed_ranges(spark):
     assert sinks.numbered_listing(df, strategy="window").count() == 1
     with pytest.raises(Exception, match="Reversed range"):
         sinks.numbered_listing(df, strategy="window", on_reversed="raise").collect()
+
+
+def test_random_generator_repeats_for_a_seed(spark):
+    ids = spark.range(0, 5000, 1, 4)
+    a = sorted(map(tuple, generate.synthetic_ranges(ids, "id", mode="random", seed=7).collect()))
+    b = sorted(map(tuple, generate.synthetic_ranges(ids, "id", mode="random", seed=7).collect()))
+    c = sorted(map(tuple, generate.synthetic_ranges(ids, "id", mode="random", seed=8).collect()))
+    assert a == b and a != c
