@@ -103,3 +103,14 @@ def test_strict_text_source_fails_on_reversed(spark, tmp_path):
     ok = tmp_path / "ok.txt"
     ok.write_text("1.2.3.4, 1.2.3.9\ngarbage\n")
     assert text.read_range_text(spark, str(ok), strict=True)[0].count() == 1
+
+
+def test_bucket_arithmetic(spark):
+    from solospan.functions.buckets import bucket_of, junctions
+
+    df = spark.createDataFrame([(-17,), (-16,), (-1,), (0,), (15,), (16,)], "x bigint")
+    got = [r.b for r in df.select(bucket_of("x", 16).alias("b")).collect()]
+    assert got == [-2, -1, -1, 0, 0, 1]
+    left, right = junctions(F.lit(3), 16)
+    r = spark.range(1).select(left.alias("l"), right.alias("r")).first()
+    assert (r.l, r.r) == (47, 48)
