@@ -122,3 +122,9 @@ def test_random_generator_repeats_for_a_seed(spark):
     b = sorted(map(tuple, generate.synthetic_ranges(ids, "id", mode="random", seed=7).collect()))
     c = sorted(map(tuple, generate.synthetic_ranges(ids, "id", mode="random", seed=8).collect()))
     assert a == b and a != c
+
+
+def test_with_set_id_puts_the_number_first(spark):
+    df = spark.createDataFrame([(1, 2)], "begin bigint, end bigint")
+    out = sets.with_set_id(df, 7)
+    assert out.columns == ["set_id", "begin", "end"] and out.first().set_id == 7
