@@ -8,13 +8,31 @@ from pyspark.sql import DataFrame, SparkSession
 
 from solospan.llm.common import read_table
 from solospan.llm.op4_simhash import simhash_components
+from solospan.llm.op5_mixing import mix_sources
+from solospan.llm.op6_quality import quality_scores
+from solospan.llm.op9_packing import pack_documents
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(read_table(spark, sf_dir, "documents"), shingle_words=3, max_distance=2)
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(read_table(spark, sf_dir, "documents"))
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(read_table(spark, sf_dir, "documents"), capacity=2048)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_simhash": op4_simhash,
+    "op5_mixing": op5_mixing,
+    "op6_quality": op6_quality,
+    "op9_packing": op9_packing,
 }
 ORACLE: dict[str, str] = {}
