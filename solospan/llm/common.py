@@ -17,21 +17,27 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """The rows of ``df``, kept in the shared folder that ``spark.checkpoint.dir`` names.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
     Only a local session (one machine, as in tests) may go without the
     setting; it gets a scratch folder.  Elsewhere that is an error, since the
     executors could not read the files back.
     """
-    sc = df.sparkSession.sparkContext
+    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        folder = spark.conf.get("spark.checkpoint.dir", None)
         if folder is None:
             if not sc.master.startswith("local["):
                 raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
             folder = tempfile.mkdtemp(prefix="solospan-ckpt-")
         sc.setCheckpointDir(folder)
+    return sc.getCheckpointDir()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """The rows of ``df``, kept in the shared folder; later jobs read them there, with no lineage behind."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 

@@ -7,12 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from solospan.llm.common import read_table
+from solospan.llm.op2_pii import find_pii
 from solospan.llm.op4_simhash import simhash_components
 from solospan.llm.op5_mixing import mix_sources
 from solospan.llm.op6_quality import quality_scores
 from solospan.llm.op9_packing import pack_documents
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_pii(read_table(spark, sf_dir, "documents"))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(read_table(spark, sf_dir, "documents"), shingle_words=3, max_distance=2)
 
@@ -30,6 +35,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_pii": op2_pii,
     "op4_simhash": op4_simhash,
     "op5_mixing": op5_mixing,
     "op6_quality": op6_quality,
