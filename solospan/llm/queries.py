@@ -11,6 +11,7 @@ from solospan.llm.op2_pii import find_pii
 from solospan.llm.op4_simhash import simhash_components
 from solospan.llm.op5_mixing import mix_sources
 from solospan.llm.op6_quality import quality_scores
+from solospan.llm.op7_lm import lm_scores
 from solospan.llm.op9_packing import pack_documents
 
 
@@ -30,6 +31,10 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op7_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(read_table(spark, sf_dir, "documents"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read_table(spark, sf_dir, "documents"), capacity=2048)
 
@@ -39,6 +44,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_simhash": op4_simhash,
     "op5_mixing": op5_mixing,
     "op6_quality": op6_quality,
+    "op7_lm": op7_lm,
     "op9_packing": op9_packing,
 }
 ORACLE: dict[str, str] = {}
