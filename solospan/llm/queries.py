@@ -7,11 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from solospan.llm.common import read_table
+from solospan.llm.op10_toxicity import toxicity_scores
 from solospan.llm.op2_pii import find_pii
 from solospan.llm.op4_simhash import simhash_components
 from solospan.llm.op5_mixing import mix_sources
 from solospan.llm.op6_quality import quality_scores
 from solospan.llm.op7_lm import lm_scores
+from solospan.llm.op8_ann import nearest
 from solospan.llm.op9_packing import pack_documents
 
 
@@ -35,16 +37,26 @@ def op7_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores(read_table(spark, sf_dir, "documents"))
 
 
+def op8_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(read_table(spark, sf_dir, "embeddings"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read_table(spark, sf_dir, "documents"), capacity=2048)
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_pii": op2_pii,
     "op4_simhash": op4_simhash,
     "op5_mixing": op5_mixing,
     "op6_quality": op6_quality,
     "op7_lm": op7_lm,
+    "op8_ann": op8_ann,
     "op9_packing": op9_packing,
+    "op10_toxicity": op10_toxicity,
 }
 ORACLE: dict[str, str] = {}
