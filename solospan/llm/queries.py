@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from solospan.llm.common import read_table
 from solospan.llm.op10_toxicity import toxicity_scores
 from solospan.llm.op2_pii import find_pii
+from solospan.llm.op3_topk import exact_top_k
 from solospan.llm.op4_simhash import simhash_components
 from solospan.llm.op5_mixing import mix_sources
 from solospan.llm.op6_quality import quality_scores
@@ -21,6 +22,10 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_pii(read_table(spark, sf_dir, "documents"))
 
 
+def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_top_k(read_table(spark, sf_dir, "embeddings"), k=10, query_modulus=100)
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(read_table(spark, sf_dir, "documents"), shingle_words=3, max_distance=2)
 
@@ -51,6 +56,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_pii": op2_pii,
+    "op3_topk": op3_topk,
     "op4_simhash": op4_simhash,
     "op5_mixing": op5_mixing,
     "op6_quality": op6_quality,
@@ -59,4 +65,22 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_packing": op9_packing,
     "op10_toxicity": op10_toxicity,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op3_topk": """
+        with rows as (
+            select vec_id, list_transform(embedding, lambda c: cast(floor(1024 * cast(c as double)) as bigint)) as v
+            from embeddings
+            where embedding is not null and len(embedding) = list_count(embedding)
+              and len(list_filter(embedding, lambda c: not isfinite(c))) = 0
+        ), scored as (
+            select q.vec_id as query_id, d.vec_id,
+                   cast(list_sum(list_transform(list_zip(q.v, d.v), lambda p: p[1] * p[2])) as bigint) as score
+            from rows q join rows d on q.vec_id % 100 = 0 and d.vec_id <> q.vec_id
+        ), ranked as (
+            select query_id, vec_id, score,
+                   cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank
+            from scored
+        )
+        select query_id, rank, vec_id, score from ranked where rank <= 10
+    """,
+}
