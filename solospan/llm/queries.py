@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from solospan.llm.common import read_table
+from solospan.llm.op1_license import document_paths, scan_licences
 from solospan.llm.op10_toxicity import toxicity_scores
 from solospan.llm.op2_pii import find_pii
 from solospan.llm.op3_topk import exact_top_k
@@ -18,6 +19,10 @@ from solospan.llm.op8_ann import nearest
 from solospan.llm.op9_packing import pack_documents
 
 
+def op1_license(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licences(document_paths(read_table(spark, sf_dir, "documents")))
+
+
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_pii(read_table(spark, sf_dir, "documents"))
 
@@ -55,6 +60,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_license": op1_license,
     "op2_pii": op2_pii,
     "op3_topk": op3_topk,
     "op4_simhash": op4_simhash,
