@@ -18,6 +18,7 @@ rows; other columns are ignored.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -30,8 +31,10 @@ from pyspark.sql import functions as F
 from solospan.llm.common import as_bytes, checkpointed
 
 TOKENIZER = "word_bpe_49k.json"
-CACHED_WORDS = 300_000
+CACHED_WORDS, CACHED_PARTS = 700_000, 500_000
 LONGEST_CACHED = 64
+#: No token of the pre-tokenizer holds a letter and then another ASCII sign, so a word may be cut there.
+CUT = re.compile(rb"(?<=[A-Za-z])(?=[!-/:-@\[-`{-~])")
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -41,33 +44,52 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
 
 
 class WordEncoder:
-    """Ids of texts as little-endian 32-bit bytes, word by word with a bounded cache."""
+    """Ids of texts as little-endian 32-bit bytes, word by word with bounded caches of words and their parts."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks already use the cores
         self.tokenizer = Tokenizer.from_file(path)
-        self.cache: dict[bytes, bytes] = {}
+        self.words: dict[bytes, bytes] = {}
+        self.parts: dict[bytes, bytes] = {}
+
+    @staticmethod
+    def _cut(words: list[bytes]) -> list[list[bytes]]:
+        """Each word's parts that are tokenised by themselves; ASCII words in lower case, as the tokenizer folds them anyway."""
+        special = [b"<|" in w for w in words]  # may hold a special token: stays whole
+        folded = [w.lower() if w.isascii() and not s else w for w, s in zip(words, special, strict=True)]
+        cut = CUT.sub(b" ", b"\n".join(folded)).split(b"\n")  # no word has a blank
+        return [[w] if s else c.split(b" ") for w, s, c in zip(words, special, cut, strict=True)]
 
     def _encode(self, words: list[bytes]) -> list[bytes]:
-        encoded = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in encoded]
+        if not words:
+            return []
+        cut = self._cut(words)
+        new = list(set().union(*cut).difference(self.parts))
+        encoded = self.tokenizer.encode_batch_fast([p.decode("utf-8", "replace") for p in new], add_special_tokens=False)
+        here = {p: np.array(e.ids, "<u4").tobytes() for p, e in zip(new, encoded, strict=True)}
+        if len(self.parts) > CACHED_PARTS:
+            here.update((p, self.parts[p]) for parts in cut for p in parts if p in self.parts)
+            self.parts.clear()
+        self.parts.update(here)
+        out = [b"".join([self.parts[p] for p in parts]) for parts in cut]
+        for p in [p for p in new if len(p) > LONGEST_CACHED]:
+            del self.parts[p]
+        return out
 
     def encode(self, texts: list[bytes]) -> Iterator[bytes]:
-        if len(self.cache) > CACHED_WORDS:
-            self.cache.clear()
+        if len(self.words) > CACHED_WORDS:
+            self.words.clear()
         split = [t.split() for t in texts]  # at the six ASCII blanks
-        new = list(set().union(*split).difference(self.cache))
-        long = [w for w in new if len(w) > LONGEST_CACHED]
-        here = dict(zip(long, self._encode(long), strict=True))
-        short = [w for w in new if len(w) <= LONGEST_CACHED]
-        self.cache.update(zip(short, self._encode(short), strict=True))
+        new = list(set().union(*split).difference(self.words))
+        here = dict(zip(new, self._encode(new), strict=True))
+        self.words.update((w, ids) for w, ids in here.items() if len(w) <= LONGEST_CACHED)
         for words in split:
             try:
-                yield b"".join([self.cache[w] for w in words])
-            except KeyError:
-                yield b"".join([self.cache[w] if w in self.cache else here[w] for w in words])
+                yield b"".join([self.words[w] for w in words])
+            except KeyError:  # a long word
+                yield b"".join([here[w] if w in here else self.words[w] for w in words])
 
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
