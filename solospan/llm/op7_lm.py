@@ -71,6 +71,19 @@ def token_counts(train: DataFrame) -> DataFrame:
     return train.select("text").mapInArrow(count, "token binary, c long").groupBy("token").agg(F.sum("c").alias("c"))
 
 
+def most_frequent(counts: DataFrame, most: int) -> DataFrame:
+    """The tokens of the highest counts: as many whole steps of a logarithmic scale as have ``most`` tokens or fewer."""
+    step = F.floor(F.log2("c") * 64)
+    sizes = counts.groupBy(step.alias("step")).agg(F.count("*").alias("n")).collect()  # 64 rows for each power of two
+    least, n = float("inf"), 0
+    for r in sorted(sizes, reverse=True):
+        n += r.n
+        if n > most:
+            break
+        least = r.step
+    return counts.where(step >= F.lit(float(least)))
+
+
 @dataclass
 class LogBilinear:
     """``words`` known classes, class ``words`` for all other tokens; a context may also be the place before a text (``words`` + 1)."""
@@ -272,7 +285,7 @@ def lm_scores(
     training = docs.where(~held_out("doc_id", modulus, remainder))
     counts = checkpointed(token_counts(training))
     n_all, v_all = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    top = counts.orderBy(F.col("c").desc(), "token").limit(n_common).collect()
+    top = most_frequent(counts, n_common).collect()  # n_common rows at most
     common = sorted(((bytes(r.token), r.c) for r in top), key=lambda x: (x[0] != END, -x[1], x[0]))
     words = min(n_words, len(common))
     index = {w: i for i, (w, _) in enumerate(common)}
