@@ -20,22 +20,23 @@ import argparse
 import os
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
 from solospan.operators.sets import next_set_id
 from solospan.session import ensure_checkpoint_dir
 from solospan.sources.sinks import numbered_listing, write_listing
 from solospan.sources.text import read_range_text
-from solospan.streaming.publish import publish
+from solospan.streaming.publish import publish, set_folder
 
 
 def first_free_set_id(spark: SparkSession, input_table: str) -> int:
     """Largest stored set number + 1, or 1 when nothing is stored yet."""
-    try:
-        stored = spark.read.parquet(input_table)
-    except Exception:  # no table yet
+    folder = spark._jvm.org.apache.hadoop.fs.Path(input_table)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(folder):  # any other failure to read it must be seen
         return 1
-    return int(next_set_id(stored).first()["next_set_id"])
+    # the folders of stored sets count, also of those without rows
+    stored = [int(f.getPath().getName().split("=")[1]) for f in files.listStatus(folder) if f.getPath().getName().startswith("set_id=")]
+    return int(next_set_id(spark.createDataFrame([(i,) for i in stored], "set_id int")).first()["next_set_id"])
 
 
 def run(spark: SparkSession, inputs: list[str], tables: str, documents: str | None = None,
@@ -46,18 +47,17 @@ def run(spark: SparkSession, inputs: list[str], tables: str, documents: str | No
     published = []
     for path in inputs:
         ranges, rejects = read_range_text(spark, path, strict=strict)
-        rejects = rejects.select(F.lit(set_id).alias("set_id"), "line", "reason")
-        rejects.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("set_id").parquet(
-            os.path.join(tables, "rejects")
-        )
-        n_rej = spark.read.parquet(os.path.join(tables, "rejects")).where(F.col("set_id") == set_id).count()
+        rejected = set_folder(os.path.join(tables, "rejects"), set_id)
+        rejects.select("line", "reason").write.mode("overwrite").parquet(rejected)
+        n_rej = spark.read.schema("line string, reason string").parquet(rejected).count()
         if n_rej:
             print(f"Warning: set {set_id}: {n_rej} input lines rejected (see {tables}/rejects)")
         publish(ranges, set_id, input_sink=input_table, output_sink=output_table, documents=documents)
         published.append(set_id)
         set_id += 1
     if listing:
-        out = spark.read.parquet(output_table).where(F.col("set_id").isin(published))
+        stored = spark.read.schema("begin bigint, end bigint, set_id int").option("basePath", output_table)
+        out = stored.parquet(*[set_folder(output_table, i) for i in published]).select("set_id", "begin", "end")
         write_listing(numbered_listing(out), listing)
     return published
 

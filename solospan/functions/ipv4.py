@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 IP4_MAX = 4294967295  # 2**32 - 1
 # An octet: optional '+', any leading zeros, then 0..255; or '-' and zeros.
 _OCTET = r"(?:\+?0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])|-0+)"
-_ADDRESS_PATTERN = rf"^{_OCTET}\.{_OCTET}\.{_OCTET}\.{_OCTET}$"
-_EDGE_BLANKS = r"^[\x00-\x20]+|[\x00-\x20]+$"
+_ADDRESS_PATTERN = rf"^{_OCTET}\.{_OCTET}\.{_OCTET}\.{_OCTET}\z"
+_EDGE_BLANKS = r"^[\x00-\x20]+|[\x00-\x20]+\z"
 
 
 def _col(c) -> Column:
@@ -38,7 +38,7 @@ def parse_ip4(c) -> Column:
     A single expression: fine for a few values; on large inputs prefer
     ``with_ip4`` which computes the intermediate columns once each.
     """
-    text = F.regexp_replace(strip_blanks(c), r"\.+$", "")
+    text = F.regexp_replace(strip_blanks(c), r"\.+\z", "")
     return _ip4_value(text, F.split(text, r"\.", -1))
 
 
@@ -60,7 +60,7 @@ def with_ip4(df, columns: dict[str, str]):
     whole parse stays in whole-stage codegen without higher-order functions.
     """
     keep = df.columns
-    staged = df.select("*", *[F.regexp_replace(strip_blanks(src), r"\.+$", "").alias(f"_t_{out}") for out, src in columns.items()])
+    staged = df.select("*", *[F.regexp_replace(strip_blanks(src), r"\.+\z", "").alias(f"_t_{out}") for out, src in columns.items()])
     staged = staged.select("*", *[F.split(F.col(f"_t_{out}"), r"\.", -1).alias(f"_p_{out}") for out in columns])
     return staged.select(
         *[F.col(c) for c in keep],

@@ -7,9 +7,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from solospan.functions.buckets import IP4_BUCKET_WIDTH, bucket_of
+from solospan.operators.exclusive import exclusive_ranges
 from solospan.plans.scan import ordered_scan, scan_plan
 from solospan.schema import as_keys
-from solospan.session import ensure_checkpoint_dir
 
 
 def cut_at_buckets(
@@ -82,12 +82,8 @@ def _islands(d: DataFrame, keys: list[str], begin: str, end: str, strategy: str,
     predecessor, ``key = begin - S + B`` never decreases and stays equal
     exactly across touching rows that may join; an island is a ``key``.
 
-    The bucketed plan reads its input several times (count, sample, scan,
-    summary), so the input is first checkpointed to the shared checkpoint
-    folder instead of recomputing its lineage each time."""
-    if strategy != "window":
-        ensure_checkpoint_dir(d.sparkSession)
-        d = d.checkpoint(eager=True)
+    Nothing is written while the plan is built.  The bucketed plan counts and
+    samples its input first; a caller whose input is costly stores it before."""
     plan = scan_plan(d.select(*keys, begin), keys, begin, strategy, target_rows=target_rows)
     d = d.select(
         *keys,
@@ -156,3 +152,14 @@ def merge_touching(
     keys = as_keys(keys)
     d = results.select(*keys, begin, end, F.lit(True).alias("_join"))
     return _islands(d, keys, begin, end, strategy, target_rows)
+
+
+def exclusive_by_cutting(
+    df: DataFrame, width: int = IP4_BUCKET_WIDTH, keys=("set_id",), begin: str = "begin", end: str = "end", target_rows: int | None = None
+) -> DataFrame:
+    """Exclusive ranges by another way than ``exclusive_ranges`` of the whole
+    input: cut at bucket edges, solve each bucket by itself, glue the results."""
+    keys = as_keys(keys)
+    cut = cut_at_buckets(df, width, keys, begin, end)
+    parts = exclusive_ranges(cut, [*keys, "bucket"], begin, end, target_rows=target_rows).drop("bucket")
+    return glue_ranges(parts, glue_points(df, width, keys, begin, end), width, keys, begin, end, target_rows=target_rows)

@@ -72,9 +72,7 @@ def exclusive_ranges_presorted(
         F.col(seq).cast("string"),
     )
     types = dict(out.dtypes)
-    gate = bad.select(
-        *[F.lit(None).cast(types[k]).alias(k) for k in keys],
-        F.raise_error(msg).cast(types[begin]).alias(begin),
-        F.lit(None).cast(types[end]).alias(end),
-    )
+    # the error stands in a filter, which a count evaluates too, and in every
+    # column, which a filter on the result's columns has to evaluate
+    gate = bad.where(F.raise_error(msg).cast("boolean")).select(*[F.raise_error(msg).cast(types[c]).alias(c) for c in [*keys, begin, end]])
     return out.unionByName(gate)

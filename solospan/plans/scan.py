@@ -21,11 +21,10 @@ back (its row count is known).
 
 Buckets are chosen from a seeded Bernoulli sample: first per group, then
 every cell the sample still shows dense is split again at sampled quantiles
-(up to ``MAX_LEVELS`` levels), so a group holding a third of all rows, or a
+until none is, so a group holding a third of all rows, or a
 narrow dense region inside it, is spread over many tasks.  Coordinates
 holding many rows by themselves (hot points) are combined map-side before
-the shuffle.  The planning tables are collected only after their row count
-has been bounded by construction (``max_buckets``) and checked.
+the shuffle.  The planning tables have a few rows for each task of the scan.
 
 The bucketing never changes results, only the plan: rows of one coordinate
 always share a bucket and buckets are ordered like coordinates.
@@ -45,24 +44,14 @@ from solospan.functions.buckets import floor_div
 
 # Tunables (session conf keys and defaults).
 CONF_TARGET_ROWS = "solospan.scan.targetRows"  # rows one window task should hold at most
-CONF_MAX_BUCKETS = "solospan.scan.maxBuckets"  # bounds the planning tables: target >= rows / this
 DEFAULT_TARGET_ROWS = 2_000_000
-DEFAULT_MAX_BUCKETS = 100_000
 SAMPLE_HITS = 64  # expected sample rows for a group of exactly target_rows
 HOT_HITS = 16  # sampled rows at one coordinate that mark it hot (~target_rows / 4)
 OVERSAMPLE = 2  # buckets per target_rows of estimated rows
 BROADCAST_BUCKETS = 1_000_000  # largest summary table that is broadcast (~40 MB)
 
-# Bucket levels: per group, then dense-cell splits.  A cell holds at most
-# SAMPLE_HITS * max_buckets sampled rows and every split divides it by
-# CUTS + 1 (ties at one cut stay below HOT_HITS), so with the default bound
-# four splits always end below SAMPLE_HITS; a larger max_buckets may stop
-# at this cap with some buckets above the target (still correct).
-MAX_LEVELS = 5
 CUTS = 31  # a dense cell is split at this many sampled quantiles (32 buckets)
-FEW_CELLS = 5000  # up to this many cells, quantile sketches are computed for all at once
-BUCKETS = [f"_ss_b{i}" for i in range(1, MAX_LEVELS + 1)]
-B1 = BUCKETS[0]
+B1 = "_ss_b1"  # bucket of a group; _ss_b2, _ss_b3, ... are splits of dense cells
 ALL = "_ss_all"  # constant group key used when no key columns are given
 PART = "_ss_part"  # hash of (group, bucket) the rows are shuffled on
 BIG = "_ss_big"  # row belongs to a group that is split into buckets
@@ -97,7 +86,21 @@ class BucketPlan:
 
     @property
     def bucket_cols(self) -> list[str]:
-        return BUCKETS[: 1 + len(self.levels)]
+        return _bucket_cols(1 + len(self.levels))
+
+
+def _bucket_cols(n: int) -> list[str]:
+    return [f"_ss_b{i}" for i in range(1, n + 1)]
+
+
+def _match(df: DataFrame, table: DataFrame, cols: list[str], how: str) -> DataFrame:
+    """Join with a planning table on ``cols``, where a NULL key is a key like any other."""
+    other = table.select(*[F.col(c).alias(f"_ss_m_{c}") if c in cols else F.col(c) for c in table.columns])
+    cond = None
+    for c in cols:
+        term = df[c].eqNullSafe(other[f"_ss_m_{c}"])
+        cond = term if cond is None else cond & term
+    return df.join(F.broadcast(other), cond, how).drop(*[f"_ss_m_{c}" for c in cols])
 
 
 def _conf_int(spark, key: str, default: int) -> int:
@@ -106,22 +109,6 @@ def _conf_int(spark, key: str, default: int) -> int:
 
 
 _INTEGRAL = (T.LongType, T.IntegerType, T.ShortType, T.ByteType)
-VALUES_CELLS = 10_000  # planning tables up to this many values become inline VALUES
-
-
-def _local(spark, rows: list, schema: T.StructType) -> DataFrame:
-    """A small driver-side table.  Inline ``VALUES`` (a local relation, which
-    Spark broadcasts from the driver without running a job) when it is small
-    and integral; otherwise ``createDataFrame``."""
-    small = len(rows) * len(schema) <= VALUES_CELLS
-    if rows and small and all(isinstance(f.dataType, _INTEGRAL) for f in schema):
-        names = [f"c{i}" for i in range(len(schema))]
-        body = ", ".join("(" + ", ".join("NULL" if v is None else str(int(v)) for v in r) + ")" for r in rows)
-        casts = ", ".join(
-            f"CAST({n} AS {f.dataType.simpleString()}) AS `{f.name}`" for n, f in zip(names, schema.fields)
-        )
-        return spark.sql(f"SELECT {casts} FROM VALUES {body} AS t({', '.join(names)})")
-    return spark.createDataFrame(rows, schema)
 
 
 def plan_buckets(
@@ -130,7 +117,6 @@ def plan_buckets(
     coord: str,
     n_rows: int | None = None,
     target_rows: int | None = None,
-    max_buckets: int | None = None,
     seed: int = 20230117,
 ) -> BucketPlan:
     """Choose buckets for the groups of ``points`` that exceed ``target_rows``.
@@ -144,11 +130,9 @@ def plan_buckets(
     if not keys:
         points, keys = points.withColumn(ALL, F.lit(0)), [ALL]
     target = target_rows or _conf_int(spark, CONF_TARGET_ROWS, DEFAULT_TARGET_ROWS)
-    limit = max_buckets or _conf_int(spark, CONF_MAX_BUCKETS, DEFAULT_MAX_BUCKETS)
     if n_rows is None:
         n_rows = points.count()
-    # Groups above `target` rows number at most n_rows / target <= limit.
-    target = max(int(target), math.ceil(n_rows / limit), 1)
+    target = max(int(target), 1)
     plan = BucketPlan(list(keys), coord, target)
     plan.notes.update(n_rows=n_rows, target_rows=target)
     if n_rows <= target:
@@ -169,12 +153,9 @@ def plan_buckets(
         wanted = counts.where(
             ((F.col("_g") == 0) & (F.col("_n") >= HOT_HITS)) | ((F.col("_g") != 0) & (F.col("_n") >= hits_big))
         )
-        # groups >= hits_big sampled rows: <= 2 n_rows / target <= 2 limit;
-        # hot coordinates >= HOT_HITS sampled rows: <= 4 limit.
-        bound = 6 * limit + 2
-        found = wanted.limit(bound + 1).collect()
-        if len(found) > bound:  # cannot happen with the bounds above; keep plans safe
-            raise RuntimeError(f"bucket planning: {len(found)} rows exceed {bound}")
+        # planning metadata: about 2 n_rows / target groups and 4 n_rows / target
+        # coordinates, so its size follows the number of tasks
+        found = wanted.collect()
         big_rows, hot_rows = [], []
         for r in found:
             k = tuple(r[c] for c in keys)
@@ -189,54 +170,27 @@ def plan_buckets(
             return plan
         key_fields = [points.schema[k] for k in keys]
         big_schema = T.StructType(key_fields + [T.StructField(n, T.LongType(), False) for n in ("_lo", "_w1", "_nb1")])
-        plan.big = _local(spark, big_rows, big_schema)
+        plan.big = spark.createDataFrame(big_rows, big_schema)
         plan.n_hot = len(hot_rows)
         if hot_rows:
-            plan.hot = _local(spark, hot_rows, T.StructType(key_fields + [points.schema[coord]]))
+            plan.hot = spark.createDataFrame(hot_rows, T.StructType(key_fields + [points.schema[coord]]))
 
         # Further levels: every cell that still holds about a task's worth
         # of sampled rows is split again, until none does.  Rows at hot
         # coordinates do not count: they are combined before the shuffle.
         cold = smp
         if plan.hot is not None:
-            cold = smp.join(F.broadcast(plan.hot), keys + [coord], "left_anti")
-        cells = _assign_level1(cold.join(F.broadcast(plan.big), keys, "inner"), coord)
+            cold = _match(smp, plan.hot, keys + [coord], "left_anti")
+        cells = _assign_level1(_match(cold, plan.big, keys, "inner"), coord)
         bucket_bound = sum(r[-1] for r in big_rows)
-        dense_bound = limit + 1  # cells >= SAMPLE_HITS sampled rows: <= n_rows / target
-        for level in range(2, MAX_LEVELS + 1):
-            parent = BUCKETS[: level - 1]
+        level = 2
+        while True:  # each turn divides the densest cell's rows by CUTS + 1
+            parent = _bucket_cols(level - 1)
             fractions = [i / (CUTS + 1) for i in range(1, CUTS + 1)]
             stats = [F.count(F.lit(1)).alias("_n"), F.min(coord).alias("_clo"), F.max(coord).alias("_chi")]
             is_dense = (F.col("_n") >= SAMPLE_HITS) & (F.col("_chi") > F.col("_clo"))
-            if bucket_bound <= FEW_CELLS:
-                # few cells: one job, a quantile sketch for each
-                dense = (
-                    cells.groupBy(*keys, *parent)
-                    .agg(*stats, F.percentile_approx(coord, fractions, 10000).alias("_cuts"))
-                    .where(is_dense)
-                )
-                found_cells = dense.limit(dense_bound + 1).collect()
-                if len(found_cells) > dense_bound:
-                    raise RuntimeError(f"bucket planning: {len(found_cells)} dense cells exceed {dense_bound}")
-            else:
-                # many cells: cheap count per cell first, sketches only for
-                # the dense ones (usually none)
-                dense_keys = cells.groupBy(*keys, *parent).agg(*stats).where(is_dense).select(*keys, *parent, "_n")
-                dense_counts = dense_keys.limit(dense_bound + 1).collect()
-                if len(dense_counts) > dense_bound:
-                    raise RuntimeError(f"bucket planning: {len(dense_counts)} dense cells exceed {dense_bound}")
-                found_cells = []
-                if dense_counts:
-                    dense_schema = T.StructType(
-                        key_fields + [T.StructField(n, T.LongType(), False) for n in (*parent, "_n")]
-                    )
-                    dense_local = _local(spark, [tuple(r) for r in dense_counts], dense_schema)
-                    found_cells = (
-                        cells.join(F.broadcast(dense_local), keys + parent, "inner")
-                        .groupBy(*keys, *parent)
-                        .agg(F.max("_n").alias("_n"), F.percentile_approx(coord, fractions, 10000).alias("_cuts"))
-                        .collect()
-                    )
+            cuts = F.percentile_approx(coord, fractions, 10000).alias("_cuts")
+            found_cells = cells.groupBy(*keys, *parent).agg(*stats, cuts).where(is_dense).collect()
             if not found_cells:
                 break
             # equal-depth split of the cell at its sampled quantiles
@@ -247,7 +201,7 @@ def plan_buckets(
                 + [T.StructField(n, T.LongType(), False) for n in parent]
                 + [T.StructField(n, points.schema[coord].dataType, False) for n in cut_cols]
             )
-            table = _local(spark, rows, schema)
+            table = spark.createDataFrame(rows, schema)
             plan.levels.append(table)
             plan.n_dense += len(rows)
             bucket_bound += CUTS * len(rows)
@@ -258,6 +212,7 @@ def plan_buckets(
             # stays below SAMPLE_HITS, so the next level needs no job.
             if max(r["_n"] for r in found_cells) / (CUTS + 1) + HOT_HITS < SAMPLE_HITS:
                 break
+            level += 1
         plan.bucket_bound = bucket_bound
         plan.notes.update(
             sample_fraction=p,
@@ -285,15 +240,15 @@ def _assign_level(df: DataFrame, table: DataFrame, keys: list[str], level: int,
     """Bucket of ``level`` inside the cells listed in ``table`` (0 elsewhere):
     the number of the cell's cut points at or below the coordinate (plain
     comparisons, so it stays in generated code)."""
-    parent = BUCKETS[: level - 1]
-    d = df.join(F.broadcast(table), keys + parent, "left")
+    parent = _bucket_cols(level - 1)
+    d = _match(df, table, keys + parent, "left")
     x = F.col(coord)
     sub = None
     for i in range(1, CUTS + 1):
         term = F.when(x >= F.col(f"_q{i}"), 1).otherwise(0)
         sub = term if sub is None else sub + term
     b = F.coalesce(sub.cast("bigint"), F.lit(0).cast("bigint"))
-    return d.withColumn(BUCKETS[level - 1], b).drop(*[f"_q{i}" for i in range(1, CUTS + 1)])
+    return d.withColumn(f"_ss_b{level}", b).drop(*[f"_q{i}" for i in range(1, CUTS + 1)])
 
 
 def assign_buckets(df: DataFrame, plan: BucketPlan, coord: str) -> DataFrame:
@@ -301,7 +256,7 @@ def assign_buckets(df: DataFrame, plan: BucketPlan, coord: str) -> DataFrame:
     ``_ss_big``."""
     keys = plan.keys
     cols = df.columns
-    d = df.join(F.broadcast(plan.big), keys, "left").withColumn(BIG, F.col("_lo").isNotNull())
+    d = _match(df, plan.big, keys, "left").withColumn(BIG, F.col("_lo").isNotNull())
     d = _assign_level1(d, coord)
     for i, table in enumerate(plan.levels):
         d = _assign_level(d, table, keys, i + 2, coord)
@@ -509,7 +464,7 @@ def point_scan(
     rawb = assign_buckets(raw.select(*keys, coord, *value_cols), plan, coord)
     pre = rawb.select(*part, coord, *value_cols)
     if plan.hot is not None:
-        flagged = rawb.join(F.broadcast(plan.hot.withColumn("_ss_hot", F.lit(True))), keys + [coord], "left")
+        flagged = _match(rawb, plan.hot.withColumn("_ss_hot", F.lit(True)), keys + [coord], "left")
         hot_part = flagged.where(F.col("_ss_hot")).groupBy(*part, coord).agg(*sums)
         cold_part = flagged.where(F.col("_ss_hot").isNull()).select(*part, coord, *value_cols)
         pre = hot_part.unionByName(cold_part)
@@ -566,11 +521,14 @@ def scan_plan(
 ) -> BucketPlan | None:
     """``window`` -> None (plain per-group window); ``auto``/``bucketed`` ->
     a sampled bucket plan (empty when no group is big).  Buckets need an
-    integral coordinate; any other ordering column keeps the window plan."""
+    integral coordinate; any other ordering column keeps the window plan under
+    ``auto`` and is an error under ``bucketed``."""
     if strategy == "window":
         return None
     if strategy not in ("auto", "bucketed"):
         raise ValueError(f"unknown strategy {strategy!r}")
     if not isinstance(points.schema[coord].dataType, _INTEGRAL):
+        if strategy == "bucketed":
+            raise ValueError(f"buckets need an integral column, {coord} is {points.schema[coord].dataType.simpleString()}")
         return None
     return plan_buckets(points, keys, coord, n_rows=n_rows, target_rows=target_rows)

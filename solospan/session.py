@@ -38,10 +38,13 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; only when it is unset (local
-    tests) fall back to a fresh scratch folder."""
+    """Use the cluster's ``spark.checkpoint.dir``.  A local session without the
+    setting (tests) gets a scratch folder; elsewhere it is an error, as the
+    executors could not read what others wrote."""
     value = checkpoint_dir(spark)
     if not value:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         value = tempfile.mkdtemp(prefix="solospan-ckpt-")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(value)

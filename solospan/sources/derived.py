@@ -2,12 +2,12 @@
 
 Each function reads the given parquet tables and returns ranges
 ``(set_id, begin, end)`` (plus helper columns); the same rows are written
-as SQL in ``solospan.sources.derived_sql`` for the DuckDB oracle.
+as SQL in ``solospan.queries`` for the DuckDB oracle.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,6 +18,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+SPREAD, ADDRESSES = 2654435761, 3758096384
+
+
+def spread(key) -> Column:
+    """``key * SPREAD % ADDRESSES`` of a key from 0 on, without overflow: reducing the key first leaves the
+    remainder as it is, and so does taking ``ADDRESSES`` from the factor, which keeps the product below 2^63."""
+    return F.pmod((key % ADDRESSES) * (SPREAD - ADDRESSES), F.lit(ADDRESSES).cast("bigint"))
+
+
 def grid_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dense small domain: duplicates, single points, touching results."""
     o = table(spark, sf_dir, "orders")
@@ -32,7 +41,7 @@ def grid_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ip_ranges(spark: SparkSession, sf_dir: str, sets: int | None = 16) -> DataFrame:
     """IPv4-scale ranges from lineitem; ``sets=None`` gives one set (id 0)."""
     li = table(spark, sf_dir, "lineitem")
-    b = (F.col("l_orderkey") * 2654435761 + F.col("l_linenumber") * 40503) % 3758096384
+    b = (spread(F.col("l_orderkey")) + F.col("l_linenumber") * 40503) % ADDRESSES
     set_id = (F.col("l_suppkey") % sets) if sets else F.lit(0).cast("bigint")
     return li.select(
         set_id.alias("set_id"),
@@ -45,7 +54,7 @@ def skewed_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """IPv4 ranges where set 0 holds a third of all rows and, inside it, every
     first line item of an order begins at the same address (a hot point)."""
     li = table(spark, sf_dir, "lineitem")
-    b = (F.col("l_orderkey") * 2654435761 + F.col("l_linenumber") * 40503) % 3758096384
+    b = (spread(F.col("l_orderkey")) + F.col("l_linenumber") * 40503) % ADDRESSES
     hot_set = F.col("l_orderkey") % 3 == 0
     begin = F.when(hot_set & (F.col("l_linenumber") == 1), F.lit(167772160).cast("bigint")).otherwise(b)
     return li.select(
@@ -83,7 +92,7 @@ def range_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     records mixed in (rules in FIXTURES.md section 3)."""
     ev = table(spark, sf_dir, "events")
     eid = F.col("event_id")
-    b = (eid * 2654435761) % 3758096384
+    b = spread(eid)
     coords = ev.select(eid, (F.col("user_id") % 10).alias("set_id"), b.alias("_b")).select(
         "event_id", "set_id", "_b", (F.col("_b") + (eid * 7919) % 1000003).alias("_e")
     )

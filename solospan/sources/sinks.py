@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from solospan.functions.checks import refuse
 from solospan.functions.ipv4 import ip4_text
 from solospan.plans.scan import ordered_scan, scan_plan
 from solospan.schema import as_keys
@@ -55,13 +56,12 @@ def numbered_listing(
     (plain numbers outside the IPv4 range).
     ``on_reversed="raise"`` fails the job on a range with begin > end."""
     keys = as_keys(keys)
-    b = F.col(begin)
     if on_reversed == "raise":
         msg = F.concat(F.lit("Reversed range: "), F.col(begin).cast("string"), F.lit(" > "), F.col(end).cast("string"))
-        b = F.when(F.col(begin) > F.col(end), F.raise_error(msg).cast("bigint")).otherwise(F.col(begin))
+        df = refuse(df, F.col(begin) > F.col(end), msg)
     elif on_reversed != "keep":
         raise ValueError(f"unknown on_reversed {on_reversed!r}")
-    base = df.select(*keys, b.alias(begin), end, F.lit(1).cast("bigint").alias("_one"))
+    base = df.select(*keys, begin, end, F.lit(1).cast("bigint").alias("_one"))
     plan = scan_plan(base, keys, begin, strategy, target_rows=target_rows)
     sc = ordered_scan(base, keys, [begin, end], sums={"n": "_one"}, plan=plan)
     def shown(c: str):  # dotted quad, or the plain number outside the IPv4 range
@@ -93,16 +93,13 @@ def write_ranges(
         F.col(set_col).cast("int").alias("set_id"), F.col("begin").cast("bigint"), F.col("end").cast("bigint")
     )
     bad = F.col("set_id").isNull() | F.col("begin").isNull() | F.col("end").isNull()
-    out = out.select(
-        "set_id",
-        F.when(bad, F.raise_error(F.lit("NULL in a NOT NULL range column"))).otherwise(F.col("begin")).alias("begin"),
-        "end",
-    )
+    out = refuse(out, bad, F.lit("NULL in a NOT NULL range column"))
     if layout == "by_set":
-        writer = out.write.mode(mode).partitionBy("set_id")
+        # a large set is written by many tasks, a small one by one or two
+        writer = out.repartitionByRange("set_id", "begin").write.mode(mode).partitionBy("set_id")
     elif layout == "hashed":
         out = out.withColumn("set_hash", F.pmod(F.xxhash64("set_id"), F.lit(hash_partitions)))
-        writer = out.repartition("set_hash").write.mode(mode).partitionBy("set_hash")
+        writer = out.repartitionByRange("set_hash", "set_id", "begin").write.mode(mode).partitionBy("set_hash")
     else:
         raise ValueError(f"unknown layout {layout!r}")
     if table:
@@ -114,7 +111,8 @@ def write_ranges(
 
 
 def write_listing(listing: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Write the ``line`` column as text files, sorted per set."""
-    listing.sortWithinPartitions(*[c for c in listing.columns if c not in ("line",)]).select("line").write.mode(
-        mode
-    ).text(path)
+    """Write the ``line`` column as text files, a folder for each set (``key=value``); a set's files, by name,
+    hold its lines in order."""
+    keys = [c for c in listing.columns if c not in ("n", "line")]
+    ordered = listing.repartitionByRange(*keys, "n").sortWithinPartitions(*keys, "n").select(*keys, "line")
+    ordered.write.mode(mode).partitionBy(*keys).text(path)

@@ -12,6 +12,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from solospan.functions.checks import refuse
 from solospan.functions.ipv4 import with_ip4
 from solospan.schema import PAIRS_SCHEMA, RANGES_SCHEMA, REJECT_MALFORMED, REJECT_REVERSED
 
@@ -19,7 +20,7 @@ from solospan.schema import PAIRS_SCHEMA, RANGES_SCHEMA, REJECT_MALFORMED, REJEC
 def parse_range_lines(df: DataFrame, line: str = "line") -> DataFrame:
     """Add ``begin``, ``end`` (NULL when malformed) and ``reason`` (NULL when
     the range is good) to a DataFrame of text lines."""
-    fields = F.split(F.regexp_replace(F.col(line), ",+$", ""), ",", -1)
+    fields = F.split(F.regexp_replace(F.col(line), r",+\z", ""), ",", -1)
     two = df.select("*", fields.alias("_fields")).select(
         *df.columns,
         F.when(F.size("_fields") == 2, F.try_element_at("_fields", F.lit(1))).alias("_bt"),
@@ -69,10 +70,8 @@ def read_range_text(
     parsed = parse_range_lines(spark.read.text(path).withColumnRenamed("value", "line"))
     if strict:
         msg = F.concat(F.lit("Reversed range: "), F.col("line"))
-        parsed = parsed.withColumn(
-            "begin", F.when(F.col("reason") == REJECT_REVERSED, F.raise_error(msg).cast("bigint")).otherwise(F.col("begin"))
-        )
-        ranges = _split_rows(parsed, F.col("reason").isNull() | (F.col("reason") == REJECT_REVERSED), ["begin", "end"])
+        ok = F.when(F.col("reason") == REJECT_REVERSED, F.raise_error(msg).cast("boolean")).otherwise(F.col("reason").isNull())
+        ranges = _split_rows(parsed, ok, ["begin", "end"])
     else:
         ranges = good_ranges(parsed)
     if set_id is not None:
@@ -100,7 +99,7 @@ def ranges_from_pair_columns(
     bad = F.col("begin").isNull() | F.col("end").isNull()
     if on_error == "raise":
         msg = F.concat(F.lit("Wrong input range: ("), F.col(begin_text), F.lit(","), F.col(end_text), F.lit(")"))
-        return parsed.select(F.when(bad, F.raise_error(msg).cast("bigint")).otherwise(F.col("begin")).alias("begin"), "end")
+        return refuse(parsed, bad, msg).select("begin", "end")
     if on_error == "drop":
         return parsed.where(~bad).select("begin", "end")
     raise ValueError(f"unknown on_error {on_error!r}")

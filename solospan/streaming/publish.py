@@ -17,6 +17,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from solospan.operators.cutting import exclusive_by_cutting
 from solospan.operators.exclusive import exclusive_ranges
 from solospan.operators.sets import cross_check
 from solospan.plans.scan import CONF_TARGET_ROWS, DEFAULT_TARGET_ROWS
@@ -37,18 +38,26 @@ def _write(df: DataFrame, sink: Sink) -> None:
     if callable(sink):
         sink(df)
         return
-    # parquet table partitioned by set: re-running a set replaces it (idempotent)
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("set_id")
-        .parquet(sink)
-    )
+    df.write.mode("overwrite").parquet(sink)
+
+
+def set_folder(table: str, set_id: int) -> str:
+    """Where a set of a table is kept.  Its rows replace the folder, with no
+    rows as well: publishing a set again leaves just what it gives now."""
+    return f"{table.rstrip('/')}/set_id={set_id}"
+
+
+def _write_set(df: DataFrame, sink: Sink, set_id: int) -> None:
+    if isinstance(sink, str):
+        _write(df.drop("set_id"), set_folder(sink, set_id))
+    else:
+        _write(df, sink)
 
 
 def _stable_input(spark: SparkSession, df: DataFrame, sink: Sink, set_id) -> DataFrame:
     if isinstance(sink, str):
-        return spark.read.parquet(sink).where(F.col("set_id") == F.lit(set_id)).select("set_id", "begin", "end")
+        stored = spark.read.schema("begin bigint, end bigint").parquet(set_folder(sink, set_id))
+        return stored.select(F.lit(set_id).alias("set_id"), "begin", "end")
     ensure_checkpoint_dir(spark)
     return df.checkpoint(eager=True)
 
@@ -67,12 +76,12 @@ def publish(
     exclusive ranges, cross-check them against a second plan (``verify``),
     store them; returns the result.
 
-    The check plan uses buckets four times smaller than the main plan, so the
-    two results come from different physical layouts; both stay skew-safe
-    (a set of any size is never one task)."""
+    The check goes another way: ranges are cut at the edges of fixed buckets,
+    each bucket's exclusive ranges are computed by themselves, and pieces that
+    a cut had parted are glued; a set of any size is never one task."""
     spark = ranges.sparkSession
     numbered = ranges.select(F.lit(set_id).alias("set_id"), "begin", "end")
-    _write(numbered, input_sink)
+    _write_set(numbered, input_sink, set_id)
     stable = _stable_input(spark, numbered, input_sink, set_id)
 
     # used by the check and by both writers: computed once (a lost block is
@@ -83,12 +92,13 @@ def publish(
     try:
         if verify:
             target = target_rows or int(spark.conf.get(CONF_TARGET_ROWS, None) or DEFAULT_TARGET_ROWS)
-            other = exclusive_ranges(stable, strategy="bucketed", target_rows=max(1, target // 4))
+            other = exclusive_by_cutting(stable, target_rows=max(1, target // 4))
             n_diff = cross_check(result, other).count()
             if n_diff:
                 raise CrossCheckFailed(f"set {set_id}: the two plans differ in {n_diff} rows")
-        _write(result, output_sink)
-        write_documents(result, documents, fmt=documents_format)
+        _write_set(result, output_sink, set_id)
+        if documents and documents.strip():  # a folder for each set, replaced when the set is published again
+            write_documents(result, set_folder(documents, set_id), fmt=documents_format, mode="overwrite")
     finally:
         result.unpersist()
     return result

@@ -181,17 +181,15 @@ def test_string_keys_with_bucketed_plan(spark):
     assert got == sorted((f"s{s}", b, e) for s, b, e in exclusive_brute(data))
 
 
-def test_plan_bounds_follow_max_buckets(spark):
+def test_target_rows_is_kept_whatever_the_number_of_buckets(spark):
     from solospan.plans.scan import plan_buckets
 
     data = big_sets(8)
     df = spark.createDataFrame(data, SCHEMA)
     pts = events.half_open_events(df)
     n = pts.count()
-    plan = plan_buckets(pts, ["set_id"], "x", n_rows=n, target_rows=4, max_buckets=10)
-    assert plan.target_rows == -(-n // 10)  # the target grows so that few groups can exceed it
-    assert plan.n_big <= 2 * 10 + 1
-    assert plan.bucket_bound <= 4 * 10 + 31 * 11
+    plan = plan_buckets(pts, ["set_id"], "x", n_rows=n, target_rows=4)
+    assert plan.target_rows == 4  # no bound on the number of buckets overrides the caller
     got = rows(exclusive.exclusive_ranges(df, strategy="bucketed", target_rows=4))
     assert got == exclusive_brute(data)
 
@@ -222,12 +220,29 @@ def test_null_set_key_is_a_group(spark):
     assert sorted(map(tuple, glued.collect()), key=key) == sorted(want, key=key)
 
 
-def test_many_cells_refinement_path(spark, monkeypatch):
+def test_null_set_is_split_into_buckets(spark):
+    import random
+
+    from solospan.plans import scan
+
+    rnd = random.Random(4)
+    data = [(None if i % 3 == 0 else i % 5, b, b + rnd.randint(0, 9)) for i, b in enumerate(rnd.randint(0, 10**6) for _ in range(3000))]
+    df = spark.createDataFrame(data, SCHEMA)
+    ev = events.half_open_events(df)
+    plan = scan.plan_buckets(ev, ["set_id"], "x", target_rows=200)
+    placed = scan.assign_buckets(ev.select("set_id", "x"), plan, "x")
+    largest = placed.groupBy("set_id", *plan.bucket_cols).count().where("set_id is null").agg({"count": "max"}).first()[0]
+    assert largest < 3 * 200
+    key = lambda t: (t[0] is not None, t[0] or 0, t[1])
+    got, want = (exclusive.exclusive_ranges(df, strategy=s, target_rows=200).collect() for s in ("bucketed", "window"))
+    assert sorted(map(tuple, got), key=key) == sorted(map(tuple, want), key=key)
+
+
+def test_many_cells_refinement_path(spark):
     import random
 
     from solospan.plans import scan
 
-    monkeypatch.setattr(scan, "FEW_CELLS", 0)  # take the count-first path
     rnd = random.Random(3)
     data = [(9, 10**9 + k, 10**9 + k + 1) for k in range(0, 40, 4)]
     data += [(9, b, b + rnd.randint(0, 2)) for b in (rnd.randint(0, 20000) for _ in range(2000))]
