@@ -46,11 +46,12 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
 class WordEncoder:
     """Ids of texts as little-endian 32-bit bytes, word by word with bounded caches of words and their parts."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cached_words: int = CACHED_WORDS, cached_parts: int = CACHED_PARTS):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks already use the cores
         self.tokenizer = Tokenizer.from_file(path)
+        self.most_words, self.most_parts = cached_words, cached_parts
         self.words: dict[bytes, bytes] = {}
         self.parts: dict[bytes, bytes] = {}
 
@@ -69,7 +70,7 @@ class WordEncoder:
         new = list(set().union(*cut).difference(self.parts))
         encoded = self.tokenizer.encode_batch_fast([p.decode("utf-8", "replace") for p in new], add_special_tokens=False)
         here = {p: np.array(e.ids, "<u4").tobytes() for p, e in zip(new, encoded, strict=True)}
-        if len(self.parts) > CACHED_PARTS:
+        if len(self.parts) > self.most_parts:
             here.update((p, self.parts[p]) for parts in cut for p in parts if p in self.parts)
             self.parts.clear()
         self.parts.update(here)
@@ -79,7 +80,7 @@ class WordEncoder:
         return out
 
     def encode(self, texts: list[bytes]) -> Iterator[bytes]:
-        if len(self.words) > CACHED_WORDS:
+        if len(self.words) > self.most_words:
             self.words.clear()
         split = [t.split() for t in texts]  # at the six ASCII blanks
         new = list(set().union(*split).difference(self.words))
@@ -95,11 +96,11 @@ class WordEncoder:
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
-def pieces(docs: DataFrame, capacity: int = 2048, path: str | None = None, batch_rows: int = 500) -> DataFrame:
+def pieces(docs: DataFrame, capacity: int = 2048, path: str | None = None, batch_rows: int = 500, cached: tuple[int, int] = (CACHED_WORDS, CACHED_PARTS)) -> DataFrame:
     """doc_id, piece, start, length and ids_crc32 of the pieces of every document (doc_id, text)."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(path or tokenizer_path())
+        encoder = WordEncoder(path or tokenizer_path(), *cached)
         for whole in batches:
             for at in range(0, whole.num_rows, batch_rows):
                 batch = whole.slice(at, batch_rows)
@@ -172,9 +173,11 @@ def pack(lengths: list[int], capacity: int) -> list[list[int]]:
     return bins
 
 
-def pack_documents(docs: DataFrame, capacity: int = 2048, path: str | None = None, shard_pieces: int = 16384) -> DataFrame:
-    """The pieces of ``docs`` with their sequence_id and offset."""
-    cut = checkpointed(pieces(docs, capacity, path))
+def pack_documents(
+    docs: DataFrame, capacity: int = 2048, path: str | None = None, shard_pieces: int = 16384, cached: tuple[int, int] = (CACHED_WORDS, CACHED_PARTS)
+) -> DataFrame:
+    """The pieces of ``docs`` with their sequence_id and offset; ``cached`` words and parts trade a task's memory for time."""
+    cut = checkpointed(pieces(docs, capacity, path, cached=cached))
     shards = max(1, -(-cut.count() // shard_pieces))
 
     def pack_shard(rows: pd.DataFrame) -> pd.DataFrame:
