@@ -50,7 +50,9 @@ def sainte_lague(rows: DataFrame, weight: str, seats: str, key: str, within: lis
     turns = F.when(F.col("_miss") > 0, most).when(F.col("_miss") < 0, F.least(most, base.cast("int"))).otherwise(F.lit(0))
     turns = F.when(turns > 0, F.sequence(F.lit(0), turns - 1)).otherwise(F.array().cast("array<int>"))
     quotient = F.when(F.col("_miss") > 0, w / (2 * (base + F.col("_turn")) + 1)).otherwise(-w / (2 * (base - F.col("_turn")) - 1))
-    rank = F.row_number().over(group.orderBy(F.col("_quotient").desc(), F.col(key)))
+    # of equal quotients the smaller key's counts more: it gains first and loses last
+    tie = (F.when(F.col("_miss") > 0, F.col(key)).asc(), F.when(F.col("_miss") < 0, F.col(key)).desc())
+    rank = F.row_number().over(group.orderBy(F.col("_quotient").desc(), *tie))
     settled = (
         rows.select(*within, key, weight, "_base", "_miss", F.explode(turns).alias("_turn"))
         .withColumn("_quotient", quotient)
