@@ -7,11 +7,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from solospan.functions.buckets import IP4_BUCKET_WIDTH, bucket_of
+from solospan.functions.checks import refuse
+from solospan.operators.events import coverage_depth
 from solospan.operators.exclusive import exclusive_ranges
 from solospan.plans.scan import ordered_scan, scan_plan
 from solospan.schema import as_keys
 
 
+STEP = 65536  # numbers that one row's array may hold
+
+
+def _each_number(df: DataFrame, kept: list[str], first: str, last: str, name: str) -> DataFrame:
+    """``kept`` and a row for each whole number from ``first`` to ``last``, made
+    a step at a time: no row ever holds an array of all its numbers."""
+    steps = df.select("*", F.explode(F.sequence(bucket_of(F.col(first), STEP), bucket_of(F.col(last), STEP))).alias("_step"))
+    low = F.col("_step") * STEP
+    return steps.select(*kept, F.explode(F.sequence(F.greatest(F.col(first), low), F.least(F.col(last), low + (STEP - 1)))).alias(name))
+
+
 def cut_at_buckets(
     df: DataFrame, width: int = IP4_BUCKET_WIDTH, keys=("set_id",), begin: str = "begin", end: str = "end"
 ) -> DataFrame:
@@ -21,8 +34,8 @@ def cut_at_buckets(
     covers no point and gives none."""
     keys = as_keys(keys)
     bb, be = bucket_of(F.col(begin), width), bucket_of(F.col(end), width)
-    buckets = F.when(F.col(begin) <= F.col(end), F.sequence(bb, be))
-    pieces = df.select(*keys, begin, end, F.explode(buckets).alias("bucket"))
+    spans = df.where(F.col(begin) <= F.col(end)).select(*keys, begin, end, bb.alias("_first"), be.alias("_last"))
+    pieces = _each_number(spans, [*keys, begin, end], "_first", "_last", "bucket")
     lo = F.col("bucket") * width
     return pieces.select(
         *keys,
@@ -36,10 +49,16 @@ def glue_points(
     df: DataFrame, width: int = IP4_BUCKET_WIDTH, keys=("set_id",), begin: str = "begin", end: str = "end"
 ) -> DataFrame:
     """Distinct ``keys, bucket`` whose lower edge cuts some range, with the two
-    coordinates on both sides of the edge (``left_point``, ``right_point``)."""
+    coordinates on both sides of the edge (``left_point``, ``right_point``).
+
+    A range's edges are a span of bucket numbers; the spans' coverage gives
+    each edge once, so ranges that share edges cost two events each and no
+    edge is made to be dropped again."""
     keys = as_keys(keys)
     bb, be = bucket_of(F.col(begin), width), bucket_of(F.col(end), width)
-    edges = df.where(be > bb).select(*keys, F.explode(F.sequence(bb + 1, be)).alias("bucket")).distinct()
+    spans = coverage_depth(df.where(be > bb).select(*keys, (bb + 1).alias("_first"), be.alias("_last")), keys, "_first", "_last")
+    spans = spans.where("depth > 0").select(*keys, "point", (F.col("next_point") - 1).alias("_last"))
+    edges = _each_number(spans, keys, "point", "_last", "bucket")
     return edges.select(
         *keys, "bucket", (F.col("bucket") * width - 1).alias("left_point"), (F.col("bucket") * width).alias("right_point")
     )
@@ -77,11 +96,13 @@ def _islands(d: DataFrame, keys: list[str], begin: str, end: str, strategy: str,
     """Unite runs of disjoint ranges (sorted by begin) where each range touches
     the previous one and may join it (column ``_join``).
 
-    One running sum, no lead: with ``S`` the total length of the earlier rows
+    With ``S`` the total length of the earlier rows
     of the group and ``B`` the number of rows so far that may not join their
     predecessor, ``key = begin - S + B`` never decreases and stays equal
     exactly across touching rows that may join; an island is a ``key``.
 
+    Ranges that overlap fail the job: the formula holds for disjoint ones.
+
     Nothing is written while the plan is built.  The bucketed plan counts and
     samples its input first; a caller whose input is costly stores it before."""
     plan = scan_plan(d.select(*keys, begin), keys, begin, strategy, target_rows=target_rows)
@@ -92,7 +113,9 @@ def _islands(d: DataFrame, keys: list[str], begin: str, end: str, strategy: str,
         (F.col(end) - F.col(begin) + 1).alias("_len"),
         F.when(F.col("_join"), 0).otherwise(1).cast("bigint").alias("_nj"),
     )
-    sc = ordered_scan(d, keys, [begin], sums={"_s": "_len", "_b": "_nj"}, plan=plan)
+    sc = ordered_scan(d, keys, [begin], sums={"_s": "_len", "_b": "_nj"}, leads={"_next": begin}, plan=plan)
+    shown = [F.col(c).cast("string") for c in (begin, end, "_next")]
+    sc = refuse(sc, F.col("_next") <= F.col(end), F.concat(F.lit("Overlapping ranges: "), shown[0], F.lit(".."), shown[1], F.lit(" and "), shown[2]))
     key = F.col(begin) - (F.col("_s") - F.col("_len")) + F.col("_b")
     return sc.groupBy(*keys, key.alias("_island")).agg(F.min(begin).alias(begin), F.max(end).alias(end)).drop(
         "_island"

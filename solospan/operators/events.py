@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from solospan.functions.checks import refuse
 from solospan.plans.scan import point_scan, scan_plan
 from solospan.schema import as_keys
 
@@ -44,17 +45,24 @@ def endpoint_totals(df: DataFrame, keys=("set_id",), begin: str = "begin", end:
 
 
 def half_open_events(
-    df: DataFrame, keys=("set_id",), begin: str = "begin", end: str = "end", valid_only: bool = False
+    df: DataFrame, keys=("set_id",), begin: str = "begin", end: str = "end", valid_only: bool = False, on_invalid: str = "drop"
 ) -> DataFrame:
     """Raw (not aggregated) half-open events ``keys, x, starts, ends, delta``
     where ``ends`` is -1 at ``end + 1`` (coordinates as BIGINT).
 
-    ``valid_only`` drops ranges that cover no point (NULL bound or
-    ``begin > end``); the audits keep them on purpose."""
+    ``valid_only`` leaves out ranges that cover no point (NULL bound or
+    ``begin > end``; ``invalid_ranges`` lists them), or fails the job on one
+    with ``on_invalid="raise"``; the audits keep them on purpose."""
     keys = as_keys(keys)
     b, e = F.col(begin).cast("bigint"), F.col(end).cast("bigint")
     if valid_only:
-        df = df.where(b.isNotNull() & e.isNotNull() & (b <= e))
+        if on_invalid == "raise":
+            shown = [F.coalesce(c.cast("string"), F.lit("NULL")) for c in (b, e)]
+            df = refuse(df, F.coalesce(b > e, F.lit(True)), F.concat(F.lit("Invalid range: "), shown[0], F.lit(", "), shown[1]))
+        elif on_invalid == "drop":
+            df = df.where(b.isNotNull() & e.isNotNull() & (b <= e))
+        else:
+            raise ValueError(f"unknown on_invalid {on_invalid!r}")
     ev = F.array(
         F.struct(b.alias("x"), _one(1).alias("starts"), _one(0).alias("ends")),
         F.struct((e + 1).alias("x"), _one(0).alias("starts"), _one(-1).alias("ends")),
@@ -62,6 +70,13 @@ def half_open_events(
     return df.select(*keys, F.inline(ev)).withColumn("delta", F.col("starts") + F.col("ends"))
 
 
+def invalid_ranges(df: DataFrame, begin: str = "begin", end: str = "end") -> DataFrame:
+    """The rows of ``df`` that cover no point, with the ``reason`` (``null bound`` or ``reversed``)."""
+    b, e = F.col(begin), F.col(end)
+    reason = F.when(b.isNull() | e.isNull(), "null bound").when(b > e, "reversed")
+    return df.withColumn("reason", reason).where(F.col("reason").isNotNull())
+
+
 def point_deltas(df: DataFrame, keys=("set_id",), begin: str = "begin", end: str = "end") -> DataFrame:
     """Half-open events summed per coordinate: ``keys, x, starts, ends, delta``.
     Coordinates whose deltas cancel are kept (they separate touching ranges)."""
@@ -83,15 +98,17 @@ def levels(
     target_rows: int | None = None,
     n_rows: int | None = None,
     values: tuple[str, ...] = ("starts", "ends", "delta"),
+    on_invalid: str = "drop",
 ) -> DataFrame:
     """``keys, x, <values>, level, next_x`` (``values`` summed per coordinate;
     none for just the levels, the cheapest form): ``level`` ranges cover
     every point of ``[x, next_x - 1]``; ``next_x`` is NULL after the last
     coordinate of a group (where the level is 0).  Ranges with a NULL bound
-    or ``begin > end`` cover no point and are ignored."""
+    or ``begin > end`` cover no point and are left out, or refused with
+    ``on_invalid="raise"``."""
     keys = as_keys(keys)
     plan = None
-    raw = half_open_events(df, keys, begin, end, valid_only=True)
+    raw = half_open_events(df, keys, begin, end, valid_only=True, on_invalid=on_invalid)
     if strategy != "window":
         if n_rows is None:
             n_rows = 2 * df.count()

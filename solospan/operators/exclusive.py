@@ -30,10 +30,15 @@ def exclusive_ranges(
     end: str = "end",
     strategy: str = "auto",
     target_rows: int | None = None,
+    on_invalid: str = "drop",
 ) -> DataFrame:
-    """``keys, begin, end`` of the parts covered by exactly one input range."""
+    """``keys, begin, end`` of the parts covered by exactly one input range.
+
+    Ranges with a NULL bound or ``begin > end`` cover no point; they are left
+    out (``events.invalid_ranges`` lists them) or, with ``on_invalid="raise"``,
+    fail the job."""
     keys = as_keys(keys)
-    lv = levels(df, keys, begin, end, strategy=strategy, target_rows=target_rows, values=())
+    lv = levels(df, keys, begin, end, strategy=strategy, target_rows=target_rows, values=(), on_invalid=on_invalid)
     return lv.where(F.col("level") == 1).select(
         *keys, F.col("x").alias(begin), (F.col("next_x") - 1).alias(end)
     )

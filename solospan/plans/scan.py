@@ -93,7 +93,7 @@ def _bucket_cols(n: int) -> list[str]:
     return [f"_ss_b{i}" for i in range(1, n + 1)]
 
 
-def _match(df: DataFrame, table: DataFrame, cols: list[str], how: str) -> DataFrame:
+def match(df: DataFrame, table: DataFrame, cols: list[str], how: str) -> DataFrame:
     """Join with a planning table on ``cols``, where a NULL key is a key like any other."""
     other = table.select(*[F.col(c).alias(f"_ss_m_{c}") if c in cols else F.col(c) for c in table.columns])
     cond = None
@@ -180,8 +180,8 @@ def plan_buckets(
         # coordinates do not count: they are combined before the shuffle.
         cold = smp
         if plan.hot is not None:
-            cold = _match(smp, plan.hot, keys + [coord], "left_anti")
-        cells = _assign_level1(_match(cold, plan.big, keys, "inner"), coord)
+            cold = match(smp, plan.hot, keys + [coord], "left_anti")
+        cells = _assign_level1(match(cold, plan.big, keys, "inner"), coord)
         bucket_bound = sum(r[-1] for r in big_rows)
         level = 2
         while True:  # each turn divides the densest cell's rows by CUTS + 1
@@ -241,7 +241,7 @@ def _assign_level(df: DataFrame, table: DataFrame, keys: list[str], level: int,
     the number of the cell's cut points at or below the coordinate (plain
     comparisons, so it stays in generated code)."""
     parent = _bucket_cols(level - 1)
-    d = _match(df, table, keys + parent, "left")
+    d = match(df, table, keys + parent, "left")
     x = F.col(coord)
     sub = None
     for i in range(1, CUTS + 1):
@@ -256,7 +256,7 @@ def assign_buckets(df: DataFrame, plan: BucketPlan, coord: str) -> DataFrame:
     ``_ss_big``."""
     keys = plan.keys
     cols = df.columns
-    d = _match(df, plan.big, keys, "left").withColumn(BIG, F.col("_lo").isNotNull())
+    d = match(df, plan.big, keys, "left").withColumn(BIG, F.col("_lo").isNotNull())
     d = _assign_level1(d, coord)
     for i, table in enumerate(plan.levels):
         d = _assign_level(d, table, keys, i + 2, coord)
@@ -464,7 +464,7 @@ def point_scan(
     rawb = assign_buckets(raw.select(*keys, coord, *value_cols), plan, coord)
     pre = rawb.select(*part, coord, *value_cols)
     if plan.hot is not None:
-        flagged = _match(rawb, plan.hot.withColumn("_ss_hot", F.lit(True)), keys + [coord], "left")
+        flagged = match(rawb, plan.hot.withColumn("_ss_hot", F.lit(True)), keys + [coord], "left")
         hot_part = flagged.where(F.col("_ss_hot")).groupBy(*part, coord).agg(*sums)
         cold_part = flagged.where(F.col("_ss_hot").isNull()).select(*part, coord, *value_cols)
         pre = hot_part.unionByName(cold_part)

@@ -69,6 +69,9 @@ QUERIES: dict[str, Query] = {
     "numbered_listing_bucketed": lambda s, sf: sinks.numbered_listing(
         derived.ip_ranges(s, sf, sets=None), strategy="bucketed", target_rows=SMALL_TARGET
     ),
+    "numbered_listing_skewed": lambda s, sf: sinks.numbered_listing(
+        derived.skewed_ranges(s, sf), strategy="bucketed", target_rows=SMALL_TARGET
+    ),
     # A3: generator (hash mode over order keys)
     "synthetic_ranges": lambda s, sf: generate.synthetic_ranges(
         derived.table(s, sf, "orders"), "o_orderkey", "o_custkey"
@@ -97,6 +100,10 @@ QUERIES: dict[str, Query] = {
     "coverage_depth_bucketed": lambda s, sf: events.coverage_depth(
         derived.ip_ranges(s, sf, sets=None), strategy="bucketed", target_rows=SMALL_TARGET
     ),
+    "coverage_depth_skewed": lambda s, sf: events.coverage_depth(
+        derived.skewed_ranges(s, sf), strategy="bucketed", target_rows=SMALL_TARGET * 4
+    ),
+    "invalid_ranges": lambda s, sf: events.invalid_ranges(_lines_kept(s, sf)),
     "open_ranges": lambda s, sf: events.open_ranges(derived.grid_ranges(s, sf)),
     # D3, D4, D8
     "exclusive_ranges": lambda s, sf: _grid_exclusive(s, sf),
@@ -216,6 +223,11 @@ from (select *, cast(row_number() over (partition by set_id order by begin, "end
     "numbered_listing_bucketed": _with(
         IP1,
         f"""select set_id, n, cast(n as varchar) || chr(9) || {_dotted('begin')} || ', ' || {_dotted('"end"')} as line
+from (select *, cast(row_number() over (partition by set_id order by begin, "end") as bigint) as n from r)""",
+    ),
+    "numbered_listing_skewed": _with(
+        SKEWED,
+        f"""select set_id, n, cast(n as varchar) || chr(9) || {_dotted('begin')} || ', ' || {_dotted('"end"')} as line
 from (select *, cast(row_number() over (partition by set_id order by begin, "end") as bigint) as n from r)""",
     ),
     "synthetic_ranges": """with k as (select o_custkey as set_id, o_orderkey as id from orders),
@@ -267,6 +279,9 @@ union all select set_id, "end" as point, cast(0 as bigint) as starts, cast(-1 as
 select set_id, x as point, depth, nx as next_point from cov""",
     "coverage_depth_bucketed": f"""with r as ({IP1}), {_segments()}
 select set_id, x as point, depth, nx as next_point from cov""",
+    "coverage_depth_skewed": f"""with r as ({SKEWED}), {_segments()}
+select set_id, x as point, depth, nx as next_point from cov""",
+    "invalid_ranges": f"""with {LINES} select event_id, set_id, begin, "end", 'reversed' as reason from kept where begin > "end" """,
     "open_ranges": _with(
         GRID,
         """, bp as (select set_id, begin as point, count(*) as n_starting from r group by set_id, begin)
