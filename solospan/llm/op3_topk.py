@@ -14,12 +14,16 @@ alone, and only the pairs that survive bring their rows together, where the
 trees are walked down.  Pruning is by strict inequality, so ties are kept and
 the result is exact.
 
-Vectors are turned into the integers floor(1024 * x); products of components
-up to 2^21 are exact in doubles.
+Vectors are turned into the integers floor(1024 * x).  A product of two whose
+norms multiply to less than 2^52 is exact in doubles.  Others are searched
+with an upper bound that allows for the rounding, and what passes it is scored
+again in integers, so that components of any size take part.
 
 Defined results: vectors that are null or empty, hold null or non-finite
-components, components of 2^21 or more after scaling, or another length than
-most take no part, nor do rows without an id (a zero vector does take part);
+components, or another length than most take no part, nor do rows without an
+id (a zero vector does take part); as in the SQL, a scaled component that no
+BIGINT holds fails the query, and so does a score to be returned that none
+holds;
 rows that repeat an id are candidates each for itself (never of their own id);
 equal scores rank by id; fewer candidates than k are all returned; an empty
 table gives no rows; other columns are ignored.
@@ -32,7 +36,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from solospan.llm.common import checkpointed, map_batches
@@ -40,7 +44,9 @@ from solospan.llm.vectors import best, matrix, packed, unpacked, valid_vectors
 
 BASE = 1.3
 LEAF = 64
-SCALE, LARGEST = 1024, 1 << 21
+SCALE = 1024
+EXACT = 2.0**52  # norms that multiply to less have products, and partial sums, that doubles hold
+BIGGEST = (1 << 63) - 1
 
 
 def distances(x: np.ndarray, centre: np.ndarray) -> np.ndarray:
@@ -105,6 +111,26 @@ def bounds(a: np.ndarray, r: np.ndarray, b: np.ndarray, s: np.ndarray) -> np.nda
     return top + 1e-9 * np.outer(an + r, bn + s) + 1e-9
 
 
+def norms(x: np.ndarray) -> np.ndarray:
+    return np.sqrt((x * x).sum(axis=1))
+
+
+def integer_scores(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The exact products of a with the rows of b (integers below 2^63), cut to +-BIGGEST."""
+    rough = b @ a
+    with np.errstate(over="ignore"):
+        scores = (b.astype(np.int64) * a.astype(np.int64)).sum(axis=1)  # right modulo 2^64
+    for i in np.flatnonzero(np.abs(rough) + 1e-9 * norms(b) * norms(a[None]) >= 2.0**62):
+        exact = sum(int(x) * int(y) for x, y in zip(a, b[i], strict=True))
+        scores[i] = min(max(exact, -BIGGEST), BIGGEST)
+    return scores
+
+
+def at_most(score: float) -> float:
+    """A double that is not above the integer."""
+    return float(score) if abs(score) < 2**53 else float(np.nextafter(float(score), -np.inf))
+
+
 def dual_tree(queries: np.ndarray, query_ids: np.ndarray, worst: np.ndarray, x: np.ndarray, ids: np.ndarray, k: int) -> list[tuple[int, int, int]]:
     """(query, vec_id, score): each query's k best of x that score at least its ``worst``."""
     groups = leaves(cover_tree(queries, 16))
@@ -126,22 +152,32 @@ def dual_tree(queries: np.ndarray, query_ids: np.ndarray, worst: np.ndarray, x:
                 else:
                     ends.append((float(top[alive[:, j], j].max()), n, top[:, j]))
         level, alive = nxt, np.stack(masks, axis=1) if masks else np.ones((len(groups), 0), bool)
+    query_norms, row_norms = norms(queries), norms(x)
+    wide = query_norms.max() * row_norms.max() >= EXACT
     for _, n, top in sorted(ends, key=lambda e: -e[0]):
         chosen = np.flatnonzero(top >= low)
         if not len(chosen):
             continue
         q = np.concatenate([groups[g].rows for g in chosen])
-        scores = queries[q] @ x[n.rows].T
+        scores, rounded = queries[q] @ x[n.rows].T, None
+        if wide:
+            rounded = np.outer(query_norms[q], row_norms[n.rows])
+            rounded[rounded < EXACT] = 0
+            scores += 1e-9 * rounded  # upper bounds
         scores[query_ids[q][:, None] == ids[n.rows][None, :]] = -np.inf
         for i in np.flatnonzero((scores >= worst[q][:, None]).any(axis=1)):
             place = np.flatnonzero(scores[i] >= max(worst[q[i]], -1e300))
-            mine = found[q[i]]
-            mine.append((scores[i][place], ids[n.rows[place]]))
+            mine, exact = found[q[i]], scores[i][place]
+            if wide:
+                exact = np.where(rounded[i][place] == 0, exact, 0).astype(np.int64)
+                again = np.flatnonzero(rounded[i][place])
+                exact[again] = integer_scores(queries[q[i]], x[n.rows[place[again]]])
+            mine.append((exact.astype(np.int64), ids[n.rows[place]]))
             if sum(len(m[0]) for m in mine) >= 2 * k:
                 s, v = (np.concatenate([m[t] for m in mine]) for t in (0, 1))
                 keep = best(s, v, k)
                 found[q[i]] = [(s[keep], v[keep])]
-                worst[q[i]] = max(worst[q[i]], s[keep[-1]])
+                worst[q[i]] = max(worst[q[i]], at_most(s[keep[-1]]))
         for g in chosen:
             low[g] = worst[groups[g].rows].min()
     out = []
@@ -163,9 +199,13 @@ def far_centres(x: np.ndarray, n: int) -> np.ndarray:
 
 def integer_vectors(table: DataFrame, scale: int = SCALE) -> DataFrame:
     """(vec_id, v): floor(scale * component) of the vectors that take part, packed."""
-    rows = valid_vectors(table)
-    scaled = rows.select("vec_id", F.transform("x", lambda c: F.floor(c * scale).cast("double")).alias("x"))
-    return packed(scaled.where(~F.exists("x", lambda c: F.abs(c) >= LARGEST)))
+
+    def whole(c: Column) -> Column:
+        c = c * scale
+        fractions = F.abs(c) < 2.0**53  # from there on all doubles are integers
+        return F.when(fractions, F.floor(c).cast("double")).when(F.abs(c) < 2.0**63, c).otherwise(F.raise_error(F.lit("a scaled component does not fit BIGINT")))
+
+    return packed(valid_vectors(table).select("vec_id", F.transform("x", whole).alias("x")))
 
 
 def exact_top_k(
@@ -219,7 +259,9 @@ def exact_top_k(
     blocks_of = data.select("cell", "block").distinct()
     own = checkpointed(queries.select("cell", "grp").distinct().join(blocks_of, "cell").select("block", "grp").distinct())
     seeds = checkpointed(top(meet(own, queries.withColumn("worst", F.lit(float("-inf"))))).select("query_id", "vec_id", "score"))
-    known = seeds.groupBy("query_id").agg(F.min("score").cast("double").alias("worst"), F.count("*").alias("n")).where(F.col("n") == k)
+    least = F.min("score").cast("double")
+    least = least - F.when(F.abs(least) >= 2.0**53, F.abs(least) * 2.0**-52).otherwise(0.0)  # not above the integer
+    known = seeds.groupBy("query_id").agg(least.alias("worst"), F.count("*").alias("n")).where(F.col("n") == k)
     bounded = queries.join(known, queries.vec_id == known.query_id, "left").select("vec_id", "v", "grp", F.coalesce("worst", F.lit(float("-inf"))).alias("worst"))
     bounded = checkpointed(bounded)
 
@@ -249,4 +291,5 @@ def exact_top_k(
 
     pairs = roots.groupBy("shard").cogroup(groups.groupBy("shard")).applyInPandas(survivors, "block int, grp int").join(own, ["block", "grp"], "left_anti")
     rest = meet(checkpointed(pairs), bounded)
-    return top(rest.unionByName(seeds)).select("query_id", "rank", "vec_id", "score")
+    score = F.when(F.abs("score") < BIGGEST, F.col("score")).otherwise(F.raise_error(F.lit("a score does not fit BIGINT")).cast("long")).alias("score")
+    return top(rest.unionByName(seeds)).select("query_id", "rank", "vec_id", score)

@@ -170,6 +170,28 @@ def test_top_k_and_neighbours_by_brute_force(spark):
         assert f(table.where("vec_id = 0")).count() == 0  # no candidate but the query itself
 
 
+def test_top_k_keeps_large_components(spark):
+    rng = np.random.default_rng(2)
+    x = np.floor(rng.standard_normal((300, 8)) * 2.0 ** rng.integers(0, 13, (300, 1)) * 1024) / 1024
+    x[40:60] = np.round(rng.standard_normal((20, 8)) * 2e5) + 0.25  # scores beyond 2^53
+    x[60:70] = x[50]
+    x[60:70, 0] += np.arange(10) / 1024  # that differ less than doubles show
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    scaled = [[int(c) for c in np.floor(1024 * v)] for v in x]
+    got = {}
+    for r in op3_topk.exact_top_k(table, k=10, query_modulus=10, block_rows=64, group_rows=4, cells=4).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    for q in range(0, 300, 10):
+        best = sorted((-sum(a * b for a, b in zip(scaled[q], v, strict=True)), i) for i, v in enumerate(scaled) if i != q)[:10]
+        assert sorted(got[q]) == [(n + 1, i, -s) for n, (s, i) in enumerate(best)]
+    assert max(s for rows in got.values() for _, _, s in rows) > 2**53
+    a, b = [2.0**62, -3.0, 1.0], [[1.0, 1.0, 1.0], [4.0, 0.0, 0.0], [-(2.0**62), 5.0, 1.0], [1.5, 1.0, 0.0]]
+    assert op3_topk.integer_scores(np.array(a), np.array(b[:3])).tolist() == [2**62 - 2, op3_topk.BIGGEST, -op3_topk.BIGGEST]
+    huge = spark.createDataFrame([(0, [2.0**30]), (1, [2.0**30])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="does not fit BIGINT"):  # 2^80
+        op3_topk.exact_top_k(huge).collect()
+
+
 def test_classifiers_on_held_out_rows(spark):
     docs, known = (spark.read.parquet(f"{SF001}/{t}.parquet") for t in ("documents", "labels"))
     truth = {r.doc_id: r for r in known.collect()}
