@@ -6,16 +6,18 @@ span.  Further generators propose spans that the base patterns cannot see:
 e-mail addresses in words ("name [at] host [dot] org"), telephone numbers
 without a country code, and IPv6 addresses.
 
-Each candidate has a vector of small integer features: its format (digits,
-separators, checksum, octets, first and last characters) and its context
-(the characters on either side, telling words before it).  There are no
-labelled spans to learn from, so a candidate's label is whether it passes its
-generator's strict check, which sees the whole match.  Candidates with equal
-features and label are counted together by Spark over all documents; the
-trees are boosted on these counts, whose number is bounded by the feature
-bins, and each generator gets the lowest threshold at which the share of right
-ones among the selected is at least ``PRECISION``.  Selected candidates that
-overlap no base span and no better candidate are added.
+Each candidate of these has a vector of small integer features: its format
+(digits, separators, checksum, octets, first and last characters, area code
+and exchange, colons) and its context (the characters on either side, telling
+words before it).  There are no labelled spans to learn from, so a candidate's
+label is whether it passes its generator's strict check, which sees the whole
+match.  Candidates that overlap a base span can never be added and are not
+learned from.  The others with equal features and label are counted together
+by Spark over all documents; each generator has trees of its own, boosted on
+its counts, whose number is bounded by the feature bins, and the lowest
+threshold at which the share of right ones among the selected is at least
+``PRECISION``.  Selected candidates that overlap no base span and no better
+candidate are added.
 
 All work on texts is DataFrame expressions; the trees become CASE expressions.
 Patterns are written so that matching is linear in the text: runs are
@@ -89,7 +91,16 @@ def _check(g: int, match: Column) -> Column:
 
 
 #: Bins of each feature, the generator first.
-BINS = (len(GENERATORS), 6, 2, 2, 4, 4, 3, 2, 4, 4)
+BINS = (len(GENERATORS), 6, 2, 2, 4, 4, 3, 2, 4, 4, 3)
+
+
+def _form(g: int, match: Column) -> Column:
+    """What the strict check looks at: area code and exchange of a telephone number, colons of an address."""
+    if GENERATORS[g][0] == "phone":
+        return F.when(~match.rlike(r"^\(?[2-9]"), 0).when(~match.rlike(r"^\(?[0-9]{3}[\x20).-]{1,2}[2-9]"), 1).otherwise(2)
+    if GENERATORS[g][0] == "ip":
+        return F.when(F.contains(match, F.lit("::")), 1).when(match.rlike("^(?:[^:]*:){7}[^:]*$"), 2).otherwise(0)
+    return F.lit(0)
 
 
 def _features(g: int, match: Column, before: Column, after: Column) -> Column:
@@ -107,6 +118,7 @@ def _features(g: int, match: Column, before: Column, after: Column) -> Column:
         before.rlike(CONTEXT).cast("int"),
         _char_class(F.right(before, F.lit(1))),
         _char_class(F.substring(after, 1, 1)),
+        _form(g, match),
     )
 
 
@@ -134,7 +146,7 @@ def with_candidates(df: DataFrame) -> DataFrame:
                 F.lit(g).alias("g"),
                 end.alias("end"),
                 _check(g, x["m"]).alias("ok"),
-                _features(g, x["m"], F.right(x["b"], F.lit(BEFORE)), x["a"]).alias("f"),
+                (_features(g, x["m"], F.right(x["b"], F.lit(BEFORE)), x["a"]) if g >= BASE else F.array().cast("array<int>")).alias("f"),
             )
             return F.struct(end.alias("at"), F.concat(acc["out"], F.array(one)).alias("out"))
 
@@ -198,27 +210,32 @@ class BoostedTrees:
         return reduce(add, map(value, self.trees), F.lit(self.base))
 
 
-def fit(candidates: DataFrame) -> tuple[BoostedTrees, list[float]]:
-    """Trees and each generator's threshold on the margin, from the ``_cands`` of all documents."""
-    one = candidates.select(F.explode("_cands").alias("c")).groupBy("c.f").agg(F.sum(F.col("c.ok").cast("long")), F.sum((~F.col("c.ok")).cast("long")))
+def _overlap(a: Column, b: Column) -> Column:
+    return (a["start"] < b["end"]) & (b["start"] < a["end"])
+
+
+def fit(candidates: DataFrame) -> tuple[dict[int, BoostedTrees], list[float]]:
+    """Each further generator's trees and all thresholds on the margin, from the ``_cands`` of all documents that could be added."""
+    free = F.filter("_cands", lambda c: (c["g"] >= BASE) & ~F.exists("_cands", lambda b: (b["g"] < BASE) & b["ok"] & _overlap(b, c)))
+    one = candidates.select(F.explode(free).alias("c")).groupBy("c.f").agg(F.sum(F.col("c.ok").cast("long")), F.sum((~F.col("c.ok")).cast("long")))
     counted = one.collect()  # a row for each combination of bins at most, whatever the input
     x = np.array([r[0] for r in counted], np.int64).reshape(-1, len(BINS))
     right, wrong = (np.array([r[i] for r in counted], float) for i in (1, 2))
-    trees = BoostedTrees(x, right, wrong)
-    margins, thresholds = trees.margins(x), []
-    for g in range(len(GENERATORS)):
+    trees, thresholds = {}, [0.0] * BASE
+    for g in range(BASE, len(GENERATORS)):
         mine = np.flatnonzero(x[:, 0] == g)
-        by = mine[np.argsort(-margins[mine], kind="stable")]
-        threshold = float("inf") if len(by) else 0.0
-        for m in np.unique(margins[by])[::-1]:
-            chosen = by[margins[by] >= m]
+        trees[g] = BoostedTrees(x[mine], right[mine], wrong[mine])
+        margins = trees[g].margins(x[mine])
+        threshold = float("inf") if len(mine) else 0.0
+        for m in np.unique(margins)[::-1]:
+            chosen = mine[margins >= m]
             if right[chosen].sum() >= PRECISION * (right[chosen] + wrong[chosen]).sum():
                 threshold = float(m) - 1e-9
         thresholds.append(threshold)
     return trees, thresholds
 
 
-def _spans(trees: BoostedTrees, thresholds: list[float]) -> dict[str, Column]:
+def _spans(trees: dict[int, BoostedTrees], thresholds: list[float]) -> dict[str, Column]:
     """``_base`` and ``_all``: sorted arrays of (start, kind number, end), from ``_cands``."""
     kind = F.array(*(F.lit(KINDS.index(k)) for k, _, _ in GENERATORS))
 
@@ -228,19 +245,19 @@ def _spans(trees: BoostedTrees, thresholds: list[float]) -> dict[str, Column]:
     base = F.array_sort(F.transform(F.filter("_cands", lambda c: (c["g"] < BASE) & c["ok"]), plain))
     limit = F.array(*(F.lit(t) for t in thresholds))
     further = F.filter("_cands", lambda c: (c["g"] >= BASE))
-    scored = F.transform(further, lambda c: F.struct(trees.column(c["f"]).alias("score"), c.alias("c")))
-    chosen = F.filter(scored, lambda s: (s["score"] >= limit[s["c"]["g"]]) & ~F.exists("_base", lambda b: (b["start"] < s["c"]["end"]) & (s["c"]["start"] < b["end"])))
+    score = lambda c: F.coalesce(*(F.when(c["g"] == g, t.column(c["f"])) for g, t in trees.items()))
+    scored = F.transform(further, lambda c: F.struct(score(c).alias("score"), c.alias("c")))
+    chosen = F.filter(scored, lambda s: (s["score"] >= limit[s["c"]["g"]]) & ~F.exists("_base", lambda b: _overlap(b, s["c"])))
 
     def better(s: Column, o: Column) -> Column:
-        overlap = (o["c"]["start"] < s["c"]["end"]) & (s["c"]["start"] < o["c"]["end"])
         rank = lambda v: F.struct(v["score"], v["c"]["end"] - v["c"]["start"], -v["c"]["start"], -v["c"]["g"])
-        return overlap & (rank(o) > rank(s))
+        return _overlap(o["c"], s["c"]) & (rank(o) > rank(s))
 
     added = F.transform(F.filter("_chosen", lambda s: ~F.exists("_chosen", lambda o: better(s, o))), lambda s: plain(s["c"]))
     return {"_base": base, "_chosen": chosen, "_all": F.array_sort(F.concat("_base", added))}
 
 
-def with_spans(df: DataFrame, trees: BoostedTrees, thresholds: list[float]) -> DataFrame:
+def with_spans(df: DataFrame, trees: dict[int, BoostedTrees], thresholds: list[float]) -> DataFrame:
     for name, column in _spans(trees, thresholds).items():
         df = df.withColumn(name, column)
     return df.drop("_chosen", "_cands")

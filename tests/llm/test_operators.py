@@ -105,6 +105,16 @@ def test_pii_spans(spark):
     assert row.base_sha256 == hashlib.sha256(",".join(listed).encode()).hexdigest()
 
 
+def test_bare_telephone_numbers(spark):
+    texts = [f"ring +1 ({i:03}) 555-{i:04} now" for i in range(60)]  # matches inside base spans, wrong by the strict check
+    texts += [f"ring (212) 555-{i:04} now" for i in range(12)] + [f"ring (112) 555-{i:04} now" for i in range(30)]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    out = {r.doc_id: r for r in op2_pii.find_pii(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [out[i].spans.split(":")[0] for i in range(60)] == ["phone"] * 60 and out[0].n_phone == 1
+    assert [out[i].spans for i in range(60, 72)] == ["phone:5:19"] * 12
+    assert [out[i].spans for i in range(72, 102)] == [""] * 30
+
+
 def test_sainte_lague(spark):
     rnd = random.Random(6)
     for _ in range(4):
