@@ -1,13 +1,19 @@
 """Licence scan: TF-IDF cosine of headers and licence files to templates, then inheritance from ancestor directories.
 
-Every line and every paragraph of a whole text is a possible header, the whole
-text a possible licence file.  They are compared with licence templates as
+Every line and every paragraph of a whole text is a possible header, and so is
+every run of as many terms as a template has, wherever it begins, and every run
+of adjacent lines of up to twice as many (a notice in running text, or wrapped
+and followed by other lines); runs count from ``header_cosine`` on.  The whole
+text is a possible licence file.  They are compared with licence templates as
 sparse TF-IDF vectors; document frequencies of the templates' terms are counted
 over all documents, and terms that no template has weigh like unseen ones.
 
 A text is only taken apart if it can match: for each template, the rarest
 terms are chosen until the others alone cannot reach the threshold, and a text
-without any of the chosen terms is passed by.  This loses nothing.
+without any of the chosen terms is passed by.  Runs are first given an upper
+bound of their cosine from running sums (as if no term occurred in them twice),
+and compared from the highest bound down until no bound reaches the best cosine
+found.  This loses nothing.
 
 A file is a licence file if its name says so, or if the whole text reaches
 ``file_cosine``.  Directories take the licence of their best licence file, and
@@ -69,6 +75,8 @@ def terms(text: bytes) -> list[bytes]:
 
 
 VOCABULARY = frozenset(t for _, text in TEMPLATES for t in terms(text.encode()))
+SIZES = [len(terms(text.encode())) for _, text in TEMPLATES]
+PLACE = {t: i for i, t in enumerate(sorted(VOCABULARY))}
 
 
 def document_frequencies(docs: DataFrame) -> tuple[int, dict[bytes, int]]:
@@ -89,31 +97,42 @@ def document_frequencies(docs: DataFrame) -> tuple[int, dict[bytes, int]]:
 
 @dataclass
 class Matcher:
-    """Unit template vectors, term weights and the terms without which nothing reaches ``least``."""
+    """Unit template vectors, term weights, the terms without which nothing reaches ``least``, and for each template those without which no run reaches ``header``."""
 
     weights: dict[bytes, float]
     unseen: float
     vectors: list[tuple[str, dict[bytes, float]]]
     telling: frozenset[bytes]
+    header: float
+    run_telling: list[frozenset[bytes]]
+    dense: np.ndarray  # template vectors times the term weights, and a last column for other terms
 
     @classmethod
-    def build(cls, n: int, df: dict[bytes, int], least: float) -> Matcher:
+    def build(cls, n: int, df: dict[bytes, int], least: float, header: float) -> Matcher:
         idf = lambda t: float(np.log((n + 1) / (df.get(t, 0) + 1))) + 1.0
         weights = {t: idf(t) for t in VOCABULARY}
-        matcher = cls(weights, float(np.log(n + 1)) + 1.0, [], frozenset())
-        telling: set[bytes] = set()
-        for name, text in TEMPLATES:
+        matcher = cls(weights, float(np.log(n + 1)) + 1.0, [], frozenset(), header, [], np.zeros((len(TEMPLATES), len(PLACE) + 1)))
+        telling: frozenset[bytes] = frozenset()
+        for row, (name, text) in zip(matcher.dense, TEMPLATES, strict=True):
             vector = matcher.vector(terms(text.encode()))
             matcher.vectors.append((name, vector))
-            rest = 1.0
-            for t, w in sorted(vector.items(), key=lambda x: (-x[1], x[0])):
-                if rest < least * least - 1e-9:  # by Cauchy-Schwarz the cosine over the other terms is below sqrt(rest)
-                    break
-                telling.add(t)
-                rest -= w * w
-        matcher.telling = frozenset(telling)
+            telling |= cls.needed(vector, least)
+            matcher.run_telling.append(cls.needed(vector, header))
+            for t, w in vector.items():
+                row[PLACE[t]] = w * weights[t]
+        matcher.telling = telling
         return matcher
 
+    @staticmethod
+    def needed(vector: dict[bytes, float], least: float) -> frozenset[bytes]:
+        rest, needed = 1.0, set()
+        for t, w in sorted(vector.items(), key=lambda x: (-x[1], x[0])):
+            if rest < least * least - 1e-9:  # by Cauchy-Schwarz the cosine over the other terms is below sqrt(rest)
+                break
+            needed.add(t)
+            rest -= w * w
+        return frozenset(needed)
+
     def vector(self, found: list[bytes]) -> dict[bytes, float]:
         raw = {t: n * self.weights.get(t, self.unseen) for t, n in Counter(found).items()}
         norm = float(np.sqrt(sum(w * w for w in raw.values()))) or 1.0
@@ -129,22 +148,66 @@ class Matcher:
                 top, name = cosine, licence
         return top, name
 
+    def best_run(self, whole: list[bytes], ends: list[int], head: tuple[float, str]) -> tuple[float, str]:
+        """The best of ``head`` and the runs of ``whole``, in which lines end at ``ends``."""
+        present = set(whole)
+        chosen = [k for k, telling in enumerate(self.run_telling) if not telling.isdisjoint(present)]
+        if not chosen:
+            return head
+        place = np.array([PLACE.get(t, len(PLACE)) for t in whole])
+        weights = np.array([*(self.weights[t] for t in PLACE), self.unseen])[place]
+        squares = np.r_[0.0, np.cumsum(weights**2)]
+        edges = np.unique([0, *ends])
+        done: set[tuple[bytes, ...]] = set()
+        for k in chosen:
+            products = np.r_[0.0, np.cumsum(self.dense[k][place])]
+
+            def reach(start: np.ndarray, stop: np.ndarray, products: np.ndarray = products) -> tuple[np.ndarray, ...]:
+                bound = (products[stop] - products[start]) / np.sqrt(squares[stop] - squares[start])
+                found = np.flatnonzero(bound >= max(self.header, head[0]) - 1e-6)
+                return bound[found], start[found], stop[found]
+
+            start = np.arange(max(len(whole) - SIZES[k], 0) + 1)
+            runs = [reach(start, np.minimum(start + SIZES[k], len(whole)))]
+            for n in range(2, len(edges)):
+                short = np.flatnonzero(edges[n:] - edges[:-n] <= 2 * SIZES[k])
+                if not len(short):
+                    break
+                runs.append(reach(edges[short], edges[short + n]))
+            bound, start, stop = map(np.concatenate, zip(*runs, strict=True))
+            for i in np.argsort(-bound, kind="stable"):
+                if bound[i] < head[0] - 1e-6:
+                    break
+                found = tuple(whole[start[i] : stop[i]])
+                if found not in done:
+                    done.add(found)
+                    got = self.best(list(found))
+                    if got[0] >= self.header:
+                        head = self.better(head, got)
+        return head
+
+    @staticmethod
+    def better(a: tuple[float, str], b: tuple[float, str]) -> tuple[float, str]:
+        return max(a, b, key=lambda x: (round(x[0], 12), [-c for c in x[1].encode()]))
+
     def scan(self, text: bytes) -> tuple[float, str, float, str]:
         """Best header cosine and licence; whole-text cosine and licence."""
         whole = terms(text)
         if self.telling.isdisjoint(whole):
             return 0.0, "", 0.0, ""
         head = (0.0, "")
-        for part in {*text.splitlines(), *re.split(rb"\n\s*\n", text)}:
+        lines = text.splitlines()
+        for part in {*lines, *re.split(rb"\n\s*\n", text)}:
             found = terms(part)
             if not self.telling.isdisjoint(found):
-                head = max(head, self.best(found), key=lambda x: (x[0], [-c for c in x[1].encode()]))
-        return *head, *self.best(whole)
+                head = self.better(head, self.best(found))
+        ends = np.cumsum([len(terms(line)) for line in lines]).tolist()
+        return *self.best_run(whole, ends, head), *self.best(whole)
 
 
 def own_licences(files: DataFrame, header_cosine: float, file_cosine: float) -> DataFrame:
     """doc_id, path and own_licence, own_score, is_file of every file (doc_id, path, text)."""
-    matcher = Matcher.build(*document_frequencies(files), min(header_cosine, file_cosine))
+    matcher = Matcher.build(*document_frequencies(files), min(header_cosine, file_cosine), header_cosine)
 
     def scan(batch: pa.RecordBatch) -> pa.RecordBatch:
         got = list(zip(*map(matcher.scan, as_bytes(batch.column(2))), strict=True))

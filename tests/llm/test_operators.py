@@ -243,3 +243,20 @@ def test_licences_and_inheritance(spark):
     assert (out[3].own_licence, out[3].is_file) == ("MIT", False)
     assert (out[7].licence, out[7].inherited_from) == ("Proprietary", "a/b/d")
     assert out[4].licence is None and out[5].licence is None and out[8].licence is None
+
+
+def test_licence_notices_inside_lines_and_before_code(spark):
+    rnd = random.Random(5)
+    filler = lambda n: " ".join(f"w{rnd.randrange(5000)}" for _ in range(n))
+    notices = {text: name for name, text in op1_license.TEMPLATES}
+    files = [(i, f"d{i}/x.txt", f"{filler(60)} {text} {filler(60)}") for i, text in enumerate(notices)]
+    wrapped = [t for t, name in notices.items() if name in ("AGPL-3.0", "LGPL-3.0")]
+    for i, text in enumerate(wrapped):
+        words = text.split()
+        lines = ["# " + " ".join(words[n : n + 9]) for n in range(0, len(words), 9)] + [f"x{n} = f{n}(y, {n})" for n in range(12)]
+        files.append((100 + i, f"c{i}/x.py", "\n".join(lines)))
+    files += [(200 + i, f"e{i}/x.txt", filler(300)) for i in range(60)]
+    out = {r.doc_id: r.own_licence for r in op1_license.scan_licences(spark.createDataFrame(files, "doc_id long, path string, text string")).collect()}
+    assert [out[i] for i in range(len(notices))] == list(notices.values())
+    assert [out[100 + i] for i in range(len(wrapped))] == [notices[t] for t in wrapped]
+    assert not any(out[200 + i] for i in range(60))
