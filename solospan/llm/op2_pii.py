@@ -3,8 +3,9 @@
 High-recall generators (patterns) propose spans in every whole text.  The four
 base kinds are those of the contract: a match that passes its check is always a
 span.  Further generators propose spans that the base patterns cannot see:
-e-mail addresses in words ("name [at] host [dot] org"), telephone numbers
-without a country code, and IPv6 addresses.
+e-mail addresses in words ("name [at] host [dot] org", also without brackets),
+telephone numbers without a country code, and IPv6 addresses (also compressed
+ones such as "::1" and "fe80::").
 
 Each candidate of these has a vector of small integer features: its format
 (digits, separators, checksum, octets, first and last characters, area code
@@ -42,6 +43,11 @@ from solospan.llm.common import checkpointed
 KINDS = ("email", "ip", "card", "phone")
 _LOCAL = "A-Za-z0-9._%+-"
 _OCTET = "0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
+_HEX = "[0-9A-Fa-f]{1,4}"
+_FULL_IP6 = rf"^(?:{_HEX}:){{7}}{_HEX}$"
+#: With fewer than three runs of colons it needs a digit: "add::" and "dead::beef" may be code.
+_SHORT_IP6 = r"^(?=.*[0-9]|(?:[^:]*:+){3})[0-9A-Fa-f:]*::[0-9A-Fa-f:]*$"
+_DETERMINED = r"(?i)\x20at\x20(?:an?|the|this|that|each|every|one|any|no|some|my|your|his|her|its|our|their)\x20dot\x20"
 #: (kind, pattern, strict check of a match as a pattern or None); the first four are the base kinds.
 GENERATORS = (
     ("email", rf"(?:(?<![{_LOCAL}])|\G)[{_LOCAL}]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++", None),
@@ -50,15 +56,21 @@ GENERATORS = (
     ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", None),
     (
         "email",
-        rf"(?<![{_LOCAL}])[{_LOCAL}]++\x20?[\[({{]\x20?(?i:at)\x20?[\])}}]\x20?[A-Za-z0-9-]++(?:\x20?[\[({{]\x20?(?i:dot)\x20?[\])}}]\x20?[A-Za-z0-9-]++)++",
-        r"[A-Za-z]{2,}$",
+        rf"(?<![{_LOCAL}])[{_LOCAL}]++\x20?[\[({{]\x20?(?i:at)\x20?[\])}}]\x20?[A-Za-z0-9-]++(?:\x20?[\[({{]\x20?(?i:dot)\x20?[\])}}]\x20?[A-Za-z0-9-]++)++"
+        rf"|(?<![{_LOCAL}])[{_LOCAL}]++\x20(?i:at)\x20[A-Za-z0-9-]++(?:\x20(?i:dot)\x20[A-Za-z0-9-]++)++",
+        rf"^(?!.*{_DETERMINED}).*[A-Za-z]{{2,}}$",
     ),
     ("phone", r"(?<![0-9A-Za-z+().-])(?:\([0-9]{3}\)\x20?|[0-9]{3}[\x20.-])[0-9]{3}[\x20.-][0-9]{4}(?![0-9A-Za-z.-])", r"^\(?[2-9]"),
-    ("ip", r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}::?){3,7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:])", r"^(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}$|^[0-9A-Fa-f:]*::[0-9A-Fa-f:]*$"),
+    (
+        "ip",
+        rf"(?<![0-9A-Fa-f:])(?:{_HEX}::?){{3,7}}{_HEX}(?![0-9A-Fa-f:])"
+        rf"|(?<![\w:])(?=[0-9A-Fa-f]|::[0-9A-Fa-f])(?:{_HEX}(?::{_HEX}){{0,6}})?::(?:{_HEX}(?::{_HEX}){{0,6}})?(?![\w:])",
+        f"{_FULL_IP6}|{_SHORT_IP6}",
+    ),
 )
 BASE = 4
 #: What a text must hold for a generator to match; spares the scan.
-NEEDS = (("@",), (".",), (), ("+",), ("[", "(", "{"), (), (":",))
+NEEDS = (("@",), (".",), (), ("+",), (), (), (":",))
 CONTEXT = r"(?i)(?:e-?mail|mail|contact|phone|tel|call|fax|mobile|card|visa|account|pay|ip|host|server|addr)\W{0,3}(?:is|no|number)?\W{0,3}$"
 BEFORE = 24
 TREES, RATE, PRECISION = 20, 0.4, 0.9
@@ -95,12 +107,12 @@ BINS = (len(GENERATORS), 6, 2, 2, 4, 4, 3, 2, 4, 4, 3)
 
 
 def _form(g: int, match: Column) -> Column:
-    """What the strict check looks at: area code and exchange of a telephone number, colons of an address."""
+    """What the strict check looks at: area code and exchange of a telephone number, colons of an address, "at the dot"."""
     if GENERATORS[g][0] == "phone":
         return F.when(~match.rlike(r"^\(?[2-9]"), 0).when(~match.rlike(r"^\(?[0-9]{3}[\x20).-]{1,2}[2-9]"), 1).otherwise(2)
     if GENERATORS[g][0] == "ip":
-        return F.when(F.contains(match, F.lit("::")), 1).when(match.rlike("^(?:[^:]*:){7}[^:]*$"), 2).otherwise(0)
-    return F.lit(0)
+        return F.when(match.rlike(_SHORT_IP6), 1).when(match.rlike(_FULL_IP6), 2).otherwise(0)
+    return F.when(match.rlike(_DETERMINED), 0).otherwise(1)
 
 
 def _features(g: int, match: Column, before: Column, after: Column) -> Column:

@@ -115,6 +115,15 @@ def test_bare_telephone_numbers(spark):
     assert [out[i].spans for i in range(72, 102)] == [""] * 30
 
 
+def test_short_addresses_and_unbracketed_mail(spark):
+    right = {"2001:db8::1": "ip", "fe80::1": "ip", "::1": "ip", "fe80::": "ip", "2001:db8:0:0:1:0:0:1": "ip", "name at host dot org": "email", "a.b AT mail dot host DOT com": "email"}
+    wrong = ["std::dec", "dead::beef", "add::", "a :: b", "12:30:45:10", "look at the dot on top"]
+    rows = [(i, f", {t}, and so on") for i, t in enumerate([*right, *wrong])]
+    out = {r.doc_id: r.spans for r in op2_pii.find_pii(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [out[i] for i in range(len(right))] == [f"{k}:2:{2 + len(t)}" for t, k in right.items()]
+    assert [out[len(right) + i] for i in range(len(wrong))] == [""] * len(wrong)
+
+
 def test_sainte_lague(spark):
     rnd = random.Random(6)
     for _ in range(4):
