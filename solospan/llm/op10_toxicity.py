@@ -59,37 +59,39 @@ def word_table(sample: DataFrame) -> DataFrame:
         every: Counter[bytes] = Counter()
         toxic: Counter[bytes] = Counter()
         for batch in batches:
-            for text, y in zip(as_bytes(batch.column(0)), batch.column(1).to_pylist(), strict=True):
-                every.update(found := words_of(text))
+            for text, y, n in zip(as_bytes(batch.column(0)), *(c.to_pylist() for c in batch.columns[1:]), strict=True):
+                every.update(found := dict.fromkeys(words_of(text), n))
                 if y:
                     toxic.update(found)
         if every:
             columns = [pa.array(list(every), pa.binary()), pa.array(list(every.values()), pa.int64()), pa.array([toxic[w] for w in every], pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, ["word", "n", "toxic"])
 
-    return sample.select("text", "y").mapInArrow(count, "word binary, n long, toxic long").groupBy("word").agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic"))
+    return sample.select("text", "y", "n").mapInArrow(count, "word binary, n long, toxic long").groupBy("word").agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic"))
 
 
-def fit_weights(rows: list[list[int]], y: np.ndarray, swaps: dict[int, tuple[int, ...]], n_words: int, penalty: float, l2: float = 1e-3, steps: int = 400, rate: float = 0.3) -> np.ndarray:
+def fit_weights(rows: list[list[int]], y: np.ndarray, swaps: dict[int, tuple[int, ...]], n_words: int, penalty: float, l2: float = 1e-3, steps: int = 400, rate: float = 0.3, times: np.ndarray | None = None) -> np.ndarray:
     """Intercept and word weights minimising mean log loss + penalty * mean squared counterfactual change + l2 * squares.
 
-    ``rows`` are the words of each text; ``swaps`` the words that an identity word may be swapped for.
+    ``rows`` are the words of each text, which counts ``times``; ``swaps`` the words that an identity word may be swapped for.
     """
     word = np.concatenate([np.array(r, np.int64) for r in rows]) if rows else np.zeros(0, np.int64)
     row = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
     # a swap takes one word out of a text and puts another in, unless the text has it already
-    pairs = [(a, b) for r in rows for a in r if a in swaps for b in swaps[a] if b not in r]
-    out, into = (np.array([p[i] for p in pairs], np.int64) for i in (0, 1))
-    w, bias = np.zeros(n_words), float(np.log((y.sum() + 1) / (len(y) - y.sum() + 1)))
+    pairs = [(a, b, i) for i, r in enumerate(rows) for a in r if a in swaps for b in swaps[a] if b not in r]
+    out, into, swapped = (np.array([p[i] for p in pairs], np.int64) for i in (0, 1, 2))
+    times = np.ones(len(rows)) if times is None else times
+    total, positive = times.sum(), (times * y).sum()
+    w, bias = np.zeros(n_words), float(np.log((positive + 1) / (total - positive + 1)))
     squares, bias_squares = np.full(n_words, 1e-8), 1e-8
     for _ in range(steps):
         margin = bias + np.bincount(row, w[word], len(rows))
-        error = 1 / (1 + np.exp(-margin)) - y
-        grad = np.bincount(word, error[row], n_words) / len(rows) + 2 * l2 * w / max(1, len(rows) ** 0.5)
+        error = times * (1 / (1 + np.exp(-margin)) - y)
+        grad = np.bincount(word, error[row], n_words) / total + 2 * l2 * w / max(1, total**0.5)
         if len(out):
-            change = 2 * penalty * (w[out] - w[into]) / len(rows)
+            change = 2 * penalty * (w[out] - w[into]) * times[swapped] / total
             grad += np.bincount(out, change, n_words) - np.bincount(into, change, n_words)
-        bias_grad = error.mean()
+        bias_grad = error.sum() / total
         squares += grad * grad
         bias_squares += bias_grad * bias_grad
         w -= rate * grad / np.sqrt(squares)
@@ -97,14 +99,24 @@ def fit_weights(rows: list[list[int]], y: np.ndarray, swaps: dict[int, tuple[int
     return np.r_[bias, w]
 
 
-def fit(docs: DataFrame, labels: DataFrame, modulus: int, remainder: int, sample_rows: int, max_words: int, penalty: float) -> tuple[float, dict[bytes, float]]:
-    """Intercept and weights by word."""
+def training_sample(docs: DataFrame, labels: DataFrame, modulus: int, remainder: int, sample_rows: int) -> DataFrame:
+    """text, y and n: at most ``sample_rows`` distinct labelled texts of documents, and how often each is there."""
     known = labels.select(F.col("doc_id").alias("_id"), F.col("toxic").cast("int").alias("y")).where("y in (0, 1) and _id is not null")
-    training = known.where(~held_out("_id", modulus, remainder))
-    chosen = training.withColumn("_h", F.xxhash64(F.lit(10), "_id")).orderBy("_h", "_id", "y").limit(sample_rows).select("_id", "y")
+    known = known.where(~held_out("_id", modulus, remainder)).groupBy("_id", "y").agg(F.count("*").alias("_labels"))
+    texts = docs.where("doc_id is not null").select("doc_id", "text", F.xxhash64("text").alias("_t"))
+    there = texts.groupBy("doc_id", "_t").agg(F.count("*").alias("_texts"))
+    there = there.select(F.col("doc_id").alias("_id"), F.col("_t").alias("_same"), "_texts").join(known, "_id")
+    chosen = there.withColumn("_h", F.xxhash64(F.lit(10), "_id")).orderBy("_h", "_id", "y", "_same").limit(sample_rows)
+    chosen = chosen.select("_id", "_same", "y", (F.col("_labels") * F.col("_texts")).alias("n"))
     # at most sample_rows rows are broadcast; the checkpoint keeps that many texts
-    sample = checkpointed(docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("text", "y"))
-    n, positive = sample.agg(F.count("*"), F.coalesce(F.sum("y"), F.lit(0))).first()
+    rows = texts.join(F.broadcast(chosen), (F.col("doc_id") == F.col("_id")) & (F.col("_t") == F.col("_same")))
+    return checkpointed(rows.groupBy("_id", "_same", "y", "n").agg(F.max("text").alias("text")).select("text", "y", "n"))
+
+
+def fit(docs: DataFrame, labels: DataFrame, modulus: int, remainder: int, sample_rows: int, max_words: int, penalty: float) -> tuple[float, dict[bytes, float]]:
+    """Intercept and weights by word."""
+    sample = training_sample(docs, labels, modulus, remainder, sample_rows)
+    n, positive = sample.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum(F.col("n") * F.col("y")), F.lit(0))).first()
     if not 0 < positive < n:
         return float(np.log((positive + 1) / (n - positive + 1))), {}
     p = positive / n
@@ -116,11 +128,12 @@ def fit(docs: DataFrame, labels: DataFrame, modulus: int, remainder: int, sample
 
     def hits(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = [sorted(index[w] for w in words_of(t) if w in index) for t in as_bytes(batch.column(0))]
-        return pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int32())), batch.column(1)], ["w", "y"])
+        return pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int32())), batch.column(1), batch.column(2)], ["w", "y", "n"])
 
-    rows = map_batches(sample, hits, "w array<int>, y int").collect()  # at most sample_rows rows (and repeats) of known words
+    rows = map_batches(sample, hits, "w array<int>, y int, n long").collect()  # at most sample_rows rows of known words
     swaps = {index[a]: tuple(index[b] for b in others) for a, others in SWAPS.items()}
-    weights = fit_weights([r.w for r in rows], np.array([r.y for r in rows], float), swaps, len(terms), penalty)
+    y, times = (np.array([r[i] for r in rows], float) for i in (1, 2))
+    weights = fit_weights([r.w for r in rows], y, swaps, len(terms), penalty, times=times)
     return float(weights[0]), dict(zip(terms, weights[1:].tolist(), strict=True))
 
 
