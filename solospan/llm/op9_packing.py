@@ -117,15 +117,15 @@ def pieces(docs: DataFrame, capacity: int = 2048, path: str | None = None, batch
     return docs.select("doc_id", "text").mapInArrow(cut, PIECES)
 
 
-def best_two(unpacked: int, room: int, least: int) -> tuple[int, int] | None:
+def best_two(unpacked: int, room: int, least: int, rows: list[list[int]]) -> tuple[int, int] | None:
     """Two unpacked lengths of the largest sum over ``least`` and at most ``room``; ``unpacked`` has a bit for each length.
 
-    The same length may be returned twice; the caller sees to it that there are two.
+    ``rows`` are the pieces of each length; one is returned twice only if it has two.
     """
     best, found = least, None
     a = (unpacked & ((1 << room) - 1)).bit_length() - 1
     while a > 0 and 2 * a > best:
-        b = (unpacked & ((1 << (min(a, room - a) + 1)) - 1)).bit_length() - 1
+        b = (unpacked & ((1 << (min(a - (len(rows[a]) < 2), room - a) + 1)) - 1)).bit_length() - 1
         if b > 0 and a + b > best:
             best, found = a + b, (a, b)
             if best == room:
@@ -162,8 +162,8 @@ def pack(lengths: list[int], capacity: int) -> list[list[int]]:
             room -= n
         while room and len(inside) > 1:
             least, i = inside[-1]  # greedy filling ends with the smallest
-            pair = best_two(unpacked, room + least, least)
-            if not pair or pair[0] == pair[1] and len(rows[pair[0]]) < 2:
+            pair = best_two(unpacked, room + least, least, rows)
+            if not pair:
                 break
             inside[-1:] = [(n, out(n)) for n in pair]
             back(least, i)

@@ -148,6 +148,17 @@ def test_packing_is_gapless_and_tight():
     assert len(bins) <= -(-sum(lengths) // 2048) + 2
 
 
+def test_best_two_goes_on_past_a_single_piece():
+    rows = [[] for _ in range(11)]
+    rows[5], rows[4], rows[3] = [0], [1], [2]
+    assert op9_packing.best_two(1 << 5 | 1 << 4 | 1 << 3, 10, 6, rows) == (5, 4)
+    assert op9_packing.best_two(1 << 5 | 1 << 4 | 1 << 3, 10, 6, [*rows[:5], [0, 3], *rows[6:]]) == (5, 5)
+    rnd = random.Random(9)
+    for _ in range(200):
+        bins = op9_packing.pack(lengths := [rnd.randint(1, 20) for _ in range(30)], 20)
+        assert sorted(i for b in bins for i in b) == list(range(30)) and all(sum(lengths[i] for i in b) <= 20 for b in bins)
+
+
 def test_word_encoder_equals_the_tokenizer():
     rnd = random.Random(3)
     alphabet = "abzÀéß'’–,.!?<|>019AŹ̸ \t\n\x0b\x1c\xa0İΣς🙂_-="
