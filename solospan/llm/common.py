@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
-from collections.abc import Callable, Iterator
+import types
+from collections.abc import Callable, Hashable, Iterator
+from typing import Any
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -75,3 +78,16 @@ def map_batches(df: DataFrame, f: Callable[[pa.RecordBatch], pa.RecordBatch | No
                 yield out
 
     return df.mapInArrow(run, schema)
+
+
+def kept_in_worker(key: Hashable, make: Callable[[], Any]) -> Any:
+    """What ``make`` returns, made once in a Python worker process and used by its later tasks too.
+
+    Functions of this subpackage travel by value, so a module global would be
+    new in every task.  Only what can be made again at any time (a tokenizer, a
+    bounded cache) may be kept.
+    """
+    kept = sys.modules.setdefault("_solospan_kept", types.ModuleType("_solospan_kept")).__dict__
+    if key not in kept:
+        kept[key] = make()
+    return kept[key]

@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from solospan.llm.common import read_table
 from solospan.llm.op1_license import document_paths, scan_licences
 from solospan.llm.op10_toxicity import toxicity_scores
+from solospan.llm.op11_runs import planted_run_digests
+from solospan.llm.op12_repair import damaged, repair_digests
+from solospan.llm.op13_tokens import token_counts
 from solospan.llm.op2_pii import find_pii
 from solospan.llm.op3_topk import exact_top_k
 from solospan.llm.op4_simhash import simhash_components
@@ -59,6 +62,18 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return planted_run_digests(read_table(spark, sf_dir, "documents"))
+
+
+def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_digests(damaged(read_table(spark, sf_dir, "conversations")))
+
+
+def op13_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(read_table(spark, sf_dir, "documents"), limit=4096)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license": op1_license,
     "op2_pii": op2_pii,
@@ -70,6 +85,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_ann": op8_ann,
     "op9_packing": op9_packing,
     "op10_toxicity": op10_toxicity,
+    "op11_runs": op11_runs,
+    "op12_repair": op12_repair,
+    "op13_tokens": op13_tokens,
 }
 ORACLE: dict[str, str] = {
     "op3_topk": """
