@@ -30,7 +30,11 @@ def _norm(rows, cols):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_every_oracle_belongs_to_a_query():
+    assert set(E.oracle_sql()) <= set(E.queries())
+
+
+@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF001)
     res = con.execute(E.oracle_sql()[name])
