@@ -1,8 +1,9 @@
 """Best-two-fit packing of tokenised documents into sequences.
 
 Documents are tokenised batch by batch; ids of a word do not depend on the
-words around it (the tokenizer's splits never cross white space), so a task
-encodes each distinct word once and joins the words' ids.  Pieces are dealt at
+words around it (the tokenizer's splits never cross white space), so a worker
+process encodes each distinct word once, keeps it for its later tasks as far as
+the caches reach, and joins the words' ids.  Pieces are dealt at
 random to shards of about ``shard_pieces``, and each shard is packed by itself,
 which costs at most about one part-filled sequence a shard.  In a shard a
 sequence is filled greedily, largest piece first and then always the largest
@@ -28,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from solospan.llm.common import as_bytes, checkpointed
+from solospan.llm.common import as_bytes, checkpointed, kept_in_worker
 
 TOKENIZER = "word_bpe_49k.json"
 CACHED_WORDS, CACHED_PARTS = 700_000, 500_000
@@ -100,7 +101,8 @@ def pieces(docs: DataFrame, capacity: int = 2048, path: str | None = None, batch
     """doc_id, piece, start, length and ids_crc32 of the pieces of every document (doc_id, text)."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(path or tokenizer_path(), *cached)
+        model = path or tokenizer_path()
+        encoder = kept_in_worker(("op9", model, cached), lambda: WordEncoder(model, *cached))
         for whole in batches:
             for at in range(0, whole.num_rows, batch_rows):
                 batch = whole.slice(at, batch_rows)
