@@ -10,8 +10,9 @@ from solospan.functions.buckets import IP4_BUCKET_WIDTH, bucket_of
 from solospan.functions.checks import refuse
 from solospan.operators.events import coverage_depth
 from solospan.operators.exclusive import exclusive_ranges
-from solospan.plans.scan import ordered_scan, scan_plan
+from solospan.plans.scan import ordered_scan, row_bound, scan_plan, scan_target
 from solospan.schema import as_keys
+from solospan.session import ensure_checkpoint_dir
 
 
 STEP = 65536  # numbers that one row's array may hold
@@ -92,7 +93,7 @@ def bucket_layout(
     return d.repartitionByRange(n, *keys, "bucket", begin).sortWithinPartitions(*keys, "bucket", begin)
 
 
-def _islands(d: DataFrame, keys: list[str], begin: str, end: str, strategy: str, target_rows: int | None) -> DataFrame:
+def _islands(d: DataFrame, keys: list[str], begin: str, end: str, strategy: str, target_rows: int | None, n_rows: int | None) -> DataFrame:
     """Unite runs of disjoint ranges (sorted by begin) where each range touches
     the previous one and may join it (column ``_join``).
 
@@ -103,9 +104,12 @@ def _islands(d: DataFrame, keys: list[str], begin: str, end: str, strategy: str,
 
     Ranges that overlap fail the job: the formula holds for disjoint ones.
 
-    Nothing is written while the plan is built.  The bucketed plan counts and
-    samples its input first; a caller whose input is costly stores it before."""
-    plan = scan_plan(d.select(*keys, begin), keys, begin, strategy, target_rows=target_rows)
+    ``n_rows`` bounds the number of ranges.  Without it, or if it is more than
+    a task takes, the ranges are stored first, since planning reads them too."""
+    if strategy != "window" and (n_rows is None or n_rows > scan_target(d, target_rows)):
+        ensure_checkpoint_dir(d.sparkSession)
+        d, n_rows = d.checkpoint(), None
+    plan = scan_plan(d, keys, begin, strategy, n_rows=n_rows, target_rows=target_rows)
     d = d.select(
         *keys,
         begin,
@@ -131,11 +135,15 @@ def glue_ranges(
     end: str = "end",
     strategy: str = "auto",
     target_rows: int | None = None,
+    n_rows: int | None = None,
 ) -> DataFrame:
     """Glue exclusive results computed on cut pieces back together: a result
     ending at ``k*width - 1`` and the next one starting at ``k*width`` are one
     range when edge ``k`` is a glue point (a range was cut there).  Chains over
-    several edges are glued in one pass."""
+    several edges are glued in one pass.
+
+    ``n_rows`` bounds the number of results if known; results straight from
+    ``exclusive_ranges`` carry their bound."""
     keys = as_keys(keys)
     starts_on_edge = F.pmod(F.col(begin), F.lit(width)) == 0
     # One pass: a result starting on an edge looks up (set, edge); any other
@@ -159,7 +167,7 @@ def glue_ranges(
         term = r[c].eqNullSafe(glue[f"_g_{c}"])
         cond = term if cond is None else cond & term
     d = r.join(glue, cond, "left").select(*keys, begin, end, F.coalesce(F.col("_join"), F.lit(False)).alias("_join"))
-    return _islands(d, keys, begin, end, strategy, target_rows)
+    return _islands(d, keys, begin, end, strategy, target_rows, n_rows if n_rows is not None else row_bound(results))
 
 
 def merge_touching(
@@ -169,12 +177,13 @@ def merge_touching(
     end: str = "end",
     strategy: str = "auto",
     target_rows: int | None = None,
+    n_rows: int | None = None,
 ) -> DataFrame:
     """Unite disjoint ranges that touch (``next.begin = end + 1``); the set of
-    covered points is unchanged."""
+    covered points is unchanged.  ``n_rows`` as for ``glue_ranges``."""
     keys = as_keys(keys)
     d = results.select(*keys, begin, end, F.lit(True).alias("_join"))
-    return _islands(d, keys, begin, end, strategy, target_rows)
+    return _islands(d, keys, begin, end, strategy, target_rows, n_rows if n_rows is not None else row_bound(results))
 
 
 def exclusive_by_cutting(

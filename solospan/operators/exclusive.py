@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from solospan.operators.audit import order_violations
 from solospan.operators.events import levels
+from solospan.plans.scan import bounded
 from solospan.schema import as_keys
 
 
@@ -38,10 +39,10 @@ def exclusive_ranges(
     out (``events.invalid_ranges`` lists them) or, with ``on_invalid="raise"``,
     fail the job."""
     keys = as_keys(keys)
-    lv = levels(df, keys, begin, end, strategy=strategy, target_rows=target_rows, values=(), on_invalid=on_invalid)
-    return lv.where(F.col("level") == 1).select(
-        *keys, F.col("x").alias(begin), (F.col("next_x") - 1).alias(end)
-    )
+    n_rows = None if strategy == "window" else 2 * df.count()
+    lv = levels(df, keys, begin, end, strategy=strategy, target_rows=target_rows, n_rows=n_rows, values=(), on_invalid=on_invalid)
+    out = lv.where(F.col("level") == 1).select(*keys, F.col("x").alias(begin), (F.col("next_x") - 1).alias(end))
+    return out if n_rows is None else bounded(out, n_rows)  # a result begins at an endpoint
 
 
 def exclusive_ranges_bucketed(

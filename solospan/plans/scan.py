@@ -1,106 +1,68 @@
-"""Ordered scans per group: running sums and the next row's values.
+"""Ordered scans per group: running sums and the neighbouring rows' values.
 
 Every range operator reduces to the same primitive: inside each group
 (``keys``, e.g. one set of ranges), ordered by a coordinate, compute
 
 * inclusive running sums of some columns, and
-* the values of the next row (``lead``).
+* the values of the next row (``lead``) or the one before (``lag``).
 
 Two physical plans are offered.
 
 ``plan=None`` - one window ``partitionBy(keys).orderBy(order)`` after one
 shuffle by group.  Right when every group is small; a group is one task.
 
-``BucketPlan`` - the groups that are too big for one task are split into
-ordered buckets by coordinate.  The rows are shuffled once, on a hash of
-(group, bucket); each bucket is scanned by its own window.  What a bucket
-needs from the buckets before it (sum of earlier rows, first row of the next
-non-empty bucket) comes from a per-bucket summary computed from the same
-shuffled rows (one shared exchange, so the input is read once) and broadcast
-back (its row count is known).
-
-Buckets are chosen from a seeded Bernoulli sample: first per group, then
-every cell the sample still shows dense is split again at sampled quantiles
-until none is, so a group holding a third of all rows, or a
-narrow dense region inside it, is spread over many tasks.  Coordinates
-holding many rows by themselves (hot points) are combined map-side before
-the shuffle.  The planning tables have a few rows for each task of the scan.
-
-The bucketing never changes results, only the plan: rows of one coordinate
-always share a bucket and buckets are ordered like coordinates.
+``RangePlan`` - when some group is too big for one task.  The rows are range
+partitioned by (keys, order), which balances the tasks whatever the groups and
+however clustered the coordinates; every partition is swept as it lies, and a
+piece of a group takes its offset from the pieces before it (see
+:mod:`solospan.plans.sweep`).  Rows that agree in all of (keys, order) cannot
+be parted; values so frequent that they would fill a task are found in a sample
+and combined map-side before the shuffle.
+
+No rows pass through the driver: planning reads a count and two numbers of a
+small table.  The plan never changes results.
 """
 
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from solospan.functions.buckets import floor_div
+from solospan.plans.sweep import carried, sweep
+from solospan.session import ensure_checkpoint_dir
 
 # Tunables (session conf keys and defaults).
 CONF_TARGET_ROWS = "solospan.scan.targetRows"  # rows one window task should hold at most
 DEFAULT_TARGET_ROWS = 2_000_000
 SAMPLE_HITS = 64  # expected sample rows for a group of exactly target_rows
-HOT_HITS = 16  # sampled rows at one coordinate that mark it hot (~target_rows / 4)
-OVERSAMPLE = 2  # buckets per target_rows of estimated rows
-BROADCAST_BUCKETS = 1_000_000  # largest summary table that is broadcast (~40 MB)
+HOT_HITS = 16  # sampled rows of one value that mark it hot (~target_rows / 4)
+BROADCAST_ROWS = 100_000  # largest planning table that is broadcast
 
-CUTS = 31  # a dense cell is split at this many sampled quantiles (32 buckets)
-B1 = "_ss_b1"  # bucket of a group; _ss_b2, _ss_b3, ... are splits of dense cells
-ALL = "_ss_all"  # constant group key used when no key columns are given
-PART = "_ss_part"  # hash of (group, bucket) the rows are shuffled on
-BIG = "_ss_big"  # row belongs to a group that is split into buckets
+_Keys = list[str]
 
 
 @dataclass
-class BucketPlan:
-    """Bucket layout for an ordered scan.  All tables are local
-    (driver-collected, size-checked) relations.
-
-    ``big``: ``keys, _lo, _w1, _nb1`` - level-1 buckets of the big groups.
-    ``levels[j]``: ``keys, _ss_b1.._ss_b{j+1}, _q1.._q31`` - dense cells of
-    level ``j+1`` and the sampled quantiles that cut them into the buckets of
-    level ``j+2``.
-    ``hot``: ``keys, coord`` - coordinates holding many rows."""
-
-    keys: list[str]
-    coord: str
-    target_rows: int
-    big: DataFrame | None = None
-    levels: list = field(default_factory=list)
-    hot: DataFrame | None = None
+class RangePlan:
+    """``partitions`` of the range exchange; ``hot``: the frequent values of ``keys, order`` (stored), ``n_hot`` of them."""
+
+    partitions: int
     n_big: int = 0
-    n_dense: int = 0
     n_hot: int = 0
-    bucket_bound: int = 0  # max number of buckets of big groups
-    notes: dict = field(default_factory=dict)
-
-    @property
-    def empty(self) -> bool:
-        return self.n_big == 0
-
-    @property
-    def bucket_cols(self) -> list[str]:
-        return _bucket_cols(1 + len(self.levels))
-
-
-def _bucket_cols(n: int) -> list[str]:
-    return [f"_ss_b{i}" for i in range(1, n + 1)]
+    hot: DataFrame | None = None
 
 
-def match(df: DataFrame, table: DataFrame, cols: list[str], how: str) -> DataFrame:
-    """Join with a planning table on ``cols``, where a NULL key is a key like any other."""
+def match(df: DataFrame, table: DataFrame, cols: _Keys, how: str, rows: int | None = None) -> DataFrame:
+    """Join with a planning table on ``cols``, where a NULL key is a key like any other; broadcast if it has few ``rows``."""
     other = table.select(*[F.col(c).alias(f"_ss_m_{c}") if c in cols else F.col(c) for c in table.columns])
-    cond = None
+    cond = F.lit(True)
     for c in cols:
-        term = df[c].eqNullSafe(other[f"_ss_m_{c}"])
-        cond = term if cond is None else cond & term
-    return df.join(F.broadcast(other), cond, how).drop(*[f"_ss_m_{c}" for c in cols])
+        cond = cond & df[c].eqNullSafe(other[f"_ss_m_{c}"])
+    if rows is not None and rows <= BROADCAST_ROWS:
+        other = F.broadcast(other)
+    return df.join(other, cond, how).drop(*[f"_ss_m_{c}" for c in cols])
 
 
 def _conf_int(spark, key: str, default: int) -> int:
@@ -108,311 +70,118 @@ def _conf_int(spark, key: str, default: int) -> int:
     return int(value) if value else default
 
 
-_INTEGRAL = (T.LongType, T.IntegerType, T.ShortType, T.ByteType)
+def scan_target(df: DataFrame, target_rows: int | None = None) -> int:
+    """Rows that one window task should hold at most: the caller's number, or the session's."""
+    return max(1, int(target_rows or _conf_int(df.sparkSession, CONF_TARGET_ROWS, DEFAULT_TARGET_ROWS)))
 
 
-def plan_buckets(
+def bounded(df: DataFrame, rows: int) -> DataFrame:
+    """``df``, known to have ``rows`` rows at most; the note is lost by any further operation."""
+    df._solospan_rows = rows
+    return df
+
+
+def row_bound(df: DataFrame) -> int | None:
+    return getattr(df, "_solospan_rows", None)
+
+
+def scan_plan(
     points: DataFrame,
-    keys: list[str],
-    coord: str,
+    keys: _Keys,
+    order: str | list[str],
+    strategy: str = "auto",
     n_rows: int | None = None,
     target_rows: int | None = None,
     seed: int = 20230117,
-) -> BucketPlan:
-    """Choose buckets for the groups of ``points`` that exceed ``target_rows``.
+) -> RangePlan | None:
+    """``window`` -> None (plain per-group window); ``auto`` / ``bucketed`` ->
+    a ``RangePlan`` if some group of ``points`` exceeds ``target_rows``, else None.
 
-    ``points`` needs ``keys`` and an integral ``coord`` column; it may be the
-    raw, not yet aggregated rows (cheaper: no shuffle), since only its
-    distribution is used.  ``n_rows`` is its row count if already known.
-    """
-    spark = points.sparkSession
-    keys = list(keys)
-    if not keys:
-        points, keys = points.withColumn(ALL, F.lit(0)), [ALL]
-    target = target_rows or _conf_int(spark, CONF_TARGET_ROWS, DEFAULT_TARGET_ROWS)
+    ``points`` may be the raw, not yet aggregated rows (cheaper: no shuffle),
+    since only their distribution is used.  ``n_rows`` is their number if
+    known, or a bound of it."""
+    if strategy == "window":
+        return None
+    if strategy not in ("auto", "bucketed"):
+        raise ValueError(f"unknown strategy {strategy!r}")
+    spark, order = points.sparkSession, [order] if isinstance(order, str) else list(order)
+    target = scan_target(points, target_rows)
     if n_rows is None:
         n_rows = points.count()
-    target = max(int(target), 1)
-    plan = BucketPlan(list(keys), coord, target)
-    plan.notes.update(n_rows=n_rows, target_rows=target)
     if n_rows <= target:
-        return plan
-
+        return None
+    ensure_checkpoint_dir(spark)
+    # One pass over the sample finds big groups and frequent values.
     p = min(1.0, SAMPLE_HITS / target)
-    hits_big = max(1, SAMPLE_HITS // 2)  # estimated size >= target / 2
-    smp = points.select(*keys, coord).sample(False, p, seed).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        # One pass over the sample finds both the big groups (their span) and
-        # the hot coordinates (many rows at one point).
-        counts = smp.groupingSets([[*keys, coord], list(keys)], *keys, coord).agg(
-            F.count(F.lit(1)).alias("_n"),
-            F.min(coord).alias("_lo"),
-            F.max(coord).alias("_hi"),
-            F.grouping_id().alias("_g"),
-        )
-        wanted = counts.where(
-            ((F.col("_g") == 0) & (F.col("_n") >= HOT_HITS)) | ((F.col("_g") != 0) & (F.col("_n") >= hits_big))
-        )
-        # planning metadata: about 2 n_rows / target groups and 4 n_rows / target
-        # coordinates, so its size follows the number of tasks
-        found = wanted.collect()
-        big_rows, hot_rows = [], []
-        for r in found:
-            k = tuple(r[c] for c in keys)
-            if r["_g"] == 0:
-                hot_rows.append(k + (r[coord],))
-            else:
-                nb1 = max(1, math.ceil(r["_n"] / p * OVERSAMPLE / target))
-                w1 = max(1, -(-(r["_hi"] - r["_lo"] + 1) // nb1))  # exact ceiling division
-                big_rows.append(k + (r["_lo"], w1, nb1))
-        plan.n_big = len(big_rows)
-        if not big_rows:
-            return plan
-        key_fields = [points.schema[k] for k in keys]
-        big_schema = T.StructType(key_fields + [T.StructField(n, T.LongType(), False) for n in ("_lo", "_w1", "_nb1")])
-        plan.big = spark.createDataFrame(big_rows, big_schema)
-        plan.n_hot = len(hot_rows)
-        if hot_rows:
-            plan.hot = spark.createDataFrame(hot_rows, T.StructType(key_fields + [points.schema[coord]]))
-
-        # Further levels: every cell that still holds about a task's worth
-        # of sampled rows is split again, until none does.  Rows at hot
-        # coordinates do not count: they are combined before the shuffle.
-        cold = smp
-        if plan.hot is not None:
-            cold = match(smp, plan.hot, keys + [coord], "left_anti")
-        cells = _assign_level1(match(cold, plan.big, keys, "inner"), coord)
-        bucket_bound = sum(r[-1] for r in big_rows)
-        level = 2
-        while True:  # each turn divides the densest cell's rows by CUTS + 1
-            parent = _bucket_cols(level - 1)
-            fractions = [i / (CUTS + 1) for i in range(1, CUTS + 1)]
-            stats = [F.count(F.lit(1)).alias("_n"), F.min(coord).alias("_clo"), F.max(coord).alias("_chi")]
-            is_dense = (F.col("_n") >= SAMPLE_HITS) & (F.col("_chi") > F.col("_clo"))
-            cuts = F.percentile_approx(coord, fractions, 10000).alias("_cuts")
-            found_cells = cells.groupBy(*keys, *parent).agg(*stats, cuts).where(is_dense).collect()
-            if not found_cells:
-                break
-            # equal-depth split of the cell at its sampled quantiles
-            rows = [tuple(r[c] for c in keys) + tuple(r[c] for c in parent) + tuple(r["_cuts"]) for r in found_cells]
-            cut_cols = [f"_q{i}" for i in range(1, CUTS + 1)]
-            schema = T.StructType(
-                key_fields
-                + [T.StructField(n, T.LongType(), False) for n in parent]
-                + [T.StructField(n, points.schema[coord].dataType, False) for n in cut_cols]
-            )
-            table = spark.createDataFrame(rows, schema)
-            plan.levels.append(table)
-            plan.n_dense += len(rows)
-            bucket_bound += CUTS * len(rows)
-            cells = _assign_level(cells, table, keys, level, coord)
-            # A cell cut at its quantiles leaves about n / (CUTS + 1) sampled
-            # rows per part, plus ties at one cut value (under HOT_HITS, as
-            # hot coordinates are left out): no part can be dense when that
-            # stays below SAMPLE_HITS, so the next level needs no job.
-            if max(r["_n"] for r in found_cells) / (CUTS + 1) + HOT_HITS < SAMPLE_HITS:
-                break
-            level += 1
-        plan.bucket_bound = bucket_bound
-        plan.notes.update(
-            sample_fraction=p,
-            big_groups=plan.n_big,
-            dense_cells=plan.n_dense,
-            levels=1 + len(plan.levels),
-            hot_points=plan.n_hot,
-        )
-        return plan
-    finally:
-        smp.unpersist()
-
-
-def _clamp(c: Column, hi: Column) -> Column:
-    return F.least(F.greatest(c, F.lit(0).cast("bigint")), hi)
-
-
-def _assign_level1(df: DataFrame, coord: str) -> DataFrame:
-    """Level-1 bucket of rows joined with ``big``."""
-    b1 = _clamp(floor_div(F.col(coord) - F.col("_lo"), F.col("_w1")), F.col("_nb1") - 1)
-    return df.withColumn(B1, b1).drop("_lo", "_w1", "_nb1")
-
-
-def _assign_level(df: DataFrame, table: DataFrame, keys: list[str], level: int, coord: str) -> DataFrame:
-    """Bucket of ``level`` inside the cells listed in ``table`` (0 elsewhere):
-    the number of the cell's cut points at or below the coordinate (plain
-    comparisons, so it stays in generated code)."""
-    parent = _bucket_cols(level - 1)
-    d = match(df, table, keys + parent, "left")
-    x = F.col(coord)
-    sub = None
-    for i in range(1, CUTS + 1):
-        term = F.when(x >= F.col(f"_q{i}"), 1).otherwise(0)
-        sub = term if sub is None else sub + term
-    b = F.coalesce(sub.cast("bigint"), F.lit(0).cast("bigint"))
-    return d.withColumn(f"_ss_b{level}", b).drop(*[f"_q{i}" for i in range(1, CUTS + 1)])
-
-
-def assign_buckets(df: DataFrame, plan: BucketPlan, coord: str) -> DataFrame:
-    """Add the bucket columns (all 0 for groups that are not big) and
-    ``_ss_big``."""
-    keys = plan.keys
-    cols = df.columns
-    d = match(df, plan.big, keys, "left").withColumn(BIG, F.col("_lo").isNotNull())
-    d = _assign_level1(d, coord)
-    for i, table in enumerate(plan.levels):
-        d = _assign_level(d, table, keys, i + 2, coord)
-    return d.select(
-        *[F.col(c) for c in cols],
-        *[F.coalesce(F.col(b), F.lit(0).cast("bigint")).alias(b) for b in plan.bucket_cols],
-        F.col(BIG),
-    )
-
-
-def _bucket_summary(per_bucket: DataFrame, keys: list[str], plan: BucketPlan, sums: list[str], n_leads: int) -> DataFrame:
-    """Carry table from per-bucket totals ``_tot_<s>`` and first values
-    ``_first_<i>`` (one row per non-empty bucket, computed from the shuffled
-    rows so the scan and its summary share one exchange): per bucket the sum
-    of the earlier buckets of its group (``_off_<s>``) and the first values of
-    the next non-empty bucket (``_next_<i>``).
-
-    Only groups with more than one non-empty bucket need a carry; they are
-    selected by a window count, which the optimizer cannot push below the
-    shared exchange (a plain filter on the bucket columns would be pushed
-    down and split the plan in two).  At most ``plan.bucket_bound`` rows
-    remain, so the table is broadcast below ``BROADCAST_BUCKETS``."""
-    bcols = plan.bucket_cols
-    part = keys + bcols
-    wb = Window.partitionBy(*keys).orderBy(*bcols)
-    carried = per_bucket.select(
-        *part,
-        *[F.sum(f"_tot_{s}").over(wb.rowsBetween(Window.unboundedPreceding, -1)).alias(f"_off_{s}") for s in sums],
-        *[F.lead(f"_first_{i}").over(wb).alias(f"_next_{i}") for i in range(n_leads)],
-        F.count(F.lit(1)).over(Window.partitionBy(*keys)).alias("_nbk"),
-    )
-    carried = carried.where(F.col("_nbk") > 1).drop("_nbk")
-    carried = carried.select(*[F.col(c).alias(f"_sk{i}") for i, c in enumerate(part)], *carried.columns[len(part):])
-    if plan.bucket_bound <= BROADCAST_BUCKETS:
-        carried = F.broadcast(carried)  # at most plan.bucket_bound rows
-    return carried
-
-
-def _join_carry(d: DataFrame, carried: DataFrame, part: list[str]) -> DataFrame:
-    """Left join of the rows with their bucket's carry.  Null-safe equality:
-    an inner-side ``IS NOT NULL`` would otherwise be inferred and pushed into
-    the summary's copy of the shared subtree, and the two copies of the
-    exchange could no longer be reused as one."""
-    cond = None
-    for i, c in enumerate(part):
-        term = d[c].eqNullSafe(carried[f"_sk{i}"])
-        cond = term if cond is None else cond & term
-    return d.join(carried, cond, "left").drop(*[f"_sk{i}" for i in range(len(part))])
+    sample = points.select(*keys, *order).sample(False, p, seed)
+    sets = [[*keys, *order], keys] if keys else [order, []]
+    counts = sample.groupingSets(sets, *keys, *order).agg(F.count(F.lit(1)).alias("_n"), F.grouping_id().alias("_g"))
+    is_hot = (F.col("_g") == 0) & (F.col("_n") >= HOT_HITS)
+    is_big = (F.col("_g") != 0) & (F.col("_n") >= SAMPLE_HITS // 2)  # estimated size >= target / 2
+    # about 6 n_rows / target rows
+    found = counts.where(is_hot | is_big).checkpoint()
+    n_big, n_hot = found.agg(F.count_if(F.col("_g") != 0), F.count_if(F.col("_g") == 0)).first()
+    if not n_big:
+        return None
+    # a sweep streams through its partition, so a small target need not cut
+    # finer than the session's shuffles do
+    shuffles = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    partitions = min(math.ceil(n_rows / target), max(shuffles, math.ceil(n_rows / DEFAULT_TARGET_ROWS)))
+    hot = found.where("_g = 0").select(*keys, *order) if n_hot else None
+    return RangePlan(max(1, partitions), n_big, n_hot, hot)
+
+
+def combine_hot(rows: DataFrame, plan: RangePlan, cols: _Keys, values: dict[str, Column]) -> DataFrame:
+    """``rows`` (``cols`` and ``values``) with those of a hot value of ``cols`` combined by ``values`` before any shuffle.
+
+    The hot rows are taken from a second read of the input; their aggregate is
+    partial on the map side."""
+    if plan.hot is None:
+        return rows
+    flagged = match(rows, plan.hot.withColumn("_ss_hot", F.lit(True)), cols, "left", plan.n_hot)
+    hot = flagged.where(F.col("_ss_hot")).groupBy(*cols).agg(*[v.alias(n) for n, v in values.items()])
+    return flagged.where(F.col("_ss_hot").isNull()).select(*cols, *values).unionByName(hot.select(*cols, *values))
 
 
 def ordered_scan(
     df: DataFrame,
-    keys: list[str],
+    keys: _Keys,
     order: list[str],
     sums: dict[str, str] | None = None,
     leads: dict[str, str] | None = None,
-    plan: BucketPlan | None = None,
+    plan: RangePlan | None = None,
+    lags: dict[str, str] | None = None,
 ) -> DataFrame:
-    """Per group of ``keys`` ordered by ``order`` (ties only among equal
-    ``order[0]`` values): ``sums`` maps output name -> column (inclusive
-    running sum), ``leads`` maps output name -> column (value of next row).
-    Returns ``df`` with those columns appended.
-
-    Bucketed plan: the rows are shuffled once on a hash of (group, bucket);
-    the per-bucket summary is computed from the same shuffled rows (a shared
-    exchange) and broadcast back."""
-    sums = sums or {}
-    leads = leads or {}
-    keys = list(keys)
-    order = list(order)
-    if not keys and plan is not None and not plan.empty:
-        # one global group: a constant key keeps the bucket joins equi-joins
-        out = ordered_scan(df.withColumn(ALL, F.lit(0)), [ALL], order, sums, leads, plan)
-        return out.drop(ALL)
-    ordering = [F.col(c) for c in order]
-
-    if plan is None or plan.empty:
-        w = Window.partitionBy(*keys).orderBy(*ordering) if keys else Window.orderBy(*ordering)
+    """Per group of ``keys`` ordered by ``order``: ``sums`` maps output name ->
+    integral column (inclusive running sum), ``leads`` / ``lags`` map output
+    name -> column (value of the next row / the row before).  Returns ``df``
+    with those columns appended.
+
+    With a ``RangePlan`` the sweep is stored in the shared checkpoint folder
+    when this is called: its rows and its edges must come from one exchange."""
+    sums, leads, lags, keys, order = sums or {}, leads or {}, lags or {}, list(keys), list(order)
+    if plan is None:
+        w = Window.partitionBy(*keys).orderBy(*order) if keys else Window.orderBy(*order)
         running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
         return df.select(
             "*",
-            *[F.sum(F.col(src)).over(running).alias(out) for out, src in sums.items()],
-            *[F.lead(F.col(src)).over(w).alias(out) for out, src in leads.items()],
+            *[F.sum(source).over(running).alias(name) for name, source in sums.items()],
+            *[F.lead(source).over(w).alias(name) for name, source in leads.items()],
+            *[F.lag(source).over(w).alias(name) for name, source in lags.items()],
         )
-
-    coord = order[0]
-    bcols = plan.bucket_cols
-    d = assign_buckets(df, plan, coord)
-    out_cols = list(df.columns)
-    part = keys + bcols
-    lead_src = list(dict.fromkeys(leads.values()))
-    # One shuffle on a hash of (group, bucket); the summary below is computed
-    # from the same shuffled rows, so both share the exchange.  The other
-    # columns travel packed in one column, so that column pruning cannot
-    # trim the summary's copy of the exchange differently from the scan's.
-    # Integral columns go as one array (never pruned per element); other
-    # types as a struct, which nested-field pruning may still split (then
-    # the summary reads its own copy of the input).
-    payload = [c for c in d.columns if c not in part and c != BIG]
-    types = {f.name: f.dataType for f in d.schema.fields}
-    part_hash = F.xxhash64(*part).alias(PART)
-    if all(isinstance(types[c], _INTEGRAL) for c in payload):
-        packed = F.array(*[F.col(c).cast("bigint") for c in payload]).alias("_row")
-        shuffled = d.select(part_hash, *part, packed).repartition(PART)
-        unpacked = [F.col("_row")[i].cast(types[c]).alias(c) for i, c in enumerate(payload)]
-    else:
-        shuffled = d.select(part_hash, *part, F.struct(*payload).alias("_row")).repartition(PART)
-        unpacked = [F.col("_row").getField(c).alias(c) for c in payload]
-    d = shuffled.select(PART, *part, *unpacked)
-    # First row of every bucket (for the leads of the last row of the bucket
-    # before it).  With one ordering column min/min_by keep this a hash
-    # aggregate; several ordering columns need a struct minimum.
-    aggs = [F.sum(F.col(src)).alias(f"_tot_{out}") for out, src in sums.items()]
-    if len(order) == 1:
-        aggs += [
-            (F.min(coord) if src == coord else F.min_by(F.col(src), F.col(coord))).alias(f"_first_{i}")
-            for i, src in enumerate(lead_src)
-        ]
-        per_bucket = d.groupBy(PART, *part).agg(*aggs)
-    else:
-        if lead_src:
-            first = F.struct(
-                *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)],
-                *[F.col(c).alias(f"_l{j}") for j, c in enumerate(lead_src)],
-            )
-            aggs.append(F.min(first).alias("_first"))
-        per_bucket = d.groupBy(PART, *part).agg(*aggs)
-        if lead_src:
-            per_bucket = per_bucket.select(
-                "*", *[F.col("_first").getField(f"_l{j}").alias(f"_first_{j}") for j in range(len(lead_src))]
-            ).drop("_first")
-    carried = _bucket_summary(per_bucket, keys, plan, list(sums), len(lead_src))
-    d = _join_carry(d, carried, part)
-
-    w = Window.partitionBy(PART, *part).orderBy(*ordering)
-    running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return d.select(
-        *[F.col(c) for c in out_cols],
-        *[
-            (F.coalesce(F.col(f"_off_{out}"), F.lit(0)) + F.sum(F.col(src)).over(running)).alias(out)
-            for out, src in sums.items()
-        ],
-        *[
-            F.coalesce(F.lead(F.col(src)).over(w), F.col(f"_next_{lead_src.index(src)}")).alias(out)
-            for out, src in leads.items()
-        ],
-    )
+    ensure_checkpoint_dir(df.sparkSession)
+    laid = df.repartitionByRange(plan.partitions, *keys, *order).sortWithinPartitions(*keys, *order)
+    swept = sweep(laid, keys, sums, leads, lags).checkpoint()
+    return carried(swept, keys, order, sums, leads, lags)
 
 
 def point_scan(
     raw: DataFrame,
-    keys: list[str],
+    keys: _Keys,
     coord: str,
     sum_cols: list[str],
     level_of: str,
-    plan: BucketPlan | None = None,
+    plan: RangePlan | None = None,
     level: str = "level",
     next_name: str = "next_x",
 ) -> DataFrame:
@@ -422,113 +191,32 @@ def point_scan(
     Returns ``keys, coord, sum_cols`` (summed per coordinate), ``level`` (the
     inclusive running sum of ``level_of`` up to and including the
     coordinate) and ``next_name`` (the next coordinate of the group; NULL
-    after the last).  With no ``sum_cols`` the rows are not aggregated at
-    all: a RANGE frame sums every row of a coordinate and the last row of
-    each coordinate is kept, which saves the hash aggregate.
-
-    The rows are shuffled once: by group for the window plan, by (group,
-    bucket) for the bucketed plan; everything else runs in that stage.
-    Coordinates the planner found hot are first combined by a separate
-    map-side partial aggregate, so no task receives the raw rows of a hot
-    point.
+    after the last).  With no ``sum_cols`` the rows are not aggregated: the
+    last row of each coordinate has the sum of all and is kept.
+
+    The window plan shuffles once, by group.  The range plan shuffles the rows
+    once as well if there are no ``sum_cols``; with them they are first summed
+    per coordinate (partly before that shuffle).
     """
     keys = list(keys)
-    if not keys:
-        out = point_scan(raw.withColumn(ALL, F.lit(0)), [ALL], coord, sum_cols, level_of, plan, level, next_name)
-        return out.drop(ALL)
     per_point = bool(sum_cols)
-    value_cols = list(sum_cols) if per_point else [level_of]
-    sums = [F.sum(c).alias(c) for c in value_cols]
-
-    def last_of_coordinate(df: DataFrame) -> DataFrame:
-        return df if per_point else df.where(F.col(next_name).isNull() | (F.col(next_name) != F.col(coord)))
-
-    if plan is None or plan.empty:
-        rows = raw.select(*keys, coord, *value_cols).repartition(*keys)
-        w = Window.partitionBy(*keys).orderBy(coord)
+    values = {c: F.sum(c) for c in (sum_cols if per_point else [level_of])}
+    rows = raw.select(*keys, coord, *values)
+    if plan is None:
+        if keys:
+            rows = rows.repartition(*keys)
+        w = Window.partitionBy(*keys).orderBy(coord) if keys else Window.orderBy(coord)
         if per_point:
-            rows = rows.groupBy(*keys, coord).agg(*sums)
+            rows = rows.groupBy(*keys, coord).agg(*[v.alias(c) for c, v in values.items()])
             frame = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
         else:
             frame = w.rangeBetween(Window.unboundedPreceding, Window.currentRow)
-        out = rows.select(
-            *keys,
-            coord,
-            *sum_cols,
-            F.sum(level_of).over(frame).alias(level),
-            F.lead(coord).over(w).alias(next_name),
-        )
-        return last_of_coordinate(out)
-
-    part = keys + plan.bucket_cols
-    rawb = assign_buckets(raw.select(*keys, coord, *value_cols), plan, coord)
-    pre = rawb.select(*part, coord, *value_cols)
-    if plan.hot is not None:
-        flagged = match(rawb, plan.hot.withColumn("_ss_hot", F.lit(True)), keys + [coord], "left")
-        hot_part = flagged.where(F.col("_ss_hot")).groupBy(*part, coord).agg(*sums)
-        cold_part = flagged.where(F.col("_ss_hot").isNull()).select(*part, coord, *value_cols)
-        pre = hot_part.unionByName(cold_part)
-    # One shuffle on a single hash of (group, bucket).  The hash is part of
-    # the grouping and window keys, so the aggregate and the window accept
-    # this partitioning (a subset of their keys) and add no exchange; being
-    # one derived column it is not folded away when the group key is a
-    # constant.  Several summed values travel as one array: the bucket
-    # summary reads the same exchange, and an array is never pruned element
-    # by element, so both readers see identical subtrees and the exchange is
-    # reused.
-    if len(value_cols) == 1:  # one value: both readers need exactly it
-        rows = pre.select(F.xxhash64(*part).alias(PART), *part, coord, *value_cols).repartition(PART)
-        if per_point:
-            rows = rows.groupBy(PART, *part, coord).agg(*sums)
+        out = rows.select(*keys, coord, *sum_cols, F.sum(level_of).over(frame).alias(level), F.lead(coord).over(w).alias(next_name))
     else:
-        packed = pre.select(F.xxhash64(*part).alias(PART), *part, coord, F.array(*value_cols).alias("_v"))
-        rows = (
-            packed.repartition(PART)
-            .groupBy(PART, *part, coord)
-            .agg(*[F.sum(F.col("_v")[i]).alias(c) for i, c in enumerate(value_cols)])
-        )
-
-    summary = _bucket_summary(
-        rows.groupBy(PART, *part).agg(F.sum(level_of).alias("_tot_level"), F.min(coord).alias("_first_0")),
-        keys,
-        plan,
-        ["level"],
-        1,
-    )
-    d = _join_carry(rows, summary, part)
-    w = Window.partitionBy(PART, *part).orderBy(coord)
-    if per_point:
-        frame = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    else:
-        frame = w.rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    out = d.select(
-        *keys,
-        coord,
-        *sum_cols,
-        (F.coalesce(F.col("_off_level"), F.lit(0)) + F.sum(level_of).over(frame)).alias(level),
-        F.coalesce(F.lead(coord).over(w), F.col("_next_0")).alias(next_name),
-    )
-    return last_of_coordinate(out)
-
-
-def scan_plan(
-    points: DataFrame,
-    keys: list[str],
-    coord: str,
-    strategy: str = "auto",
-    n_rows: int | None = None,
-    target_rows: int | None = None,
-) -> BucketPlan | None:
-    """``window`` -> None (plain per-group window); ``auto``/``bucketed`` ->
-    a sampled bucket plan (empty when no group is big).  Buckets need an
-    integral coordinate; any other ordering column keeps the window plan under
-    ``auto`` and is an error under ``bucketed``."""
-    if strategy == "window":
-        return None
-    if strategy not in ("auto", "bucketed"):
-        raise ValueError(f"unknown strategy {strategy!r}")
-    if not isinstance(points.schema[coord].dataType, _INTEGRAL):
-        if strategy == "bucketed":
-            raise ValueError(f"buckets need an integral column, {coord} is {points.schema[coord].dataType.simpleString()}")
-        return None
-    return plan_buckets(points, keys, coord, n_rows=n_rows, target_rows=target_rows)
+        if per_point:
+            rows = rows.groupBy(*keys, coord).agg(*[v.alias(c) for c, v in values.items()])
+        else:
+            rows = combine_hot(rows, plan, [*keys, coord], values)
+        scanned = ordered_scan(rows, keys, [coord], {level: level_of}, {next_name: coord}, plan)
+        out = scanned.select(*keys, coord, *sum_cols, level, next_name)
+    return out if per_point else out.where(F.col(next_name).isNull() | (F.col(next_name) != F.col(coord)))

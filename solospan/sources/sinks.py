@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from solospan.functions.buckets import bucket_of
 from solospan.functions.checks import refuse
 from solospan.functions.ipv4 import ip4_text
-from solospan.plans.scan import ALL, match, ordered_scan, scan_plan
+from solospan.plans.scan import combine_hot, ordered_scan, scan_plan
 from solospan.schema import as_keys
 
 
@@ -46,36 +46,20 @@ def write_documents(df: DataFrame, target: str | None, fmt: str = "json", mode:
 CHUNK = 4096  # equal rows that are numbered in one go
 
 
-def _numbers_of(points: DataFrame, cols: list[str]) -> DataFrame:
-    """``n`` from 1 to ``_one`` for each row of ``points``, dealt out chunk by chunk."""
-    chunks = points.select(*cols, "_one", F.explode(F.sequence(F.lit(0).cast("bigint"), bucket_of(F.col("_one") - 1, CHUNK))).alias("_chunk"))
-    first = F.col("_chunk") * CHUNK
-    dealt = chunks.repartition(*cols, "_chunk")
-    return dealt.select(*cols, F.explode(F.sequence(first + 1, F.least(F.col("_one"), first + CHUNK))).alias("n"))
-
-
 def _numbered(df: DataFrame, keys: list[str], order: list[str], strategy: str, target_rows: int | None) -> DataFrame:
     """``df`` (``keys``, ``order`` and ``_one``) with ``n``, the row's place in its group in the order of ``order``.
 
-    Buckets split a group by its first ordering column.  A value of it that
-    many rows share goes through that scan as one row, combined before the
-    shuffle; its rows are numbered among themselves by the next column.  Rows
-    equal in all columns are counted, and their numbers made from the count."""
+    Equal rows that are too many for one task go through the scan as one row
+    with their count; their numbers are made from it, chunk by chunk."""
     cols = [*keys, *order]
-    plan = scan_plan(df, keys, order[0], strategy, target_rows=target_rows)
+    plan = scan_plan(df, keys, order, strategy, target_rows=target_rows)
     if plan is None or plan.hot is None:
         return ordered_scan(df, keys, order, sums={"n": "_one"}, plan=plan).select(*cols, "n")
-    here, rest = [*keys, order[0]], order[1:]
-    marked = match(df, plan.hot.withColumn("_hot", F.lit(True)), here, "left")
-    hot = marked.where("_hot").select(*cols, "_one")
-    points = hot.groupBy(*here).agg(F.sum("_one").alias("_one"))
-    alone = marked.where("_hot is null").select(*cols, "_one", F.lit(0).alias("_point"))
-    combined = points.select(*here, *[F.lit(None).cast(df.schema[c].dataType).alias(c) for c in rest], "_one", F.lit(1).alias("_point"))
-    scanned = ordered_scan(alone.unionByName(combined), keys, order, sums={"n": "_one"}, plan=plan)
-    before = scanned.where("_point = 1").select(*here, (F.col("n") - F.col("_one")).alias("_before"))  # a row for each hot value
-    inner = _numbered(hot, here, rest, strategy, target_rows) if rest else _numbers_of(points, cols)
-    placed = match(inner, before, here, "left").select(*cols, (F.col("n") + F.col("_before")).alias("n"))
-    return scanned.where("_point = 0").select(*cols, "n").unionByName(placed)
+    scanned = ordered_scan(combine_hot(df, plan, cols, {"_one": F.sum("_one")}), keys, order, sums={"n": "_one"}, plan=plan)
+    first = F.col("n") - F.col("_one") + 1
+    chunks = scanned.select(*cols, "n", "_one", F.explode(F.sequence(F.lit(0).cast("bigint"), bucket_of(F.col("_one") - 1, CHUNK))).alias("_chunk"))
+    low = first + F.col("_chunk") * CHUNK
+    return chunks.select(*cols, F.explode(F.sequence(low, F.least(F.col("n"), low + (CHUNK - 1)))).alias("n"))
 
 
 def numbered_listing(
@@ -98,8 +82,7 @@ def numbered_listing(
     elif on_reversed != "keep":
         raise ValueError(f"unknown on_reversed {on_reversed!r}")
     base = df.select(*keys, begin, end, F.lit(1).cast("bigint").alias("_one"))
-    groups = keys or [ALL]
-    sc = _numbered(base if keys else base.withColumn(ALL, F.lit(0)), groups, [begin, end], strategy, target_rows)
+    sc = _numbered(base, keys, [begin, end], strategy, target_rows)
 
     def shown(c: str):  # dotted quad, or the plain number outside the IPv4 range
         return F.coalesce(ip4_text(F.col(c)), F.col(c).cast("string"))

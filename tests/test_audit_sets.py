@@ -64,12 +64,12 @@ def test_synthetic_ranges_shape(spark):
 
 
 def test_ordered_scan_with_two_ordering_columns(spark):
-    from solospan.plans.scan import ordered_scan, plan_buckets
+    from solospan.plans.scan import ordered_scan, scan_plan
 
     rows = [(0, b, e) for b in range(0, 300, 3) for e in (b, b + 1)]
     df = spark.createDataFrame(rows, "set_id bigint, begin bigint, end bigint")
-    plan = plan_buckets(df, ["set_id"], "begin", target_rows=20)
-    assert not plan.empty
+    plan = scan_plan(df, ["set_id"], ["begin", "end"], target_rows=20)
+    assert plan.partitions > 1
     got = ordered_scan(df, ["set_id"], ["begin", "end"], leads={"nb": "begin", "ne": "end"}, plan=plan).collect()
     expect = sorted(rows, key=lambda r: (r[1], r[2]))
     nxt = {(r[1], r[2]): (expect[i + 1][1], expect[i + 1][2]) if i + 1 < len(expect) else (None, None) for i, r in enumerate(expect)}

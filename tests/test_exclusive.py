@@ -55,31 +55,34 @@ def test_big_and_clustered_sets_against_brute_force(spark, target):
     assert got == exclusive_brute(data)
 
 
-def test_bucket_plan_splits_hot_and_dense_groups(spark):
-    from solospan.plans.scan import plan_buckets
+def laid_out(points, plan, cols):
+    """Rows of each partition of the range exchange."""
+    laid = points.repartitionByRange(plan.partitions, *cols)
+    return sorted(r["count"] for r in laid.groupBy(F.spark_partition_id()).count().collect())
 
-    data = big_sets(11)
-    df = spark.createDataFrame(data, SCHEMA)
-    plan = plan_buckets(events.half_open_events(df), ["set_id"], "x", target_rows=40)
+
+def test_range_plan_only_for_big_groups(spark):
+    from solospan.plans.scan import scan_plan
+
+    ev = events.half_open_events(spark.createDataFrame(big_sets(11), SCHEMA))
+    plan = scan_plan(ev, ["set_id"], "x", target_rows=40)
     assert plan.n_big == 2  # sets 1000 and 1001 only
-    assert plan.n_dense >= 1  # the clustered cell of set 1001 is split again
-    assert plan.bucket_bound > 20
+    assert scan_plan(ev, ["set_id"], "x", target_rows=10**6) is None
+    assert scan_plan(ev.where("set_id < 1000"), ["set_id"], "x", target_rows=40) is None
 
 
-def test_clustering_at_several_scales_gives_bounded_buckets(spark):
+def test_clustering_at_several_scales_gives_even_partitions(spark):
     import random
 
-    from solospan.plans.scan import SAMPLE_HITS, assign_buckets, plan_buckets
+    from solospan.plans.scan import RangePlan
 
     rnd = random.Random(3)
     data = [(9, 10**9 + k, 10**9 + k + 1) for k in range(0, 40, 4)]  # far away: huge span
     data += [(9, b, b + rnd.randint(0, 5)) for b in (rnd.randint(0, 3000) for _ in range(500))]
-    data += [(9, b, b + rnd.randint(0, 2)) for b in (rnd.randint(0, 60) for _ in range(900))]
+    data += [(9, b, b + rnd.randint(0, 2)) for b in (rnd.randint(0, 400) for _ in range(900))]
     df = spark.createDataFrame(data, SCHEMA)
-    plan = plan_buckets(events.half_open_events(df), ["set_id"], "x", target_rows=40)
-    assert plan.notes["levels"] >= 2, plan.notes
-    per_bucket = assign_buckets(events.point_deltas(df), plan, "x").groupBy("set_id", *plan.bucket_cols).count()
-    assert per_bucket.agg({"count": "max"}).first()[0] < 2 * SAMPLE_HITS
+    sizes = laid_out(events.half_open_events(df), RangePlan(8), ["set_id", "x"])
+    assert len(sizes) == 8 and sizes[-1] < 3 * 2 * len(data) / 8
     got = rows(exclusive.exclusive_ranges(df, strategy="bucketed", target_rows=40))
     assert got == exclusive_brute(data)
     cov = events.coverage_depth(df, strategy="bucketed", target_rows=40)
@@ -152,11 +155,11 @@ def test_no_keys_is_one_global_set(spark):
 
 
 def test_hot_point_is_combined_before_the_shuffle(spark):
-    from solospan.plans.scan import plan_buckets
+    from solospan.plans.scan import scan_plan
 
     data = [(7, 5, 5 + k % 9) for k in range(300)] + [(7, b, b + 3) for b in range(0, 2000, 7)] + tiny_sets(4, n_sets=20)
     df = spark.createDataFrame(data, SCHEMA)
-    plan = plan_buckets(events.half_open_events(df), ["set_id"], "x", target_rows=40)
+    plan = scan_plan(events.half_open_events(df), ["set_id"], "x", target_rows=40)
     assert plan.n_hot >= 1
     for strategy in ("bucketed", "window"):
         got = rows(exclusive.exclusive_ranges(df, strategy=strategy, target_rows=40))
@@ -181,17 +184,16 @@ def test_string_keys_with_bucketed_plan(spark):
     assert got == sorted((f"s{s}", b, e) for s, b, e in exclusive_brute(data))
 
 
-def test_target_rows_is_kept_whatever_the_number_of_buckets(spark):
-    from solospan.plans.scan import plan_buckets
+def test_partitions_follow_the_rows(spark):
+    from solospan.plans.scan import DEFAULT_TARGET_ROWS, scan_plan
 
-    data = big_sets(8)
-    df = spark.createDataFrame(data, SCHEMA)
-    pts = events.half_open_events(df)
-    n = pts.count()
-    plan = plan_buckets(pts, ["set_id"], "x", n_rows=n, target_rows=4)
-    assert plan.target_rows == 4  # no bound on the number of buckets overrides the caller
+    df = spark.createDataFrame(big_sets(8), SCHEMA)
+    ev = events.half_open_events(df)
+    assert scan_plan(ev, ["set_id"], "x", n_rows=10**9 * DEFAULT_TARGET_ROWS, target_rows=4).partitions == 10**9
+    assert scan_plan(ev, ["set_id"], "x", n_rows=24, target_rows=4).partitions == 6
+    assert scan_plan(ev, ["set_id"], "x", target_rows=4).partitions == 8  # the session's shuffle partitions
     got = rows(exclusive.exclusive_ranges(df, strategy="bucketed", target_rows=4))
-    assert got == exclusive_brute(data)
+    assert got == exclusive_brute(big_sets(8))
 
 
 def test_negative_coordinates(spark):
@@ -220,33 +222,28 @@ def test_null_set_key_is_a_group(spark):
     assert sorted(map(tuple, glued.collect()), key=key) == sorted(want, key=key)
 
 
-def test_null_set_is_split_into_buckets(spark):
+def test_null_set_is_split(spark):
     import random
 
-    from solospan.plans import scan
+    from solospan.plans.scan import scan_plan
 
     rnd = random.Random(4)
     data = [(None if i % 3 == 0 else i % 5, b, b + rnd.randint(0, 9)) for i, b in enumerate(rnd.randint(0, 10**6) for _ in range(3000))]
     df = spark.createDataFrame(data, SCHEMA)
     ev = events.half_open_events(df)
-    plan = scan.plan_buckets(ev, ["set_id"], "x", target_rows=200)
-    placed = scan.assign_buckets(ev.select("set_id", "x"), plan, "x")
-    largest = placed.groupBy("set_id", *plan.bucket_cols).count().where("set_id is null").agg({"count": "max"}).first()[0]
-    assert largest < 3 * 200
+    plan = scan_plan(ev, ["set_id"], "x", target_rows=200)
+    sizes = laid_out(ev, plan, ["set_id", "x"])
+    assert plan.n_big > 1 and sizes[-1] < 2 * sum(sizes) / len(sizes)
     key = lambda t: (t[0] is not None, t[0] or 0, t[1])
     got, want = (exclusive.exclusive_ranges(df, strategy=s, target_rows=200).collect() for s in ("bucketed", "window"))
     assert sorted(map(tuple, got), key=key) == sorted(map(tuple, want), key=key)
 
 
-def test_many_cells_refinement_path(spark):
+def test_one_far_coordinate_and_a_dense_region(spark):
     import random
 
-    from solospan.plans import scan
-
     rnd = random.Random(3)
     data = [(9, 10**9 + k, 10**9 + k + 1) for k in range(0, 40, 4)]
     data += [(9, b, b + rnd.randint(0, 2)) for b in (rnd.randint(0, 20000) for _ in range(2000))]
     df = spark.createDataFrame(data, SCHEMA)
-    plan = scan.plan_buckets(events.half_open_events(df), ["set_id"], "x", target_rows=40)
-    assert plan.n_dense >= 1, plan.notes
     assert rows(exclusive.exclusive_ranges(df, strategy="bucketed", target_rows=40)) == exclusive_brute(data)

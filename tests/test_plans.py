@@ -17,21 +17,33 @@ def plan_text(df, mode="formatted"):
     return buf.getvalue()
 
 
-def test_bucketed_plan_shape(spark):
-    df = exclusive_ranges(ip_ranges(spark, SF001, sets=16), strategy="bucketed", target_rows=200)
-    p = plan_text(df)
-    assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p
+def test_range_plan_shape(spark):
+    """The rows go through one range exchange and one sweep; what is left is a join with the carries."""
+    from solospan.operators.events import half_open_events
+    from solospan.plans import scan, sweep
+
+    raw = half_open_events(ip_ranges(spark, SF001, sets=16), ["set_id"], valid_only=True).select("set_id", "x", "delta")
+    plan = scan.scan_plan(raw, ["set_id"], "x", "bucketed", target_rows=200)
+    laid = raw.repartitionByRange(plan.partitions, "set_id", "x").sortWithinPartitions("set_id", "x")
+    swept = sweep.sweep(laid, ["set_id"], {"level": "delta"}, {"next_x": "x"}, {})
+    p = plan_text(swept, "simple")
+    assert p.count("Exchange rangepartitioning(set_id") == 1 and p.count("Exchange") == 1 and p.count("MapInArrow") == 1
     # the scan reads only the columns it needs
-    assert "ReadSchema: struct<l_orderkey:bigint,l_suppkey:bigint,l_linenumber:int,l_extendedprice:double>" in p
+    assert "ReadSchema: struct<l_orderkey:bigint,l_suppkey:bigint,l_linenumber:int,l_extendedprice:double>" in plan_text(swept)
+    assert swept.where(sweep.EDGE).count() <= 2 * plan.partitions
+    df = exclusive_ranges(ip_ranges(spark, SF001, sets=16), strategy="bucketed", target_rows=200)
     df.collect()
     final = plan_text(df, "simple").split("== Initial Plan ==")[0]
-    # the events are shuffled once, on the hash of (set, bucket); the bucket
-    # summary reuses that exchange; no exchange on the coordinate
-    shuffles = [l for l in final.splitlines() if "Exchange hashpartitioning(_ss_part" in l]
-    assert sum("ReusedExchange" not in l for l in shuffles) == 1, shuffles
-    assert "ReusedExchange" in final
-    assert "BroadcastHashJoin" in final
-    assert "hashpartitioning(x" not in final
+    assert "BroadcastHashJoin" in final and "SortMergeJoin" not in final and "FileScan" not in final
+
+
+def test_planning_collects_no_rows():
+    import inspect
+
+    from solospan.plans import scan, sweep
+
+    for module in (scan, sweep):
+        assert not any(w in inspect.getsource(module) for w in (".collect()", "toPandas", "toLocalIterator", "createDataFrame"))
 
 
 def test_window_plan_has_no_python_and_one_shuffle(spark):
@@ -51,12 +63,3 @@ def test_parse_plan_keeps_codegen(spark):
     p = plan_text(QUERIES["parse_ranges"](spark, SF001), "codegen")
     assert "WholeStageCodegen" in p
     assert len(p.splitlines()) < 6000
-
-
-def test_ordered_scan_summary_reuses_the_exchange(spark):
-    df = QUERIES["numbered_listing_bucketed"](spark, SF001)
-    df.collect()
-    final = plan_text(df, "simple").split("== Initial Plan ==")[0]
-    scans = [l for l in final.splitlines() if "FileScan parquet" in l]
-    assert len(scans) == 1, scans
-    assert "ReusedExchange" in final
