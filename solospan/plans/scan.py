@@ -16,11 +16,11 @@ partitioned by (keys, order), which balances the tasks whatever the groups and
 however clustered the coordinates; every partition is swept as it lies, and a
 piece of a group takes its offset from the pieces before it (see
 :mod:`solospan.plans.sweep`).  Rows that agree in all of (keys, order) cannot
-be parted; values so frequent that they would fill a task are found in a sample
-and combined map-side before the shuffle.
+be parted; if a sample shows a value so frequent that it would fill a task,
+equal rows are combined first, partly before that shuffle.
 
-No rows pass through the driver: planning reads a count and two numbers of a
-small table.  The plan never changes results.
+No rows pass through the driver: planning reads three numbers.  The plan never
+changes results.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from solospan.plans.sweep import carried, sweep
@@ -38,31 +38,17 @@ from solospan.session import ensure_checkpoint_dir
 CONF_TARGET_ROWS = "solospan.scan.targetRows"  # rows one window task should hold at most
 DEFAULT_TARGET_ROWS = 2_000_000
 SAMPLE_HITS = 64  # expected sample rows for a group of exactly target_rows
-HOT_HITS = 16  # sampled rows of one value that mark it hot (~target_rows / 4)
-BROADCAST_ROWS = 100_000  # largest planning table that is broadcast
 
 _Keys = list[str]
 
 
 @dataclass
 class RangePlan:
-    """``partitions`` of the range exchange; ``hot``: the frequent values of ``keys, order`` (stored), ``n_hot`` of them."""
+    """``partitions`` of the range exchange; number of big groups and of frequent values of ``keys, order`` seen in the sample."""
 
     partitions: int
     n_big: int = 0
     n_hot: int = 0
-    hot: DataFrame | None = None
-
-
-def match(df: DataFrame, table: DataFrame, cols: _Keys, how: str, rows: int | None = None) -> DataFrame:
-    """Join with a planning table on ``cols``, where a NULL key is a key like any other; broadcast if it has few ``rows``."""
-    other = table.select(*[F.col(c).alias(f"_ss_m_{c}") if c in cols else F.col(c) for c in table.columns])
-    cond = F.lit(True)
-    for c in cols:
-        cond = cond & df[c].eqNullSafe(other[f"_ss_m_{c}"])
-    if rows is not None and rows <= BROADCAST_ROWS:
-        other = F.broadcast(other)
-    return df.join(other, cond, how).drop(*[f"_ss_m_{c}" for c in cols])
 
 
 def _conf_int(spark, key: str, default: int) -> int:
@@ -110,37 +96,22 @@ def scan_plan(
         n_rows = points.count()
     if n_rows <= target:
         return None
-    ensure_checkpoint_dir(spark)
-    # One pass over the sample finds big groups and frequent values.
+    # a sweep streams through its partition, so a small target need not cut
+    # finer than the session's shuffles do
+    shuffles = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    partitions = max(1, min(math.ceil(n_rows / target), max(shuffles, math.ceil(n_rows / DEFAULT_TARGET_ROWS))))
+    # One pass over the sample finds big groups (half a target) and values that
+    # would fill a partition by themselves.
     p = min(1.0, SAMPLE_HITS / target)
     sample = points.select(*keys, *order).sample(False, p, seed)
     sets = [[*keys, *order], keys] if keys else [order, []]
     counts = sample.groupingSets(sets, *keys, *order).agg(F.count(F.lit(1)).alias("_n"), F.grouping_id().alias("_g"))
-    is_hot = (F.col("_g") == 0) & (F.col("_n") >= HOT_HITS)
-    is_big = (F.col("_g") != 0) & (F.col("_n") >= SAMPLE_HITS // 2)  # estimated size >= target / 2
-    # about 6 n_rows / target rows
-    found = counts.where(is_hot | is_big).checkpoint()
-    n_big, n_hot = found.agg(F.count_if(F.col("_g") != 0), F.count_if(F.col("_g") == 0)).first()
+    is_hot = (F.col("_g") == 0) & (F.col("_n") >= p * n_rows / partitions)
+    is_big = (F.col("_g") != 0) & (F.col("_n") >= SAMPLE_HITS // 2)
+    n_big, n_hot = counts.agg(F.count_if(is_big), F.count_if(is_hot)).first()
     if not n_big:
         return None
-    # a sweep streams through its partition, so a small target need not cut
-    # finer than the session's shuffles do
-    shuffles = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    partitions = min(math.ceil(n_rows / target), max(shuffles, math.ceil(n_rows / DEFAULT_TARGET_ROWS)))
-    hot = found.where("_g = 0").select(*keys, *order) if n_hot else None
-    return RangePlan(max(1, partitions), n_big, n_hot, hot)
-
-
-def combine_hot(rows: DataFrame, plan: RangePlan, cols: _Keys, values: dict[str, Column]) -> DataFrame:
-    """``rows`` (``cols`` and ``values``) with those of a hot value of ``cols`` combined by ``values`` before any shuffle.
-
-    The hot rows are taken from a second read of the input; their aggregate is
-    partial on the map side."""
-    if plan.hot is None:
-        return rows
-    flagged = match(rows, plan.hot.withColumn("_ss_hot", F.lit(True)), cols, "left", plan.n_hot)
-    hot = flagged.where(F.col("_ss_hot")).groupBy(*cols).agg(*[v.alias(n) for n, v in values.items()])
-    return flagged.where(F.col("_ss_hot").isNull()).select(*cols, *values).unionByName(hot.select(*cols, *values))
+    return RangePlan(partitions, n_big, n_hot)
 
 
 def ordered_scan(
@@ -195,8 +166,8 @@ def point_scan(
     last row of each coordinate has the sum of all and is kept.
 
     The window plan shuffles once, by group.  The range plan shuffles the rows
-    once as well if there are no ``sum_cols``; with them they are first summed
-    per coordinate (partly before that shuffle).
+    once as well, unless there are ``sum_cols`` or frequent coordinates: then they
+    are first summed per coordinate (partly before that shuffle).
     """
     keys = list(keys)
     per_point = bool(sum_cols)
@@ -213,10 +184,8 @@ def point_scan(
             frame = w.rangeBetween(Window.unboundedPreceding, Window.currentRow)
         out = rows.select(*keys, coord, *sum_cols, F.sum(level_of).over(frame).alias(level), F.lead(coord).over(w).alias(next_name))
     else:
-        if per_point:
+        if per_point or plan.n_hot:
             rows = rows.groupBy(*keys, coord).agg(*[v.alias(c) for c, v in values.items()])
-        else:
-            rows = combine_hot(rows, plan, [*keys, coord], values)
         scanned = ordered_scan(rows, keys, [coord], {level: level_of}, {next_name: coord}, plan)
         out = scanned.select(*keys, coord, *sum_cols, level, next_name)
     return out if per_point else out.where(F.col(next_name).isNull() | (F.col(next_name) != F.col(coord)))

@@ -16,16 +16,20 @@ one batch and the row before it.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import TaskContext
+from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# the sweep travels to the executors by value, so the package need not be installed there
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 PIECE, EDGE, FIRST, LAST = "_sw_piece", "_sw_edge", "_sw_first", "_sw_last"
 PIECES_SHIFT = 40  # a piece is numbered by its partition and its place there
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from solospan.functions.buckets import bucket_of
 from solospan.functions.checks import refuse
 from solospan.functions.ipv4 import ip4_text
-from solospan.plans.scan import combine_hot, ordered_scan, scan_plan
+from solospan.plans.scan import ordered_scan, scan_plan
 from solospan.schema import as_keys
 
 
@@ -49,13 +49,14 @@ CHUNK = 4096  # equal rows that are numbered in one go
 def _numbered(df: DataFrame, keys: list[str], order: list[str], strategy: str, target_rows: int | None) -> DataFrame:
     """``df`` (``keys``, ``order`` and ``_one``) with ``n``, the row's place in its group in the order of ``order``.
 
-    Equal rows that are too many for one task go through the scan as one row
-    with their count; their numbers are made from it, chunk by chunk."""
+    If equal rows are too many for one task, equal rows go through the scan as
+    one with their count; their numbers are made from it, chunk by chunk."""
     cols = [*keys, *order]
     plan = scan_plan(df, keys, order, strategy, target_rows=target_rows)
-    if plan is None or plan.hot is None:
+    if plan is None or not plan.n_hot:
         return ordered_scan(df, keys, order, sums={"n": "_one"}, plan=plan).select(*cols, "n")
-    scanned = ordered_scan(combine_hot(df, plan, cols, {"_one": F.sum("_one")}), keys, order, sums={"n": "_one"}, plan=plan)
+    counted = df.groupBy(*cols).agg(F.sum("_one").alias("_one"))  # partial on the map side
+    scanned = ordered_scan(counted, keys, order, sums={"n": "_one"}, plan=plan)
     first = F.col("n") - F.col("_one") + 1
     chunks = scanned.select(*cols, "n", "_one", F.explode(F.sequence(F.lit(0).cast("bigint"), bucket_of(F.col("_one") - 1, CHUNK))).alias("_chunk"))
     low = first + F.col("_chunk") * CHUNK
