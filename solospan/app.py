@@ -12,6 +12,9 @@ cross-checked, then stored under ``out/output`` (and as documents when
 asked).  Rejected lines (malformed, reversed) are stored with their reason
 under ``out/rejects``; ``--strict`` fails on a reversed line instead.
 ``--listing`` writes the numbered listing of the results.
+
+``--files`` takes every text file of a folder or glob as a set of its own, all
+in one plan (``streaming.publish.publish_files``), for many files.
 """
 
 from __future__ import annotations
@@ -25,7 +28,7 @@ from solospan.operators.sets import next_set_id
 from solospan.session import ensure_checkpoint_dir
 from solospan.sources.sinks import numbered_listing, write_listing
 from solospan.sources.text import read_range_text
-from solospan.streaming.publish import publish, set_folder
+from solospan.streaming.publish import publish, publish_files, set_folder
 
 
 def first_free_set_id(spark: SparkSession, input_table: str) -> int:
@@ -62,15 +65,35 @@ def run(spark: SparkSession, inputs: list[str], tables: str, documents: str | No
     return published
 
 
+def run_files(spark: SparkSession, path: str, tables: str, documents: str | None = None, listing: str | None = None) -> list[int]:
+    """Every text file of ``path`` as one set, numbered behind those stored: one plan for all."""
+    input_table, output_table = os.path.join(tables, "input"), os.path.join(tables, "output")
+    first = first_free_set_id(spark, input_table)
+    numbers = publish_files(spark, path, tables, first, documents=documents)
+    n = numbers.count()
+    files = spark._jvm.org.apache.hadoop.fs.Path(input_table).getFileSystem(spark._jsc.hadoopConfiguration())
+    for i in range(first, first + n):  # a set without rows has its number too
+        files.mkdirs(spark._jvm.org.apache.hadoop.fs.Path(set_folder(input_table, i)))
+    if listing and n:
+        out = spark.read.schema("set_id int, begin bigint, end bigint").parquet(output_table)
+        write_listing(numbered_listing(out.where(f"set_id between {first} and {first + n - 1}")), listing)
+    return list(range(first, first + n))
+
+
 def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(description=__doc__.splitlines()[0])
-    ap.add_argument("--input", action="append", required=True, help="text file (or glob) of ranges; one set each")
+    what = ap.add_mutually_exclusive_group(required=True)
+    what.add_argument("--input", action="append", help="text file (or glob) of ranges; one set each")
+    what.add_argument("--files", help="folder (or glob) of text files; one set each file, all in one plan")
     ap.add_argument("--tables", required=True, help="folder of the input/ and output/ range tables")
     ap.add_argument("--documents", help="folder for result documents (json)")
     ap.add_argument("--listing", help="folder for the numbered listing of the results")
     ap.add_argument("--strict", action="store_true", help="fail on a reversed line")
     args = ap.parse_args(argv)
     spark = SparkSession.builder.appName("solospan").getOrCreate()
+    if args.files:
+        print(f"published sets {run_files(spark, args.files, args.tables, args.documents, args.listing)}")
+        return
     ids = run(spark, args.input, args.tables, args.documents, args.listing, args.strict)
     print(f"published sets {ids}")
 

@@ -7,10 +7,10 @@ violation table into a lazy failure of the job that consumes it.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from solospan.operators.events import half_open_events
+from solospan.operators.events import half_open_events, levels
 from solospan.plans.scan import ordered_scan, point_scan, scan_plan
 from solospan.schema import as_keys
 
@@ -92,3 +92,32 @@ def raise_on(violations: DataFrame, message: Column | str) -> DataFrame:
     ``violations`` has a row; union or join it into the guarded result."""
     msg = F.lit(message) if isinstance(message, str) else message
     return violations.select(F.raise_error(msg).alias("_violation"))
+
+
+def observed_exclusive_ranges(df: DataFrame, keys=("set_id",), begin: str = "begin", end: str = "end", **kw) -> tuple[DataFrame, Observation]:
+    """The exclusive ranges and the audit of the same rows, taken as they pass: no second scan.
+
+    The observation has its numbers once some action has run the result to its
+    end (a write, say): ``n_ranges`` and ``n_ends``, ``n_points`` distinct
+    coordinates, the lowest level and the net change of all sets together
+    (``balance_audit`` has them set by set), and ``n_exclusive`` results."""
+    keys = as_keys(keys)
+    lv = levels(df, keys, begin, end, values=("starts", "ends"), **kw)
+    seen = Observation()
+    out = lv.observe(
+        seen,
+        F.coalesce(F.sum("starts"), F.lit(0)).alias("n_ranges"),
+        F.coalesce(-F.sum("ends"), F.lit(0)).alias("n_ends"),
+        F.count(F.lit(1)).alias("n_points"),
+        F.coalesce(F.min("level"), F.lit(0)).alias("min_level"),
+        F.coalesce(F.sum("delta"), F.lit(0)).alias("final_level"),
+        F.count_if(F.col("level") == 1).alias("n_exclusive"),
+    )
+    return out.where(F.col("level") == 1).select(*keys, F.col("x").alias(begin), (F.col("next_x") - 1).alias(end)), seen
+
+
+def observed_intervals(df: DataFrame, begin: str = "begin", end: str = "end") -> tuple[DataFrame, Observation]:
+    """``df`` and the counts of its ``reversed`` ranges and ``null`` bounds, taken as the rows pass to whoever reads them."""
+    seen = Observation()
+    null = F.col(begin).isNull() | F.col(end).isNull()
+    return df.observe(seen, F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col(begin) > F.col(end)).alias("reversed"), F.count_if(null).alias("null")), seen

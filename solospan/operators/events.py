@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from solospan.functions.checks import refuse
-from solospan.plans.scan import point_scan, scan_plan
+from solospan.plans.scan import ordered_scan, point_scan, scan_plan
 from solospan.schema import as_keys
 
 
@@ -160,3 +160,30 @@ def begin_counts(df: DataFrame, keys=("set_id",), begin: str = "begin", end: str
     return df.groupBy(*keys, F.col(begin).alias("begin")).agg(
         F.count(F.lit(1)).alias("n_ranges"), F.min(end).alias("min_end"), F.max(end).alias("max_end")
     )
+
+
+def consecutive_runs(
+    df: DataFrame, seq: str, key: str, keys=("set_id",), strategy: str = "auto", target_rows: int | None = None, n_rows: int | None = None
+) -> DataFrame:
+    """Runs of rows with an equal ``key`` one after the other by ``seq`` (unique
+    in a group): ``keys, run, <key>, length, first_<seq>, last_<seq>``, runs
+    numbered from 1.  The same key further on is another run; NULL is a key.
+
+    A run is its first and its last row; the second scan sees only those."""
+    keys = as_keys(keys)
+    rows = df.select(*keys, F.col(seq).alias("_seq"), F.col(key).alias("_key"), _one(1).alias("_one"))
+    plan = scan_plan(rows, keys, "_seq", strategy, n_rows=n_rows, target_rows=target_rows)
+    near = ordered_scan(rows, keys, ["_seq"], {"_at": "_one"}, {"_next": "_key", "_behind": "_one"}, plan, {"_last": "_key", "_before": "_one"})
+    starts = F.col("_before").isNull() | ~F.col("_key").eqNullSafe(F.col("_last"))
+    ends = F.col("_behind").isNull() | ~F.col("_key").eqNullSafe(F.col("_next"))
+    bounds = near.select(*keys, "_seq", "_key", "_at", starts.cast("bigint").alias("_starts"), ends.alias("_ends")).where("_starts = 1 or _ends")
+    paired = ordered_scan(bounds, keys, ["_seq"], {"_run": "_starts"}, {"_end_seq": "_seq", "_end_at": "_at"}, plan).where("_starts = 1")
+    end = lambda one, other: F.when(F.col("_ends"), F.col(one)).otherwise(F.col(other))
+    return paired.select(
+        *keys,
+        F.col("_run").alias("run"),
+        F.col("_key").alias(key),
+        (end("_at", "_end_at") - F.col("_at") + 1).alias("length"),
+        F.col("_seq").alias(f"first_{seq}"),
+        end("_seq", "_end_seq").alias(f"last_{seq}"),
+    )

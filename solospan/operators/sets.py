@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from solospan.plans.scan import ordered_scan, scan_plan
 from solospan.schema import as_keys
+from solospan.session import ensure_checkpoint_dir
+
+SMALL_TABLE = 100_000  # rows of a table that is broadcast after it was counted
 
 
 def cross_check(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -64,3 +68,74 @@ def replicate_rows(df: DataFrame, n: int, col: str = "copy") -> DataFrame:
     if n == 0:
         return df.where(F.lit(False)).withColumn(col, one)
     return df.select("*", F.explode(F.sequence(one, last)).alias(col))
+
+
+def source_numbers(sources: DataFrame, source: str = "source", first: DataFrame | int = 1, col: str = "set_id") -> DataFrame:
+    """``source`` and its set number: distinct sources in their order, from ``first`` on (a number, or a one-row
+    table like that of ``next_set_id``)."""
+    distinct = sources.select(source).distinct().withColumn("_one", F.lit(1).cast("bigint"))
+    plan = scan_plan(distinct, [], source)
+    ranked = ordered_scan(distinct, [], [source], {"_n": "_one"}, plan=plan)
+    if isinstance(first, int):
+        return ranked.select(source, (F.col("_n") + (first - 1)).alias(col))
+    low = F.broadcast(first.toDF("_low"))  # one row
+    return ranked.join(low, F.lit(True)).select(source, (F.col("_n") + F.col("_low") - 1).alias(col))
+
+
+def number_sets(rows: DataFrame, source: str = "source", first: DataFrame | int = 1, col: str = "set_id", numbers: DataFrame | None = None) -> DataFrame:
+    """``rows`` with the set number of their source in front: all inputs in one plan, whatever their number.
+
+    ``numbers`` (``source``, ``col``) if they are known already, e.g. because
+    sources without rows count too."""
+    numbers = source_numbers(rows, source, first, col) if numbers is None else numbers
+    numbers = numbers.select(F.col(source).alias("_source"), F.col(col).alias("_number"))
+    joined = rows.join(numbers, F.col(source).eqNullSafe(F.col("_source")))
+    return joined.select(F.col("_number").alias(col), *[c for c in rows.columns if c != col])
+
+
+def bag_digest(df: DataFrame, cell: dict[str, Column]) -> DataFrame:
+    """For each cell (named expressions) the number of its rows and two sums over their hashes, free of order.
+
+    Equal bags of rows have equal digests; different ones differ but for a
+    chance of about 2**-128."""
+    hashed = df.select(*[c.alias(n) for n, c in cell.items()], F.xxhash64(*df.columns).alias("_h"), F.xxhash64(F.lit("again"), *df.columns).alias("_g"))
+    return hashed.groupBy(*cell).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("_h").cast("decimal(20,0)")).alias("h"), F.sum(F.col("_g").cast("decimal(20,0)")).alias("g"))
+
+
+def compared_cells(left: DataFrame, right: DataFrame, cell: dict[str, Column]) -> DataFrame:
+    """For each cell ``n_left``, ``n_right`` and whether the two bags of rows differ (``differs``): only digests are shuffled."""
+    a, b = bag_digest(left, cell), bag_digest(right, cell)
+    none = F.lit(0).cast("decimal(20,0)")
+    sides = [F.col("n").alias("n_left"), F.lit(0).cast("bigint").alias("n_right"), F.col("h").alias("dh"), F.col("g").alias("dg")]
+    other = [F.lit(0).cast("bigint").alias("n_left"), F.col("n").alias("n_right"), (none - F.col("h")).alias("dh"), (none - F.col("g")).alias("dg")]
+    both = a.select(*cell, *sides).unionByName(b.select(*cell, *other)).groupBy(*cell)
+    met = both.agg(*[F.sum(c).alias(c) for c in ("n_left", "n_right", "dh", "dg")])
+    differs = (F.col("n_left") != F.col("n_right")) | (F.col("dh") != 0) | (F.col("dg") != 0)
+    return met.select(*cell, "n_left", "n_right", differs.alias("differs"))
+
+
+def digest_summary(left: DataFrame, right: DataFrame, cell: dict[str, Column], keys=("set_id",)) -> DataFrame:
+    """Per group: rows on each side and the number of cells whose rows differ; ``cell`` holds the keys."""
+    return compared_cells(left, right, cell).groupBy(*as_keys(keys)).agg(
+        F.sum("n_left").alias("rows_left"), F.sum("n_right").alias("rows_right"), F.count_if("differs").alias("cells_differing")
+    )
+
+
+def cross_check_digest(left: DataFrame, right: DataFrame, cell: dict[str, Column]) -> DataFrame:
+    """The bag difference of ``cross_check`` by way of digests: first the cells that differ, then the rows of those only.
+
+    ``cell`` names expressions over the columns of both (say the set and the
+    bucket of ``begin``).  The inputs are read twice; what is shuffled is a row
+    for each cell, and the rows of cells that differ."""
+    ensure_checkpoint_dir(left.sparkSession)
+    cells = compared_cells(left, right, cell).where("differs").select(*cell).checkpoint()
+    few = cells.count() <= SMALL_TABLE
+    cells = cells.select(*[F.col(n).alias(f"_c_{n}") for n in cell])
+
+    def within(df: DataFrame) -> DataFrame:
+        cond = F.lit(True)
+        for n, c in cell.items():
+            cond = cond & c.eqNullSafe(F.col(f"_c_{n}"))
+        return df.join(F.broadcast(cells) if few else cells, cond, "left_semi")
+
+    return cross_check(within(left), within(right))

@@ -57,8 +57,9 @@ def _running(v: np.ndarray, starts: np.ndarray) -> np.ndarray:
         return c - np.repeat(before, np.diff(starts, append=len(v)))
 
 
-def _where(keep: np.ndarray, values: pa.Array) -> pa.Array:
-    return pc.if_else(pa.array(keep), values, pa.scalar(None, values.type))
+def _neighbours(values: pa.Array, same: np.ndarray, step: int) -> pa.Array:
+    """For each neighbouring pair of rows the value of the second (``step`` 1) or first (0), null if their groups differ."""
+    return values.take(pa.array(np.arange(step, len(same) + step), mask=~same))
 
 
 class _Sweep:
@@ -90,14 +91,14 @@ class _Sweep:
         for name, source in self.lags.items():
             c = rows.column(source)
             first = self.held.column(name) if extra else pa.nulls(1, c.type)
-            out[name] = pa.concat_arrays([first, _where(same, c.slice(0, len(c) - 1))])
+            out[name] = pa.concat_arrays([first, _neighbours(c, same, 0)])
         firsts = differs.copy()
         if extra:
             firsts[0] = self.held.column(FIRST)[0].as_py()
         out[FIRST] = pa.array(firsts)
         self._edges(rows, out, np.flatnonzero(differs), piece)
         for name, source in self.leads.items():
-            out[name] = _where(same, rows.column(source).slice(1))
+            out[name] = _neighbours(rows.column(source), same, 1)
         n = rows.num_rows - 1
         if n:
             done = {k: v.slice(0, n) for k, v in out.items()}

@@ -8,14 +8,22 @@ that contain it (no running sum).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
-from solospan.functions.buckets import IP4_BUCKET_WIDTH, bucket_of
-from solospan.functions.ipv4 import ip4_text_sql
-from solospan.operators import audit, cutting, events, exclusive, sets
+from pyspark.sql import functions as F
+
+from solospan.functions.buckets import IP4_BUCKET_WIDTH, bucket_of, idiv
+from solospan.functions.ipv4 import ip4_text, ip4_text_sql
+from solospan.functions.sql import register_sql_functions
+from solospan.operators import audit, cutting, events, exclusive, sets, stabbing
+from solospan.schema import RANGES_SCHEMA
+from solospan.session import ensure_checkpoint_dir
 from solospan.sources import derived, generate, sinks, text
+from solospan.sources.committed import CommittedTable
+from solospan.streaming.incremental import RangeStore
+from solospan.streaming.publish import publish
 
 # Widths used by the registered queries: 2**16 cuts the IPv4 inputs often
 # enough to matter, 4 cuts the small grid domain (values 0..64).
@@ -23,6 +31,7 @@ CUT_WIDTH = 65536
 GRID_WIDTH = 4
 # Per-task row target that forces the bucketed plan on the small test tables.
 SMALL_TARGET = 1000
+WEEK = 7 * 86400
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -58,6 +67,77 @@ def _ip16(spark, sf):
     return derived.ip_ranges(spark, sf, sets=16)
 
 
+def _scratch(spark, name):
+    return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _incremental(spark, sf):
+    """Every event span taken in, in two batches; the second touches cells of the first."""
+    spans = derived.event_spans(spark, sf)
+    store = RangeStore(spark, _scratch(spark, "ranges"), width=WEEK)
+    for i in (0, 1):
+        store.apply(spans.where(F.col("event_id") % 2 == i), i)
+    out = store.exclusive_ranges().checkpoint()
+    store.drop()
+    return out
+
+
+def _range_table(spark, sf):
+    """The IPv4 ranges written as a range table and read again."""
+    table = CommittedTable(spark, _scratch(spark, "table"), "")
+    sinks.write_ranges(_ip16(spark, sf), path=table.path, layout="hashed", hash_partitions=8)
+    out = spark.read.schema(RANGES_SCHEMA).parquet(table.path).select(*RANGES_SCHEMA.names).checkpoint()
+    table.drop()
+    return out
+
+
+def _runs(spark, sf):
+    spans = derived.event_spans(spark, sf)
+    return events.consecutive_runs(spans.withColumn("quarter", idiv(F.col("end") - F.col("begin"), 21600)), "event_id", "quarter")
+
+
+def _numbered_sets(spark, sf):
+    """Text lines of many sources, numbered behind the sets of another table, solved in one plan."""
+    lines = derived.range_lines(spark, sf).withColumn("source", F.concat(F.lit("in/"), (F.col("event_id") % 53).cast("string"), F.lit(".txt")))
+    numbered = sets.number_sets(lines, first=sets.next_set_id(derived.grid_ranges(spark, sf)))
+    return exclusive.exclusive_ranges(text.good_ranges(text.parse_range_lines(numbered), keep=("set_id",)))
+
+
+def _digests(spark, sf):
+    grid = derived.grid_ranges(spark, sf)
+    cell = {"set_id": F.col("set_id"), "bucket": bucket_of("begin", 16)}
+    return sets.digest_summary(_grid_exclusive(spark, sf, strategy="window"), cutting.exclusive_by_cutting(grid, GRID_WIDTH), cell)
+
+
+def _observed(spark, sf):
+    """The numbers that the observation has after the result was read once."""
+    result, seen = audit.observed_exclusive_ranges(derived.grid_ranges(spark, sf))
+    result.write.format("noop").mode("overwrite").save()
+    return spark.createDataFrame([seen.get], "n_ranges bigint, n_ends bigint, n_points bigint, min_level bigint, final_level bigint, n_exclusive bigint")
+
+
+def _sql_functions(spark, sf):
+    register_sql_functions(spark, "solospan_")
+    return spark.sql(
+        """select set_id, solospan_ip4_text(begin) as sbegin, solospan_ip4_value(solospan_ip4_text(end)) as end,
+                  solospan_bucket_of(begin) as bucket, solospan_left_of_edge(solospan_bucket_of(end, 65536), 65536) as left_point,
+                  solospan_right_of_edge(solospan_bucket_of(end, 65536), 65536) as right_point
+           from {ranges}""",
+        ranges=_ip16(spark, sf),
+    )
+
+
+def _pairs(spark, sf):
+    """Well-formed pairs of texts."""
+    ranges = _ip16(spark, sf)
+    pairs = ranges.select(ip4_text("begin").alias("begin_text"), F.when(F.col("begin") % 7 > 0, ip4_text("end")).otherwise("no address").alias("end_text"))
+    return text.ranges_from_pair_columns(pairs, on_error="drop")
+
+
+def _published(spark, sf):
+    return publish(derived.ip_ranges(spark, sf, sets=None).select("begin", "end"), 3).withColumn("set_id", F.col("set_id").cast("bigint"))
+
+
 QUERIES: dict[str, Query] = {
     # A1/B1/C1/C2: text source and rejects
     "parse_ranges": lambda s, sf: text.good_ranges(_lines(s, sf), keep=("event_id", "set_id")),
@@ -134,7 +214,19 @@ QUERIES: dict[str, Query] = {
         _grid_exclusive(s, sf, strategy="window"),
         _grid_exclusive(s, sf, strategy="bucketed", target_rows=SMALL_TARGET // 10),
     ),
+    "cross_check_digest": _digests,
     "next_set_id": lambda s, sf: sets.next_set_id(derived.grid_ranges(s, sf)),
+    # A2, A10, B6, E2, F2, G6, I1, J; C5 as rows pass
+    "range_pairs": _pairs,
+    "range_table": _range_table,
+    "with_set_id": lambda s, sf: sets.with_set_id(derived.grid_ranges(s, sf).drop("set_id"), 7),
+    "numbered_sets": _numbered_sets,
+    "consecutive_runs": _runs,
+    "open_range_rows": lambda s, sf: stabbing.open_range_rows(derived.grid_ranges(s, sf), width=GRID_WIDTH),
+    "exclusive_ranges_incremental": _incremental,
+    "published_ranges": _published,
+    "observed_audit": _observed,
+    "sql_functions": _sql_functions,
     "replicate_rows": lambda s, sf: sets.replicate_rows(derived.grid_ranges(s, sf), 3),
 }
 
@@ -328,6 +420,39 @@ from lv group by set_id""",
     "cross_check": f"""with ex as ({_exclusive_sql(GRID)})
 select set_id, count(*) as rows_left, count(*) as rows_right, cast(0 as bigint) as only_left, cast(0 as bigint) as only_right
 from ex group by set_id""",
+    "cross_check_digest": f"""with ex as ({_exclusive_sql(GRID)})
+select set_id, count(*) as rows_left, count(*) as rows_right, cast(0 as bigint) as cells_differing
+from ex group by set_id""",
+    "range_pairs": _with(IP16, 'select begin, "end" from r where begin % 7 > 0'),
+    "range_table": _with(IP16, 'select cast(set_id as integer) as set_id, begin, "end" from r'),
+    "with_set_id": _with(GRID, 'select cast(7 as integer) as set_id, begin, "end" from r'),
+    "numbered_sets": f"""with {LINES}, good as (select 'in/' || (event_id % 53) || '.txt' as source, begin, "end" from kept where begin <= "end"),
+low as (select max(o_custkey) + 1 as n from orders),
+number as (select source, dense_rank() over (order by source) - 1 + (select n from low) as set_id
+           from (select distinct 'in/' || (event_id % 53) || '.txt' as source from events)),
+r as (select number.set_id, begin, "end" from good join number using (source)), {_segments()}
+select set_id, x as begin, nx - 1 as "end" from cov where nx is not null and depth = 1""",
+    "consecutive_runs": f"""with r as (select *, ("end" - begin) // 21600 as quarter from ({EVENTS})),
+f as (select *, case when quarter = lag(quarter) over w then 0 else 1 end as fresh from r window w as (partition by set_id order by event_id)),
+g as (select *, cast(sum(fresh) over (partition by set_id order by event_id rows between unbounded preceding and current row) as bigint) as run from f)
+select set_id, run, any_value(quarter) as quarter, count(*) as length, min(event_id) as first_event_id, max(event_id) as last_event_id
+from g group by set_id, run""",
+    "open_range_rows": _with(
+        GRID,
+        """, p as (select distinct set_id, begin as point from r)
+select p.set_id, p.point, r.begin, r."end", count(*) as n
+from p join r on r.set_id = p.set_id and r.begin <= p.point and r."end" >= p.point group by p.set_id, p.point, r.begin, r."end" """,
+    ),
+    "exclusive_ranges_incremental": _exclusive_sql(EVENTS),
+    "published_ranges": _exclusive_sql(IP1.replace("cast(0 as bigint)", "cast(3 as bigint)", 1)),
+    "observed_audit": f"""with r as ({GRID}), {_segments()}
+select (select count(*) from r) as n_ranges, (select count(*) from r) as n_ends, count(*) as n_points,
+       min(depth) as min_level, cast(0 as bigint) as final_level, count(*) filter (depth = 1) as n_exclusive from cov""",
+    "sql_functions": _with(
+        IP16,
+        f"""select set_id, {_dotted('begin')} as sbegin, "end", begin // {W28} as bucket,
+       "end" // {W16} * {W16} - 1 as left_point, "end" // {W16} * {W16} as right_point from r""",
+    ),
     "next_set_id": _with(GRID, "select coalesce(max(set_id) + 1, 1) as next_set_id from r"),
     "replicate_rows": _with(GRID, 'select set_id, begin, "end", unnest(range(1, 4)) as copy from r'),
 }

@@ -7,6 +7,10 @@ Order of effects (as in the reference): the input is written whatever
 happens next; the output only after both plans agree.  The computation reads
 the *written* input when it is a table path, which also cuts the lineage, and
 otherwise a reliable checkpoint in the cluster's shared checkpoint folder.
+
+A sink is a path (a set's folder is overwritten), a function, or a
+``CommittedTable``: then a write that stops half way, or a reader in between,
+still finds the old rows.
 """
 
 from __future__ import annotations
@@ -17,15 +21,17 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from solospan.functions.buckets import bucket_of
 from solospan.operators.cutting import exclusive_by_cutting
 from solospan.operators.exclusive import exclusive_ranges
-from solospan.operators.sets import cross_check
+from solospan.operators.sets import compared_cells, cross_check, number_sets, source_numbers
 from solospan.plans.scan import CONF_TARGET_ROWS, DEFAULT_TARGET_ROWS
 from solospan.session import ensure_checkpoint_dir
+from solospan.sources.committed import CommittedTable
 from solospan.sources.sinks import write_documents
-from solospan.sources.text import good_ranges, parse_range_lines
+from solospan.sources.text import good_ranges, parse_range_lines, rejected_lines
 
-Sink = str | Callable[[DataFrame], None] | None
+Sink = str | Callable[[DataFrame], None] | CommittedTable | None
 
 
 class CrossCheckFailed(RuntimeError):
@@ -48,13 +54,17 @@ def set_folder(table: str, set_id: int) -> str:
 
 
 def _write_set(df: DataFrame, sink: Sink, set_id: int) -> None:
-    if isinstance(sink, str):
+    if isinstance(sink, CommittedTable):  # readers see the old rows of the set until the new ones are all there
+        sink.replace(df, "set_id", set_id)
+    elif isinstance(sink, str):
         _write(df.drop("set_id"), set_folder(sink, set_id))
     else:
         _write(df, sink)
 
 
 def _stable_input(spark: SparkSession, df: DataFrame, sink: Sink, set_id) -> DataFrame:
+    if isinstance(sink, CommittedTable):
+        return sink.read([f"set_id={set_id}"]).select("set_id", "begin", "end")
     if isinstance(sink, str):
         stored = spark.read.schema("begin bigint, end bigint").parquet(set_folder(sink, set_id))
         return stored.select(F.lit(set_id).alias("set_id"), "begin", "end")
@@ -138,3 +148,51 @@ def foreach_batch_publisher(
         )
 
     return body
+
+
+def publish_files(
+    spark: SparkSession,
+    path: str | list[str],
+    tables: str,
+    first: int = 1,
+    documents: str | None = None,
+    documents_format: str = "json",
+    verify: bool = True,
+    target_rows: int | None = None,
+) -> DataFrame:
+    """Every text file under ``path`` (files, folders or globs) as one set, all in one plan: the number of Spark
+    jobs does not grow with the number of files.
+
+    Sets are numbered from ``first`` in the order of the files' names, files
+    without a good line too; a file without a byte is no set.  Stores ``input``, ``rejects`` and ``output`` under
+    ``tables`` (a folder for each set) and, if asked, documents; the numbers must
+    be free.  Returns the numbers: ``source, set_id``."""
+    ensure_checkpoint_dir(spark)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)  # contents are not read
+    numbers = source_numbers(files.select(F.col("_metadata.file_path").alias("source")), first=first).checkpoint()
+    lines = spark.read.option("recursiveFileLookup", "true").text(path).select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("source"))
+    parsed = parse_range_lines(number_sets(lines, numbers=numbers).select("set_id", "line")).checkpoint()  # for both writers
+
+    def store(rows: DataFrame, name: str) -> str:
+        rows.repartitionByRange("set_id", *rows.columns[1:]).write.mode("append").partitionBy("set_id").parquet(f"{tables}/{name}")
+        return f"{tables}/{name}"
+
+    last = numbers.agg(F.max("set_id")).first()[0]
+    if last is None:
+        return numbers
+    store(rejected_lines(parsed, keep=("set_id",)), "rejects")
+    kept = store(good_ranges(parsed, keep=("set_id",)), "input")
+    stable = spark.read.schema("set_id bigint, begin bigint, end bigint").parquet(kept).where(F.col("set_id").between(first, last))
+    result = exclusive_ranges(stable, target_rows=target_rows).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        if verify:
+            other = exclusive_by_cutting(stable, target_rows=target_rows)
+            cell = {"set_id": F.col("set_id"), "bucket": bucket_of("begin")}
+            if n_cells := compared_cells(result, other, cell).where("differs").count():
+                raise CrossCheckFailed(f"sets {first} to {last}: the two plans differ in {n_cells} cells")
+        store(result, "output")
+        if documents and documents.strip():
+            write_documents(result, documents, fmt=documents_format)
+    finally:
+        result.unpersist()
+    return numbers

@@ -8,7 +8,11 @@ from pyspark.sql import functions as F
 
 from solospan.plans.scan import RangePlan, ordered_scan, scan_plan
 
-KW = dict(sums={"s": "v", "t": "one"}, leads={"na": "a", "nb": "b", "nd": "d"}, lags={"pb": "b", "pa": "a", "pd": "d"})
+KW = dict(
+    sums={"s": "v", "t": "one"},
+    leads={"na": "a", "nb": "b", "nd": "d", "nk": "k2"},
+    lags={"pb": "b", "pa": "a", "pd": "d", "pk": "k2"},
+)
 
 
 def nulls_first(r):
