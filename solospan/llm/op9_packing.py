@@ -18,6 +18,7 @@ rows; other columns are ignored.
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 import zlib
@@ -32,10 +33,11 @@ from pyspark.sql import functions as F
 from solospan.llm.common import as_bytes, checkpointed, kept_in_worker
 
 TOKENIZER = "word_bpe_49k.json"
-CACHED_WORDS, CACHED_PARTS = 700_000, 500_000
+CACHED_WORDS, CACHED_PARTS = 700_000, 1_200_000
 LONGEST_CACHED = 64
+TOGETHER = 2000  # parts that are encoded as one text
 #: No token of the pre-tokenizer holds a letter and then another ASCII sign, so a word may be cut there.
-CUT = re.compile(rb"(?<=[A-Za-z])(?=[!-/:-@\[-`{-~])")
+CUT = re.compile(r"(?<=[A-Za-z])(?=[!-/:-@\[-`{-~])")
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -54,28 +56,52 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.most_words, self.most_parts = cached_words, cached_parts
         self.words: dict[bytes, bytes] = {}
-        self.parts: dict[bytes, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)  # tokens that end what the tokenizer's splits leave whole
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
 
     @staticmethod
-    def _cut(words: list[bytes]) -> list[list[bytes]]:
+    def _cut(words: list[bytes]) -> list[list[str]]:
         """Each word's parts that are tokenised by themselves; ASCII words in lower case, as the tokenizer folds them anyway."""
-        special = [b"<|" in w for w in words]  # may hold a special token: stays whole
-        folded = [w.lower() if w.isascii() and not s else w for w, s in zip(words, special, strict=True)]
-        cut = CUT.sub(b" ", b"\n".join(folded)).split(b"\n")  # no word has a blank
-        return [[w] if s else c.split(b" ") for w, s, c in zip(words, special, cut, strict=True)]
+        special = {i for i, w in enumerate(words) if b"<|" in w}  # may hold a special token: stays whole
+        folded = [w.lower() if w.isascii() and i not in special else w for i, w in enumerate(words)]
+        joined = b"\n".join(folded).decode("utf-8", "replace")
+        cut = [c.split(" ") for c in CUT.sub(" ", joined).split("\n")]  # no word has a blank
+        for i in special:
+            cut[i] = [words[i].decode("utf-8", "replace")]
+        return cut
+
+    def _encode_parts(self, parts: list[str]) -> dict[str, bytes]:
+        """Parts of letters only are encoded many at a time: each ends with a token that ends a word."""
+        out: dict[str, bytes] = {}
+        letters = [p for p in parts if p.isalpha()]
+        others = [p for p in parts if not p.isalpha()]
+        groups = [letters[i : i + TOGETHER] for i in range(0, len(letters), TOGETHER)]
+        for group, e in zip(groups, self.tokenizer.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False), strict=True):
+            ids = np.array(e.ids, "<u4")
+            at = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+            if len(at) != len(group):  # a sign that is no letter for the tokenizer
+                others += group
+                continue
+            raw = ids.tobytes()
+            out.update(zip(group, [raw[m:n] for m, n in zip([0, *at], at, strict=False)], strict=True))
+        encoded = self.tokenizer.encode_batch_fast(others, add_special_tokens=False)
+        out.update((p, np.array(e.ids, "<u4").tobytes()) for p, e in zip(others, encoded, strict=True))
+        return out
 
     def _encode(self, words: list[bytes]) -> list[bytes]:
         if not words:
             return []
         cut = self._cut(words)
         new = list(set().union(*cut).difference(self.parts))
-        encoded = self.tokenizer.encode_batch_fast([p.decode("utf-8", "replace") for p in new], add_special_tokens=False)
-        here = {p: np.array(e.ids, "<u4").tobytes() for p, e in zip(new, encoded, strict=True)}
+        here = self._encode_parts(new)
         if len(self.parts) > self.most_parts:
             here.update((p, self.parts[p]) for parts in cut for p in parts if p in self.parts)
             self.parts.clear()
         self.parts.update(here)
-        out = [b"".join([self.parts[p] for p in parts]) for parts in cut]
+        known = self.parts
+        out = [known[parts[0]] if len(parts) == 1 else b"".join([known[p] for p in parts]) for parts in cut]
         for p in [p for p in new if len(p) > LONGEST_CACHED]:
             del self.parts[p]
         return out
@@ -86,12 +112,12 @@ class WordEncoder:
         split = [t.split() for t in texts]  # at the six ASCII blanks
         new = list(set().union(*split).difference(self.words))
         here = dict(zip(new, self._encode(new), strict=True))
-        self.words.update((w, ids) for w, ids in here.items() if len(w) <= LONGEST_CACHED)
+        self.words.update(here)
+        known = self.words
         for words in split:
-            try:
-                yield b"".join([self.words[w] for w in words])
-            except KeyError:  # a long word
-                yield b"".join([here[w] if w in here else self.words[w] for w in words])
+            yield b"".join([known[w] for w in words])
+        for w in [w for w in new if len(w) > LONGEST_CACHED]:
+            del self.words[w]
 
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -101,6 +127,7 @@ def pieces(docs: DataFrame, capacity: int = 2048, path: str | None = None, batch
     """doc_id, piece, start, length and ids_crc32 of the pieces of every document (doc_id, text)."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gc.disable()  # nothing here makes cycles, and the caches are long to look through
         model = path or tokenizer_path()
         encoder = kept_in_worker(("op9", model, cached), lambda: WordEncoder(model, *cached))
         for whole in batches:
