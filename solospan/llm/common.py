@@ -38,6 +38,21 @@ def shared_folder(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def plain_names(docs: DataFrame, *kept: str) -> DataFrame:
+    """``docs`` with its columns renamed to ``c0``, ``c1``, ... but for the ``kept`` ones.
+
+    So no name of a user's column can clash with one that an operator adds;
+    ``toDF(*docs.columns)`` on the columns in their order gives the names back.
+    """
+    return docs.toDF(*[c if c in kept else f"c{i}" for i, c in enumerate(docs.columns)])
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a folder of the shared storage."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """The rows of ``df``, kept in the shared folder; later jobs read them there, with no lineage behind."""
     shared_folder(df.sparkSession)

@@ -38,7 +38,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from solospan.llm.common import checkpointed
+from solospan.llm.common import checkpointed, plain_names
 
 KINDS = ("email", "ip", "card", "phone")
 _LOCAL = "A-Za-z0-9._%+-"
@@ -295,9 +295,12 @@ def find_pii(docs: DataFrame) -> DataFrame:
 def redact(docs: DataFrame) -> DataFrame:
     """``docs`` with every span of personal data replaced by its kind in brackets; overlapping spans become one, of the first's kind.
 
-    Null texts stay null; ``n_chars`` follows a changed text.
+    Null texts stay null, empty ones empty; ``n_chars`` follows a changed text;
+    repeated rows are changed alike.  All other columns come back as they are,
+    whatever their names; an empty table stays empty.
     """
-    known = docs.withColumn("_null", F.col("text").isNull()).withColumn("text", F.coalesce("text", F.lit("")))
+    plain = plain_names(docs, "text", "n_chars")
+    known = plain.withColumn("_null", F.col("text").isNull()).withColumn("text", F.coalesce("text", F.lit("")))
     trees, thresholds = fit(with_candidates(known.select("text")))
     spans = with_spans(with_candidates(known), trees, thresholds)
     kinds = F.array(*(F.lit(f"[{k.upper()}]") for k in KINDS))
@@ -311,4 +314,7 @@ def redact(docs: DataFrame) -> DataFrame:
     done = F.aggregate("_all", zero, step, lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring(F.col("text"), acc["at"] + 1, F.char_length("text"))))
     text = F.when(~F.col("_null"), F.when(F.size("_all") > 0, done).otherwise(F.col("text")))
     n_chars = F.when(F.size("_all") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))
-    return spans.withColumn("text", text).withColumn("n_chars", n_chars).select(*docs.columns)
+    out = spans.withColumn("text", text)
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", n_chars)  # of the changed text
+    return out.select(*plain.columns).toDF(*docs.columns)

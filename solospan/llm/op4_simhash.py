@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from solospan.llm.common import as_bytes, checkpointed, map_batches, other_key
+from solospan.llm.common import as_bytes, checkpointed, map_batches, other_key, plain_names
 
 SEED = 42
 SHINGLES_AT_ONCE = 65536
@@ -244,9 +244,15 @@ def simhash_components(docs: DataFrame, shingle_words: int = 3, max_distance: in
 
 
 def drop_near_duplicates(docs: DataFrame, shingle_words: int = 3, max_distance: int = 2) -> DataFrame:
-    """``docs`` with one row of every component: the smallest id; of rows that repeat it, the least by all columns."""
-    marked = with_fingerprints(docs, shingle_words=shingle_words)
+    """``docs`` with one row of every component: the smallest id; of rows that repeat it, the least by all columns.
+
+    All columns come back as they are, whatever their names.  A null text counts
+    as empty, and all empty texts are one component; rows without an id stay
+    only where a whole component has none; an empty table stays empty.
+    """
+    plain = plain_names(docs, "doc_id", "text")
+    marked = with_fingerprints(plain, shingle_words=shingle_words)
     found = fingerprint_components(checkpointed(marked.select("doc_id", "_fp")), max_distance=max_distance)
     kept = marked.join(found.withColumnRenamed("fp", "_fp"), "_fp").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    one = kept.groupBy("root").agg(F.min(F.struct(*docs.columns)).alias("row"))
-    return one.select("row.*")
+    one = kept.groupBy("root").agg(F.min(F.struct(*plain.columns)).alias("row"))
+    return one.select("row.*").toDF(*docs.columns)

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from solospan.llm.common import WORD, checkpointed
+from solospan.llm.common import WORD, checkpointed, plain_names
 
 WEIGHTS = (3, 1, 2)
 BROADCAST_SOURCES = 100_000
@@ -146,8 +146,13 @@ def mix_sources(docs: DataFrame, block_words: int = 8, shard_rows: int = 2048) -
 
 
 def mixed_documents(docs: DataFrame, block_words: int = 8, shard_rows: int = 2048) -> DataFrame:
-    """The mix: each document as many times as it is taken whole, and its first words where the quota ends in it (n_chars follows)."""
-    kept = docs.select("doc_id", "text", "lang", "source", "n_chars")
+    """The mix: each document as many times as it is taken whole, and its first words where the quota ends in it (n_chars follows).
+
+    Null and empty texts have no words and are never taken; a null source is a
+    source; each repeat of a row counts for itself.  All other columns come back
+    as they are, whatever their names; an empty table stays empty.
+    """
+    kept = plain_names(docs, "doc_id", "text", "source", "n_chars")
     rows = checkpointed(sized(kept.select("doc_id", "text", "source")).drop("text"))
     out = take(sized(kept), *quotas(rows, block_words, shard_rows), block_words)
     whole = F.col("_cut") == F.col("size")
@@ -157,9 +162,7 @@ def mixed_documents(docs: DataFrame, block_words: int = 8, shard_rows: int = 204
     copies = F.concat(
         F.array_repeat(F.lit(0), rounds.cast("int")), F.when(rest > 0, F.array(rest.cast("int"))).otherwise(F.array().cast("array<int>"))
     )
-    text = F.when(F.col("_rest") > 0, first_words).otherwise(F.col("text"))
-    return (
-        out.select(*kept.columns, F.explode(copies).alias("_rest"))
-        .select("doc_id", text.alias("text"), "lang", "source", "n_chars", "_rest")
-        .select("doc_id", "text", "lang", "source", F.when(F.col("_rest") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars")).alias("n_chars"))
-    )
+    out = out.select(*kept.columns, F.explode(copies).alias("_rest")).withColumn("text", F.when(F.col("_rest") > 0, first_words).otherwise(F.col("text")))
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.when(F.col("_rest") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars")))
+    return out.select(*kept.columns).toDF(*docs.columns)

@@ -140,7 +140,11 @@ def quality_scores(docs: DataFrame, labels: DataFrame, modulus: int = 3, remaind
 
 
 def keep_quality(docs: DataFrame, labels: DataFrame, modulus: int = 3, remainder: int = 1) -> DataFrame:
-    """The rows of ``docs`` that the classifier predicts to be of label 1."""
+    """The rows of ``docs`` that the classifier predicts to be of label 1.
+
+    All columns come back as they are; null and empty texts are judged as empty
+    texts, each repeat of a row alike; an empty table stays empty.
+    """
     model = fit(with_statistics(docs), labels, "quality", modulus, remainder)
 
     def keep(batch: pa.RecordBatch) -> pa.RecordBatch | None:

@@ -8,6 +8,7 @@ import zlib
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from solospan.llm import op1_license, op2_pii, op3_topk, op4_simhash, op5_mixing, op6_quality, op7_lm, op8_ann, op9_packing, op10_toxicity
 
@@ -49,16 +50,25 @@ def test_odd_and_empty_tables(spark, name):
 
 
 def test_stage_forms_on_odd_tables(spark):
+    """Columns of any name come back with their own values."""
+    odd = ["_fp", "size", "root", "component_id", "_cands", "_null", "_base", "_all", "_rest", "_m0", "_p1", "_chosen", "_src", "_hash", "row", "c0", "c2", "taken"]
     d = odd_documents(spark).drop("_fp", "size")
-    kept = op4_simhash.drop_near_duplicates(d)
-    assert kept.columns == d.columns
-    assert sorted((r.doc_id for r in kept.collect()), key=str) == [1, 2, 4, 5, 6, None]  # 3 is empty like 2, 7 and a repeat equal 1
-    redacted = {r.doc_id: r for r in op2_pii.redact(d).collect()}
+    d = d.select("*", *[F.concat(F.lit(f"{c}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))).alias(c) for c in odd])
+
+    def whole(df):
+        rows = df.collect()
+        assert df.columns == d.columns
+        assert all(r[c] == f"{c}:{'none' if r.doc_id is None else r.doc_id}" for r in rows for c in odd)
+        return rows
+
+    kept = whole(op4_simhash.drop_near_duplicates(d))
+    assert sorted((r.doc_id for r in kept), key=str) == [1, 2, 4, 5, 6, None]  # 3 is empty like 2, 7 and a repeat equal 1
+    redacted = {r.doc_id: r for r in whole(op2_pii.redact(d))}
     assert redacted[5].text == "mail [EMAIL] or [IP]." and redacted[5].n_chars == 21 and redacted[2].text is None
-    assert op6_quality.keep_quality(d, labels(spark, [])).count() == d.count()
-    mixed = op5_mixing.mixed_documents(d)
-    assert mixed.columns == d.columns and all(r.text for r in mixed.collect())
-    assert op5_mixing.mixed_documents(d.limit(0)).count() == 0
+    assert len(whole(op6_quality.keep_quality(d, labels(spark, [])))) == d.count()
+    assert all(r.text for r in whole(op5_mixing.mixed_documents(d)))
+    for stage in (op4_simhash.drop_near_duplicates, op2_pii.redact, op5_mixing.mixed_documents):
+        assert stage(d.limit(0)).count() == 0 and stage(d.limit(0)).columns == d.columns
 
 
 def test_simhash_links_by_brute_force(spark):
