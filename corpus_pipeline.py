@@ -2,7 +2,14 @@
 
 ``STAGES`` are applied in order; each takes (spark, docs, sf_dir) and returns a
 DataFrame, which is written as Parquet and read again as the next one's docs.
-All stages but the last return the columns of ``documents``.
+All stages but the last return the columns of ``documents``, further columns
+of any name included.
+
+Nulls, empty tables and odd rows: a null text is judged, linked and packed as an
+empty one and stays null; all empty texts are one near-duplicate group; repeated
+rows are one document to the second stage and each for itself to the others;
+rows with a null id or source are kept like any other; an empty table gives an
+empty result.
 """
 
 from __future__ import annotations
@@ -11,7 +18,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from solospan.llm.common import read_table, shared_folder
+from solospan.llm.common import read_table, remove_folder, shared_folder
 from solospan.llm.op2_pii import redact
 from solospan.llm.op4_simhash import drop_near_duplicates
 from solospan.llm.op5_mixing import mixed_documents
@@ -64,4 +71,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for name, stage in STAGES[:-1]:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
-    return STAGES[-1][1](spark, docs, sf_dir)
+    packed = STAGES[-1][1](spark, docs, sf_dir)
+    remove_folder(spark, folder)  # the last stage has read its documents: its pieces are checkpointed
+    return packed
