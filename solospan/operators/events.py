@@ -44,6 +44,17 @@ def endpoint_totals(df: DataFrame, keys=("set_id",), begin: str = "begin", end:
     )
 
 
+def valid_ranges(df: DataFrame, begin: str = "begin", end: str = "end", on_invalid: str = "drop") -> DataFrame:
+    """``df`` without the ranges that cover no point, or failing the job on one with ``on_invalid="raise"``."""
+    b, e = F.col(begin).cast("bigint"), F.col(end).cast("bigint")
+    if on_invalid == "raise":
+        shown = [F.coalesce(c.cast("string"), F.lit("NULL")) for c in (b, e)]
+        return refuse(df, F.coalesce(b > e, F.lit(True)), F.concat(F.lit("Invalid range: "), shown[0], F.lit(", "), shown[1]))
+    if on_invalid == "drop":
+        return df.where(b.isNotNull() & e.isNotNull() & (b <= e))
+    raise ValueError(f"unknown on_invalid {on_invalid!r}")
+
+
 def half_open_events(
     df: DataFrame, keys=("set_id",), begin: str = "begin", end: str = "end", valid_only: bool = False, on_invalid: str = "drop"
 ) -> DataFrame:
@@ -56,13 +67,7 @@ def half_open_events(
     keys = as_keys(keys)
     b, e = F.col(begin).cast("bigint"), F.col(end).cast("bigint")
     if valid_only:
-        if on_invalid == "raise":
-            shown = [F.coalesce(c.cast("string"), F.lit("NULL")) for c in (b, e)]
-            df = refuse(df, F.coalesce(b > e, F.lit(True)), F.concat(F.lit("Invalid range: "), shown[0], F.lit(", "), shown[1]))
-        elif on_invalid == "drop":
-            df = df.where(b.isNotNull() & e.isNotNull() & (b <= e))
-        else:
-            raise ValueError(f"unknown on_invalid {on_invalid!r}")
+        df = valid_ranges(df, begin, end, on_invalid)
     ev = F.array(
         F.struct(b.alias("x"), _one(1).alias("starts"), _one(0).alias("ends")),
         F.struct((e + 1).alias("x"), _one(0).alias("starts"), _one(-1).alias("ends")),

@@ -31,7 +31,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from solospan.plans.sweep import carried, sweep
+from solospan.plans.sweep import Tops, carried, sweep
 from solospan.session import ensure_checkpoint_dir
 
 # Tunables (session conf keys and defaults).
@@ -122,28 +122,38 @@ def ordered_scan(
     leads: dict[str, str] | None = None,
     plan: RangePlan | None = None,
     lags: dict[str, str] | None = None,
+    tops: Tops | None = None,
 ) -> DataFrame:
     """Per group of ``keys`` ordered by ``order``: ``sums`` maps output name ->
     integral column (inclusive running sum), ``leads`` / ``lags`` map output
-    name -> column (value of the next row / the row before).  Returns ``df``
-    with those columns appended.
+    name -> column (value of the next row / the row before), ``tops`` (name of
+    the largest, name of the second) -> integral column (of the rows so far).
+    Returns ``df`` with those columns appended.
 
     With a ``RangePlan`` the sweep is stored in the shared checkpoint folder
     when this is called: its rows and its edges must come from one exchange."""
-    sums, leads, lags, keys, order = sums or {}, leads or {}, lags or {}, list(keys), list(order)
+    sums, leads, lags, tops, keys, order = sums or {}, leads or {}, lags or {}, tops or {}, list(keys), list(order)
     if plan is None:
         w = Window.partitionBy(*keys).orderBy(*order) if keys else Window.orderBy(*order)
         running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return df.select(
+        out = df.select(
             "*",
             *[F.sum(source).over(running).alias(name) for name, source in sums.items()],
+            *[F.max(source).over(running).cast("bigint").alias(one) for (one, _), source in tops.items()],
+            *[F.max(source).over(w.rowsBetween(Window.unboundedPreceding, -1)).alias(f"_ss_{two}") for (_, two), source in tops.items()],
             *[F.lead(source).over(w).alias(name) for name, source in leads.items()],
             *[F.lag(source).over(w).alias(name) for name, source in lags.items()],
         )
+        # the second largest is the largest of what a larger one before or behind has beaten
+        for (one, two), source in tops.items():
+            beaten = F.when(F.col(f"_ss_{two}").isNotNull() & F.col(source).isNotNull(), F.least(F.col(source), F.col(f"_ss_{two}")))
+            out = out.withColumn(f"_ss_{two}", beaten).withColumn(two, F.max(f"_ss_{two}").over(running).cast("bigint")).drop(f"_ss_{two}")
+        made = [*df.columns, *sums, *[n for pair in tops for n in pair], *leads, *lags]
+        return out.select(*made) if tops else out
     ensure_checkpoint_dir(df.sparkSession)
     laid = df.repartitionByRange(plan.partitions, *keys, *order).sortWithinPartitions(*keys, *order)
-    swept = sweep(laid, keys, sums, leads, lags).checkpoint()
-    return carried(swept, keys, order, sums, leads, lags)
+    swept = sweep(laid, keys, sums, leads, lags, tops).checkpoint()
+    return carried(swept, keys, order, sums, leads, lags, tops)
 
 
 def point_scan(

@@ -82,6 +82,15 @@ def _incremental(spark, sf):
     return out
 
 
+def _sorted_files(spark, sf):
+    """The event spans written as sorted files, and these swept one by one."""
+    table = CommittedTable(spark, _scratch(spark, "sorted"), "")
+    exclusive.write_sorted_ranges(derived.event_spans(spark, sf), table.path)
+    out = exclusive.exclusive_ranges_of_sorted(spark, table.path)  # stored: the files are read
+    table.drop()
+    return out
+
+
 def _range_table(spark, sf):
     """The IPv4 ranges written as a range table and read again."""
     table = CommittedTable(spark, _scratch(spark, "table"), "")
@@ -199,6 +208,7 @@ QUERIES: dict[str, Query] = {
         derived.skewed_ranges(s, sf), target_rows=SMALL_TARGET * 4
     ),
     "exclusive_ranges_synthetic": lambda s, sf: exclusive.exclusive_ranges(_synthetic20(s, sf)),
+    "exclusive_ranges_sorted_files": _sorted_files,
     "exclusive_ranges_presorted": lambda s, sf: exclusive.exclusive_ranges_presorted(
         derived.event_spans(s, sf), seq="event_id"
     ),
@@ -212,7 +222,7 @@ QUERIES: dict[str, Query] = {
     # H3, F4, I2
     "cross_check": lambda s, sf: sets.cross_check_summary(
         _grid_exclusive(s, sf, strategy="window"),
-        _grid_exclusive(s, sf, strategy="bucketed", target_rows=SMALL_TARGET // 10),
+        exclusive.exclusive_ranges_by_level(derived.grid_ranges(s, sf), strategy="bucketed", target_rows=SMALL_TARGET // 10),
     ),
     "cross_check_digest": _digests,
     "next_set_id": lambda s, sf: sets.next_set_id(derived.grid_ranges(s, sf)),
@@ -387,6 +397,7 @@ from bp""",
     "exclusive_ranges_events": _exclusive_sql(EVENTS),
     "exclusive_ranges_bucketed": _exclusive_sql(IP1),
     "exclusive_ranges_presorted": _exclusive_sql(EVENTS),
+    "exclusive_ranges_sorted_files": _exclusive_sql(EVENTS),
     "exclusive_ranges_synthetic": _exclusive_sql(SYNTH20),
     "exclusive_ranges_skewed": _exclusive_sql(SKEWED),
     "glue_ranges": _exclusive_sql(GRID),

@@ -18,14 +18,13 @@ def plan_text(df, mode="formatted"):
 
 
 def test_range_plan_shape(spark):
-    """The rows go through one range exchange and one sweep; what is left is a join with the carries."""
-    from solospan.operators.events import half_open_events
+    """The ranges go through one range exchange and one sweep; what is left is a join with the carries."""
     from solospan.plans import scan, sweep
 
-    raw = half_open_events(ip_ranges(spark, SF001, sets=16), ["set_id"], valid_only=True).select("set_id", "x", "delta")
-    plan = scan.scan_plan(raw, ["set_id"], "x", "bucketed", target_rows=200)
-    laid = raw.repartitionByRange(plan.partitions, "set_id", "x").sortWithinPartitions("set_id", "x")
-    swept = sweep.sweep(laid, ["set_id"], {"level": "delta"}, {"next_x": "x"}, {})
+    raw = ip_ranges(spark, SF001, sets=16)
+    plan = scan.scan_plan(raw, ["set_id"], ["begin", "end"], "bucketed", target_rows=200)
+    laid = raw.repartitionByRange(plan.partitions, "set_id", "begin", "end").sortWithinPartitions("set_id", "begin", "end")
+    swept = sweep.sweep(laid, ["set_id"], {}, {"next": "begin"}, {}, {("far", "second"): "end"})
     p = plan_text(swept, "simple")
     assert p.count("Exchange rangepartitioning(set_id") == 1 and p.count("Exchange") == 1 and p.count("MapInArrow") == 1
     # the scan reads only the columns it needs
