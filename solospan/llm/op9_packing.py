@@ -123,25 +123,33 @@ class WordEncoder:
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
-def pieces(docs: DataFrame, capacity: int = 2048, path: str | None = None, batch_rows: int = 500, cached: tuple[int, int] = (CACHED_WORDS, CACHED_PARTS)) -> DataFrame:
+def pieces(
+    docs: DataFrame, capacity: int = 2048, path: str | None = None, batch_rows: int = 500, cached: tuple[int, int] = (CACHED_WORDS, CACHED_PARTS), kept: bool = True
+) -> DataFrame:
     """doc_id, piece, start, length and ids_crc32 of the pieces of every document (doc_id, text)."""
 
+    def of_batch(batch: pa.RecordBatch, encoder: WordEncoder) -> pa.RecordBatch:
+        out: list[tuple] = []
+        for doc_id, ids in zip(batch.column(0).to_pylist(), encoder.encode(as_bytes(batch.column(1))), strict=True):
+            ids += b"\0\0\0\0"
+            for piece, start in enumerate(range(0, len(ids), 4 * capacity)):
+                part = ids[start : start + 4 * capacity]
+                out.append((doc_id, piece, start // 4, len(part) // 4, zlib.crc32(part)))
+        kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
+        columns = [pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)]
+        return pa.RecordBatch.from_arrays(columns, ["doc_id", "piece", "start", "length", "ids_crc32"])
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gc.disable()  # nothing here makes cycles, and the caches are long to look through
         model = path or tokenizer_path()
-        encoder = kept_in_worker(("op9", model, cached), lambda: WordEncoder(model, *cached))
-        for whole in batches:
-            for at in range(0, whole.num_rows, batch_rows):
-                batch = whole.slice(at, batch_rows)
-                out: list[tuple] = []
-                for doc_id, ids in zip(batch.column(0).to_pylist(), encoder.encode(as_bytes(batch.column(1))), strict=True):
-                    ids += b"\0\0\0\0"
-                    for piece, start in enumerate(range(0, len(ids), 4 * capacity)):
-                        part = ids[start : start + 4 * capacity]
-                        out.append((doc_id, piece, start // 4, len(part) // 4, zlib.crc32(part)))
-                kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
-                columns = [pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "piece", "start", "length", "ids_crc32"])
+        make = lambda: WordEncoder(model, *cached)
+        encoder = kept_in_worker(("op9", model, cached), make) if kept else make()
+        gc.disable()  # nothing here makes cycles, and the caches are long to look through
+        try:
+            for whole in batches:
+                for at in range(0, whole.num_rows, batch_rows):
+                    yield of_batch(whole.slice(at, batch_rows), encoder)
+        finally:
+            gc.enable()
 
     return docs.select("doc_id", "text").mapInArrow(cut, PIECES)
 
@@ -203,10 +211,19 @@ def pack(lengths: list[int], capacity: int) -> list[list[int]]:
 
 
 def pack_documents(
-    docs: DataFrame, capacity: int = 2048, path: str | None = None, shard_pieces: int = 16384, cached: tuple[int, int] = (CACHED_WORDS, CACHED_PARTS)
+    docs: DataFrame,
+    capacity: int = 2048,
+    path: str | None = None,
+    shard_pieces: int = 16384,
+    cached: tuple[int, int] = (CACHED_WORDS, CACHED_PARTS),
+    kept: bool = True,
 ) -> DataFrame:
-    """The pieces of ``docs`` with their sequence_id and offset; ``cached`` words and parts trade a task's memory for time."""
-    cut = checkpointed(pieces(docs, capacity, path, cached=cached))
+    """The pieces of ``docs`` with their sequence_id and offset.
+
+    ``cached`` words and parts trade a worker's memory for time; ``kept`` keeps
+    them in the worker for its later tasks, also those of other jobs.
+    """
+    cut = checkpointed(pieces(docs, capacity, path, cached=cached, kept=kept))
     shards = max(1, -(-cut.count() // shard_pieces))
 
     def pack_shard(rows: pd.DataFrame) -> pd.DataFrame:
