@@ -48,8 +48,8 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of the remaining documents and their places in the sequences."""
-    # the workers of earlier stages still hold memory: smaller caches, the same result
-    return pack_documents(docs, capacity=2048, cached=(150_000, 150_000))
+    # the workers serve all stages: small caches that go with the task, the same result
+    return pack_documents(docs, capacity=2048, cached=(150_000, 150_000), kept=False)
 
 
 STAGES = [
