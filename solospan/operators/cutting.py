@@ -3,10 +3,10 @@ results and a bucket-ordered table layout (S2.C7, D5-D7, D9, B5, H1, E1)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from solospan.functions.buckets import IP4_BUCKET_WIDTH, bucket_of
+from solospan.functions.buckets import IP4_BUCKET_WIDTH, bucket_of, idiv
 from solospan.functions.checks import refuse
 from solospan.operators.events import coverage_depth
 from solospan.operators.exclusive import exclusive_ranges
@@ -57,7 +57,8 @@ def glue_points(
     edge is made to be dropped again."""
     keys = as_keys(keys)
     bb, be = bucket_of(F.col(begin), width), bucket_of(F.col(end), width)
-    spans = coverage_depth(df.where(be > bb).select(*keys, (bb + 1).alias("_first"), be.alias("_last")), keys, "_first", "_last")
+    crossing = df.where(be > bb).select(*keys, (bb + 1).alias("_first"), be.alias("_last"))
+    spans = coverage_depth(crossing, keys, "_first", "_last", n_rows=2 * df.count())  # a bound that costs no scan of the bounds
     spans = spans.where("depth > 0").select(*keys, "point", (F.col("next_point") - 1).alias("_last"))
     edges = _each_number(spans, keys, "point", "_last", "bucket")
     return edges.select(
@@ -93,6 +94,45 @@ def bucket_layout(
     return d.repartitionByRange(n, *keys, "bucket", begin).sortWithinPartitions(*keys, "bucket", begin)
 
 
+ZBITS = 16  # bits of each end in a z-order key
+#: (shift, mask) pairs that move the 16 low bits of a number to its even places (fixed values)
+SPREAD = ((8, 0x00FF00FF), (4, 0x0F0F0F0F), (2, 0x33333333), (1, 0x55555555))
+
+
+def zorder_key(begin, end, low: int, step: int) -> Column:
+    """The cells of both ends, counted in ``step`` from ``low``, with their bits taken in turn (begin's first)."""
+
+    def spread(x) -> Column:
+        cell = F.least(F.greatest(idiv(F.col(x) - low, step), F.lit(0)), F.lit((1 << ZBITS) - 1))
+        c = F.when(F.col(x).isNotNull(), cell.cast("bigint"))
+        for shift, mask in SPREAD:
+            c = c.bitwiseOR(F.shiftleft(c, shift)).bitwiseAND(F.lit(mask).cast("bigint"))
+        return c
+
+    return F.shiftleft(spread(begin), 1).bitwiseOR(spread(end))
+
+
+def zorder_layout(
+    df: DataFrame, num_partitions: int | None = None, keys=("set_id",), begin: str = "begin", end: str = "end", bounds: tuple[int, int] | None = None
+) -> DataFrame:
+    """Rows unchanged plus ``zkey``; range-partitioned by (keys, zkey) and
+    sorted inside partitions, for writing a table whose row groups are small
+    boxes of (begin, end), so that a lookup by either end, or of the ranges that
+    contain a point, prunes row groups; a layout by begin leaves one long range
+    in every group.
+
+    ``bounds`` are the smallest and largest coordinate, if known; otherwise they
+    are read (two numbers).  Coordinates beyond them fall in the outer cells; a
+    NULL bound gives a NULL key."""
+    keys = as_keys(keys)
+    low, high = bounds or df.agg(F.least(F.min(begin), F.min(end)), F.greatest(F.max(begin), F.max(end))).first()
+    low, high = low or 0, high or 0
+    step = -(-(high - low + 1) // (1 << ZBITS))
+    d = df.withColumn("zkey", zorder_key(begin, end, low, step))
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return d.repartitionByRange(n, *keys, "zkey", begin).sortWithinPartitions(*keys, "zkey", begin)
+
+
 def _islands(d: DataFrame, keys: list[str], begin: str, end: str, strategy: str, target_rows: int | None, n_rows: int | None) -> DataFrame:
     """Unite runs of disjoint ranges (sorted by begin) where each range touches
     the previous one and may join it (column ``_join``).

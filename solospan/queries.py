@@ -179,6 +179,7 @@ QUERIES: dict[str, Query] = {
         cutting.cut_at_buckets(_ip16(s, sf), CUT_WIDTH).drop("bucket"), CUT_WIDTH
     ),
     "bucket_layout": lambda s, sf: cutting.bucket_layout(_ip16(s, sf), IP4_BUCKET_WIDTH),
+    "zorder_layout": lambda s, sf: cutting.zorder_layout(_ip16(s, sf)),
     # D1, F1-F3, F5, D2, G6
     "endpoint_events": lambda s, sf: events.endpoint_events(derived.grid_ranges(s, sf)),
     "endpoint_totals": lambda s, sf: events.endpoint_totals(derived.grid_ranges(s, sf)),
@@ -360,6 +361,14 @@ from (select set_id, greatest(begin, bucket * {W16}) as begin, least("end", buck
 where begin % {W16} = 0 or "end" % {W16} = {W16 - 1}""",
     ),
     "bucket_layout": _with(IP16, f'select set_id, begin, "end", begin // {W28} as bucket from r'),
+    "zorder_layout": _with(
+        IP16,
+        """, b as (select min(begin) as low, (max("end") - min(begin) + 1 + 65535) // 65536 as step from r),
+c as (select set_id, begin, "end", (begin - low) // step as x, ("end" - low) // step as y from r, b)
+select set_id, begin, "end",
+       cast(list_sum(list_transform(range(16), lambda i: ((x >> i) & 1) * (1 << (2 * i + 1)) + ((y >> i) & 1) * (1 << (2 * i)))) as bigint) as zkey
+from c""",
+    ),
     "endpoint_events": _with(
         GRID,
         """select set_id, begin as point, cast(1 as bigint) as starts, cast(0 as bigint) as ends from r
