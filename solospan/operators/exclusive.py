@@ -147,5 +147,6 @@ def exclusive_ranges_of_sorted(spark: SparkSession, path: str, keys=("set_id",),
     keys = as_keys(keys)
     ensure_checkpoint_dir(spark)
     order = ["_b", "_e"]
-    swept = check_files(swept_files(spark, path, keys, begin, end).checkpoint(), keys, order)
+    swept = swept_files(spark, path, keys, begin, end).checkpoint()
+    check_files(swept, keys, order)
     return _results(carried(swept, keys, order, {}, LEADS, {}, TOPS), keys, begin, end)

@@ -72,14 +72,12 @@ def replicate_rows(df: DataFrame, n: int, col: str = "copy") -> DataFrame:
 
 def source_numbers(sources: DataFrame, source: str = "source", first: DataFrame | int = 1, col: str = "set_id") -> DataFrame:
     """``source`` and its set number: distinct sources in their order, from ``first`` on (a number, or a one-row
-    table like that of ``next_set_id``)."""
+    table like that of ``next_set_id``, which is read)."""
     distinct = sources.select(source).distinct().withColumn("_one", F.lit(1).cast("bigint"))
     plan = scan_plan(distinct, [], source)
     ranked = ordered_scan(distinct, [], [source], {"_n": "_one"}, plan=plan)
-    if isinstance(first, int):
-        return ranked.select(source, (F.col("_n") + (first - 1)).alias(col))
-    low = F.broadcast(first.toDF("_low"))  # one row
-    return ranked.join(low, F.lit(True)).select(source, (F.col("_n") + F.col("_low") - 1).alias(col))
+    low = first if isinstance(first, int) else int(first.first()[0])
+    return ranked.select(source, (F.col("_n") + (low - 1)).alias(col))
 
 
 def number_sets(rows: DataFrame, source: str = "source", first: DataFrame | int = 1, col: str = "set_id", numbers: DataFrame | None = None) -> DataFrame:

@@ -296,15 +296,14 @@ def carried(
     )
 
 
-def check_files(swept: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """``swept`` (stored), failing if the rows of one segment reach into those of another.
+def check_files(swept: DataFrame, keys: list[str], order: list[str]) -> None:
+    """Raise if the rows of one segment of ``swept`` (stored) reach into those of another.
 
     Along (keys, order) of their first rows the edges of a segment must
     follow each other: two rows for each segment at most are compared."""
     w = Window.orderBy(*keys, *order, PIECE)
     part = F.shiftright(F.col(PIECE), SEGMENT_SHIFT)
     met = swept.where(EDGE).select(part.alias("_p"), F.lag(part).over(w).alias("_q"))
-    turns = met.where("_q is null or _p <> _q").groupBy("_p").count().where("count > 1").select("_p")
-    bad = F.broadcast(turns.agg(F.count(F.lit(1)).alias("_sw_bad")))
-    failed = F.raise_error(F.lit("Order violation: files overlap")).cast("boolean")
-    return swept.join(bad, F.lit(True)).where(F.when(F.col("_sw_bad") > 0, failed).otherwise(F.lit(True))).drop("_sw_bad")
+    torn = met.where("_q is null or _p <> _q").groupBy("_p").count().where("count > 1")
+    if n := torn.count():
+        raise ValueError(f"Order violation: files overlap ({n} of them)")
