@@ -1,4 +1,4 @@
-"""Final (post-AQE) physical plan shape of every registered query.
+"""Final (post-AQE) physical plan shape of every registered query of the range library.
 
 usage: python tools/plan_report.py [sf_dir] > PLANS.md
 
@@ -17,7 +17,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as E  # noqa: E402
+from solospan.queries import QUERIES  # noqa: E402
 from solospan.session import local_session  # noqa: E402
 
 
@@ -36,7 +36,7 @@ def main() -> None:
     print(f"# Final physical plans ({os.path.basename(sf)}, local[8], AQE on)\n")
     print("| query | shuffles | reused exchanges | broadcasts | windows | parquet scans |")
     print("| --- | --- | --- | --- | --- | --- |")
-    for name, q in E.queries().items():
+    for name, q in QUERIES.items():
         plan = final_plan(q(spark, sf))
         lines = plan.splitlines()
         shuffles = sum(bool(re.search(r"\bExchange (hashpartitioning|rangepartitioning|SinglePartition|RoundRobin)", l)) and "ReusedExchange" not in l for l in lines)
