@@ -1,22 +1,34 @@
 """Language-model scores: a log-bilinear model trained by noise-contrastive estimation.
 
 Token counts are taken over all training documents, added up in tasks before
-the shuffle.  The model knows the ``n_words`` most frequent tokens and one
-class for all others; its score of a token after two others is bilinear, a
-product of the token's vector and a sum of the context's vectors, each weighted
-by position.  It is trained in numpy with noise-contrastive estimation on the
-counted class trigrams of all training documents.  The trigrams are dealt to
-tasks of about ``task_trigrams``; in each round every task makes a pass over
-its own, and the tasks' parameters are averaged by their numbers of tokens.
-
-The normaliser depends on the context alone.  Contexts are pairs of known
-classes, so batched matrix products give a whole table of normalisers, a
-Spark row for each first token.  A token of the last class gets that class's
-probability times its smoothed share of the class's counts, so probabilities
-add up to one over all training tokens and one place for unseen ones.
-
-Counts of the ``n_common`` most frequent tokens go to the tasks (a fixed
-bound); counts of all others reach the documents by a join on the token.
+the shuffle.  A token's probability has two factors, both log-bilinear and both
+normalised exactly; together they cover every counted token, however many the
+corpus has.
+
+*Class given context.*  The ``n_words`` most frequent tokens are classes of
+their own; the other common tokens fall into classes by frequency, two for each
+power of two, and all others into a last one.  The score of a class after two
+others is a product of the class's vector and a sum of the context's vectors,
+each weighted by position.  It is trained in numpy with noise-contrastive
+estimation on the counted class trigrams of all training documents.  The
+trigrams are dealt to tasks of about ``task_trigrams``; in each round every
+task makes a pass over its own, and the tasks' parameters are averaged by their
+numbers of tokens.  The normaliser depends on the context alone.  Contexts are
+pairs of classes, so batched matrix products give a whole table of normalisers,
+a Spark row for each first token.
+
+*Token given class and context.*  Every token of a shared class has a vector of
+its own.  Contexts are told apart by the groups (weighted k-means) of their two
+tokens' trained vectors, and the group centres give the context's side of the
+product.  The noise is the tokens' frequency, whatever the context; with the
+context's side fixed, the noise-contrastive loss is a sum over tokens, so each
+token's vector is fitted, in the partition that holds its counts by group, to
+the loss's minimum with a normal prior.  The normalisers, one for each class
+and group, are sums over all those rows.  The last class keeps one place for
+unseen tokens, so all probabilities of a context add up to one.
+
+Counts and vectors of the ``n_common`` most frequent tokens go to the tasks (a
+fixed bound); those of all others reach the documents by a join on the token.
 
 Defined results: a null or empty text is its end token alone; repeated rows
 are scored (and counted) each for itself; a row with a null id is held out;
@@ -26,9 +38,11 @@ probability one to each token; an empty table gives no rows; other columns are i
 
 from __future__ import annotations
 
+import operator
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +55,10 @@ from solospan.llm.common import as_bytes, checkpointed, held_out
 END = b"\n"  # no word has a blank
 COUNTED_AT_ONCE = 400_000
 BATCH_DOCS = 512
+NEAR_GROUPS, FAR_GROUPS = 16, 4
+TOKEN_DIMENSIONS = 8
+TOKEN_NOISE = 8
+TOKEN_PRIOR = 2.0
 
 
 def tokens(text: bytes) -> list[bytes]:
@@ -86,7 +104,7 @@ def most_frequent(counts: DataFrame, most: int) -> DataFrame:
 
 @dataclass
 class LogBilinear:
-    """``words`` known classes, class ``words`` for all other tokens; a context may also be the place before a text (``words`` + 1)."""
+    """Classes 0 to ``words``, the last for all tokens that are not common; a context may also be the place before a text (``words`` + 1)."""
 
     words: int
     context: np.ndarray  # (words + 2) x d
@@ -181,36 +199,62 @@ class NceTrainer:
             self.step(far[i], near[i], target[i], weight[i])
 
 
-def classes(texts: list[bytes], index: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
-    """Of all texts end to end: each token's place in ``index`` (-1: none), where each text starts, the tokens."""
-    each = [tokens(t) for t in texts]
-    flat = [w for words in each for w in words]
-    places = np.fromiter((index.get(w, -1) for w in flat), np.int64, len(flat))
-    return places, np.cumsum([0, *map(len, each)])[:-1], flat
-
-
-def with_context(places: np.ndarray, starts: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Class of the token two before, of the one before, and of the token itself."""
-    target = np.where((places >= 0) & (places < words), places, words)
-    near, far = np.r_[words + 1, target[:-1]], np.r_[words + 1, words + 1, target[:-2]][: len(target)]
-    near[starts], far[starts] = words + 1, words + 1
-    second = starts + 1
-    second = second[(second < len(target)) & ~np.isin(second, starts)]
-    far[second] = words + 1
-    return far, near, target
+@dataclass
+class Classes:
+    """The common tokens' places and the classes of all tokens."""
 
+    index: dict[bytes, int]
+    counts: np.ndarray  # of each place
+    words: int  # so many first places are classes of their own
+    of: np.ndarray  # class of each place; the last entry, place -1, is the class of all other tokens
 
-def class_trigrams(training: DataFrame, index: dict[bytes, int]) -> DataFrame:
-    """(key, n): the counted class trigrams of all texts; a key holds the three classes in base ``words`` + 2."""
-    words = len(index)
+    @classmethod
+    def by_frequency(cls, common: list[tuple[bytes, int]], n_words: int) -> Classes:
+        counts = np.array([c for _, c in common], np.int64)
+        words = min(n_words, len(common))
+        _, kind = np.unique(-np.floor(2 * np.log2(counts[words:])), return_inverse=True)
+        of = np.r_[np.arange(words), words + kind]
+        return cls({w: i for i, (w, _) in enumerate(common)}, counts, words, np.r_[of, of.max(initial=-1) + 1].astype(np.int64))
+
+    @property
+    def last(self) -> int:
+        return int(self.of[-1])
+
+    def share(self, n_all: int) -> np.ndarray:
+        """Share of all training tokens of each class; an empty class counts as one token."""
+        size = np.bincount(self.of[:-1], self.counts, self.last + 1)
+        size[-1] = max(n_all - self.counts.sum(), 1)
+        return size / size.sum()
+
+    def places(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+        """Of all texts end to end: each token's place (-1: none), where each text starts, the tokens."""
+        each = [tokens(t) for t in texts]
+        flat = [w for words in each for w in words]
+        places = np.fromiter((self.index.get(w, -1) for w in flat), np.int64, len(flat))
+        return places, np.cumsum([0, *map(len, each)])[:-1], flat
+
+    def trigrams(self, places: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Class of the token two before, of the one before, and of the token itself."""
+        target, outside = self.of[places], self.last + 1
+        near, far = np.r_[outside, target[:-1]], np.r_[outside, outside, target[:-2]][: len(target)]
+        near[starts], far[starts] = outside, outside
+        second = starts + 1
+        second = second[(second < len(target)) & ~np.isin(second, starts)]
+        far[second] = outside
+        return far, near, target
+
+
+def class_trigrams(training: DataFrame, classes: Classes) -> DataFrame:
+    """(key, n): the counted class trigrams of all texts; a key holds the three classes in base ``last`` + 2."""
+    base = classes.last + 2
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, times = np.zeros(0, np.int64), np.zeros(0, np.int64)
         for whole in batches:
             for at in range(0, whole.num_rows, BATCH_DOCS):
-                places, starts, _ = classes(as_bytes(whole.column(0).slice(at, BATCH_DOCS)), index)
-                far, near, target = with_context(places, starts, words)
-                new, n = np.unique((far * (words + 2) + near) * (words + 2) + target, return_counts=True)
+                places, starts, _ = classes.places(as_bytes(whole.column(0).slice(at, BATCH_DOCS)))
+                far, near, target = classes.trigrams(places, starts)
+                new, n = np.unique((far * base + near) * base + target, return_counts=True)
                 both, inverse = np.unique(np.r_[keys, new], return_inverse=True)
                 keys, times = both, np.bincount(inverse, np.r_[times, n]).astype(np.int64)
                 if len(keys) > COUNTED_AT_ONCE:
@@ -270,6 +314,152 @@ def log_normalisers(docs: DataFrame, model: LogBilinear) -> np.ndarray:
     return np.stack([np.frombuffer(r.z, np.float32) for r in sorted(got)])
 
 
+def grouped(x: np.ndarray, weight: np.ndarray, groups: int, seed: int = 3) -> tuple[np.ndarray, np.ndarray]:
+    """Weighted k-means: the group of each row of ``x``, the groups' centres."""
+    rng = np.random.default_rng(seed)
+    groups = min(groups, len(x))
+    centres = x[rng.choice(len(x), groups, replace=False, p=weight / weight.sum())].astype(np.float64)
+    label = np.zeros(len(x), np.int64)
+    for _ in range(20):
+        label = ((x[:, None] - centres) ** 2).sum(axis=2).argmin(axis=1)
+        mass = np.bincount(label, weight, groups)
+        sums = np.stack([np.bincount(label, weight * column, groups) for column in x.T], axis=1)
+        centres = np.where(mass[:, None] > 0, sums / np.maximum(mass, 1e-300)[:, None], centres)
+    return label, centres
+
+
+@dataclass
+class Contexts:
+    """Groups of contexts, by the class before and the one before that, and the context's side of the product."""
+
+    near: np.ndarray  # group of each class
+    far: np.ndarray
+    centres: np.ndarray  # groups x d
+    sides: np.ndarray | None = None  # groups x (1 + TOKEN_DIMENSIONS)
+
+    @classmethod
+    def of_model(cls, model: LogBilinear, share: np.ndarray) -> Contexts:
+        weight = np.r_[share, share.min()]
+        near, a = grouped(model.context * model.position[0], weight, NEAR_GROUPS)
+        far, b = grouped(model.context * model.position[1], weight, FAR_GROUPS)
+        return cls(near, far, (a[:, None] + b).reshape(-1, a.shape[1]))
+
+    def groups(self, far: np.ndarray, near: np.ndarray) -> np.ndarray:
+        return self.near[near] * (self.far.max() + 1) + self.far[far]
+
+    def whiten(self, share: np.ndarray) -> None:
+        """The sides: a one, then the centres' main axes, uncorrelated and of unit variance over the training contexts."""
+        x = self.centres - share @ self.centres
+        variance, axes = np.linalg.eigh((x * share[:, None]).T @ x)
+        order = np.argsort(-variance)[:TOKEN_DIMENSIONS]
+        scale = np.sqrt(np.maximum(variance[order], 1e-3 * variance.max() + 1e-30))
+        side = np.zeros((len(x), 1 + TOKEN_DIMENSIONS))
+        side[:, 0], side[:, 1 : 1 + len(order)] = 1, x @ axes[:, order] / scale
+        self.sides = side
+
+
+def grouped_counts(training: DataFrame, classes: Classes, contexts: Contexts) -> DataFrame:
+    """(token, g, n): how often each token of a shared class stands in each group of contexts; a token's rows lie together."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counter: Counter[tuple[bytes, int]] = Counter()
+
+        def flush() -> pa.RecordBatch:
+            token, g = zip(*counter, strict=True)
+            out = pa.RecordBatch.from_arrays([pa.array(token, pa.binary()), pa.array(g, pa.int32()), pa.array(list(counter.values()), pa.int64())], ["token", "g", "n"])
+            counter.clear()
+            return out
+
+        for whole in batches:
+            for at in range(0, whole.num_rows, BATCH_DOCS):
+                places, starts, flat = classes.places(as_bytes(whole.column(0).slice(at, BATCH_DOCS)))
+                far, near, target = classes.trigrams(places, starts)
+                shared = np.flatnonzero(target >= classes.words)
+                counter.update(zip([flat[i] for i in shared.tolist()], contexts.groups(far[shared], near[shared]).tolist(), strict=True))
+                if len(counter) > COUNTED_AT_ONCE:
+                    yield flush()
+        if counter:
+            yield flush()
+
+    rows = training.select("text").mapInArrow(count, "token binary, g int, n long")
+    return rows.repartition("token").groupBy("token", "g").agg(F.sum("n").alias("n"))
+
+
+def fit_tokens(n: np.ndarray, share: np.ndarray, sides: np.ndarray, steps: int = 12) -> np.ndarray:
+    """The vectors of tokens that stand ``n`` (tokens x groups) times after each group of contexts.
+
+    The noise has each token after a group as often as its own count and the
+    group's share say, ``TOKEN_NOISE`` times over.  Each step goes to the
+    minimum of a quadratic bound of the loss, so no step makes it larger.
+    """
+    n, share, sides = n.astype(np.float32), share.astype(np.float32), sides.astype(np.float32)
+    noise = TOKEN_NOISE * n.sum(axis=1, keepdims=True) * share
+    bound = 0.25 * (n + noise) @ (sides * sides).sum(axis=1)
+    vectors = np.zeros((len(n), sides.shape[1]), np.float32)
+    least_curved = (bound + TOKEN_PRIOR)[:, None]
+    offset = np.float32(np.log(TOKEN_NOISE))
+    for _ in range(steps):
+        wrong = 0.5 + 0.5 * np.tanh(0.5 * (offset - vectors @ sides.T))  # probability that the pair is noise
+        vectors += ((n * wrong - noise * (1 - wrong)) @ sides - TOKEN_PRIOR * vectors) / least_curved
+    return vectors
+
+
+def token_vectors(counts: DataFrame, classes: Classes, contexts: Contexts) -> DataFrame:
+    """(token, place, class, c, v) of every token of a shared class; gives ``contexts`` its sides."""
+    counts = checkpointed(counts)
+    groups = len(contexts.centres)
+    share = np.full(groups, 1e-9)
+    for r in counts.groupBy("g").agg(F.sum("n").alias("n")).collect():  # a row for each group
+        share[r.g] += r.n
+    share /= share.sum()
+    contexts.whiten(share)
+    sides = contexts.sides
+
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, 8192):
+                batch = whole.slice(at, 8192)
+                lists = batch.column(1)
+                row = np.repeat(np.arange(batch.num_rows), lists.value_lengths().to_numpy())
+                g, times = np.divmod(lists.flatten().to_numpy(), 1 << 50)
+                n = np.zeros((batch.num_rows, groups))
+                n[row, g] = times
+                v = fit_tokens(n, share, sides)
+                place = np.array([classes.index.get(t, -1) for t in batch.column(0).to_pylist()], np.int64)
+                vectors = pa.ListArray.from_arrays(pa.array(np.arange(len(v) + 1) * v.shape[1], pa.int32()), pa.array(v.ravel()))
+                columns = [batch.column(0), pa.array(place), pa.array(classes.of[place]), pa.array(n.sum(axis=1).astype(np.int64)), vectors]
+                yield pa.RecordBatch.from_arrays(columns, ["token", "place", "class", "c", "v"])
+
+    # at most ``groups`` numbers a token, group and count in one
+    lists = counts.groupBy("token").agg(F.collect_list(F.col("g") * F.lit(1 << 50) + F.col("n")).alias("gn"))
+    return checkpointed(lists.mapInArrow(fit, "token binary, place long, class long, c long, v array<float>"))
+
+
+def token_normalisers(vectors: DataFrame, classes: Classes, sides: np.ndarray) -> np.ndarray:
+    """log Z by shared class and group of contexts; the last class has a place for unseen tokens."""
+    shared, groups = classes.last + 1 - classes.words, len(sides)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        z = np.zeros((shared, groups))
+        for whole in batches:
+            for at in range(0, whole.num_rows, 8192):
+                batch = whole.slice(at, 8192)
+                v = batch.column(2).flatten().to_numpy().reshape(batch.num_rows, -1)
+                s = np.exp(v @ sides.T) * (batch.column(1).to_numpy()[:, None] + 1.0)
+                kind = batch.column(0).to_numpy() - classes.words
+                for k in np.unique(kind):
+                    z[k] += s[kind == k].sum(axis=0)
+        k, g = np.nonzero(z)
+        yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(g), pa.array(z[k, g])], ["k", "g", "z"])
+
+    z = np.zeros((shared, groups))
+    z[-1] = 1.0
+    sums = vectors.select("class", "c", "v").mapInArrow(add, "k long, g long, z double").groupBy("k", "g").agg(F.sum("z").alias("z"))
+    for r in sums.collect():  # classes times groups
+        z[r.k, r.g] += r.z
+    return np.log(np.maximum(z, 1e-300))
+
+
 def lm_scores(
     docs: DataFrame,
     modulus: int = 7,
@@ -287,18 +477,22 @@ def lm_scores(
     n_all, v_all = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     top = most_frequent(counts, n_common).collect()  # n_common rows at most
     common = sorted(((bytes(r.token), r.c) for r in top), key=lambda x: (x[0] != END, -x[1], x[0]))
-    words = min(n_words, len(common))
-    index = {w: i for i, (w, _) in enumerate(common)}
-    known = np.array([c for _, c in common], float)
-    log_counts = np.append(np.log10(known + 1), 0.0)  # place -1: not common
-    n_rare, v_rare = n_all - known[:words].sum(), v_all - words
-    share = np.append(known[:words], max(n_rare, 1.0))
-    share = share / share.sum()
-
-    first = {w: i for w, i in index.items() if i < words}
-    model = train(class_trigrams(training, first), LogBilinear.start(share, dimensions, seed=1), share, rounds, task_trigrams)
+    classes = Classes.by_frequency(common, n_words)
+    words = classes.words
+    log_counts = np.append(np.log10(classes.counts + 1.0), 0.0)  # place -1: not common
+    share = classes.share(n_all)
+
+    model = train(class_trigrams(training, classes), LogBilinear.start(share, dimensions, seed=1), share, rounds, task_trigrams)
     near, far = model.tables()
     log_z = log_normalisers(docs, model)
+    contexts = Contexts.of_model(model, share)
+    vectors = token_vectors(grouped_counts(training, classes, contexts), classes, contexts)
+    sides = contexts.sides
+    log_z_token = token_normalisers(vectors, classes, sides)
+    known = vectors.where("place >= 0").select("place", "v").toArrow()  # n_common rows at most
+    v = np.zeros((len(common) + 1, sides.shape[1]), np.float32)  # place -1: not common
+    if known.num_rows:
+        v[known["place"].to_numpy()] = known["v"].combine_chunks().flatten().to_numpy().reshape(known.num_rows, -1)
     ln10 = np.log(10.0)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -306,44 +500,50 @@ def lm_scores(
         for whole in batches:
             for at in range(0, whole.num_rows, BATCH_DOCS):
                 batch = whole.slice(at, BATCH_DOCS)
-                places, starts, flat = classes(as_bytes(batch.column(1)), index)
-                two, one, target = with_context(places, starts, words)
+                places, starts, flat = classes.places(as_bytes(batch.column(1)))
+                two, one, target = classes.trigrams(places, starts)
                 log_p = (near[one, target] + far[two, target] - log_z[two, one]) / ln10
                 log_c = log_counts[places]
+                group = contexts.groups(two, one)
+                shared = np.flatnonzero(target >= words)
+                in_class = np.einsum("ij,ij->i", v[places[shared]], sides[group[shared]]) - log_z_token[target[shared] - words, group[shared]]
+                log_p[shared] += in_class / ln10 + log_c[shared]
                 each = lambda v: np.add.reduceat(v, starts)  # noqa: B023, E731  a text has a token at least
                 rest = np.flatnonzero(places < 0)
                 doc = np.searchsorted(starts, rest, "right") - 1
-                odd = Counter((d, flat[i]) for d, i in zip(doc.tolist(), rest.tolist(), strict=True))
+                odd = Counter((d, flat[i], g) for d, i, g in zip(doc.tolist(), rest.tolist(), group[rest].tolist(), strict=True))
                 n, m = batch.num_rows, len(odd)
                 zero, none = np.zeros(m), np.zeros(m, np.int64)
                 rows = row + np.arange(n)
                 columns = [
-                    np.r_[rows, row + np.fromiter((d for d, _ in odd), np.int64, m)],
-                    pa.array([b"\n%d" % r for r in rows.tolist()] + [w for _, w in odd], pa.binary()),
+                    np.r_[rows, row + np.fromiter((d for d, _, _ in odd), np.int64, m)],
+                    pa.array([b"\n%d" % r for r in rows.tolist()] + [w for _, w, _ in odd], pa.binary()),
+                    np.r_[np.zeros(n, np.int64), np.fromiter((g for _, _, g in odd), np.int64, m)],
                     np.r_[np.zeros(n, np.int64), np.fromiter(odd.values(), np.int64, m)],
                     pa.concat_arrays([batch.column(0).cast(pa.int64()), pa.nulls(m, pa.int64())]),
                     np.r_[each(np.ones(len(places), np.int64)), none],
                     np.r_[each((places >= 0).astype(np.int64)), none],
                     np.r_[each(log_c), zero],
-                    np.r_[each(log_p + np.where(target == words, log_c, 0.0)), zero],
-                    np.r_[each((target == words).astype(np.int64)), none],
+                    np.r_[each(log_p), zero],
                 ]
                 row += n
                 yield pa.RecordBatch.from_arrays([x if isinstance(x, pa.Array) else pa.array(x) for x in columns], names)
 
-    schema = "row long, token binary, tf long, doc_id long, n_tokens long, n_common long, log_c double, log_p double, n_other long"
+    schema = "row long, token binary, g long, tf long, doc_id long, n_tokens long, n_common long, log_c double, log_p double"
     names = [x.split()[0] for x in schema.split(", ")]
     # a document's own row goes under a key that no token has, so that it needs no join of its own
-    rows = docs.mapInArrow(score, schema).join(counts, "token", "left")
+    rows = docs.mapInArrow(score, schema).join(vectors.where("place < 0").select("token", "c", "v"), "token", "left")
     c = F.coalesce("c", F.lit(0))
     odd = F.col("tf") * F.log10(c + 1)
+    side = [F.get(F.array(*(F.lit(float(x)) for x in column)), F.col("g").cast("int")) for column in sides.T]
+    product = reduce(operator.add, (F.get("v", F.lit(j)) * x for j, x in enumerate(side)))
+    in_class = F.col("tf") * F.coalesce(product, F.lit(0.0)) / float(ln10)
     by_row = rows.groupBy("row").agg(
         F.max("doc_id").alias("doc_id"),
         F.sum("n_tokens").alias("n_tokens"),
         (F.sum("n_common") + F.sum(F.when(c > 0, F.col("tf")).otherwise(0))).alias("n_known"),
         (F.sum("log_c") + F.sum(odd)).alias("log_c"),
-        (F.sum("log_p") + F.sum(odd)).alias("log_p"),
-        F.sum("n_other").alias("n_other"),
+        (F.sum("log_p") + F.sum(odd + in_class)).alias("score"),
     )
     return by_row.select(
         "doc_id",
@@ -352,5 +552,5 @@ def lm_scores(
         "n_known",
         F.lit(int(n_all)).cast("long").alias("train_tokens"),
         (F.col("log_c") - F.col("n_tokens") * F.lit(float(np.log10(n_all + v_all + 1)))).alias("base_score"),
-        (F.col("log_p") - F.col("n_other") * F.lit(float(np.log10(n_rare + v_rare + 1)))).alias("score"),
+        "score",
     )

@@ -1,9 +1,11 @@
 """The training-data operators against brute force, on odd and small inputs."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -264,6 +266,52 @@ def test_language_model_sums_to_one_and_beats_the_base(spark):
         assert np.allclose(np.exp(near + far[before] - z[:, None]).sum(axis=1), 1, atol=1e-5)
 
 
+def test_language_model_scores_by_brute_force(spark):
+    """Untrained classes, fitted tokens: every text's score from plain loops; the probabilities of a context add up to one."""
+    rnd = random.Random(7)
+    docs = [(i, " ".join(f"{'xy'[i % 2]}{int(rnd.paretovariate(0.7))}" for _ in range(1 + i % 40))) for i in range(300)]
+    got = op7_lm.lm_scores(spark.createDataFrame(docs, "doc_id long, text string"), n_words=8, n_common=60, rounds=0).collect()
+    texts = {i: op7_lm.tokens(t.encode()) for i, t in docs}
+    training = [texts[i] for i in texts if zlib.crc32(str(i).encode()) % 7 != 2]
+    counts = Counter(w for t in training for w in t)
+    step = {w: math.floor(math.log2(c) * 64) for w, c in counts.items()}
+    least = min(s for s in set(step.values()) if sum(x >= s for x in step.values()) <= 60)
+    common = sorted(((w, c) for w, c in counts.items() if step[w] >= least), key=lambda x: (x[0] != op7_lm.END, -x[1], x[0]))
+    classes = op7_lm.Classes.by_frequency(common, 8)
+    assert 8 < len(common) < len(counts) and classes.last > 9
+    share = classes.share(sum(counts.values()))
+    model = op7_lm.LogBilinear.start(share, 16, seed=1)
+    contexts = op7_lm.Contexts.of_model(model, share)
+    of = lambda w: int(classes.of[classes.index.get(w, -1)])
+    groups = len(contexts.centres)
+
+    def places(text):
+        cls = [classes.last + 1] * 2 + [of(w) for w in text]
+        return [(w, cls[i], cls[i + 1], cls[i + 2], int(contexts.groups(np.array(cls[i]), np.array(cls[i + 1])))) for i, w in enumerate(text)]
+
+    n = {w: np.zeros(groups) for w in counts if of(w) >= 8}
+    for t in training:
+        for w, _, _, c, g in places(t):
+            if c >= 8:
+                n[w][g] += 1
+    total = sum(n.values()) + 1e-9
+    contexts.whiten(total / total.sum())
+    mass = {w: (counts[w] + 1) * np.exp(op7_lm.fit_tokens(n[w][None], total / total.sum(), contexts.sides)[0].astype(float) @ contexts.sides.T) for w in n}
+    z = {c: sum((m for w, m in mass.items() if of(w) == c), np.full(groups, float(c == classes.last))) for c in range(8, classes.last + 1)}
+
+    def probability(w, two, one, c, g):
+        near, far = model.tables()
+        scores = near[one] + far[two]
+        p = math.exp(scores[c]) / np.exp(scores).sum()
+        return p if c < 8 else p * mass.get(w, np.ones(groups))[g] / z[c][g]
+
+    _, two, one, _, g = places(training[5])[-1]
+    assert math.isclose(sum(probability(w, two, one, of(w), g) for w in [*counts, b"unseen token"]), 1, rel_tol=1e-5)
+    for r in got[::5]:
+        want = sum(math.log10(probability(*x)) for x in places(texts[r.doc_id]))
+        assert math.isclose(r.score, want, rel_tol=1e-4, abs_tol=1e-4)
+
+
 def test_licences_and_inheritance(spark):
     mit = "Released under the MIT License."
     files = [(1, "a/LICENSE", mit), (2, "a/b/x.txt", "one two three"), (3, "a/b/y.txt", f"one\n{mit}\ntwo " + "filler " * 50), (4, "c/z.txt", "none here"), (5, None, "none")]
