@@ -54,6 +54,7 @@ from solospan.llm.common import as_bytes, checkpointed, held_out
 
 END = b"\n"  # no word has a blank
 COUNTED_AT_ONCE = 400_000
+KEYS_AT_ONCE = 3_000_000
 BATCH_DOCS = 512
 NEAR_GROUPS, FAR_GROUPS = 16, 4
 TOKEN_DIMENSIONS = 8
@@ -249,19 +250,22 @@ def class_trigrams(training: DataFrame, classes: Classes) -> DataFrame:
     base = classes.last + 2
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, times = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        held: list[np.ndarray] = []
+
+        def flush() -> pa.RecordBatch:
+            keys, times = np.unique(np.concatenate(held), return_counts=True)
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(times)], ["key", "n"])
+
         for whole in batches:
             for at in range(0, whole.num_rows, BATCH_DOCS):
                 places, starts, _ = classes.places(as_bytes(whole.column(0).slice(at, BATCH_DOCS)))
                 far, near, target = classes.trigrams(places, starts)
-                new, n = np.unique((far * base + near) * base + target, return_counts=True)
-                both, inverse = np.unique(np.r_[keys, new], return_inverse=True)
-                keys, times = both, np.bincount(inverse, np.r_[times, n]).astype(np.int64)
-                if len(keys) > COUNTED_AT_ONCE:
-                    yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(times)], ["key", "n"])
-                    keys, times = keys[:0], times[:0]
-        if len(keys):
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(times)], ["key", "n"])
+                held.append((far * base + near) * base + target)
+                if sum(map(len, held)) > KEYS_AT_ONCE:
+                    yield flush()
+        if held:
+            yield flush()
 
     return training.select("text").mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
 
@@ -361,25 +365,34 @@ class Contexts:
 def grouped_counts(training: DataFrame, classes: Classes, contexts: Contexts) -> DataFrame:
     """(token, g, n): how often each token of a shared class stands in each group of contexts; a token's rows lie together."""
 
+    groups, names = len(contexts.centres), ["token", "g", "n"]
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter: Counter[tuple[bytes, int]] = Counter()
+        common = np.zeros(len(classes.counts) * groups, np.uint32)  # by place and group; a task's texts have fewer than 2^32 words
 
         def flush() -> pa.RecordBatch:
             token, g = zip(*counter, strict=True)
-            out = pa.RecordBatch.from_arrays([pa.array(token, pa.binary()), pa.array(g, pa.int32()), pa.array(list(counter.values()), pa.int64())], ["token", "g", "n"])
+            out = pa.RecordBatch.from_arrays([pa.array(token, pa.binary()), pa.array(g, pa.int32()), pa.array(list(counter.values()), pa.int64())], names)
             counter.clear()
             return out
 
         for whole in batches:
             for at in range(0, whole.num_rows, BATCH_DOCS):
                 places, starts, flat = classes.places(as_bytes(whole.column(0).slice(at, BATCH_DOCS)))
-                far, near, target = classes.trigrams(places, starts)
-                shared = np.flatnonzero(target >= classes.words)
-                counter.update(zip([flat[i] for i in shared.tolist()], contexts.groups(far[shared], near[shared]).tolist(), strict=True))
+                far, near, _ = classes.trigrams(places, starts)
+                group = contexts.groups(far, near)
+                shared, rest = places >= classes.words, np.flatnonzero(places < 0)
+                np.add.at(common, places[shared] * groups + group[shared], 1)
+                counter.update(zip([flat[i] for i in rest.tolist()], group[rest].tolist(), strict=True))
                 if len(counter) > COUNTED_AT_ONCE:
                     yield flush()
         if counter:
             yield flush()
+        if len(cells := np.flatnonzero(common)):
+            place, g = np.divmod(cells, groups)
+            token = pa.array(list(classes.index), pa.binary()).take(pa.array(place))
+            yield pa.RecordBatch.from_arrays([token, pa.array(g.astype(np.int32)), pa.array(common[cells].astype(np.int64))], names)
 
     rows = training.select("text").mapInArrow(count, "token binary, g int, n long")
     return rows.repartition("token").groupBy("token", "g").agg(F.sum("n").alias("n"))
