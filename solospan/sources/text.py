@@ -12,7 +12,6 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from solospan.functions.checks import refuse
 from solospan.functions.ipv4 import with_ip4
 from solospan.schema import PAIRS_SCHEMA, RANGES_SCHEMA, REJECT_MALFORMED, REJECT_REVERSED
 
@@ -96,12 +95,12 @@ def ranges_from_pair_columns(
     df: DataFrame, begin_text: str = "begin_text", end_text: str = "end_text", on_error: str = "raise"
 ) -> DataFrame:
     parsed = with_ip4(df.select(begin_text, end_text), {"begin": begin_text, "end": end_text})
-    bad = F.col("begin").isNull() | F.col("end").isNull()
+    ok = F.col("begin").isNotNull() & F.col("end").isNotNull()
     if on_error == "raise":
         msg = F.concat(F.lit("Wrong input range: ("), F.col(begin_text), F.lit(","), F.col(end_text), F.lit(")"))
-        return refuse(parsed, bad, msg).select("begin", "end")
+        return _split_rows(parsed, F.when(ok, F.lit(True)).otherwise(F.raise_error(msg).cast("boolean")), ["begin", "end"])
     if on_error == "drop":
-        return parsed.where(~bad).select("begin", "end")
+        return _split_rows(parsed, ok, ["begin", "end"])
     raise ValueError(f"unknown on_error {on_error!r}")
 
 

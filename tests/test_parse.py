@@ -114,3 +114,26 @@ def test_bucket_arithmetic(spark):
     left, right = junctions(F.lit(3), 16)
     r = spark.range(1).select(left.alias("l"), right.alias("r")).first()
     assert (r.l, r.r) == (47, 48)
+
+
+@pytest.mark.parametrize("on_error", ["drop", "raise"])
+def test_pairs_source_parses_each_address_once(spark, on_error):
+    pairs = spark.range(4).select(
+        ip4_text(F.col("id") * 3).alias("begin_text"), F.when(F.col("id") >= 0, ip4_text(F.col("id") * 5)).otherwise("x").alias("end_text")
+    )
+    df = text.ranges_from_pair_columns(pairs, on_error=on_error)
+    assert sorted(map(tuple, df.collect())) == [(0, 0), (3, 5), (6, 10), (9, 15)]
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RLIKE") == 2 and plan.count("regexp_replace") == 4, plan
+
+
+def test_pairs_source_drops_or_refuses_whatever_is_read(spark):
+    rows = [("1.2.3.4", "1.2.3.9"), ("9.0.0.0", "1.0.0.0"), ("9.0.0.0", "1.0.0.0"), ("x", "1.2.3.4"), ("1.2.3.4", None), (None, None)]
+    df = spark.createDataFrame(rows, "b string, e string")
+    kept = text.ranges_from_pair_columns(df, "b", "e", on_error="drop")
+    assert sorted(map(tuple, kept.collect())) == [(16909060, 16909065), (150994944, 16777216), (150994944, 16777216)]
+    assert kept.count() == 3 and kept.where("begin > end").count() == 2
+    refused = text.ranges_from_pair_columns(df, "b", "e")
+    for read in (refused, refused.select("begin"), refused.where("begin < 0")):
+        with pytest.raises(Exception, match="USER_RAISED_EXCEPTION"):
+            read.count()
